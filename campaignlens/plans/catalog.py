@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from campaignlens.plans import clean_queries  # noqa: F401  (registers)
+from campaignlens.plans import clean_queries, eval_queries  # noqa: F401  (registers)
 from campaignlens.plans.registry import REGISTRY, Query
 
 
@@ -13,4 +13,4 @@ def registry() -> dict[str, Query]:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return REGISTRY["merge_features"].build(spark, sf_dir)
+    return REGISTRY["eval_report"].build(spark, sf_dir)

@@ -10,9 +10,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from campaignlens import schemas as S
-from campaignlens.operators import clean, features
+from campaignlens.operators import clean, features, scoring, split
 from campaignlens.sources.tables import Inputs, derive_inputs
 
 
@@ -41,3 +42,20 @@ def merged(spark: SparkSession, sf_dir: str, fill: bool = False) -> DataFrame:
         features.interaction_features(ins.interactions),
     )
     return features.fill_interactions(out) if fill else out
+
+
+def folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per customer with its fold (computed from the contracts only)."""
+    return split.customer_folds(inputs(spark, sf_dir).core)
+
+
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every contract with its rule score and fold."""
+    pc = scoring.with_rule_score(processed_core(spark, sf_dir))
+    f = folds(spark, sf_dir).select(S.CUSTOMER, "fold")
+    return pc.select(S.KEY, S.CUSTOMER, S.LABEL, "score").join(f, S.CUSTOMER, "left")
+
+
+def scored_test(spark: SparkSession, sf_dir: str, test_fold: int = 0) -> DataFrame:
+    """The evaluation input: ``(key, label, score)`` of the test fold."""
+    return scored(spark, sf_dir).where(F.col("fold") == test_fold).select(S.KEY, S.LABEL, "score")

@@ -148,7 +148,9 @@ FROM merged
 """
 
 
-def with_views(body: str, age_edges: tuple[int, int] = (45, 60)) -> str:
+def with_views(
+    body: str, age_edges: tuple[int, int] = (45, 60), extra: list[tuple[str, str]] | None = None
+) -> str:
     """Prefix ``body`` with every input and stage view it may reference."""
     a1, a2 = age_edges
     ctes = [
@@ -167,6 +169,6 @@ def with_views(body: str, age_edges: tuple[int, int] = (45, 60)) -> str:
         ("interaction_features", INTERACTION_FEATURES_SQL),
         ("merged", MERGED_SQL),
         ("merged_filled", MERGED_FILLED_SQL),
-    ]
+    ] + list(extra or [])
     text = ",\n".join(f"{name} AS ({sql.strip()})" for name, sql in ctes)
     return f"WITH {text}\n{body.strip()}"
