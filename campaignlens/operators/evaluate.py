@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from campaignlens import schemas as S
-from campaignlens.functions import k_for_fraction
 from campaignlens.operators.rank import with_position, with_prefix_sums
 
 
@@ -49,10 +48,19 @@ def ranked(scored: DataFrame, key: str = S.KEY, score: str = "score") -> DataFra
     return with_position(scored, [F.col(score).desc(), F.col(key).asc()], name="rank")
 
 
-def _counts(scored: DataFrame, label: str) -> tuple[Column, Column]:
-    n = scored.select(F.count(F.lit(1))).scalar()
-    pos = scored.select(F.coalesce(F.sum(label), F.lit(0)).cast("long")).scalar()
-    return n, pos
+def _counts(r: DataFrame, label: str) -> tuple[int, int]:
+    """Row and positive counts, read from the checkpointed rank frame (two numbers)."""
+    row = r.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(label), F.lit(0)).cast("long").alias("pos")).first()
+    return int(row.n), int(row.pos)
+
+
+def k_of(n: int, fraction: float, rule: str = "round") -> int:
+    """Budget size: ``max(1, round(fraction * n))`` (half-even) or the floor rule."""
+    if rule == "round":
+        return max(1, int(round(fraction * n)))
+    if rule == "floor":
+        return max(1, int(n * fraction))
+    raise ValueError(rule)
 
 
 def precision_at_k(
@@ -65,25 +73,25 @@ def precision_at_k(
 ) -> DataFrame:
     """``k_frac, k_n, tp, precision_at_k, recall_at_k, lift_at_k`` per fraction."""
     r = ranked(scored, key, score)
-    n, pos = _counts(scored, label)
-    ks = [k_for_fraction(n, f, rule) for f in fractions]
+    n, pos = _counts(r, label)
+    ks = [k_of(n, f, rule) for f in fractions]
     agg = r.agg(
         *[F.coalesce(F.sum(F.when(F.col("rank") <= k, F.col(label))), F.lit(0)).cast("long").alias(f"tp{i}")
           for i, k in enumerate(ks)]
     )
-    rate = pos.cast("double") / n
+    rate = pos / n if n else 0.0
     rows = []
     for i, (f, k) in enumerate(zip(fractions, ks)):
         tp = F.col(f"tp{i}")
-        prec = tp / k
+        prec = tp / F.lit(k)
         rows.append(
             F.struct(
                 F.lit(f).alias("k_frac"),
-                k.alias("k_n"),
+                F.lit(k).cast("long").alias("k_n"),
                 tp.alias("tp"),
                 prec.alias("precision_at_k"),
-                (tp / F.greatest(pos, F.lit(1))).alias("recall_at_k"),
-                (prec / F.greatest(rate, F.lit(1e-12))).alias("lift_at_k"),
+                (tp / F.lit(max(pos, 1))).alias("recall_at_k"),
+                (prec / F.lit(max(rate, 1e-12))).alias("lift_at_k"),
             )
         )
     return agg.select(F.inline(F.array(*rows)))
@@ -108,13 +116,13 @@ def confusion_at_budget(
     shifts fn/tn by one when the fold holds no positive).
     """
     r = ranked(scored, key, score)
-    n, pos = _counts(scored, label)
-    k = k_for_fraction(n, fraction)
+    n, pos = _counts(r, label)
+    k = k_of(n, fraction)
     agg = r.agg(F.coalesce(F.sum(F.when(F.col("rank") <= k, F.col(label))), F.lit(0)).cast("long").alias("tp"))
     tp = F.col("tp")
-    fp = k - tp
-    fn = pos - tp
-    tn = (n - pos) - fp
+    fp = F.lit(k) - tp
+    fn = F.lit(pos) - tp
+    tn = F.lit(n - pos) - fp
     return agg.select(_matrix(tn, fp, fn, tp))
 
 
@@ -204,8 +212,8 @@ def top_k_targets(
 ) -> DataFrame:
     """The contact list: the top ``fraction`` of rows by score."""
     r = ranked(scored, key, score)
-    n = scored.select(F.count(F.lit(1))).scalar()
-    return r.where(F.col("rank") <= k_for_fraction(n, fraction)).select(key, score, "rank")
+    n = r.count()
+    return r.where(F.col("rank") <= k_of(n, fraction)).select(key, score, "rank")
 
 
 def base_rate(scored: DataFrame, label: str = S.LABEL) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from campaignlens.plans import clean_queries, eval_queries, profile_queries  # noqa: F401  (registers)
+from campaignlens.plans import clean_queries, eval_queries, model_queries, profile_queries  # noqa: F401
 from campaignlens.plans.registry import REGISTRY, Query
 
 

@@ -59,3 +59,11 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scored_test(spark: SparkSession, sf_dir: str, test_fold: int = 0) -> DataFrame:
     """The evaluation input: ``(key, label, score)`` of the test fold."""
     return scored(spark, sf_dir).where(F.col("fold") == test_fold).select(S.KEY, S.LABEL, "score")
+
+
+def modelling_frame(spark: SparkSession, sf_dir: str, feature_names: Sequence[str]) -> DataFrame:
+    """Merged, filled features with the fold column, ready for assembly."""
+    from campaignlens.operators import model
+
+    f = folds(spark, sf_dir).select(S.CUSTOMER, "fold")
+    return model.model_frame(merged(spark, sf_dir, fill=True).join(f, S.CUSTOMER, "left"), feature_names)
