@@ -1,7 +1,7 @@
 """Contract cleaning: numeric coercion, imputation, flags, buckets, one-hot.
 
-All steps are narrow projections except the median, which is one global
-aggregate evaluated as a scalar subquery (one value, no join).
+All steps are narrow projections except the median, a distributed exact
+order statistic read as a scalar subquery (one value, no join).
 """
 
 from __future__ import annotations
@@ -32,11 +32,19 @@ ONE_HOT_SOURCES = BUCKET_COLUMNS + ["smartphone_brand"]
 def median_of(df: DataFrame, c: Column, method: str = "exact") -> Column:
     """Global median of ``c`` as a scalar-subquery column.
 
-    ``exact`` interpolates between the two middle values (``percentile``);
-    it holds a value->count map, so it is the right choice for low-cardinality
-    columns.  ``approx`` bounds memory for continuous columns.
+    ``exact`` interpolates between the two middle values and is computed
+    with the distributed order statistics of ``profile.exact_quantiles``
+    (distinct values counted, then ranked), so no task holds the whole value
+    distribution.  ``builtin`` is Spark's ``median`` (one value->count map
+    merged in one task: fine for a handful of distinct values).  ``approx``
+    is the percentile sketch.
     """
     if method == "exact":
+        from campaignlens.operators.profile import exact_quantiles
+
+        long = df.select(F.lit("m").alias("column_name"), c.alias("value")).where(F.col("value").isNotNull())
+        return exact_quantiles(long, [0.5]).select("q0").scalar()
+    if method == "builtin":
         agg = F.median(c)
     elif method == "approx":
         agg = F.percentile_approx(c, 0.5, 10000).cast("double")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from campaignlens import schemas as S
 from campaignlens.functions import contains_pattern, ratio_fill_zero
+from campaignlens.operators.joins import hot_key_left_join
 
 USAGE_OUTPUT = [
     "rating_account_id",
@@ -144,13 +145,16 @@ def interaction_features(
 def merge_features(core: DataFrame, usage_agg: DataFrame, interaction_agg: DataFrame) -> DataFrame:
     """Contracts left-joined with usage (1:1) and interactions (n:1).
 
-    Both right sides are unique on their key.  The strategy is Spark's: a
-    broadcast when AQE measures a side under the broadcast threshold, else a
-    sort-merge join whose hot customer partitions AQE splits.
+    Both right sides are unique on their key.  The account join is 1:1 and
+    left to Spark (broadcast when AQE measures a side under the threshold,
+    else sort-merge).  The customer join is n:1, so customers with very many
+    contracts are joined map-side against a bounded broadcast and only the
+    remaining keys are shuffled (``joins.hot_key_left_join``).
     """
     u_cols = [c for c in usage_agg.columns if c != S.KEY]
     i_cols = [c for c in interaction_agg.columns if c != S.CUSTOMER]
-    joined = core.join(usage_agg, on=S.KEY, how="left").join(interaction_agg, on=S.CUSTOMER, how="left")
+    with_usage = core.join(usage_agg, on=S.KEY, how="left")
+    joined = hot_key_left_join(with_usage, interaction_agg, S.CUSTOMER)
     return joined.select(*[F.col(f"`{c}`") for c in core.columns + u_cols + i_cols])
 
 

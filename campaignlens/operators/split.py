@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from campaignlens import schemas as S
+from campaignlens.operators.joins import hot_key_left_join
 from campaignlens.operators.rank import with_position
 
 
@@ -53,7 +54,12 @@ def assign_folds(
     key (n:1, the same shape as the interaction merge).
     """
     folds = customer_folds(df, k, seed, group, label).select(group, "fold")
-    return df.join(folds, on=group, how="left")
+    return attach_folds(df, folds, group)
+
+
+def attach_folds(df: DataFrame, folds: DataFrame, group: str = S.CUSTOMER) -> DataFrame:
+    """Join the per-group fold table back (n:1, hot groups joined map-side)."""
+    return hot_key_left_join(df, folds.select(group, "fold"), group)
 
 
 def train_test(df_with_fold: DataFrame, test_fold: int = 0) -> dict[str, DataFrame]:

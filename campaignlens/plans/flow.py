@@ -52,8 +52,7 @@ def folds(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every contract with its rule score and fold."""
     pc = scoring.with_rule_score(processed_core(spark, sf_dir))
-    f = folds(spark, sf_dir).select(S.CUSTOMER, "fold")
-    return pc.select(S.KEY, S.CUSTOMER, S.LABEL, "score").join(f, S.CUSTOMER, "left")
+    return split.attach_folds(pc.select(S.KEY, S.CUSTOMER, S.LABEL, "score"), folds(spark, sf_dir))
 
 
 def scored_test(spark: SparkSession, sf_dir: str, test_fold: int = 0) -> DataFrame:
@@ -65,5 +64,5 @@ def modelling_frame(spark: SparkSession, sf_dir: str, feature_names: Sequence[st
     """Merged, filled features with the fold column, ready for assembly."""
     from campaignlens.operators import model
 
-    f = folds(spark, sf_dir).select(S.CUSTOMER, "fold")
-    return model.model_frame(merged(spark, sf_dir, fill=True).join(f, S.CUSTOMER, "left"), feature_names)
+    with_folds = split.attach_folds(merged(spark, sf_dir, fill=True), folds(spark, sf_dir))
+    return model.model_frame(with_folds, feature_names)

@@ -307,7 +307,7 @@ _PSI_CTES_BODY = _psi_sql()
     ),
 )
 def drift_psi(spark, sf_dir):
-    pcf = flow.processed_core(spark, sf_dir).join(flow.folds(spark, sf_dir).select(S.CUSTOMER, "fold"), S.CUSTOMER, "left")
+    pcf = split.attach_folds(flow.processed_core(spark, sf_dir), flow.folds(spark, sf_dir))
     train = pcf.where(~F.coalesce(F.col("fold") == 0, F.lit(False)))
     test = pcf.where(F.col("fold") == 0)
     return round_doubles(profile.population_stability(train, test, PSI_NUMERIC, PSI_CATEGORICAL))
