@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from campaignlens import schemas as S
@@ -43,6 +43,30 @@ def roc_auc(scored: DataFrame, label: str = S.LABEL, score: str = "score") -> Da
     )
 
 
+def roc_auc_by(scored: DataFrame, group: str, label: str = S.LABEL, score: str = "score") -> DataFrame:
+    """ROC AUC per ``group`` in one pass: ``(group, roc_auc)``.
+
+    The distinct-score curve of every group is ordered by (group, score desc)
+    with the distributed prefix sum; the running counts of earlier groups
+    are subtracted with offsets from a per-group summary (one row per group).
+    """
+    by_score = scored.groupBy(group, score).agg(
+        F.sum(F.col(label).cast("long")).alias("tp"),
+        F.sum((F.lit(1) - F.col(label)).cast("long")).alias("fp"),
+    )
+    seq = with_prefix_sums(by_score, [F.col(group).asc(), F.col(score).desc()], ["tp", "fp"], position="_r")
+    before = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
+    totals = by_score.groupBy(group).agg(F.sum("tp").alias("_P"), F.sum("fp").alias("_N"))
+    offsets = F.broadcast(totals.select(
+        group, "_P", "_N", F.coalesce(F.sum("_P").over(before), F.lit(0)).alias("_off_tp"),
+    ))
+    within = F.col("cum_tp") - F.col("_off_tp")
+    return seq.join(offsets, group).groupBy(group).agg(
+        F.try_divide(F.sum(F.col("fp") * (within - F.col("tp") / F.lit(2.0))),
+                     F.first("_P").cast("double") * F.first("_N")).alias("roc_auc")
+    )
+
+
 def ranked(scored: DataFrame, key: str = S.KEY, score: str = "score") -> DataFrame:
     """Rows with ``rank``: 1 = highest score, ties by ascending key."""
     return with_position(scored, [F.col(score).desc(), F.col(key).asc()], name="rank")

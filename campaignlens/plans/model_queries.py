@@ -120,6 +120,13 @@ def select_features(spark, sf_dir):
     return model.select_features(_frame(spark, sf_dir, feats), feats)
 
 
+@register("permutation_importance", note="AUC drop per permuted input on the test fold; rows-only")
+def permutation_importance(spark, sf_dir):
+    fitted = _fit_once(spark, sf_dir, "rf", S.SELECTED_FEATURES, model.forest)
+    test = _frame(spark, sf_dir, S.SELECTED_FEATURES).where(F.col("fold") == 0)
+    return model.permutation_importance(fitted, test, S.SELECTED_FEATURES)
+
+
 @register("tune", note="grid search, cross-validated on training folds; rows-only")
 def tune(spark, sf_dir):
     frame = _frame(spark, sf_dir, S.SELECTED_FEATURES)
