@@ -1,0 +1,11 @@
+"""Streaming.
+
+The reference processes whole tables in scheduled batches: it has no
+stream source, watermark, window or state, so no streaming operator is
+built here.  The row-level stages are stateless projections and apply to a
+streaming DataFrame as they are, provided the global inputs are fixed
+values fitted on a batch: ``clean.process_core(stream, median_value=m)``
+(the median of a batch run), ``scoring.with_rule_score`` and a fitted
+``PipelineModel.transform``.  Aggregating stages (usage, interactions,
+folds, metrics) need whole tables and stay batch jobs.
+"""

@@ -104,3 +104,17 @@ def test_budget_matrix_without_positives(spark):
     df = frame(spark, np.zeros(20, int), np.linspace(0, 1, 20))
     m = {r.actual: (r.pred_0, r.pred_1) for r in evaluate.confusion_at_budget(df, 0.1).collect()}
     assert m == {0: (18, 2), 1: (0, 0)}
+
+
+def test_grouped_auc_equals_per_group(spark):
+    rnd = np.random.default_rng(11)
+    rows = []
+    for g in ("a", "b", "c"):
+        s = np.round(rnd.random(200), 1)
+        y = (rnd.random(200) < 0.3).astype(int)
+        rows += [(g, int(i), int(a), float(b)) for i, (a, b) in enumerate(zip(y, s))]
+    df = spark.createDataFrame(rows, "g string, rating_account_id long, has_done_upselling int, score double")
+    got = {r.g: r.roc_auc for r in evaluate.roc_auc_by(df, "g").collect()}
+    for g in ("a", "b", "c"):
+        want = evaluate.roc_auc(df.where(df.g == g)).first().roc_auc
+        assert got[g] == pytest.approx(want, abs=1e-12)
