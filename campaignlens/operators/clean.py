@@ -27,22 +27,29 @@ BUCKET_COLUMNS = [
     "age_bucket",
 ]
 ONE_HOT_SOURCES = BUCKET_COLUMNS + ["smartphone_brand"]
+SMALL_DOMAIN = 10_000
 
 
 def median_of(df: DataFrame, c: Column, method: str = "exact") -> Column:
     """Global median of ``c`` as a scalar-subquery column.
 
-    ``exact`` interpolates between the two middle values and is computed
-    with the distributed order statistics of ``profile.exact_quantiles``
-    (distinct values counted, then ranked), so no task holds the whole value
-    distribution.  ``builtin`` is Spark's ``median`` (one value->count map
+    ``exact`` interpolates between the two middle values.  Distinct values
+    are counted first; when there are at most ``SMALL_DOMAIN`` of them (a
+    checked bound) one weighted percentile over that small frame gives the
+    answer, otherwise the distributed order statistics of
+    ``profile.exact_quantiles`` do, so no task holds a large distribution.  ``builtin`` is Spark's ``median`` (one value->count map
     merged in one task: fine for a handful of distinct values).  ``approx``
     is the percentile sketch.
     """
     if method == "exact":
         from campaignlens.operators.profile import exact_quantiles
 
-        long = df.select(F.lit("m").alias("column_name"), c.alias("value")).where(F.col("value").isNotNull())
+        values = df.select(c.alias("value")).where(F.col("value").isNotNull())
+        distinct = values.groupBy("value").agg(F.count(F.lit(1)).alias("c"))
+        if distinct.limit(SMALL_DOMAIN + 1).count() <= SMALL_DOMAIN:
+            # Proven small domain: one weighted exact percentile over <= SMALL_DOMAIN rows.
+            return distinct.select(F.percentile("value", 0.5, F.col("c"))).scalar()
+        long = values.select(F.lit("m").alias("column_name"), "value")
         return exact_quantiles(long, [0.5]).select("q0").scalar()
     if method == "builtin":
         agg = F.median(c)

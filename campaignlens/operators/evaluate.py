@@ -249,7 +249,11 @@ def base_rate(scored: DataFrame, label: str = S.LABEL) -> DataFrame:
 
 
 def eval_report(scored: DataFrame, label: str = S.LABEL, key: str = S.KEY, score: str = "score") -> DataFrame:
-    """All headline metrics in long form ``(metric, value)``."""
+    """All headline metrics in long form ``(metric, value)``.
+
+    The scored frame feeds seven metrics, so it is persisted once.
+    """
+    scored = scored.persist()
     def kv(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
         return df.select(
             F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(c).cast("double").alias("value"))

@@ -1,13 +1,15 @@
-"""n:1 left join that keeps hot keys out of the shuffle.
+"""n:1 left join that spreads hot keys over several reducers (salting).
 
-The right side is unique on the key (one row per customer), the left side
+The right side is unique on the key (one row per customer); the left side
 may hold a third of its rows under one key.  Keys whose left count exceeds
-a share of the rows are found with one partially aggregated count; there
-can be at most ``1 / share`` of them, and at most ``max_hot`` are kept, so
-the hot list and the matching right rows have a proven size bound and are
-broadcast.  Hot left rows join map-side against that broadcast; the rest
-take the ordinary shuffle join, whose partitions are then balanced.  Every
-key is handled by exactly one branch, so the result is the plain left join.
+a share of the rows are found with one partially aggregated count over the
+key column alone; there can be at most ``1 / share`` of them and at most
+``max_hot`` are kept, so the list has a proven size bound and is broadcast.
+Left rows of a hot key get a salt from a hash of the row (``salt_buckets``
+values), the right row of a hot key is repeated once per salt, and the join
+runs on ``(key, salt)``: one shuffle, the left side evaluated once, a hot
+key split over ``salt_buckets`` reducers.  Cold keys keep salt 0.  Every
+row meets exactly its own right row, so the result is the plain left join.
 """
 
 from __future__ import annotations
@@ -25,15 +27,18 @@ def hot_keys(left: DataFrame, key: str, share: float = 0.001, min_rows: int = 10
     return counts.where(F.col("_c") > bar).orderBy(F.col("_c").desc()).limit(max_hot).select(key)
 
 
-def hot_key_left_join(left: DataFrame, right: DataFrame, key: str, share: float = 0.001,
-                      min_rows: int = 100_000, max_hot: int = 1000) -> DataFrame:
-    """``left.join(right, key, "left")`` with hot keys joined map-side.
+def hot_key_left_join(left: DataFrame, right: DataFrame, key: str, salt_buckets: int = 64,
+                      share: float = 0.001, min_rows: int = 100_000, max_hot: int = 1000) -> DataFrame:
+    """``left.join(right, key, "left")`` with hot keys salted over ``salt_buckets``.
 
     ``right`` must be unique on ``key``.  Columns come out as the plain
     join's: the key, then the left columns, then the right columns.
     """
-    hot = F.broadcast(hot_keys(left, key, share, min_rows, max_hot))
-    right_hot = F.broadcast(right.join(hot, key, "left_semi"))
-    left_hot = left.join(hot, key, "left_semi")
-    left_cold = left.join(hot, key, "left_anti")
-    return left_hot.join(right_hot, key, "left").unionByName(left_cold.join(right, key, "left"))
+    hot = F.broadcast(hot_keys(left, key, share, min_rows, max_hot).withColumn("_hot", F.lit(True)))
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
+    salted_left = left.join(hot, key, "left").withColumn(
+        "_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(salt_buckets))).otherwise(F.lit(0)).cast("int")
+    ).drop("_hot")
+    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0)))
+    salted_right = right.join(hot, key, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
+    return salted_left.join(salted_right, [key, "_salt"], "left").drop("_salt")

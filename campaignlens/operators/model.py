@@ -35,6 +35,25 @@ def model_frame(df: DataFrame, features: Sequence[str], label: str = S.LABEL) ->
     return base
 
 
+def spread(df: DataFrame, key: str = S.KEY) -> DataFrame:
+    """Cached frame with at least the cluster's default parallelism in partitions.
+
+    Iterative learners pass over their input many times, one task per
+    partition; a small feature table can arrive in one partition (broadcast
+    joins over a single split), which would serialise every pass.  Large
+    inputs already have enough partitions and are left as they are.
+    """
+    cached = df.cache()
+    target = df.sparkSession.sparkContext.defaultParallelism
+    cached.count()
+    if cached.rdd.getNumPartitions() >= target:
+        return cached
+    spread_out = df.repartition(target, key).cache()
+    spread_out.count()
+    cached.unpersist()
+    return spread_out
+
+
 def assembler(features: Sequence[str], output: str = "features") -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=output, handleInvalid="keep")
 

@@ -22,7 +22,7 @@ def _frame(spark, sf_dir, features):
     """The modelling frame, cached once per session (it feeds several fits)."""
     key = (id(spark), sf_dir, tuple(features))
     if key not in _FRAMES:
-        _FRAMES[key] = flow.modelling_frame(spark, sf_dir, features).cache()
+        _FRAMES[key] = model.spread(flow.modelling_frame(spark, sf_dir, features))
     return _FRAMES[key]
 
 

@@ -1,4 +1,4 @@
-"""Hot-key left join equals the plain left join and takes the map-side path."""
+"""Salted hot-key left join equals the plain left join."""
 
 from campaignlens.operators.joins import hot_key_left_join, hot_keys
 
@@ -15,5 +15,11 @@ def test_hot_key_join_matches_plain_join(spark):
     want = left.join(right, "customer_id", "left")
     assert got.columns == want.columns
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
+    # Forced shuffle join: the hot key must be spread over several reducers.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain = hot_key_left_join(left, right, "customer_id", salt_buckets=8, share=0.1, min_rows=10)
+        assert plain.exceptAll(want).count() == 0 and want.exceptAll(plain).count() == 0
+        assert "xxhash64" in plain._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
