@@ -30,7 +30,7 @@ ONE_HOT_SOURCES = BUCKET_COLUMNS + ["smartphone_brand"]
 SMALL_DOMAIN = 10_000
 
 
-def median_of(df: DataFrame, c: Column, method: str = "exact") -> Column:
+def median_of(df: DataFrame, c: Column, method: str = "exact", small_domain: int = SMALL_DOMAIN) -> Column:
     """Global median of ``c`` as a scalar-subquery column.
 
     ``exact`` interpolates between the two middle values.  Distinct values
@@ -46,8 +46,8 @@ def median_of(df: DataFrame, c: Column, method: str = "exact") -> Column:
 
         values = df.select(c.alias("value")).where(F.col("value").isNotNull())
         distinct = values.groupBy("value").agg(F.count(F.lit(1)).alias("c"))
-        if distinct.limit(SMALL_DOMAIN + 1).count() <= SMALL_DOMAIN:
-            # Proven small domain: one weighted exact percentile over <= SMALL_DOMAIN rows.
+        if distinct.limit(small_domain + 1).count() <= small_domain:
+            # Proven small domain: one weighted exact percentile over <= small_domain rows.
             return distinct.select(F.percentile("value", 0.5, F.col("c"))).scalar()
         long = values.select(F.lit("m").alias("column_name"), "value")
         return exact_quantiles(long, [0.5]).select("q0").scalar()

@@ -76,3 +76,6 @@ def test_median_is_exact_and_interpolated(spark):
     gb = coerce_numeric("available_gb")
     got = df.select(clean.median_of(df, gb).alias("m")).first().m
     assert got == 15.0
+    # The distributed path (domain above the bound) gives the same value.
+    got = df.select(clean.median_of(df, gb, small_domain=2).alias("m")).first().m
+    assert got == 15.0
