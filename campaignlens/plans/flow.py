@@ -66,3 +66,56 @@ def modelling_frame(spark: SparkSession, sf_dir: str, feature_names: Sequence[st
 
     with_folds = split.attach_folds(merged(spark, sf_dir, fill=True), folds(spark, sf_dir))
     return model.model_frame(with_folds, feature_names)
+
+
+STAGES = [
+    "processed_core_data",
+    "agg_processed_usage_info",
+    "agg_processed_customer_interactions",
+    "processed_and_merged_data",
+    "split",
+    "predictions",
+    "eval_report",
+]
+
+
+def materialize(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
+                scorer: str = "rule", num_trees: int = S.RF_PARAMS["num_trees"]) -> dict[str, str]:
+    """Run the stage graph and write every stage as Parquet under ``out_dir``.
+
+    Each stage is written and read back before the next one uses it, so
+    lineage is cut at stage boundaries: a lost executor recomputes only the
+    stage in flight, from the stored inputs.  ``out_dir`` defaults to a
+    folder under the shared stage root.  ``scorer`` is ``rule`` (transparent
+    score) or ``forest``.  Returns the path of every stage.
+    """
+    import uuid
+
+    from campaignlens.operators import evaluate, model
+    from campaignlens.sources.sinks import stage_root, write_stage
+
+    out = (out_dir or f"{stage_root(spark)}/run-{uuid.uuid4().hex}").rstrip("/")
+    paths = {name: f"{out}/{name}" for name in STAGES}
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        write_stage(df, paths[name])
+        return spark.read.parquet(paths[name])
+
+    ins = inputs(spark, sf_dir)
+    pc = store("processed_core_data", clean.process_core(ins.core))
+    usage = store("agg_processed_usage_info", features.usage_features(ins.usage, ins.usage_ties))
+    inter = store("agg_processed_customer_interactions", features.interaction_features(ins.interactions))
+    merged_df = store("processed_and_merged_data", features.merge_features(pc, usage, inter))
+    with_folds = store("split", split.assign_folds(merged_df))
+    test = with_folds.where(F.col("fold") == 0)
+    if scorer == "rule":
+        scored_test = scoring.with_rule_score(test).select(S.KEY, S.LABEL, "score")
+    elif scorer == "forest":
+        frame = model.spread(model.model_frame(with_folds, S.SELECTED_FEATURES))
+        fitted = model.fit(frame.where(F.col("fold") != 0), S.SELECTED_FEATURES, model.forest(num_trees=num_trees))
+        scored_test = model.scores(fitted, frame.where(F.col("fold") == 0))
+    else:
+        raise ValueError(scorer)
+    preds = store("predictions", scored_test)
+    store("eval_report", evaluate.eval_report(preds))
+    return paths
