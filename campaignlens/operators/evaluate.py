@@ -27,20 +27,29 @@ def score_curve(scored: DataFrame, label: str = S.LABEL, score: str = "score") -
     return with_prefix_sums(by_score, [F.col(score).desc()], ["tp", "fp"], position="score_rank")
 
 
+def _ap_expr() -> Column:
+    prec = F.col("cum_tp") / (F.col("cum_tp") + F.col("cum_fp"))
+    return F.try_divide(F.sum(F.col("tp") * prec), F.sum("tp")).alias("average_precision")
+
+
+def _auc_expr() -> Column:
+    above = F.col("cum_tp") - F.col("tp") / F.lit(2.0)
+    return F.try_divide(F.sum(F.col("fp") * above), F.sum("tp").cast("double") * F.sum("fp")).alias("roc_auc")
+
+
 def average_precision(scored: DataFrame, label: str = S.LABEL, score: str = "score") -> DataFrame:
     """Step-wise average precision: sum over thresholds of delta-recall x precision."""
-    curve = score_curve(scored, label, score)
-    prec = F.col("cum_tp") / (F.col("cum_tp") + F.col("cum_fp"))
-    return curve.agg(F.try_divide(F.sum(F.col("tp") * prec), F.sum("tp")).alias("average_precision"))
+    return score_curve(scored, label, score).agg(_ap_expr())
 
 
 def roc_auc(scored: DataFrame, label: str = S.LABEL, score: str = "score") -> DataFrame:
     """Area under the ROC curve with ties counted half (trapezoid on the curve)."""
-    curve = score_curve(scored, label, score)
-    above = F.col("cum_tp") - F.col("tp") / F.lit(2.0)
-    return curve.agg(
-        F.try_divide(F.sum(F.col("fp") * above), F.sum("tp").cast("double") * F.sum("fp")).alias("roc_auc")
-    )
+    return score_curve(scored, label, score).agg(_auc_expr())
+
+
+def curve_metrics(scored: DataFrame, label: str = S.LABEL, score: str = "score") -> DataFrame:
+    """``average_precision`` and ``roc_auc`` from one distinct-score curve (one ordering pass)."""
+    return score_curve(scored, label, score).agg(_ap_expr(), _auc_expr())
 
 
 def roc_auc_by(scored: DataFrame, group: str, label: str = S.LABEL, score: str = "score") -> DataFrame:
@@ -78,6 +87,14 @@ def _counts(r: DataFrame, label: str) -> tuple[int, int]:
     return int(row.n), int(row.pos)
 
 
+def rank_once(scored: DataFrame, label: str = S.LABEL, key: str = S.KEY,
+              score: str = "score") -> tuple[DataFrame, int, int]:
+    """The ranked (checkpointed) frame with its row and positive counts."""
+    r = ranked(scored, key, score)
+    n, pos = _counts(r, label)
+    return r, n, pos
+
+
 def k_of(n: int, fraction: float, rule: str = "round") -> int:
     """Budget size: ``max(1, round(fraction * n))`` (half-even) or the floor rule."""
     if rule == "round":
@@ -94,10 +111,14 @@ def precision_at_k(
     label: str = S.LABEL,
     key: str = S.KEY,
     score: str = "score",
+    ranking: tuple[DataFrame, int, int] | None = None,
 ) -> DataFrame:
-    """``k_frac, k_n, tp, precision_at_k, recall_at_k, lift_at_k`` per fraction."""
-    r = ranked(scored, key, score)
-    n, pos = _counts(r, label)
+    """``k_frac, k_n, tp, precision_at_k, recall_at_k, lift_at_k`` per fraction.
+
+    ``ranking`` is an already ranked frame with its row and positive
+    counts (from ``rank_once``), shared by several top-k metrics.
+    """
+    r, n, pos = ranking or rank_once(scored, label, key, score)
     ks = [k_of(n, f, rule) for f in fractions]
     agg = r.agg(
         *[F.coalesce(F.sum(F.when(F.col("rank") <= k, F.col(label))), F.lit(0)).cast("long").alias(f"tp{i}")
@@ -132,15 +153,14 @@ def _matrix(tn: Column, fp: Column, fn: Column, tp: Column) -> Column:
 
 def confusion_at_budget(
     scored: DataFrame, fraction: float = S.BUDGET_FRACTION, label: str = S.LABEL,
-    key: str = S.KEY, score: str = "score",
+    key: str = S.KEY, score: str = "score", ranking: tuple[DataFrame, int, int] | None = None,
 ) -> DataFrame:
     """Matrix when the top ``fraction`` of contracts is contacted.
 
     Uses the true positive count (the reference floors it at 1, which
     shifts fn/tn by one when the fold holds no positive).
     """
-    r = ranked(scored, key, score)
-    n, pos = _counts(r, label)
+    r, n, pos = ranking or rank_once(scored, label, key, score)
     k = k_of(n, fraction)
     agg = r.agg(F.coalesce(F.sum(F.when(F.col("rank") <= k, F.col(label))), F.lit(0)).cast("long").alias("tp"))
     tp = F.col("tp")
@@ -251,9 +271,12 @@ def base_rate(scored: DataFrame, label: str = S.LABEL) -> DataFrame:
 def eval_report(scored: DataFrame, label: str = S.LABEL, key: str = S.KEY, score: str = "score") -> DataFrame:
     """All headline metrics in long form ``(metric, value)``.
 
-    The scored frame feeds seven metrics, so it is persisted once.
+    The scored frame feeds every metric, so it is persisted once.  AP and
+    ROC AUC come from one score curve, and the top-k metrics and the budget
+    matrix from one ranking: two distributed orderings in all.
     """
     scored = scored.persist()
+    ranking = rank_once(scored, label, key, score)
     def kv(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
         return df.select(
             F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(c).cast("double").alias("value"))
@@ -262,10 +285,9 @@ def eval_report(scored: DataFrame, label: str = S.LABEL, key: str = S.KEY, score
 
     parts = [
         kv(base_rate(scored, label), [("BaselinePosRate", "pos_rate")]),
-        kv(average_precision(scored, label, score), [("PR_AUC", "average_precision")]),
-        kv(roc_auc(scored, label, score), [("ROC_AUC", "roc_auc")]),
+        kv(curve_metrics(scored, label, score), [("PR_AUC", "average_precision"), ("ROC_AUC", "roc_auc")]),
     ]
-    pk = precision_at_k(scored, label=label, key=key, score=score)
+    pk = precision_at_k(scored, label=label, key=key, score=score, ranking=ranking)
     pct = F.concat((F.round(F.col("k_frac") * 100)).cast("int").cast("string"), F.lit("%"))
     parts.append(
         pk.select(
@@ -279,7 +301,7 @@ def eval_report(scored: DataFrame, label: str = S.LABEL, key: str = S.KEY, score
         )
     )
     for name, m in (
-        ("ConfusionMatrix@10%", confusion_at_budget(scored, label=label, key=key, score=score)),
+        ("ConfusionMatrix@10%", confusion_at_budget(scored, label=label, key=key, score=score, ranking=ranking)),
         ("ConfusionMatrix@Threshold", confusion_at_threshold(scored, label=label, score=score)),
     ):
         parts.append(
