@@ -87,7 +87,8 @@ def exact_quantiles(long: DataFrame, quantiles: Sequence[float]) -> DataFrame:
     """
     dv = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("c"))
     seq = with_prefix_sums(dv, [F.col("column_name").asc(), F.col("value").asc()], ["c"], position="_p")
-    per_col = dv.groupBy("column_name").agg(F.sum("c").alias("_n"))
+    # Totals from the stored sequence, not by recomputing the input.
+    per_col = seq.groupBy("column_name").agg(F.sum("c").alias("_n"))
     before = Window.orderBy("column_name").rowsBetween(Window.unboundedPreceding, -1)
     wanted_cols = [F.col("column_name"), F.col("_n")]
     for i, q in enumerate(quantiles):
@@ -230,33 +231,57 @@ def population_stability(
     categorical: Sequence[str],
     bins: int = 10,
     eps: float = 1e-6,
+) -> DataFrame:
+    """PSI per feature between two samples (see ``population_stability_by``)."""
+    both = expected.select(*numeric, *categorical, F.lit("e").alias("_side")).unionByName(
+        actual.select(*numeric, *categorical, F.lit("a").alias("_side"))
+    )
+    return population_stability_by(both, F.col("_side") == "a", numeric, categorical, bins, eps)
+
+
+def population_stability_by(
+    df: DataFrame,
+    is_actual: Column,
+    numeric: Sequence[str],
+    categorical: Sequence[str],
+    bins: int = 10,
+    eps: float = 1e-6,
 ) -> DataFrame:
     """PSI per feature: sum over bins of ``(a - e) * ln(a / e)`` on shares.
 
-    Numeric features use equal-width bins over the range of both samples;
-    categorical features use their values.  Shares are floored at ``eps``.
+    One frame holds both samples; ``is_actual`` tells the rows of the
+    actual sample (true) from the expected one (false; null counts as
+    expected).  Numeric features use equal-width bins over the range of
+    both samples; categorical features use their values.  Shares are
+    floored at ``eps``.  All features are reshaped by one ``explode``; the
+    input is read twice (the numeric ranges, then the bins).
     """
-    both = expected.select(*numeric, *categorical, F.lit("e").alias("_side")).unionByName(
-        actual.select(*numeric, *categorical, F.lit("a").alias("_side"))
+    side = F.when(F.coalesce(is_actual, F.lit(False)), F.lit("a")).otherwise(F.lit("e"))
+    numeric, categorical = list(numeric), list(categorical)
+    pairs = [
+        F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("double").alias("x"),
+                 F.lit(None).cast("string").alias("s"))
+        for c in numeric
+    ] + [
+        F.struct(F.lit(c).alias("column_name"), F.lit(None).cast("double").alias("x"),
+                 F.col(f"`{c}`").cast("string").alias("s"))
+        for c in categorical
+    ]
+    long = (
+        df.select(F.explode(F.array(*pairs)).alias("_p"), side.alias("_side"))
+        .select("_p.*", "_side")
+        .where(F.col("s").isNotNull() | (F.col("x").isNotNull() & ~F.isnan("x")))
+    )
+    rng = long.where(F.col("x").isNotNull()).groupBy("column_name").agg(
+        F.min("x").alias("lo"), F.max("x").alias("hi")
     )
-    parts = []
-    if numeric:
-        longn = long_values(both, numeric, "double", extra=["_side"]).where(
-            F.col("value").isNotNull() & ~F.isnan("value")
-        )
-        rng = longn.groupBy("column_name").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-        b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
-            F.least(F.floor((F.col("value") - F.col("lo")) * (F.lit(float(bins)) / (F.col("hi") - F.col("lo")))),
-                    F.lit(bins - 1))
-        ).cast("string")
-        # One row per numeric feature: broadcast.
-        parts.append(longn.join(F.broadcast(rng), "column_name").select("column_name", b.alias("bucket"), "_side"))
-    if categorical:
-        longc = long_values(both, categorical, extra=["_side"]).where(F.col("value").isNotNull())
-        parts.append(longc.select("column_name", F.col("value").alias("bucket"), "_side"))
-    binned = parts[0]
-    for p in parts[1:]:
-        binned = binned.unionByName(p)
+    numeric_bucket = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
+        F.least(F.floor((F.col("x") - F.col("lo")) * (F.lit(float(bins)) / (F.col("hi") - F.col("lo")))),
+                F.lit(bins - 1))
+    ).cast("string")
+    bucket = F.when(F.col("x").isNotNull(), numeric_bucket).otherwise(F.col("s"))
+    # One row per numeric feature: a bounded frame, broadcast.
+    binned = long.join(F.broadcast(rng), "column_name", "left").select("column_name", bucket.alias("bucket"), "_side")
     counts = binned.groupBy("column_name", "bucket").agg(
         F.count_if(F.col("_side") == "e").alias("ne"), F.count_if(F.col("_side") == "a").alias("na")
     )

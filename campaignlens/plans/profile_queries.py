@@ -308,9 +308,9 @@ _PSI_CTES_BODY = _psi_sql()
 )
 def drift_psi(spark, sf_dir):
     pcf = split.attach_folds(flow.processed_core(spark, sf_dir), flow.folds(spark, sf_dir))
-    train = pcf.where(~F.coalesce(F.col("fold") == 0, F.lit(False)))
-    test = pcf.where(F.col("fold") == 0)
-    return round_doubles(profile.population_stability(train, test, PSI_NUMERIC, PSI_CATEGORICAL))
+    return round_doubles(
+        profile.population_stability_by(pcf, F.col("fold") == 0, PSI_NUMERIC, PSI_CATEGORICAL)
+    )
 
 
 # -- label history ---------------------------------------------------------------------------
