@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from campaignlens import schemas as S
 from campaignlens.functions import contains_pattern, ratio_fill_zero
-from campaignlens.operators.joins import hot_key_left_join
+from campaignlens.operators.joins import hot_key_left_join, hot_keys
 
 USAGE_OUTPUT = [
     "rating_account_id",
@@ -142,24 +142,36 @@ def interaction_features(
     )
 
 
-def merge_features(core: DataFrame, usage_agg: DataFrame, interaction_agg: DataFrame) -> DataFrame:
+def merge_features(core: DataFrame, usage_agg: DataFrame | None, interaction_agg: DataFrame | None) -> DataFrame:
     """Contracts left-joined with usage (1:1) and interactions (n:1).
 
     Both right sides are unique on their key.  The account join is 1:1 and
     left to Spark (broadcast when AQE measures a side under the threshold,
-    else sort-merge).  The customer join is n:1, so customers with very many
-    contracts are joined map-side against a bounded broadcast and only the
-    remaining keys are shuffled (``joins.hot_key_left_join``).
+    else sort-merge).  The customer join is n:1, so the rows of customers
+    with very many contracts are salted and spread over several reducers
+    (``joins.hot_key_left_join``).  The hot customers are counted on
+    ``core`` alone: the account join is 1:1, so the counts are the same, and
+    the count pass does not recompute the usage aggregate.  A side passed as
+    ``None`` is left out (its columns are not needed downstream).
     """
-    u_cols = [c for c in usage_agg.columns if c != S.KEY]
-    i_cols = [c for c in interaction_agg.columns if c != S.CUSTOMER]
-    with_usage = core.join(usage_agg, on=S.KEY, how="left")
-    joined = hot_key_left_join(with_usage, interaction_agg, S.CUSTOMER)
-    return joined.select(*[F.col(f"`{c}`") for c in core.columns + u_cols + i_cols])
+    out = core
+    cols = list(core.columns)
+    if usage_agg is not None:
+        out = out.join(usage_agg, on=S.KEY, how="left")
+        cols += [c for c in usage_agg.columns if c != S.KEY]
+    if interaction_agg is not None:
+        out = hot_key_left_join(out, interaction_agg, S.CUSTOMER, hot=hot_keys(core, S.CUSTOMER))
+        cols += [c for c in interaction_agg.columns if c != S.CUSTOMER]
+    return out.select(*[F.col(f"`{c}`") for c in cols])
 
 
 def fill_interactions(merged: DataFrame, recency_fill: int = S.RECENCY_FILL) -> DataFrame:
-    """Notebook fills after the merge: counts -> 0, recency -> 999, as ints."""
-    fills = {c: F.coalesce(F.col(c), F.lit(0)).cast("int") for c in S.INTERACTION_COUNT_COLUMNS}
-    fills["recency"] = F.coalesce(F.col("recency"), F.lit(recency_fill)).cast("int")
+    """Notebook fills after the merge: counts -> 0, recency -> 999, as ints.
+
+    Only the interaction columns present are filled.
+    """
+    fills = {c: F.coalesce(F.col(c), F.lit(0)).cast("int") for c in S.INTERACTION_COUNT_COLUMNS
+             if c in merged.columns}
+    if "recency" in merged.columns:
+        fills["recency"] = F.coalesce(F.col("recency"), F.lit(recency_fill)).cast("int")
     return merged.withColumns(fills)

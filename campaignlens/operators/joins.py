@@ -18,23 +18,49 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def hot_keys_from_counts(counts: DataFrame, key: str, count_col: str, share: float = 0.001,
+                         min_rows: int = 100_000, max_hot: int = 1000) -> DataFrame:
+    """Hot keys from a per-key count table (one row per key).
+
+    Callers that already hold per-key row counts (the fold table has one row
+    per customer with its contract count) pass them here instead of counting
+    the left side again.
+    """
+    counts = counts.where(F.col(key).isNotNull())
+    total = counts.select(F.sum(count_col)).scalar()
+    bar = F.greatest(F.lit(min_rows), (total * F.lit(share)).cast("long"))
+    # A total order (count, then key): both uses of the list in the join see the same keys.
+    return (
+        counts.where(F.col(count_col) > bar)
+        .orderBy(F.col(count_col).desc(), F.col(key).asc())
+        .limit(max_hot)
+        .select(key)
+    )
+
+
 def hot_keys(left: DataFrame, key: str, share: float = 0.001, min_rows: int = 100_000,
              max_hot: int = 1000) -> DataFrame:
     """Keys holding more than ``max(min_rows, share * rows)`` left rows, at most ``max_hot``."""
-    counts = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_c"))
-    total = left.select(F.count(F.lit(1))).scalar()
-    bar = F.greatest(F.lit(min_rows), (total * F.lit(share)).cast("long"))
-    return counts.where(F.col("_c") > bar).orderBy(F.col("_c").desc()).limit(max_hot).select(key)
+    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("_c"))
+    return hot_keys_from_counts(counts, key, "_c", share, min_rows, max_hot)
 
 
 def hot_key_left_join(left: DataFrame, right: DataFrame, key: str, salt_buckets: int = 64,
-                      share: float = 0.001, min_rows: int = 100_000, max_hot: int = 1000) -> DataFrame:
+                      share: float = 0.001, min_rows: int = 100_000, max_hot: int = 1000,
+                      hot: DataFrame | None = None) -> DataFrame:
     """``left.join(right, key, "left")`` with hot keys salted over ``salt_buckets``.
 
     ``right`` must be unique on ``key``.  Columns come out as the plain
     join's: the key, then the left columns, then the right columns.
+    ``hot`` is an optional hot-key list from ``hot_keys`` or
+    ``hot_keys_from_counts`` (bounded by their ``max_hot``) computed from a
+    cheaper source than ``left`` itself, for example the base table ``left``
+    was derived from by 1:1 joins.  Any key list gives the same rows; the
+    list only decides which keys are spread.
     """
-    hot = F.broadcast(hot_keys(left, key, share, min_rows, max_hot).withColumn("_hot", F.lit(True)))
+    if hot is None:
+        hot = hot_keys(left, key, share, min_rows, max_hot)
+    hot = F.broadcast(hot.select(key).withColumn("_hot", F.lit(True)))
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
     salted_left = left.join(hot, key, "left").withColumn(
         "_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(salt_buckets))).otherwise(F.lit(0)).cast("int")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from campaignlens import schemas as S
-from campaignlens.operators.joins import hot_key_left_join
+from campaignlens.operators.joins import hot_key_left_join, hot_keys_from_counts
 from campaignlens.operators.rank import with_position
 
 
@@ -53,13 +53,18 @@ def assign_folds(
     The fold table has one row per group and is joined back on the group
     key (n:1, the same shape as the interaction merge).
     """
-    folds = customer_folds(df, k, seed, group, label).select(group, "fold")
-    return attach_folds(df, folds, group)
+    return attach_folds(df, customer_folds(df, k, seed, group, label), group)
 
 
 def attach_folds(df: DataFrame, folds: DataFrame, group: str = S.CUSTOMER) -> DataFrame:
-    """Join the per-group fold table back (n:1, hot groups joined map-side)."""
-    return hot_key_left_join(df, folds.select(group, "fold"), group)
+    """Join the per-group fold table back (n:1, hot groups salted).
+
+    When the fold table carries its per-group row count (``n_rows``, as
+    ``customer_folds`` returns it), the hot groups are read from it instead
+    of counting ``df`` again.
+    """
+    hot = hot_keys_from_counts(folds, group, "n_rows") if "n_rows" in folds.columns else None
+    return hot_key_left_join(df, folds.select(group, "fold"), group, hot=hot)
 
 
 def train_test(df_with_fold: DataFrame, test_fold: int = 0) -> dict[str, DataFrame]:

@@ -34,13 +34,24 @@ def interaction_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.interaction_features(inputs(spark, sf_dir).interactions)
 
 
-def merged(spark: SparkSession, sf_dir: str, fill: bool = False) -> DataFrame:
+def merged(spark: SparkSession, sf_dir: str, fill: bool = False,
+           columns: Sequence[str] | None = None) -> DataFrame:
+    """The merged feature table.
+
+    With ``columns`` given, a side whose columns are not among them is not
+    joined at all (Catalyst does not remove the salted customer join by
+    itself), so a model on contract features alone never reads usage rows.
+    """
     ins = inputs(spark, sf_dir)
-    out = features.merge_features(
-        clean.process_core(ins.core),
-        features.usage_features(ins.usage, ins.usage_ties),
-        features.interaction_features(ins.interactions),
-    )
+    wanted = set(columns) if columns is not None else None
+    usage = features.usage_features(ins.usage, ins.usage_ties)
+    inter = features.interaction_features(ins.interactions)
+    if wanted is not None:
+        if not wanted & (set(usage.columns) - {S.KEY}):
+            usage = None
+        if not wanted & (set(inter.columns) - {S.CUSTOMER}):
+            inter = None
+    out = features.merge_features(clean.process_core(ins.core), usage, inter)
     return features.fill_interactions(out) if fill else out
 
 
@@ -64,7 +75,7 @@ def modelling_frame(spark: SparkSession, sf_dir: str, feature_names: Sequence[st
     """Merged, filled features with the fold column, ready for assembly."""
     from campaignlens.operators import model
 
-    with_folds = split.attach_folds(merged(spark, sf_dir, fill=True), folds(spark, sf_dir))
+    with_folds = split.attach_folds(merged(spark, sf_dir, fill=True, columns=feature_names), folds(spark, sf_dir))
     return model.model_frame(with_folds, feature_names)
 
 
