@@ -54,3 +54,18 @@ def test_merge_keeps_rows_and_drops_orphan_interactions(spark):
     merged = flow.merged(spark, sf)
     core = flow.inputs(spark, sf).core
     assert merged.count() == core.count()
+
+
+def test_null_customer_key_keeps_its_row_unmatched(spark):
+    # T23: right sides have no null keys; a contract without customer keeps its row, no interactions.
+    core = spark.createDataFrame(
+        [(1, "a"), (2, None), (3, "a")], "rating_account_id long, customer_id string"
+    )
+    inter = spark.createDataFrame(
+        [("a", "prolongation", 2, 3)], "customer_id string, type_subtype string, n long, days_since_last int"
+    )
+    out = {r.rating_account_id: r for r in features.merge_features(
+        core, None, features.interaction_features(inter)).collect()}
+    assert set(out) == {1, 2, 3}
+    assert out[1].num_interactions == 2 and out[3].num_interactions == 2
+    assert out[2].num_interactions is None and out[2].recency is None

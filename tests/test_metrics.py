@@ -118,3 +118,18 @@ def test_grouped_auc_equals_per_group(spark):
     for g in ("a", "b", "c"):
         want = evaluate.roc_auc(df.where(df.g == g)).first().roc_auc
         assert got[g] == pytest.approx(want, abs=1e-12)
+
+
+def test_normalised_matrix_rounds_half_even(spark):
+    # 1/32 = 0.03125 and 31/32 = 0.96875 are exact binary ties at the 5th digit (T22).
+    m = spark.createDataFrame([(0, 1, 31), (1, 0, 0)], "actual int, pred_0 long, pred_1 long")
+    got = {r.actual: (r.pred_0, r.pred_1) for r in evaluate.normalise_rows(m).collect()}
+    assert got[0] == (0.0312, 0.9688)
+    assert got[1] == (None, None)
+
+
+def test_score_ties_rank_by_ascending_key(spark):
+    rows = [(30, 1, 0.5), (10, 0, 0.5), (20, 0, 0.9), (40, 1, 0.5)]
+    df = spark.createDataFrame(rows, "rating_account_id long, has_done_upselling int, score double")
+    got = [r.rating_account_id for r in evaluate.ranked(df).orderBy("rank").collect()]
+    assert got == [20, 10, 30, 40]
