@@ -34,23 +34,29 @@ def median_of(df: DataFrame, c: Column, method: str = "exact", small_domain: int
     """Global median of ``c`` as a scalar-subquery column.
 
     ``exact`` interpolates between the two middle values.  Distinct values
-    are counted first; when there are at most ``SMALL_DOMAIN`` of them (a
-    checked bound) one weighted percentile over that small frame gives the
-    answer, otherwise the distributed order statistics of
-    ``profile.exact_quantiles`` do, so no task holds a large distribution.  ``builtin`` is Spark's ``median`` (one value->count map
-    merged in one task: fine for a handful of distinct values).  ``approx``
-    is the percentile sketch.
+    are counted first in one pass and checkpointed; when there are at most
+    ``SMALL_DOMAIN`` of them (a checked bound) one weighted percentile over
+    that small frame gives the answer, otherwise the distributed order
+    statistics of ``profile.exact_quantiles_counted`` do, so no task holds a
+    large distribution.  Either way the returned scalar subquery reads the
+    stored counts, not the input.  ``builtin`` is Spark's ``median`` (one
+    value->count map merged in one task: fine for a handful of distinct
+    values).  ``approx`` is the percentile sketch.
     """
     if method == "exact":
-        from campaignlens.operators.profile import exact_quantiles
+        from campaignlens.operators.profile import exact_quantiles_counted
+        from campaignlens.session import ensure_checkpoint_dir
 
+        ensure_checkpoint_dir(df.sparkSession)
         values = df.select(c.alias("value")).where(F.col("value").isNotNull())
-        distinct = values.groupBy("value").agg(F.count(F.lit(1)).alias("c"))
+        # One pass over the input: distinct values with counts, stored, so the
+        # size check, the median and every query that embeds it read only this.
+        distinct = values.groupBy("value").agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True)
         if distinct.limit(small_domain + 1).count() <= small_domain:
             # Proven small domain: one weighted exact percentile over <= small_domain rows.
             return distinct.select(F.percentile("value", 0.5, F.col("c"))).scalar()
-        long = values.select(F.lit("m").alias("column_name"), "value")
-        return exact_quantiles(long, [0.5]).select("q0").scalar()
+        counted = distinct.select(F.lit("m").alias("column_name"), "value", "c")
+        return exact_quantiles_counted(counted, [0.5]).select("q0").scalar()
     if method == "builtin":
         agg = F.median(c)
     elif method == "approx":

@@ -86,6 +86,11 @@ def exact_quantiles(long: DataFrame, quantiles: Sequence[float]) -> DataFrame:
     first, so a value repeated on a third of the rows is one row here.
     """
     dv = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("c"))
+    return exact_quantiles_counted(dv, quantiles)
+
+
+def exact_quantiles_counted(dv: DataFrame, quantiles: Sequence[float]) -> DataFrame:
+    """``exact_quantiles`` over distinct values with counts ``(column_name, value, c)``."""
     seq = with_prefix_sums(dv, [F.col("column_name").asc(), F.col("value").asc()], ["c"], position="_p")
     # Totals from the stored sequence, not by recomputing the input.
     per_col = seq.groupBy("column_name").agg(F.sum("c").alias("_n"))
