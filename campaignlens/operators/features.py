@@ -39,10 +39,25 @@ def _period_order_key(month: Column, ties: Sequence[str]) -> Column:
     return F.struct(month.isNull().alias("_null"), month.alias("_m"), *[F.col(t) for t in ties])
 
 
+# Order key of a missing period when the key is a day number: after every date.
+_MISSING_PERIOD_DAY = 1 << 62
+
+
 def first_last_exprs(value: str, month: Column, ties: Sequence[str]) -> tuple[Column, Column]:
-    """First and last non-missing ``value`` in period order (two aggregates)."""
+    """First and last non-missing ``value`` in period order (two aggregates).
+
+    Without tie columns (one row per account and period, the production
+    table) the order key is the period's day number as a ``long``, missing
+    periods last: a fixed-width aggregation buffer, so Spark plans a hash
+    aggregate.  Tie columns need the struct key, which makes Spark fall back
+    to a sort-based aggregate (it spills and scales, but sorts each map
+    partition).
+    """
     v = F.col(value)
-    key = F.when(v.isNotNull(), _period_order_key(month, ties))
+    if ties:
+        key = F.when(v.isNotNull(), _period_order_key(month, ties))
+    else:
+        key = F.when(v.isNotNull(), F.coalesce(F.unix_date(month).cast("long"), F.lit(_MISSING_PERIOD_DAY)))
     return F.min_by(v, key), F.max_by(v, key)
 
 

@@ -69,3 +69,9 @@ def test_null_customer_key_keeps_its_row_unmatched(spark):
     assert set(out) == {1, 2, 3}
     assert out[1].num_interactions == 2 and out[3].num_interactions == 2
     assert out[2].num_interactions is None and out[2].recency is None
+
+
+def test_usage_without_ties_plans_a_hash_aggregate(spark):
+    rows = [(1, D(2024, 4, 1), 0, 1.0), (1, D(2024, 5, 1), 1, 4.0)]
+    plan = features.usage_features(usage_frame(spark, rows))._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
