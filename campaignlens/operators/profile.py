@@ -160,24 +160,46 @@ def describe_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
-    """Equal-width histogram between the column's min and max, all bins listed.
+    """Equal-width histogram of one column (see ``histograms``)."""
+    return histograms(df, [(column, bins)])
 
-    The maximum falls in the last bin; a constant column is widened by 0.5 on
-    both sides.  ``(column_name, bin, bin_lo, bin_hi, n)``.
+
+def histograms(df: DataFrame, specs: Sequence[tuple[str, int]]) -> DataFrame:
+    """Equal-width histograms of several columns of one frame, all bins listed.
+
+    Each histogram spans its column's min and max; the maximum falls in the
+    last bin; a constant column is widened by 0.5 on both sides.  All
+    columns are reshaped by one ``explode``, so the input is read twice (the
+    ranges, then the counts) whatever the number of columns.  Output:
+    ``(column_name, bin, bin_lo, bin_hi, n)``.
     """
-    x = F.col(f"`{column}`").cast("double")
-    vals = df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    rng = vals.agg(F.min("x").alias("mn"), F.max("x").alias("mx")).select(
-        F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo"),
-        F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi"),
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.lit(int(b)).alias("bins"),
+                 F.col(f"`{c}`").cast("double").alias("x"))
+        for c, b in specs
+    ]))
+    vals = df.select(pairs.alias("_p")).select("_p.*").where(F.col("x").isNotNull() & ~F.isnan("x"))
+    # One row per histogram: a bounded frame, broadcast into both uses.
+    rng = F.broadcast(
+        vals.groupBy("column_name")
+        .agg(F.min("x").alias("mn"), F.max("x").alias("mx"), F.max("bins").alias("bins"))
+        .select(
+            "column_name", "bins",
+            F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo"),
+            F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi"),
+        )
     )
-    lo, hi = rng.select("lo").scalar(), rng.select("hi").scalar()
-    idx = F.least(F.floor((F.col("x") - lo) * (F.lit(float(bins)) / (hi - lo))), F.lit(bins - 1)).cast("int")
-    counts = vals.groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    spine = rng.select(F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "lo", "hi")
-    width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    return spine.join(counts, "bin", "left").select(
-        F.lit(column).alias("column_name"),
+    nb = F.col("bins").cast("double")
+    idx = F.least(F.floor((F.col("x") - F.col("lo")) * (nb / (F.col("hi") - F.col("lo")))),
+                  F.col("bins") - 1).cast("int")
+    counts = vals.drop("bins").join(rng, "column_name").groupBy("column_name", idx.alias("bin")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    spine = rng.select("column_name", "lo", "hi", "bins",
+                       F.explode(F.sequence(F.lit(0), F.col("bins") - 1)).alias("bin"))
+    width = (F.col("hi") - F.col("lo")) / nb
+    return spine.join(counts, ["column_name", "bin"], "left").select(
+        "column_name",
         "bin",
         (F.col("lo") + F.col("bin") * width).alias("bin_lo"),
         (F.col("lo") + (F.col("bin") + 1) * width).alias("bin_hi"),

@@ -190,9 +190,10 @@ def histogram(spark, sf_dir):
         "usage": lambda: flow.usage_features(spark, sf_dir),
         "interactions": lambda: flow.interaction_features(spark, sf_dir),
     }
+    # One multi-column histogram per source frame (each source read twice).
     out = None
-    for s, c, b in HISTOGRAMS:
-        h = profile.histogram(src[s](), c, b)
+    for source in dict.fromkeys(s for s, _, _ in HISTOGRAMS):
+        h = profile.histograms(src[source](), [(c, b) for s, c, b in HISTOGRAMS if s == source])
         out = h if out is None else out.unionByName(h)
     return round_doubles(out)
 
