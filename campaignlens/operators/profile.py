@@ -130,16 +130,34 @@ def exact_quantiles_counted(dv: DataFrame, quantiles: Sequence[float]) -> DataFr
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``count, mean, std, min, 25%, 50%, 75%, max`` per numeric column (exact)."""
+    """``count, mean, std, min, 25%, 50%, 75%, max`` per numeric column (exact).
+
+    The input is read once: distinct values with their counts are stored
+    (checkpoint), and every statistic comes from that table.  The sample
+    deviation uses the two-pass form ``sum(c * (v - mean)^2) / (n - 1)``
+    over the stored counts (null for a single value, like ``stddev_samp``).
+    """
+    from campaignlens.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
     long = long_values(df, columns, "double").where(F.col("value").isNotNull() & ~F.isnan("value"))
-    stats = long.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
+    dv = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True)
+    first = dv.groupBy("column_name").agg(
+        F.sum("c").alias("count"),
+        (F.sum(F.col("c") * F.col("value")) / F.sum("c")).alias("mean"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    qs = exact_quantiles(long, [0.25, 0.5, 0.75]).select(
+    # One row per described column: a bounded frame, broadcast.
+    spread = dv.join(F.broadcast(first.select("column_name", "mean")), "column_name").groupBy("column_name").agg(
+        F.sum(F.col("c") * (F.col("value") - F.col("mean")) * (F.col("value") - F.col("mean"))).alias("_ss")
+    )
+    stats = first.join(spread, "column_name").select(
+        "column_name", "count", "mean",
+        F.sqrt(F.try_divide(F.col("_ss"), (F.col("count") - 1).cast("double"))).alias("std"),
+        "min", "max",
+    )
+    qs = exact_quantiles_counted(dv, [0.25, 0.5, 0.75]).select(
         "column_name", F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75")
     )
     return stats.join(qs, "column_name").select(

@@ -47,3 +47,23 @@ def test_psi_one_frame_equals_two_samples_and_brute_force(spark):
     for c in want:
         assert math.isclose(one[c], want[c], rel_tol=1e-9, abs_tol=1e-12)
         assert math.isclose(two[c], want[c], rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_describe_numeric_equals_pandas(spark):
+    import pandas as pd
+
+    rows = [(float(i % 7) * 1.5, 3.0 if i == 0 else None, float(i) if i % 5 else float("nan")) for i in range(60)]
+    df = spark.createDataFrame(rows, "a double, single double, b double")
+    got = {r.column_name: r for r in profile.describe_numeric(df, ["a", "single", "b"]).collect()}
+    pdf = pd.DataFrame(rows, columns=["a", "single", "b"])
+    for c in ["a", "single", "b"]:
+        want = pdf[c].describe()
+        r = got[c]
+        assert r["count"] == int(want["count"])
+        for mine, theirs in [("mean", "mean"), ("min", "min"), ("p25", "25%"), ("p50", "50%"),
+                             ("p75", "75%"), ("max", "max")]:
+            assert math.isclose(r[mine], want[theirs], rel_tol=1e-12), (c, mine)
+        if want["count"] > 1:
+            assert math.isclose(r["std"], want["std"], rel_tol=1e-9), c
+        else:
+            assert r["std"] is None
