@@ -5,11 +5,14 @@ may hold a third of its rows under one key.  Keys whose left count exceeds
 a share of the rows are found with one partially aggregated count over the
 key column alone; there can be at most ``1 / share`` of them and at most
 ``max_hot`` are kept, so the list has a proven size bound and is broadcast.
-Left rows of a hot key get a salt from a hash of the row (``salt_buckets``
-values), the right row of a hot key is repeated once per salt, and the join
-runs on ``(key, salt)``: one shuffle, the left side evaluated once, a hot
-key split over ``salt_buckets`` reducers.  Cold keys keep salt 0.  Every
-row meets exactly its own right row, so the result is the plain left join.
+Each hot key gets a number of salts that grows with its row count
+(``ceil(rows / rows_per_salt)``, at most ``salt_buckets``), so every salted
+reducer receives about ``rows_per_salt`` rows of that key however large it
+is.  Left rows of a hot key get a salt from a hash of the row, the right
+row of a hot key is repeated once per salt (at most ``max_hot *
+salt_buckets`` rows in all), and the join runs on ``(key, salt)``: one
+shuffle, the left side evaluated once.  Cold keys keep salt 0.  Every row
+meets exactly its own right row, so the result is the plain left join.
 """
 
 from __future__ import annotations
@@ -17,10 +20,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+HOT_ROWS = "_rows"
+
 
 def hot_keys_from_counts(counts: DataFrame, key: str, count_col: str, share: float = 0.001,
                          min_rows: int = 100_000, max_hot: int = 1000) -> DataFrame:
-    """Hot keys from a per-key count table (one row per key).
+    """Hot keys ``(key, _rows)`` from a per-key count table (one row per key).
 
     Callers that already hold per-key row counts (the fold table has one row
     per customer with its contract count) pass them here instead of counting
@@ -34,7 +39,7 @@ def hot_keys_from_counts(counts: DataFrame, key: str, count_col: str, share: flo
         counts.where(F.col(count_col) > bar)
         .orderBy(F.col(count_col).desc(), F.col(key).asc())
         .limit(max_hot)
-        .select(key)
+        .select(key, F.col(count_col).cast("long").alias(HOT_ROWS))
     )
 
 
@@ -45,26 +50,34 @@ def hot_keys(left: DataFrame, key: str, share: float = 0.001, min_rows: int = 10
     return hot_keys_from_counts(counts, key, "_c", share, min_rows, max_hot)
 
 
-def hot_key_left_join(left: DataFrame, right: DataFrame, key: str, salt_buckets: int = 64,
+def salt_counts(hot: DataFrame, key: str, salt_buckets: int = 4096, rows_per_salt: int = 1_000_000) -> DataFrame:
+    """``(key, _salts)``: ``ceil(rows / rows_per_salt)`` salts per hot key, between 1 and ``salt_buckets``."""
+    n = F.least(F.lit(salt_buckets), F.greatest(F.lit(1), F.ceil(F.col(HOT_ROWS) / F.lit(rows_per_salt))))
+    return hot.select(key, n.cast("int").alias("_salts"))
+
+
+def hot_key_left_join(left: DataFrame, right: DataFrame, key: str, salt_buckets: int = 4096,
                       share: float = 0.001, min_rows: int = 100_000, max_hot: int = 1000,
-                      hot: DataFrame | None = None) -> DataFrame:
-    """``left.join(right, key, "left")`` with hot keys salted over ``salt_buckets``.
+                      hot: DataFrame | None = None, rows_per_salt: int = 1_000_000) -> DataFrame:
+    """``left.join(right, key, "left")`` with hot keys salted by their size.
 
     ``right`` must be unique on ``key``.  Columns come out as the plain
     join's: the key, then the left columns, then the right columns.
-    ``hot`` is an optional hot-key list from ``hot_keys`` or
+    ``hot`` is an optional hot-key list ``(key, _rows)`` from ``hot_keys`` or
     ``hot_keys_from_counts`` (bounded by their ``max_hot``) computed from a
     cheaper source than ``left`` itself, for example the base table ``left``
     was derived from by 1:1 joins.  Any key list gives the same rows; the
-    list only decides which keys are spread.
+    list only decides which keys are spread and how widely.
     """
     if hot is None:
         hot = hot_keys(left, key, share, min_rows, max_hot)
-    hot = F.broadcast(hot.select(key).withColumn("_hot", F.lit(True)))
+    hot = F.broadcast(salt_counts(hot, key, salt_buckets, rows_per_salt))
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
     salted_left = left.join(hot, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(salt_buckets))).otherwise(F.lit(0)).cast("int")
-    ).drop("_hot")
-    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = right.join(hot, key, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
+        "_salt", F.coalesce(F.pmod(row_hash, F.col("_salts")), F.lit(0)).cast("int")
+    ).drop("_salts")
+    salts = F.when(F.col("_salts").isNotNull(), F.sequence(F.lit(0), F.col("_salts") - 1)).otherwise(
+        F.array(F.lit(0))
+    )
+    salted_right = right.join(hot, key, "left").withColumn("_salt", F.explode(salts)).drop("_salts")
     return salted_left.join(salted_right, [key, "_salt"], "left").drop("_salt")

@@ -1,6 +1,6 @@
 """Salted hot-key left join equals the plain left join."""
 
-from campaignlens.operators.joins import hot_key_left_join, hot_keys
+from campaignlens.operators.joins import hot_key_left_join, hot_keys, salt_counts
 
 
 def test_hot_key_join_matches_plain_join(spark):
@@ -11,15 +11,40 @@ def test_hot_key_join_matches_plain_join(spark):
     )
     right = spark.createDataFrame([("hot", 7)] + [(f"c{i}", i) for i in range(49)], "customer_id string, v int")
     assert [r.customer_id for r in hot_keys(left, "customer_id", share=0.1, min_rows=10).collect()] == ["hot"]
-    got = hot_key_left_join(left, right, "customer_id", share=0.1, min_rows=10)
     want = left.join(right, "customer_id", "left")
-    assert got.columns == want.columns
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    # 1000 hot rows: 10 salts of 100 rows, capped at 4; and at the default size, one salt.
+    for kw in ({"rows_per_salt": 100}, {"rows_per_salt": 100, "salt_buckets": 4}, {}):
+        got = hot_key_left_join(left, right, "customer_id", share=0.1, min_rows=10, **kw)
+        assert got.columns == want.columns
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     # Forced shuffle join: the hot key must be spread over several reducers.
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plain = hot_key_left_join(left, right, "customer_id", salt_buckets=8, share=0.1, min_rows=10)
+        plain = hot_key_left_join(left, right, "customer_id", salt_buckets=8, share=0.1, min_rows=10,
+                                  rows_per_salt=100)
         assert plain.exceptAll(want).count() == 0 and want.exceptAll(plain).count() == 0
         assert "xxhash64" in plain._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_salts_grow_with_the_hot_key(spark):
+    from pyspark.sql import functions as F
+
+    left = spark.createDataFrame([("big" if i < 900 else "mid" if i < 1200 else f"c{i}", i) for i in range(1500)],
+                                 "customer_id string, k long")
+    right = spark.createDataFrame([("big", 1), ("mid", 2)], "customer_id string, v int")
+    hot = hot_keys(left, "customer_id", share=0.1, min_rows=10)
+    assert {r.customer_id: r._rows for r in hot.collect()} == {"big": 900, "mid": 300}
+    got = {r.customer_id: r._salts for r in salt_counts(hot, "customer_id", rows_per_salt=100).collect()}
+    assert got == {"big": 9, "mid": 3}
+    got = {r.customer_id: r._salts for r in salt_counts(hot, "customer_id", 4, 100).collect()}
+    assert got == {"big": 4, "mid": 3}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = hot_key_left_join(left, right, "customer_id", hot=hot, rows_per_salt=100)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "xxhash64" in plan
+        assert joined.where(F.col("v").isNotNull()).count() == 1200
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
