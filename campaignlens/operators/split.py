@@ -128,9 +128,29 @@ def sample_exact(df: DataFrame, c: str, fraction: float, seed: int) -> DataFrame
     return ranked.where(F.col("_pos") <= k).select(c)
 
 
-def repeat_rows(df: DataFrame, times: str, name: str = "copy_no") -> DataFrame:
-    """Each row ``times`` times, numbered 1..times (rows with times < 1 vanish)."""
-    return df.where(F.col(times) >= 1).withColumn(name, F.explode(F.sequence(F.lit(1), F.col(times).cast("int"))))
+REPEAT_CHUNK = 1_000_000
+
+
+def repeat_rows(df: DataFrame, times: str, name: str = "copy_no", chunk: int = REPEAT_CHUNK,
+                num_partitions: int | None = None) -> DataFrame:
+    """Each row ``times`` times, numbered 1..times (rows with times < 1 vanish).
+
+    A row is first cut into chunks of at most ``chunk`` copies (one row per
+    chunk, a small expansion), the chunk rows are hash-partitioned over
+    ``num_partitions`` (default ``spark.sql.shuffle.partitions``; a numbered
+    repartition, which AQE does not coalesce back), and each chunk expands
+    in its own task.  A row asking for a third of all copies is thus
+    produced by many tasks, never by one.
+    """
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    t = F.col(times).cast("long")
+    base = df.where(t >= 1)
+    chunk_no = F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(t / F.lit(chunk)).cast("long") - 1))
+    chunked = base.select("*", chunk_no.alias("_chunk"))
+    spread = chunked.repartition(n, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.col("_chunk")))
+    lo = (F.col("_chunk") * F.lit(chunk) + 1).cast("int")
+    hi = F.least(t, (F.col("_chunk") + 1) * F.lit(chunk)).cast("int")
+    return spread.select(*[F.col(f"`{c}`") for c in df.columns], F.explode(F.sequence(lo, hi)).alias(name))
 
 
 def month_spine(df: DataFrame, key: str, start: str, end: str, name: str = "billed_period_month_d") -> DataFrame:

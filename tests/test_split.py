@@ -35,3 +35,16 @@ def test_repeat_rows(spark):
     df = spark.createDataFrame([("a", 3), ("b", 1), ("c", 0)], "k string, n int")
     got = sorted((r.k, r.copy_no) for r in split.repeat_rows(df, "n").collect())
     assert got == [("a", 1), ("a", 2), ("a", 3), ("b", 1)]
+
+
+def test_repeat_rows_spreads_a_large_row_over_tasks(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([("hot", 2500), ("a", 3), ("b", 0)], "k string, n long")
+    out = split.repeat_rows(df, "n", chunk=100, num_partitions=8)
+    got = out.groupBy("k").agg(F.count(F.lit(1)).alias("c"), F.min("copy_no").alias("lo"),
+                               F.max("copy_no").alias("hi"), F.count_distinct("copy_no").alias("d"))
+    rows = {r.k: (r.c, r.lo, r.hi, r.d) for r in got.collect()}
+    assert rows == {"hot": (2500, 1, 2500, 2500), "a": (3, 1, 3, 3)}
+    tasks = out.where(F.col("k") == "hot").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks > 1
