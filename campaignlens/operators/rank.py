@@ -82,6 +82,43 @@ def with_position(
     )
 
 
+def _running_sums(tagged: DataFrame, values: Sequence[str]) -> DataFrame:
+    """``_run_{v}``: inclusive running sums of ``values`` inside each stored partition.
+
+    The checkpointed partitions are already in ``_local`` order, so the sums
+    are one narrow pass (Arrow batches through ``mapInPandas``, the running
+    total carried from batch to batch): no second shuffle, and every task
+    keeps its own balanced range.  A window over ``_part`` would instead
+    re-shuffle all rows by a hash of the partition id, which also piles
+    several ranges onto one reducer.  ``values`` must be non-null numbers.
+    """
+    from pyspark.sql import types as T
+
+    fields = list(tagged.schema.fields)
+    out_types = {}
+    for v in values:
+        dt = tagged.schema[v].dataType
+        out_types[v] = T.LongType() if isinstance(dt, T.IntegralType) else T.DoubleType()
+        fields.append(T.StructField(f"_run_{v}", out_types[v], True))
+    schema = T.StructType(fields)
+    names = list(values)
+
+    def run(batches):
+        carry: dict = {}
+        for pdf in batches:
+            for v in names:
+                col = pdf[v].astype("int64" if isinstance(out_types[v], T.LongType) else "float64")
+                # One partition per task; the grouping only guards against a mixed batch.
+                start = pdf["_part"].map(lambda p, v=v: carry.get((p, v), 0))
+                run_v = col.groupby(pdf["_part"], sort=False).cumsum() + start
+                for p, last in run_v.groupby(pdf["_part"], sort=False).last().items():
+                    carry[(p, v)] = last
+                pdf[f"_run_{v}"] = run_v
+            yield pdf
+
+    return tagged.mapInPandas(run, schema)
+
+
 def with_prefix_sums(
     df: DataFrame,
     order: Sequence[Column],
@@ -92,13 +129,13 @@ def with_prefix_sums(
 ) -> DataFrame:
     """Add the position and inclusive running sums of ``values`` in ``order``.
 
-    The running sums inside a partition use a window partitioned by the
-    range partition id, so each task holds one balanced range.
+    Running sums inside a stored range partition come from one narrow pass
+    (``_running_sums``); the sums of earlier partitions are added from the
+    per-partition summary.
     """
     tagged = sequence_rows(df, order, num_partitions)
     off = _offsets(tagged, values)
-    upto = Window.partitionBy("_part").orderBy("_local").rowsBetween(Window.unboundedPreceding, 0)
-    out = tagged.select("*", *[F.sum(v).over(upto).alias(f"_run_{v}") for v in values]).join(off, "_part")
+    out = _running_sums(tagged, values).join(off, "_part")
     cols = {position: F.col("_off_n") + F.col("_local") + F.lit(1)}
     for v in values:
         cols[f"{prefix}{v}"] = F.col(f"_off_{v}") + F.col(f"_run_{v}")
@@ -106,6 +143,40 @@ def with_prefix_sums(
     return out.withColumns(cols).drop(*drop)
 
 
+def _lag_in_partition(tagged: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``_lag_{c}``: the previous row's ``c`` inside each stored partition (null on its first row).
+
+    One narrow pass in ``_local`` order (Arrow batches through
+    ``mapInPandas``); the last row of a batch is carried into the next one.
+    """
+    from pyspark.sql import types as T
+
+    fields = list(tagged.schema.fields) + [
+        T.StructField(f"_lag_{c}", tagged.schema[c].dataType, True) for c in cols
+    ]
+    schema = T.StructType(fields)
+    names = list(cols)
+
+    def run(batches):
+        last: dict = {}
+        for pdf in batches:
+            parts = pdf["_part"]
+            heads = pdf.index[~parts.duplicated()]
+            for c in names:
+                lagged = pdf[c].astype(object).groupby(parts, sort=False).shift(1)
+                for i in heads:
+                    p = parts.at[i]
+                    if p in last:
+                        lagged.at[i] = last[p][c]
+                pdf[f"_lag_{c}"] = lagged
+            tails = pdf.index[~parts.duplicated(keep="last")]
+            for i in tails:
+                last[parts.at[i]] = {c: pdf.at[i, c] for c in names}
+            yield pdf
+
+    return tagged.mapInPandas(run, schema)
+
+
 def with_previous(
     df: DataFrame,
     group: Sequence[str],
@@ -121,11 +192,12 @@ def with_previous(
     comes from a window over the partition id; the first row of a
     partition takes the last row of the nearest non-empty earlier
     partition, found on the per-partition summary (one row per partition).
-    A previous row of another group gives null.
+    A previous row of another group gives null.  The previous row inside a
+    partition comes from one narrow pass over the stored partitions
+    (``_lag_in_partition``), not from a window that would re-shuffle them.
     """
     key = [F.col(g) for g in group]
     tagged = sequence_rows(df, key + list(order), num_partitions)
-    within = Window.partitionBy("_part").orderBy("_local")
     tail_cols = list(group) + list(values)
     last = tagged.groupBy("_part").agg(
         F.max_by(F.struct(*[F.col(c) for c in tail_cols]), F.col("_local")).alias("_tail")
@@ -134,11 +206,9 @@ def with_previous(
     carry = F.broadcast(
         last.select("_part", F.last("_tail", ignorenulls=True).over(before).alias("_carry"))
     )
-    lagged = tagged.select(
-        "*",
-        *[F.lag(F.col(c)).over(within).alias(f"_lag_{c}") for c in tail_cols],
-        (F.col("_local") == 0).alias("_head"),
-    ).join(carry, "_part", "left")
+    lagged = _lag_in_partition(tagged, tail_cols).withColumn("_head", F.col("_local") == 0).join(
+        carry, "_part", "left"
+    )
     same_prev_in = F.lit(True)
     same_prev_carry = F.lit(True)
     for g in group:

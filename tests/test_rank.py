@@ -50,3 +50,13 @@ def test_previous_equals_lag_with_hot_group(spark):
     got = with_previous(df, ["g"], order, ["y"], num_partitions=16).select("k", "prev_y")
     want = df.select("k", F.lag("y").over(Window.partitionBy("g").orderBy("life", "k")).alias("prev_y"))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_previous_keeps_nulls_and_types(spark):
+    rows = [("a", 1, 1, None), ("a", 2, 2, 1), ("a", 3, 3, 0), ("b", 1, 4, 1), (None, 1, 5, 0), ("b", 2, 6, None)]
+    df = spark.createDataFrame(rows, "g string, life int, k long, y int")
+    got = with_previous(df, ["g"], [F.col("life"), F.col("k")], ["y"], num_partitions=3)
+    assert dict(got.dtypes)["prev_y"] == "int"
+    want = df.select("k", F.lag("y").over(Window.partitionBy("g").orderBy("life", "k")).alias("prev_y"))
+    got = got.select("k", "prev_y")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
