@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from campaignlens import schemas as S
+from campaignlens.operators.joins import hot_key_left_join, hot_keys_from_counts
 from campaignlens.operators.rank import with_previous
 
 ORDER_COLUMNS = ["contract_lifetime_days", S.KEY]
@@ -39,15 +40,21 @@ def _order_key():
     )
 
 
-def customer_transitions(core: DataFrame, label: str = S.LABEL) -> DataFrame:
-    """``(customer_id, has_transition_0_to_1)`` with the flag as 0/1."""
+def customer_transitions(core: DataFrame, label: str = S.LABEL, with_rows: bool = False) -> DataFrame:
+    """``(customer_id, has_transition_0_to_1)`` with the flag as 0/1.
+
+    ``with_rows`` adds ``n_rows``, the customer's contract count (same
+    aggregate), which the joins back to the contracts use to find hot
+    customers without another pass.
+    """
     key = _order_key()
     agg = core.where(F.col(S.CUSTOMER).isNotNull()).groupBy(S.CUSTOMER).agg(
         F.min(F.when(F.col(label) == 0, key)).alias("_first0"),
         F.max(F.when(F.col(label) == 1, key)).alias("_last1"),
+        F.count(F.lit(1)).alias("n_rows"),
     )
     flag = F.coalesce(F.col("_first0") < F.col("_last1"), F.lit(False)).cast("int")
-    return agg.select(S.CUSTOMER, flag.alias("has_transition_0_to_1"))
+    return agg.select(S.CUSTOMER, flag.alias("has_transition_0_to_1"), *(["n_rows"] if with_rows else []))
 
 
 def label_shift(core: DataFrame, label: str = S.LABEL) -> DataFrame:
@@ -63,12 +70,29 @@ def label_shift(core: DataFrame, label: str = S.LABEL) -> DataFrame:
     )
 
 
+def _contracts_with_flag(core: DataFrame) -> DataFrame:
+    """Every contract with its customer's flag (n:1, hot customers salted)."""
+    flags = customer_transitions(core, with_rows=True)
+    hot = hot_keys_from_counts(flags, S.CUSTOMER, "n_rows")
+    return hot_key_left_join(core.select(*CONTRACT_VIEW), flags.drop("n_rows"), S.CUSTOMER, hot=hot)
+
+
 def transition_contracts(core: DataFrame) -> DataFrame:
-    """Contract view right-joined with the customer flag (every contract kept)."""
-    return customer_transitions(core).join(core.select(*CONTRACT_VIEW), S.CUSTOMER, "right")
+    """Contract view right-joined with the customer flag (every contract kept).
+
+    Written as the contracts' left join with the per-customer flag, so a
+    customer with a third of the contracts is spread by salting.
+    """
+    joined = _contracts_with_flag(core)
+    rest = [c for c in CONTRACT_VIEW if c != S.CUSTOMER]
+    return joined.select(S.CUSTOMER, "has_transition_0_to_1", *rest)
 
 
 def transition_members(core: DataFrame) -> DataFrame:
-    """Contracts of customers with a transition (semi join, no id list)."""
-    movers = customer_transitions(core).where(F.col("has_transition_0_to_1") == 1)
-    return core.select(*CONTRACT_VIEW).join(movers, S.CUSTOMER, "left_semi")
+    """Contracts of customers with a transition (no id list).
+
+    A semi join with the movers equals the left join with the one-row-per-
+    customer flag filtered on the flag; the left join is salted for hot
+    customers.
+    """
+    return _contracts_with_flag(core).where(F.col("has_transition_0_to_1") == 1).select(*CONTRACT_VIEW)
