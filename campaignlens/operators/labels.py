@@ -11,7 +11,9 @@ holds.  The row-level previous label uses the distributed lag.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from campaignlens import schemas as S
@@ -32,12 +34,24 @@ CONTRACT_VIEW = [
 
 
 def _order_key():
-    # Missing lifetimes sort last, as in a default sort.
-    return F.struct(
-        F.col("contract_lifetime_days").isNull().alias("_null"),
-        F.col("contract_lifetime_days").alias("_life"),
-        F.col(S.KEY).alias("_key"),
-    )
+    """(missing lifetime last, lifetime, account) as one ``decimal(38,0)``.
+
+    The int lifetime shifted by 2^31 is below 10^10 and the long account
+    shifted by 2^63 below 10^20, so ``missing * 10^30 + lifetime' * 10^20 +
+    account'`` keeps the lexicographic order exactly.  A decimal is a
+    fixed-width aggregation buffer, so ``min``/``max`` over it are hash
+    aggregates (a struct key would force a sort-based aggregate).
+    """
+    dec = "decimal(38,0)"
+
+    def big(n: int) -> Column:
+        return F.lit(Decimal(n)).cast(dec)
+
+    life = F.col("contract_lifetime_days").cast("int")
+    missing = F.when(life.isNull(), F.lit(1)).otherwise(F.lit(0)).cast(dec) * big(10 ** 30)
+    life_part = (F.coalesce(life, F.lit(0)).cast("long") + F.lit(2 ** 31)).cast(dec) * big(10 ** 20)
+    key_part = F.col(S.KEY).cast("long").cast(dec) + big(2 ** 63)
+    return (missing + life_part + key_part).cast(dec)
 
 
 def customer_transitions(core: DataFrame, label: str = S.LABEL, with_rows: bool = False) -> DataFrame:
