@@ -73,8 +73,9 @@ def hot_key_left_join(left: DataFrame, right: DataFrame, key: str, salt_buckets:
         hot = hot_keys(left, key, share, min_rows, max_hot)
     hot = F.broadcast(salt_counts(hot, key, salt_buckets, rows_per_salt))
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
+    # The row hash is evaluated for rows of hot keys only (cold rows take salt 0).
     salted_left = left.join(hot, key, "left").withColumn(
-        "_salt", F.coalesce(F.pmod(row_hash, F.col("_salts")), F.lit(0)).cast("int")
+        "_salt", F.when(F.col("_salts").isNotNull(), F.pmod(row_hash, F.col("_salts"))).otherwise(F.lit(0)).cast("int")
     ).drop("_salts")
     salts = F.when(F.col("_salts").isNotNull(), F.sequence(F.lit(0), F.col("_salts") - 1)).otherwise(
         F.array(F.lit(0))
