@@ -109,8 +109,9 @@ def _running_sums(tagged: DataFrame, values: Sequence[str]) -> DataFrame:
             for v in names:
                 col = pdf[v].astype("int64" if isinstance(out_types[v], T.LongType) else "float64")
                 # One partition per task; the grouping only guards against a mixed batch.
-                start = pdf["_part"].map(lambda p, v=v: carry.get((p, v), 0))
-                run_v = col.groupby(pdf["_part"], sort=False).cumsum() + start
+                # The carried totals are looked up once per partition, then mapped (vectorised).
+                starts = {p: carry.get((p, v), 0) for p in pdf["_part"].unique()}
+                run_v = col.groupby(pdf["_part"], sort=False).cumsum() + pdf["_part"].map(starts)
                 for p, last in run_v.groupby(pdf["_part"], sort=False).last().items():
                     carry[(p, v)] = last
                 pdf[f"_run_{v}"] = run_v

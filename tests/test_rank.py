@@ -60,3 +60,23 @@ def test_previous_keeps_nulls_and_types(spark):
     want = df.select("k", F.lag("y").over(Window.partitionBy("g").orderBy("life", "k")).alias("prev_y"))
     got = got.select("k", "prev_y")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_carry_across_arrow_batches(spark):
+    # Tiny Arrow batches: every stored partition spans many batches, so the carried values are exercised.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        df = _scores(spark, n=600)
+        order = [F.col("score").desc(), F.col("k").asc()]
+        got = with_prefix_sums(df, order, ["y"], num_partitions=4).select("k", "position", "cum_y")
+        w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        want = df.select("k", F.row_number().over(Window.orderBy(*order)).alias("position"),
+                         F.sum("y").over(w).alias("cum_y"))
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+        rows = [("hot" if i % 3 == 0 else f"c{i % 13}", i % 17, i, i % 2) for i in range(600)]
+        g = spark.createDataFrame(rows, "g string, life int, k long, y int")
+        got = with_previous(g, ["g"], [F.col("life"), F.col("k")], ["y"], num_partitions=4).select("k", "prev_y")
+        want = g.select("k", F.lag("y").over(Window.partitionBy("g").orderBy("life", "k")).alias("prev_y"))
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
