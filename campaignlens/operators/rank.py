@@ -149,6 +149,9 @@ def _lag_in_partition(tagged: DataFrame, cols: Sequence[str]) -> DataFrame:
 
     One narrow pass in ``_local`` order (Arrow batches through
     ``mapInPandas``); the last row of a batch is carried into the next one.
+    Spark hands integer columns that contain nulls to pandas as ``float64``,
+    exact up to 2^53; the callers here lag a 0/1 label grouped by a string
+    customer key.
     """
     from pyspark.sql import types as T
 
