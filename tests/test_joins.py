@@ -48,3 +48,12 @@ def test_salts_grow_with_the_hot_key(spark):
         assert joined.where(F.col("v").isNotNull()).count() == 1200
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_list_is_deterministic_when_counts_tie_at_the_cutoff(spark):
+    from campaignlens.operators.joins import hot_keys_from_counts
+
+    counts = spark.createDataFrame([(f"k{i}", 500) for i in range(10)] + [("big", 900)], "customer_id string, n long")
+    got = [r.customer_id for r in hot_keys_from_counts(counts.repartition(5), "customer_id", "n", share=0.0,
+                                                         min_rows=10, max_hot=3).collect()]
+    assert got == ["big", "k0", "k1"]
