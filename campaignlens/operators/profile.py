@@ -61,7 +61,8 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column_name, value, n, share)``; missing values are left out of both."""
     long = long_values(df, columns).where(F.col("value").isNotNull())
     counts = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    totals = counts.groupBy("column_name").agg(F.sum("n").alias("_t"))
+    # One row per profiled column: a bounded frame, broadcast.
+    totals = F.broadcast(counts.groupBy("column_name").agg(F.sum("n").alias("_t")))
     return counts.join(totals, "column_name").select(
         "column_name", "value", "n", (F.col("n") / F.col("_t")).alias("share")
     )
@@ -330,7 +331,8 @@ def population_stability_by(
     counts = binned.groupBy("column_name", "bucket").agg(
         F.count_if(F.col("_side") == "e").alias("ne"), F.count_if(F.col("_side") == "a").alias("na")
     )
-    totals = counts.groupBy("column_name").agg(F.sum("ne").alias("te"), F.sum("na").alias("ta"))
+    # One row per feature: a bounded frame, broadcast.
+    totals = F.broadcast(counts.groupBy("column_name").agg(F.sum("ne").alias("te"), F.sum("na").alias("ta")))
     shares = counts.join(totals, "column_name").select(
         "column_name",
         F.greatest(F.try_divide(F.col("ne").cast("double"), F.col("te")), F.lit(eps)).alias("pe"),
