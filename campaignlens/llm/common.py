@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,3 +48,57 @@ def parts(spark: SparkSession) -> int:
 def crc_bucket(id_column: Column, buckets: int) -> Column:
     """``crc32`` of the id as text, modulo ``buckets``; null ids fall in bucket 0."""
     return F.coalesce(F.crc32(id_column.cast("string").cast("binary")) % buckets, F.lit(0)).cast("int")
+
+
+def store(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet next to the session's checkpoints and read back.
+
+    Cuts the lineage like ``checkpoint()`` (a lost executor recomputes nothing
+    below), but later reads take only the columns they need.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def hashed_counts(
+    df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int
+) -> np.ndarray:
+    """How many of the 64-bit hashes that ``hashes`` makes of a table fall in each of ``2**bits`` buckets.
+
+    Every task sums its own buckets and sends them in pieces; the pieces are
+    summed as they stream into the tasks that own them.  The result has a fixed
+    size whatever the input.
+    """
+    size, piece = 1 << bits, 1 << min(bits, 14)
+    mask = np.uint64(size - 1)
+    layout = pa.schema([("piece", pa.int32()), ("counts", pa.binary())])
+
+    def rows(sums: dict[int, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())],
+            schema=layout,
+        )
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, np.int64)
+        for batch in batches:
+            for h in hashes(batch):
+                total += np.bincount((h & mask).astype(np.int64), minlength=size)
+        if total.any():
+            yield rows({i: total[i * piece : (i + 1) * piece] for i in range(size // piece)})
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                sums[i] = sums.get(i, 0) + np.frombuffer(counts, np.int64)
+        if sums:
+            yield rows(sums)
+
+    ddl = "piece int, counts binary"
+    out = np.zeros(size, np.int64)
+    for r in df.mapInArrow(count, ddl).repartition("piece").mapInArrow(add, ddl).collect():
+        out[r["piece"] * piece : (r["piece"] + 1) * piece] = np.frombuffer(bytes(r["counts"]), np.int64)
+    return out

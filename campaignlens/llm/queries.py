@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campaignlens.llm import langid, mixing, urlrules
+from campaignlens.llm import jaccard_groups, langid, mixing, quality_crf, repetition, scaled_sketch, toxicity, urlrules
 from campaignlens.llm.common import crc_bucket, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,10 +35,53 @@ def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; learned from the labelled rows that are not held out."""
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_bucket(F.col("doc_id"), 4) == 2
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out))
+    scored = toxicity.score(docs, model, keep_text=False)
+    return scored.withColumn("held_out", held_out)
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; learned from the labelled rows that are not held out."""
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_bucket(F.col("doc_id"), 5) == 0
+    field = quality_crf.learn(docs, table(spark, sf_dir, "labels").select("doc_id", "quality").where(~held_out))
+    scored = quality_crf.score(docs, field, keep_text=False)
+    return scored.withColumn("held_out", held_out)
+
+
+def op8_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document."""
+    prepare(spark)
+    return jaccard_groups.near_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op9_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every document, its repeats, and whether it is kept."""
+    prepare(spark)
+    return repetition.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+
+
+def op10_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, with their likenesses."""
+    prepare(spark)
+    return scaled_sketch.edit_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op3_mix_sources": op3_mix_sources,
     "op4_url_rules": op4_url_rules,
+    "op6_toxicity": op6_toxicity,
+    "op7_quality": op7_quality,
+    "op8_jaccard_groups": op8_jaccard_groups,
+    "op9_repetition_rules": op9_repetition_rules,
+    "op10_scaled_sketch": op10_scaled_sketch,
 }
 
 ORACLES: dict[str, str] = {

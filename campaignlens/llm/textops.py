@@ -43,6 +43,9 @@ def _byte_table(lower: bool) -> np.ndarray:
 _TABLES = {False: _byte_table(False), True: _byte_table(True)}
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+# Letters, for words without punctuation: A-Z, a-z and every byte of a longer UTF-8 character.
+NOT_LETTER = np.ones(256, bool)
+NOT_LETTER[65:91] = NOT_LETTER[97:123] = NOT_LETTER[128:] = False
 _POWERS: dict[str, np.ndarray] = {}
 
 
@@ -80,9 +83,9 @@ def blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int,
         row = end
 
 
-def _word_bounds(raw: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _word_bounds(raw: np.ndarray, cuts: np.ndarray, between: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end byte of every word; no word crosses a position in ``cuts``."""
-    solid = ~_SPACE[raw]
+    solid = ~between[raw]
     first = solid.copy()
     first[1:] &= ~solid[:-1]
     last = solid.copy()
@@ -93,7 +96,8 @@ def _word_bounds(raw: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
-def _hash_spans(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool) -> np.ndarray:
+def hash_spans(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
+    """Hashes of byte spans of a block; equal spans have equal hashes."""
     p, q = _powers(len(raw) + 1)
     with np.errstate(over="ignore"):
         run = np.zeros(len(raw) + 1, _U64)
@@ -118,24 +122,26 @@ def _pieces(raw: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
 
 
 def word_spans(
-    raw: np.ndarray, bounds: np.ndarray, lower: bool = False
+    raw: np.ndarray, bounds: np.ndarray, lower: bool = False, between: np.ndarray = _SPACE
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hashes, starts and ends of the words of rows ``bounds``, and word offsets per row.
 
     ``bounds`` are byte offsets (rows + 1) into ``raw``; the spans are byte
-    positions in ``raw``.
+    positions in ``raw``.  ``between`` marks the bytes that separate words.
     """
     lo, hi = int(bounds[0]), int(bounds[-1])
     if len(bounds) == 2 and hi - lo > 2 * BLOCK_BYTES:
-        parts = [word_spans(raw, np.array([lo + a, lo + b]), lower) for a, b in _pieces(raw[lo:hi], BLOCK_BYTES)]
+        parts = [
+            word_spans(raw, np.array([lo + a, lo + b]), lower, between) for a, b in _pieces(raw[lo:hi], BLOCK_BYTES)
+        ]
         h, s, e = (np.concatenate([p[i] for p in parts]) for i in range(3))
         return h, s, e, np.array([0, len(h)])
     block = raw[lo:hi]
     if not len(block):
         none = np.empty(0, np.int64)
         return np.empty(0, _U64), none, none, np.zeros(len(bounds), np.int64)
-    starts, ends = _word_bounds(block, bounds - lo)
-    h = _hash_spans(block, starts, ends, lower)
+    starts, ends = _word_bounds(block, bounds - lo, between)
+    h = hash_spans(block, starts, ends, lower)
     return h, starts + lo, ends + lo, np.searchsorted(starts, bounds - lo).astype(np.int64)
 
 
