@@ -351,16 +351,21 @@ def keep_one(
         linked.where("n > 0")
         .groupBy("root")
         .agg(F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("key"))).alias("m"))
-        .select(F.col("m.id").alias("_id"), F.col("m.key").alias("_key"), F.lit(True).alias("_chosen"))
+        .select(*_row_key(F.col("m.id"), F.col("m.key")), F.lit(True).alias("_chosen"))
     )
-    empty = linked.where("n = 0").select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.lit(False).alias("_chosen"))
+    empty = linked.where("n = 0").select(*_row_key(F.col("id"), F.col("key")), F.lit(False).alias("_chosen"))
     wanted = chosen.union(empty.distinct())
-    row = F.struct(*[col(c) for c in docs.columns])
-    keyed = docs.select(
-        row.alias("_row"), col(id_col).cast("long").alias("_own"), F.xxhash64(col(text_col)).alias("_text")
-    )
-    met = keyed.join(wanted, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_key")))
-    # Repeated rows of a chosen document: one stays.
-    once = met.where("_chosen").groupBy("_id", "_key").agg(F.min("_row").alias("_row")).select("_row")
+    key = _row_key(col(id_col).cast("long"), F.xxhash64(col(text_col)))
+    names = [k.alias(f"_k{i}") for i, k in enumerate(key)]
+    on = ["_k0", "_k1", "_k2"]
+    keyed = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("_row"), *names)
+    met = keyed.join(wanted.toDF(*on, "_chosen"), on)
+    # Repeated rows of a chosen document: one stays.  The join has already placed them together.
+    once = met.where("_chosen").groupBy(*on).agg(F.min("_row").alias("_row")).select("_row")
     rest = met.where("not _chosen").select("_row")
     return once.union(rest).select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
+
+
+def _row_key(ident: Column, text_hash: Column) -> list[Column]:
+    """Non-null join keys of a document: whether the id is null, the id, the text's hash."""
+    return [ident.isNull(), F.coalesce(ident, F.lit(0)), text_hash]

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campaignlens.llm import jaccard_groups, langid, mixing, quality_crf, repetition, scaled_sketch, toxicity, urlrules
+from campaignlens.llm import (
+    jaccard_groups,
+    langid,
+    linededup,
+    mixing,
+    nbest,
+    quality_crf,
+    repetition,
+    scaled_sketch,
+    toxicity,
+    urlrules,
+)
 from campaignlens.llm.common import crc_bucket, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +33,12 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", (crc_bucket(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score", "cosine")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document that match an earlier line of the corpus."""
+    prepare(spark)
+    return linededup.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies and words the mix takes of every document."""
     prepare(spark)
@@ -35,6 +52,15 @@ def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
 
 
+def op5_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document, its N best segmentations, and whether decoding gives back the text."""
+    prepare(spark)
+    proto = nbest.model_bytes(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    decoded = nbest.decode(nbest.encode(docs, proto), proto)
+    return decoded.withColumn("round_trip", F.coalesce("text", F.lit("")) == F.col("decoded")).drop("text", "decoded")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; learned from the labelled rows that are not held out."""
     prepare(spark)
@@ -75,8 +101,10 @@ def op10_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
+    "op2_line_dedup": op2_line_dedup,
     "op3_mix_sources": op3_mix_sources,
     "op4_url_rules": op4_url_rules,
+    "op5_sentencepiece_nbest": op5_sentencepiece_nbest,
     "op6_toxicity": op6_toxicity,
     "op7_quality": op7_quality,
     "op8_jaccard_groups": op8_jaccard_groups,

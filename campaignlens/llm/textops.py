@@ -49,7 +49,7 @@ NOT_LETTER[65:91] = NOT_LETTER[97:123] = NOT_LETTER[128:] = False
 _POWERS: dict[str, np.ndarray] = {}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """``base**i`` and its inverse modulo 2**64 for ``i < n``."""
     if len(_POWERS.get("p", ())) < n:
         size = max(n, BLOCK_BYTES + 1)
@@ -98,7 +98,7 @@ def _word_bounds(raw: np.ndarray, cuts: np.ndarray, between: np.ndarray) -> tupl
 
 def hash_spans(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
     """Hashes of byte spans of a block; equal spans have equal hashes."""
-    p, q = _powers(len(raw) + 1)
+    p, q = powers(len(raw) + 1)
     with np.errstate(over="ignore"):
         run = np.zeros(len(raw) + 1, _U64)
         np.cumsum(_TABLES[lower][raw] * p[: len(raw)], dtype=_U64, out=run[1:])
