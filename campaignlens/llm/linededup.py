@@ -187,7 +187,7 @@ def _passing(g: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, num: int, d
         np.minimum(a - g["at"][i], b - g["at"][j]) * (num + den) >= (a + b) * num
     )
     i, j, a, b = i[ok], j[ok], a[ok], b[ok]
-    apart = np.bitwise_count(g["b1"][i] ^ g["b1"][j]).astype(np.int64) + np.bitwise_count(g["b2"][i] ^ g["b2"][j])
+    apart = textops.differing_bits(g["b1"][i], g["b1"][j]) + textops.differing_bits(g["b2"][i], g["b2"][j])
     # Each differing bit is a word of one line only: common <= (a + b - apart) / 2.
     ok[ok] = (a + b - apart) * (num + den) >= 2 * num * (a + b)
     return ok

@@ -205,6 +205,12 @@ def distinct_by_row(h: np.ndarray, owner: np.ndarray, rows: int) -> tuple[np.nda
     return h, np.searchsorted(owner, np.arange(rows + 1)).astype(np.int64)
 
 
+def differing_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Number of bits that differ between two signed 64-bit columns."""
+    # bitwise_count takes a signed number's absolute value, so the bits are viewed unsigned.
+    return np.bitwise_count((a ^ b).view(_U64)).astype(np.int64)
+
+
 def word_blocks(column: pa.Array, lower: bool = False) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, end row, word hashes, word offsets)`` for blocks of a text column."""
     raw, offsets = text_buffers(column)
