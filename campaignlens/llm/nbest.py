@@ -46,8 +46,8 @@ N_BEST = 3
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 _MARK = "▁"
 _NONE = -1
-# Scores below this mark pieces that the model never chooses by score.
-_UNUSED = -1e8
+# Stored scores below this mark pieces without a rank (runs of spaces): they count like an unknown character.
+_UNRANKED = -1e8
 _UNKNOWN_PENALTY = 10.0
 # Units are padded to one of these sizes; longer ones are segmented one by one.
 _SIZES = (4, 6, 8, 10, 12, 14, 16, 20, 24, 32, 64)
@@ -88,7 +88,8 @@ class Vocabulary:
             raise ValueError("a piece spans words; units would not be independent")
         self.longest = max(map(len, self.pieces))
         used = self.score[list(self.pieces.values())]
-        self.unknown = float(used[used > _UNUSED].min()) - _UNKNOWN_PENALTY
+        self.unknown = float(used[used > _UNRANKED].min()) - _UNKNOWN_PENALTY
+        self.score[self.score <= _UNRANKED] = self.unknown
         alphabet = {c for p in self.pieces for c in p}
         breaks = "".join(c for c in "\n\t\r" if c not in alphabet)
         self.units = re.compile(rf" *[^ {breaks}]+|[{breaks}]| +" if breaks else r" *[^ ]+| +")
