@@ -3,7 +3,6 @@ from campaignlens.functions.columns import (
     clip,
     coerce_numeric,
     contains_pattern,
-    k_for_fraction,
     membership_flag,
     missing_flag,
     one_hot,
@@ -15,7 +14,6 @@ __all__ = [
     "clip",
     "coerce_numeric",
     "contains_pattern",
-    "k_for_fraction",
     "membership_flag",
     "missing_flag",
     "one_hot",

@@ -8,6 +8,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+_NUMBER = r"^[+-]?(?:(?:[0-9]+[.]?[0-9]*|[.][0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf|infinity))$"
+_INFINITY = r"^[+-]?(?i:inf|infinity)$"
+
+
 def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -15,11 +19,15 @@ def col_(c: str | Column) -> Column:
 def coerce_numeric(c: str | Column) -> Column:
     """Text to double the way a lenient numeric parse does it.
 
-    Unparsable text becomes null (``try_cast`` instead of an ANSI error) and
-    ``NaN`` becomes null too, so that it cannot poison ``avg``/``median``.
+    Only decimal numbers and infinities count: the cast alone would also take
+    Java suffixes (``1d``, ``2F``).  Unparsable text, ``NaN`` and numbers
+    beyond the range of a double become null, so that they cannot poison
+    ``avg``/``median``.
     """
-    x = col_(c).try_cast("double")
-    return F.when(~F.isnan(x), x)
+    text = F.trim(col_(c).cast("string"))
+    x = F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    in_range = ~x.isin(float("inf"), float("-inf")) | text.rlike(_INFINITY)
+    return F.when(~F.isnan(x) & in_range, x)
 
 
 def missing_flag(c: str | Column) -> Column:
@@ -87,19 +95,3 @@ def ratio_fill_zero(num: str | Column, den: str | Column) -> Column:
 
 def clip(c: str | Column, lo: float, hi: float) -> Column:
     return F.least(F.greatest(col_(c), F.lit(lo)), F.lit(hi))
-
-
-def k_for_fraction(n: Column, fraction: float, rule: str = "round") -> Column:
-    """Contact budget size for a fraction of ``n`` rows.
-
-    ``round``: ``max(1, round_half_even(fraction * n))`` (evaluation step).
-    ``floor``: ``max(1, floor(n * fraction))`` (notebook variant).
-    """
-    x = n.cast("double") * F.lit(fraction)
-    if rule == "round":
-        k = F.bround(x, 0)
-    elif rule == "floor":
-        k = F.floor(x)
-    else:
-        raise ValueError(f"unknown k rule {rule!r}")
-    return F.greatest(F.lit(1), k.cast("long"))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from campaignlens import schemas as S
+from campaignlens.operators.rank import with_position
 from campaignlens.functions import (
     bucketize,
     coerce_numeric,
@@ -27,34 +28,24 @@ BUCKET_COLUMNS = [
     "age_bucket",
 ]
 ONE_HOT_SOURCES = BUCKET_COLUMNS + ["smartphone_brand"]
-SMALL_DOMAIN = 10_000
 
 
-def median_of(df: DataFrame, c: Column, method: str = "exact", small_domain: int = SMALL_DOMAIN) -> Column:
+def median_of(df: DataFrame, c: Column, method: str = "exact") -> Column:
     """Global median of ``c`` as a scalar-subquery column.
 
-    ``exact`` interpolates between the two middle values.  Distinct values
-    are counted first in one pass and checkpointed; when there are at most
-    ``SMALL_DOMAIN`` of them (a checked bound) one weighted percentile over
-    that small frame gives the answer, otherwise the distributed order
-    statistics of ``profile.exact_quantiles_counted`` do, so no task holds a
-    large distribution.  Either way the returned scalar subquery reads the
-    stored counts, not the input.  ``builtin`` is Spark's ``median`` (one
-    value->count map merged in one task: fine for a handful of distinct
-    values).  ``approx`` is the percentile sketch.
+    ``exact`` interpolates between the two middle values: distinct values are
+    counted in one pass and stored, and the distributed order statistics of
+    ``profile.exact_quantiles_counted`` pick the middle, so no task holds the
+    distribution whatever its size; the returned subquery reads the stored
+    counts, not the input.  ``builtin`` is Spark's ``median`` (one value->count
+    map merged in one task: fine for a handful of distinct values).
+    ``approx`` is the percentile sketch.
     """
     if method == "exact":
         from campaignlens.operators.profile import exact_quantiles_counted
-        from campaignlens.session import ensure_checkpoint_dir
 
-        ensure_checkpoint_dir(df.sparkSession)
         values = df.select(c.alias("value")).where(F.col("value").isNotNull())
-        # One pass over the input: distinct values with counts, stored, so the
-        # size check, the median and every query that embeds it read only this.
-        distinct = values.groupBy("value").agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True)
-        if distinct.limit(small_domain + 1).count() <= small_domain:
-            # Proven small domain: one weighted exact percentile over <= small_domain rows.
-            return distinct.select(F.percentile("value", 0.5, F.col("c"))).scalar()
+        distinct = values.groupBy("value").agg(F.count(F.lit(1)).alias("c"))
         counted = distinct.select(F.lit("m").alias("column_name"), "value", "c")
         return exact_quantiles_counted(counted, [0.5]).select("q0").scalar()
     if method == "builtin":
@@ -66,19 +57,13 @@ def median_of(df: DataFrame, c: Column, method: str = "exact", small_domain: int
     return df.select(agg.alias("m")).scalar()
 
 
-def levels_of(df: DataFrame, c: str, max_levels: int = 1000) -> list[str]:
-    """Distinct non-null values in code-point order, bounded in size."""
-    rows = (
-        df.where(F.col(c).isNotNull())
-        .select(F.col(c).cast("string").alias("v"))
-        .distinct()
-        .orderBy("v")
-        .limit(max_levels + 1)
-        .collect()
-    )
-    if len(rows) > max_levels:
-        raise ValueError(f"{c} has more than {max_levels} levels; pass the domain explicitly")
-    return [r.v for r in rows]
+def category_levels(df: DataFrame, c: str) -> DataFrame:
+    """The domain of a category: ``(level, position)`` in code-point order, missing values left out.
+
+    A frame, not a list: how many levels there are is up to the data.
+    """
+    levels = df.where(F.col(c).isNotNull()).select(F.col(c).cast("string").alias("level")).distinct()
+    return with_position(levels, [F.col("level").asc()], name="position")
 
 
 def bucket_columns(age_edges: Sequence[float] = S.AGE_EDGES) -> dict[str, Column]:
@@ -92,13 +77,13 @@ def bucket_columns(age_edges: Sequence[float] = S.AGE_EDGES) -> dict[str, Column
     }
 
 
-def domains(brand_levels: Sequence[str] | None = S.BRAND_LEVELS) -> dict[str, list[str]]:
+def domains(brand_levels: Sequence[str] = S.BRAND_LEVELS) -> dict[str, list[str]]:
     return {
         "remaining_binding_days_bucket": list(S.BINDING_LABELS),
         "mrc_bucket": list(S.MRC_LABELS),
         "contract_term_bucket": list(S.TERM_LABELS),
         "age_bucket": list(S.AGE_LABELS),
-        "smartphone_brand": list(brand_levels) if brand_levels is not None else None,
+        "smartphone_brand": list(brand_levels),
     }
 
 
@@ -108,7 +93,7 @@ def process_core(
     median_value: float | Column | None = None,
     median_method: str = "exact",
     age_edges: Sequence[float] = S.AGE_EDGES,
-    brand_levels: Sequence[str] | None = S.BRAND_LEVELS,
+    brand_levels: Sequence[str] = S.BRAND_LEVELS,
 ) -> DataFrame:
     """Cleaned contracts with engineered columns.
 
@@ -117,8 +102,8 @@ def process_core(
     one indicator per non-first level of the four buckets and the brand.
     ``median_value`` lets a caller impute with a value fitted elsewhere (for
     example on the training folds only); by default it is the median of the
-    whole input, as in the reference step.  ``brand_levels=None`` derives the
-    brand domain from the data.
+    whole input, as in the reference step.  ``brand_levels`` is the brand
+    domain; it becomes columns, so it is given (``category_levels`` lists one).
     """
     gb = coerce_numeric("available_gb")
     if median_value is None:
@@ -127,8 +112,6 @@ def process_core(
         fill = median_value
     else:
         fill = F.lit(float(median_value))
-    if brand_levels is None:
-        brand_levels = levels_of(core, "smartphone_brand")
 
     out_cols = [F.coalesce(gb, fill).alias("available_gb") if c == "available_gb" else F.col(f"`{c}`")
                 for c in core.columns]

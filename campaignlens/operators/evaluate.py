@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from campaignlens import schemas as S
 from campaignlens.operators.rank import with_position, with_prefix_sums
+from campaignlens.session import ensure_checkpoint_dir
 
 
 def score_curve(scored: DataFrame, label: str = S.LABEL, score: str = "score") -> DataFrame:
@@ -207,11 +208,15 @@ def classification_report(
     An empty denominator gives 0, as the usual report does.
     """
     c = _threshold_counts(scored, threshold, label, score)
+    return c.select(F.inline(F.array(*report_rows(*(F.col(x) for x in ("tn", "fp", "fn", "tp"))))))
+
+
+def report_rows(tn: Column, fp: Column, fn: Column, tp: Column) -> list[Column]:
+    """Rows ``(class_label, precision, recall, f1_score, support)`` of a class report from its four counts."""
 
     def ratio(a: Column, b: Column) -> Column:
         return F.coalesce(F.try_divide(a.cast("double"), b), F.lit(0.0))
 
-    tn, fp, fn, tp = (F.col(x) for x in ("tn", "fp", "fn", "tp"))
     p1, r1 = ratio(tp, tp + fp), ratio(tp, tp + fn)
     p0, r0 = ratio(tn, tn + fn), ratio(tn, tn + fp)
     f1_1 = ratio(2 * p1 * r1, p1 + r1)
@@ -231,22 +236,18 @@ def classification_report(
     def wmean(a0: Column, a1: Column) -> Column:
         return ratio(a0 * s0 + a1 * s1, n)
 
-    return c.select(
-        F.inline(
-            F.array(
-                row("0", p0, r0, f1_0, s0),
-                row("1", p1, r1, f1_1, s1),
-                row("accuracy", None, None, ratio(tp + tn, n), n),
-                row("macro avg", (p0 + p1) / 2, (r0 + r1) / 2, (f1_0 + f1_1) / 2, n),
-                row("weighted avg", wmean(p0, p1), wmean(r0, r1), wmean(f1_0, f1_1), n),
-            )
-        )
-    )
+    return [
+        row("0", p0, r0, f1_0, s0),
+        row("1", p1, r1, f1_1, s1),
+        row("accuracy", None, None, ratio(tp + tn, n), n),
+        row("macro avg", (p0 + p1) / 2, (r0 + r1) / 2, (f1_0 + f1_1) / 2, n),
+        row("weighted avg", wmean(p0, p1), wmean(r0, r1), wmean(f1_0, f1_1), n),
+    ]
 
 
 def gains_curve(scored: DataFrame, label: str = S.LABEL, key: str = S.KEY, score: str = "score") -> DataFrame:
-    """Every row with its rank and the positives at or above it."""
-    y = scored.withColumn("_y", F.col(label).cast("long"))
+    """Every row with its rank and the positives at or above it (a missing label counts as none)."""
+    y = scored.select(key, label, score, F.coalesce(F.col(label).cast("long"), F.lit(0)).alias("_y"))
     out = with_prefix_sums(y, [F.col(score).desc(), F.col(key).asc()], ["_y"], position="rank")
     return out.select(key, label, score, "rank", F.col("cum__y").alias("cum_pos"))
 
@@ -271,56 +272,47 @@ def base_rate(scored: DataFrame, label: str = S.LABEL) -> DataFrame:
 def eval_report(scored: DataFrame, label: str = S.LABEL, key: str = S.KEY, score: str = "score") -> DataFrame:
     """All headline metrics in long form ``(metric, value)``.
 
-    The scored frame feeds every metric, so it is persisted once.  AP and
-    ROC AUC come from one score curve, and the top-k metrics and the budget
-    matrix from one ranking: two distributed orderings in all.
+    The narrow scored rows are stored once (checkpoint) and feed every metric.
+    AP and ROC AUC come from one score curve, the top-k metrics and the budget
+    matrix from one ranking, and the base rate and both threshold matrices
+    from one aggregate.
     """
-    scored = scored.persist()
+    ensure_checkpoint_dir(scored.sparkSession)
+    scored = scored.select(key, label, score).checkpoint(eager=True)
     ranking = rank_once(scored, label, key, score)
-    def kv(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-        return df.select(
-            F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(c).cast("double").alias("value"))
-                               for m, c in pairs]))
-        )
+    _, n, pos = ranking
+
+    def listed(df: DataFrame, pairs: list[tuple[Column, Column]]) -> DataFrame:
+        rows = [F.struct(m.alias("metric"), v.cast("double").alias("value")) for m, v in pairs]
+        return df.select(F.inline(F.array(*rows)))
+
+    def cells(name: str) -> list[tuple[Column, Column]]:
+        return [
+            (F.concat(F.lit(name + "["), F.col("actual"), F.lit(f",{p}]")), F.col(f"pred_{p}")) for p in (0, 1)
+        ]
 
+    matrix = confusion_at_threshold(scored, label=label, score=score)
+    pct = F.concat((F.round(F.col("k_frac") * 100)).cast("int").cast("string"), F.lit("%"))
+    at_k = [("P@", "precision_at_k"), ("R@", "recall_at_k"), ("Lift@", "lift_at_k"), ("k_n@", "k_n")]
+    curve = curve_metrics(scored, label, score)
     parts = [
-        kv(base_rate(scored, label), [("BaselinePosRate", "pos_rate")]),
-        kv(curve_metrics(scored, label, score), [("PR_AUC", "average_precision"), ("ROC_AUC", "roc_auc")]),
+        listed(curve, [
+            (F.lit("BaselinePosRate"), F.lit(pos / n if n else None)),
+            (F.lit("PR_AUC"), F.col("average_precision")),
+            (F.lit("ROC_AUC"), F.col("roc_auc")),
+            (F.lit("DecisionThreshold"), F.lit(S.DECISION_THRESHOLD)),
+        ]),
+        listed(
+            precision_at_k(scored, label=label, key=key, score=score, ranking=ranking),
+            [(F.concat(F.lit(m), pct), F.col(c)) for m, c in at_k],
+        ),
+        listed(
+            confusion_at_budget(scored, label=label, key=key, score=score, ranking=ranking),
+            cells("ConfusionMatrix@10%"),
+        ),
+        listed(matrix, cells("ConfusionMatrix@Threshold")),
+        listed(normalise_rows(matrix), cells("ConfusionMatrixRowNorm@Threshold")),
     ]
-    pk = precision_at_k(scored, label=label, key=key, score=score, ranking=ranking)
-    pct = F.concat((F.round(F.col("k_frac") * 100)).cast("int").cast("string"), F.lit("%"))
-    parts.append(
-        pk.select(
-            F.inline(
-                F.array(
-                    F.struct(F.concat(F.lit("P@"), pct).alias("metric"), F.col("precision_at_k").alias("value")),
-                    F.struct(F.concat(F.lit("R@"), pct).alias("metric"), F.col("recall_at_k").alias("value")),
-                    F.struct(F.concat(F.lit("Lift@"), pct).alias("metric"), F.col("lift_at_k").alias("value")),
-                )
-            )
-        )
-    )
-    for name, m in (
-        ("ConfusionMatrix@10%", confusion_at_budget(scored, label=label, key=key, score=score, ranking=ranking)),
-        ("ConfusionMatrix@Threshold", confusion_at_threshold(scored, label=label, score=score)),
-    ):
-        parts.append(
-            m.select(
-                F.inline(
-                    F.array(
-                        F.struct(F.format_string(name.replace("%", "%%") + "[%d,0]", "actual").alias("metric"),
-                                 F.col("pred_0").cast("double").alias("value")),
-                        F.struct(F.format_string(name.replace("%", "%%") + "[%d,1]", "actual").alias("metric"),
-                                 F.col("pred_1").cast("double").alias("value")),
-                    )
-                )
-            )
-        )
-    parts.append(
-        base_rate(scored, label).select(
-            F.lit("DecisionThreshold").alias("metric"), F.lit(S.DECISION_THRESHOLD).alias("value")
-        )
-    )
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

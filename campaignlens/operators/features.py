@@ -2,14 +2,16 @@
 
 Each aggregate is a single ``groupBy`` with partial (map-side) aggregation,
 so a hot key is combined before the shuffle.  The ordered first/last values
-are ``min_by``/``max_by`` over a sort-key struct inside the same aggregate;
+are ``min_by``/``max_by`` over a fixed-width order key inside the same aggregate;
 the four pattern counts are conditional sums inside the interaction
 aggregate.  No self-join and no sort is needed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from decimal import Decimal
+from types import MappingProxyType
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,50 +20,56 @@ from campaignlens import schemas as S
 from campaignlens.functions import contains_pattern, ratio_fill_zero
 from campaignlens.operators.joins import hot_key_left_join, hot_keys
 
-USAGE_OUTPUT = [
-    "rating_account_id",
-    "total_used_gb",
-    "avg_used_gb",
-    "std_used_gb",
-    "min_used_gb",
-    "max_used_gb",
-    "usage_month_count",
-    "roaming_months",
-    "roaming_ratio",
-    "had_roaming",
-    "usage_increase",
-    "usage_trend",
-]
+NO_TIES: Mapping[str, int] = MappingProxyType({})
 
 
-def _period_order_key(month: Column, ties: Sequence[str]) -> Column:
-    # Missing periods sort last, then the period, then explicit tie columns.
-    return F.struct(month.isNull().alias("_null"), month.alias("_m"), *[F.col(t) for t in ties])
+# Seven digits for the period's day: every date shifted to be positive, a missing period after all of them.
+_DAY_SHIFT = 1_000_000
+_MISSING_DAY = 9_999_999
+_DAY_DIGITS = 7
+_KEY_DIGITS = 38
 
 
-# Order key of a missing period when the key is a day number: after every date.
-_MISSING_PERIOD_DAY = 1 << 62
+def period_order_key(month: Column, ties: Mapping[str, int]) -> Column:
+    """Order of a usage row inside its contract as one ``decimal(38,0)``.
 
+    Missing periods last, then the period, then the tie columns (missing
+    first).  ``ties`` maps each tie column to its number of digits; a value
+    that does not fit ends the query instead of spoiling the order.  A decimal
+    is a fixed-width aggregation buffer, so ``min_by``/``max_by`` over it are
+    hash aggregates with and without ties.
+    """
+    if sum(ties.values()) + _DAY_DIGITS > _KEY_DIGITS:
+        raise ValueError("the tie columns have too many digits")
+    dec = f"decimal({_KEY_DIGITS},0)"
+    day = F.coalesce(F.unix_date(month).cast("long") + F.lit(_DAY_SHIFT), F.lit(_MISSING_DAY))
+    key, below = day.cast(dec), sum(ties.values())
+    key = key * F.lit(Decimal(10**below)).cast(dec)
+    for name, digits in ties.items():
+        below -= digits
+        c = F.col(name).cast("long")
+        fits = c.isNull() | ((c >= 0) & (c + 1 < F.lit(Decimal(10**digits))))
+        place = F.when(fits, F.coalesce(c + 1, F.lit(0))).otherwise(
+            F.raise_error(F.lit(f"{name} does not fit {digits} digits")).cast("long")
+        )
+        key = key + place.cast(dec) * F.lit(Decimal(10**below)).cast(dec)
+    return key.cast(dec)
 
-def first_last_exprs(value: str, month: Column, ties: Sequence[str]) -> tuple[Column, Column]:
-    """First and last non-missing ``value`` in period order (two aggregates).
 
-    Without tie columns (one row per account and period, the production
-    table) the order key is the period's day number as a ``long``, missing
-    periods last: a fixed-width aggregation buffer, so Spark plans a hash
-    aggregate.  Tie columns need the struct key, which makes Spark fall back
-    to a sort-based aggregate (it spills and scales, but sorts each map
-    partition).
-    """
+def first_last_exprs(value: str, month: Column, ties: Mapping[str, int]) -> tuple[Column, Column]:
+    """First and last non-missing ``value`` in period order (two aggregates)."""
     v = F.col(value)
-    if ties:
-        key = F.when(v.isNotNull(), _period_order_key(month, ties))
-    else:
-        key = F.when(v.isNotNull(), F.coalesce(F.unix_date(month).cast("long"), F.lit(_MISSING_PERIOD_DAY)))
+    key = F.when(v.isNotNull(), period_order_key(month, ties))
     return F.min_by(v, key), F.max_by(v, key)
 
 
-def usage_features(usage: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
+def _usage_rows(usage: DataFrame) -> DataFrame:
+    """Usage rows of an account; a NaN volume is a missing one."""
+    gb = F.col("used_gb").cast("double")
+    return usage.where(F.col(S.KEY).isNotNull()).withColumn("used_gb", F.when(~F.isnan(gb), gb))
+
+
+def usage_features(usage: DataFrame, ties: Mapping[str, int] = NO_TIES) -> DataFrame:
     """Usage statistics and first-vs-last trend per ``rating_account_id``.
 
     Null keys are dropped like a pandas group-by does; a group with only
@@ -71,7 +79,7 @@ def usage_features(usage: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
     month = F.to_date("billed_period_month_d")
     first, last = first_last_exprs("used_gb", month, ties)
     agg = (
-        usage.where(F.col(S.KEY).isNotNull())
+        _usage_rows(usage)
         .groupBy(S.KEY)
         .agg(
             F.coalesce(F.sum("used_gb"), F.lit(0.0)).alias("total_used_gb"),
@@ -101,11 +109,11 @@ def usage_features(usage: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def usage_trend(usage: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
+def usage_trend(usage: DataFrame, ties: Mapping[str, int] = NO_TIES) -> DataFrame:
     """First and last usage per contract with the increase flag and delta."""
     month = F.to_date("billed_period_month_d")
     first, last = first_last_exprs("used_gb", month, ties)
-    agg = usage.where(F.col(S.KEY).isNotNull()).groupBy(S.KEY).agg(
+    agg = _usage_rows(usage).groupBy(S.KEY).agg(
         first.alias("first_used_gb"), last.alias("last_used_gb")
     )
     return agg.select(
@@ -133,7 +141,7 @@ def pattern_counts(
     return (
         interactions.where(F.col(S.CUSTOMER).isNotNull())
         .groupBy(S.CUSTOMER)
-        .agg(*[pattern_sum(p).cast("int").alias(name) for p, name in patterns])
+        .agg(*[pattern_sum(p).cast("long").alias(name) for p, name in patterns])
     )
 
 
@@ -142,17 +150,17 @@ def interaction_features(
 ) -> DataFrame:
     """Totals, distinct subtypes, recency and pattern counts per customer.
 
-    Every column is an int with missing values filled with 0, as the
+    Every column is a 64-bit integer with missing values filled with 0, as the
     reference step does (its later fill of recency with 999 never applies).
     """
     return (
         interactions.where(F.col(S.CUSTOMER).isNotNull())
         .groupBy(S.CUSTOMER)
         .agg(
-            F.coalesce(F.sum("n"), F.lit(0)).cast("int").alias("num_interactions"),
-            F.count_distinct("type_subtype").cast("int").alias("num_unique_interactions"),
-            F.coalesce(F.min("days_since_last"), F.lit(0)).cast("int").alias("recency"),
-            *[pattern_sum(p).cast("int").alias(name) for p, name in patterns],
+            F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("num_interactions"),
+            F.count_distinct("type_subtype").cast("long").alias("num_unique_interactions"),
+            F.coalesce(F.min("days_since_last"), F.lit(0)).cast("long").alias("recency"),
+            *[pattern_sum(p).cast("long").alias(name) for p, name in patterns],
         )
     )
 
@@ -181,12 +189,12 @@ def merge_features(core: DataFrame, usage_agg: DataFrame | None, interaction_agg
 
 
 def fill_interactions(merged: DataFrame, recency_fill: int = S.RECENCY_FILL) -> DataFrame:
-    """Notebook fills after the merge: counts -> 0, recency -> 999, as ints.
+    """Notebook fills after the merge: counts -> 0, recency -> 999, as 64-bit integers.
 
     Only the interaction columns present are filled.
     """
-    fills = {c: F.coalesce(F.col(c), F.lit(0)).cast("int") for c in S.INTERACTION_COUNT_COLUMNS
+    fills = {c: F.coalesce(F.col(c), F.lit(0)).cast("long") for c in S.INTERACTION_COUNT_COLUMNS
              if c in merged.columns}
     if "recency" in merged.columns:
-        fills["recency"] = F.coalesce(F.col("recency"), F.lit(recency_fill)).cast("int")
+        fills["recency"] = F.coalesce(F.col("recency"), F.lit(recency_fill)).cast("long")
     return merged.withColumns(fills)

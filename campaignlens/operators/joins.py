@@ -1,18 +1,17 @@
 """n:1 left join that spreads hot keys over several reducers (salting).
 
 The right side is unique on the key (one row per customer); the left side
-may hold a third of its rows under one key.  Keys whose left count exceeds
-a share of the rows are found with one partially aggregated count over the
-key column alone; there can be at most ``1 / share`` of them and at most
-``max_hot`` are kept, so the list has a proven size bound and is broadcast.
-Each hot key gets a number of salts that grows with its row count
-(``ceil(rows / rows_per_salt)``, at most ``salt_buckets``), so every salted
-reducer receives about ``rows_per_salt`` rows of that key however large it
-is.  Left rows of a hot key get a salt from a hash of the row, the right
-row of a hot key is repeated once per salt (at most ``max_hot *
-salt_buckets`` rows in all), and the join runs on ``(key, salt)``: one
-shuffle, the left side evaluated once.  Cold keys keep salt 0.  Every row
-meets exactly its own right row, so the result is the plain left join.
+may hold a third of its rows under one key.  One rule holds at every size: a
+key with more left rows than one shuffle partition gets on average
+(``rows / partitions``) is hot and gets as many salts as it fills such
+partitions.  At most ``partitions`` keys can be hot and their salts add up to
+at most twice that, a bound set by the cluster's partition number and not by
+the data, so the list is broadcast.  Left rows of a hot key get a salt from a
+hash of the row, the right row of a hot key is repeated once per salt, and the
+join runs on ``(key, salt)``: one shuffle, the left side evaluated once, and no
+reducer receives much more than its share of a key.  Other keys keep salt 0.
+Every row meets exactly its own right row, so the result is the plain left
+join.
 """
 
 from __future__ import annotations
@@ -21,64 +20,53 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = "_rows"
+HOT_SALTS = "_salts"
 
 
-def hot_keys_from_counts(counts: DataFrame, key: str, count_col: str, share: float = 0.001,
-                         min_rows: int = 100_000, max_hot: int = 1000) -> DataFrame:
-    """Hot keys ``(key, _rows)`` from a per-key count table (one row per key).
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def hot_keys_from_counts(counts: DataFrame, key: str, count_col: str, partitions: int | None = None) -> DataFrame:
+    """Hot keys ``(key, _rows, _salts)`` from a per-key count table (one row per key).
 
     Callers that already hold per-key row counts (the fold table has one row
     per customer with its contract count) pass them here instead of counting
     the left side again.
     """
-    counts = counts.where(F.col(key).isNotNull())
-    total = counts.select(F.sum(count_col)).scalar()
-    bar = F.greatest(F.lit(min_rows), (total * F.lit(share)).cast("long"))
-    # A total order (count, then key): both uses of the list in the join see the same keys.
-    return (
-        counts.where(F.col(count_col) > bar)
-        .orderBy(F.col(count_col).desc(), F.col(key).asc())
-        .limit(max_hot)
-        .select(key, F.col(count_col).cast("long").alias(HOT_ROWS))
-    )
-
-
-def hot_keys(left: DataFrame, key: str, share: float = 0.001, min_rows: int = 100_000,
-             max_hot: int = 1000) -> DataFrame:
-    """Keys holding more than ``max(min_rows, share * rows)`` left rows, at most ``max_hot``."""
-    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("_c"))
-    return hot_keys_from_counts(counts, key, "_c", share, min_rows, max_hot)
+    n = partitions or shuffle_partitions(counts)
+    counts = counts.where(F.col(key).isNotNull()).select(key, F.col(count_col).cast("long").alias(HOT_ROWS))
+    filled = F.col(HOT_ROWS) * F.lit(n) / counts.select(F.sum(HOT_ROWS)).scalar()
+    return counts.where(filled > 1).withColumn(HOT_SALTS, F.ceil(filled).cast("int"))
 
 
-def salt_counts(hot: DataFrame, key: str, salt_buckets: int = 4096, rows_per_salt: int = 1_000_000) -> DataFrame:
-    """``(key, _salts)``: ``ceil(rows / rows_per_salt)`` salts per hot key, between 1 and ``salt_buckets``."""
-    n = F.least(F.lit(salt_buckets), F.greatest(F.lit(1), F.ceil(F.col(HOT_ROWS) / F.lit(rows_per_salt))))
-    return hot.select(key, n.cast("int").alias("_salts"))
+def hot_keys(left: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """Keys holding more left rows than an average shuffle partition, with their salts."""
+    return hot_keys_from_counts(left.groupBy(key).agg(F.count(F.lit(1)).alias("_c")), key, "_c", partitions)
 
 
-def hot_key_left_join(left: DataFrame, right: DataFrame, key: str, salt_buckets: int = 4096,
-                      share: float = 0.001, min_rows: int = 100_000, max_hot: int = 1000,
-                      hot: DataFrame | None = None, rows_per_salt: int = 1_000_000) -> DataFrame:
+def hot_key_left_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame | None = None,
+                      partitions: int | None = None) -> DataFrame:
     """``left.join(right, key, "left")`` with hot keys salted by their size.
 
     ``right`` must be unique on ``key``.  Columns come out as the plain
     join's: the key, then the left columns, then the right columns.
-    ``hot`` is an optional hot-key list ``(key, _rows)`` from ``hot_keys`` or
-    ``hot_keys_from_counts`` (bounded by their ``max_hot``) computed from a
-    cheaper source than ``left`` itself, for example the base table ``left``
-    was derived from by 1:1 joins.  Any key list gives the same rows; the
-    list only decides which keys are spread and how widely.
+    ``hot`` is an optional hot-key list from ``hot_keys`` or
+    ``hot_keys_from_counts`` computed from a cheaper source than ``left``
+    itself, for example the base table ``left`` was derived from by 1:1 joins.
+    Any key list gives the same rows; the list only decides which keys are
+    spread and how widely.
     """
     if hot is None:
-        hot = hot_keys(left, key, share, min_rows, max_hot)
-    hot = F.broadcast(salt_counts(hot, key, salt_buckets, rows_per_salt))
+        hot = hot_keys(left, key, partitions)
+    hot = F.broadcast(hot.select(key, HOT_SALTS))  # at most one row per shuffle partition
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
-    # The row hash is evaluated for rows of hot keys only (cold rows take salt 0).
+    # The row hash is evaluated for rows of hot keys only (other rows take salt 0).
     salted_left = left.join(hot, key, "left").withColumn(
-        "_salt", F.when(F.col("_salts").isNotNull(), F.pmod(row_hash, F.col("_salts"))).otherwise(F.lit(0)).cast("int")
-    ).drop("_salts")
-    salts = F.when(F.col("_salts").isNotNull(), F.sequence(F.lit(0), F.col("_salts") - 1)).otherwise(
+        "_salt", F.when(F.col(HOT_SALTS).isNotNull(), F.pmod(row_hash, F.col(HOT_SALTS))).otherwise(F.lit(0)).cast("int")
+    ).drop(HOT_SALTS)
+    salts = F.when(F.col(HOT_SALTS).isNotNull(), F.sequence(F.lit(0), F.col(HOT_SALTS) - 1)).otherwise(
         F.array(F.lit(0))
     )
-    salted_right = right.join(hot, key, "left").withColumn("_salt", F.explode(salts)).drop("_salts")
+    salted_right = right.join(hot, key, "left").withColumn("_salt", F.explode(salts)).drop(HOT_SALTS)
     return salted_left.join(salted_right, [key, "_salt"], "left").drop("_salt")

@@ -11,8 +11,10 @@ before assembly (Spark's trees do not take NaN).  Scores keep the row key:
 
 from __future__ import annotations
 
+import random
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from itertools import product
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -20,38 +22,32 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.ml.feature import UnivariateFeatureSelector, VarianceThresholdSelector, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from campaignlens import schemas as S
 from campaignlens.operators import evaluate
+from campaignlens.operators.joins import shuffle_partitions
+from campaignlens.operators.rank import with_position
 from campaignlens.operators.split import with_class_weight
+from campaignlens.session import ensure_checkpoint_dir
 
 
 def model_frame(df: DataFrame, features: Sequence[str], label: str = S.LABEL) -> DataFrame:
     """Key, fold, label (as double), weight and the numeric features (nulls -> 0)."""
     cols = [F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)).alias(c) for c in features]
-    base = df.select(S.KEY, "fold", F.col(label).cast("double").alias("label"), *cols)
-    return base
+    return df.select(S.KEY, "fold", F.col(label).cast("double").alias("label"), *cols)
 
 
-def spread(df: DataFrame, key: str = S.KEY) -> DataFrame:
-    """Cached frame with at least the cluster's default parallelism in partitions.
+def stored_frame(df: DataFrame, key: str = S.KEY) -> DataFrame:
+    """The modelling frame dealt over the shuffle partitions by its key and stored (checkpoint).
 
     Iterative learners pass over their input many times, one task per
-    partition; a small feature table can arrive in one partition (broadcast
-    joins over a single split), which would serialise every pass.  Large
-    inputs already have enough partitions and are left as they are.
+    partition; the deal is the same whatever the input's own partitions are.
     """
-    cached = df.cache()
-    target = df.sparkSession.sparkContext.defaultParallelism
-    cached.count()
-    if cached.rdd.getNumPartitions() >= target:
-        return cached
-    spread_out = df.repartition(target, key).cache()
-    spread_out.count()
-    cached.unpersist()
-    return spread_out
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.repartition(shuffle_partitions(df), key).checkpoint(eager=True)
 
 
 def assembler(features: Sequence[str], output: str = "features") -> VectorAssembler:
@@ -117,9 +113,15 @@ def _dense_fold(train: DataFrame):
     return idx, len(folds)
 
 
-def logistic(max_iter: int = 1000, reg: float = 0.0) -> LogisticRegression:
+def logistic(n_rows: int, c: float = S.LR_C, max_iter: int = S.LR_MAX_ITER) -> LogisticRegression:
+    """Logistic regression with an L2 penalty of inverse strength ``c``.
+
+    The reference minimises ``c * sum(w * loss) + |b|^2 / 2``, Spark the mean
+    loss plus ``reg * |b|^2 / 2``; balanced weights add up to the number of
+    training rows, so ``reg = 1 / (c * n_rows)``.  Inputs are not standardised.
+    """
     return LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", maxIter=max_iter,
-                              regParam=reg, standardization=False)
+                              regParam=1.0 / (c * max(n_rows, 1)), standardization=False)
 
 
 def boosted(max_iter: int = 300, max_depth: int = 4, step: float = 0.05, subsample: float = 0.8,
@@ -135,65 +137,154 @@ def compare_feature_sets(
     threshold: float = S.NOTEBOOK_THRESHOLD,
     fractions: Sequence[float] = S.TOP_K_FRACTIONS,
     parallelism: int = 4,
+    max_depth: int = S.COMPARE_MAX_DEPTH,
 ) -> DataFrame:
-    """One forest per feature set, scored on the test fold, in long form.
+    """One forest per feature set, scored on the test fold, in long form ``(feature_set, metric, value)``.
 
-    Fits run concurrently from driver threads on one cached frame.  Metrics:
-    the class report at ``threshold`` and precision at k (floor rule).
+    Fits run concurrently from driver threads on one stored frame; every model
+    scores the test fold once, and all sets share one grouped class report
+    (precision, recall, f1 and support per class, the means and the accuracy at
+    ``threshold``) and one grouped ranking (precision at k, floor rule).  Trees
+    on raw columns grow with the rows, so their depth is bounded.
     """
     train = frame.where(F.col("fold") != 0)
     test = frame.where(F.col("fold") == 0)
 
     def run(item):
         name, feats = item
-        model = fit(train, feats, forest(num_trees=num_trees))
-        s = scores(model, test)
-        rep = evaluate.classification_report(s, threshold).select(
-            F.lit(name).alias("feature_set"),
-            F.concat(F.lit("report:"), F.col("class_label")).alias("metric"),
-            F.col("f1_score").alias("value"),
-        )
-        pk = evaluate.precision_at_k(s, fractions, rule="floor").select(
-            F.lit(name).alias("feature_set"),
-            F.concat(F.lit("precision@"), F.col("k_frac").cast("string")).alias("metric"),
-            F.col("precision_at_k").alias("value"),
-        )
-        return rep.unionByName(pk)
+        model = fit(train, feats, forest(num_trees=num_trees, max_depth=max_depth))
+        return scores(model, test).withColumn("feature_set", F.lit(name))
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         parts = list(pool.map(run, sets.items()))
-    out = parts[0]
+    every = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        every = every.unionByName(p)
+    every = every.checkpoint(eager=True)
+    return grouped_report(every, "feature_set", threshold).unionByName(
+        grouped_precision_at_k(every, "feature_set", fractions)
+    )
+
+
+def grouped_report(scored: DataFrame, group: str, threshold: float) -> DataFrame:
+    """The class report of every group in one pass: ``(group, metric, value)``."""
+    pred, y = F.col("score") >= F.lit(threshold), F.col(S.LABEL) == 1
+    counts = scored.groupBy(group).agg(
+        F.count_if(~y & ~pred).alias("tn"), F.count_if(~y & pred).alias("fp"),
+        F.count_if(y & ~pred).alias("fn"), F.count_if(y & pred).alias("tp"),
+    )
+    rows = evaluate.report_rows(*(F.col(c) for c in ("tn", "fp", "fn", "tp")))
+    long = counts.select(group, F.inline(F.array(*rows)))
+    cells = [
+        F.struct(F.concat(F.col("class_label"), F.lit(f":{c}")).alias("metric"), F.col(c).cast("double").alias("value"))
+        for c in ("precision", "recall", "f1_score", "support")
+    ]
+    return long.select(group, F.inline(F.array(*cells))).where(F.col("value").isNotNull())
+
+
+def grouped_precision_at_k(scored: DataFrame, group: str, fractions: Sequence[float]) -> DataFrame:
+    """Precision at k (floor rule) of every group from one ranking: ``(group, metric, value)``."""
+    order = [F.col(group).asc(), F.col("score").desc(), F.col(S.KEY).asc()]
+    ranked = with_position(scored.select(group, S.KEY, S.LABEL, "score"), order, name="_p")
+    # One row per group: a bounded frame, broadcast.
+    spans = F.broadcast(ranked.groupBy(group).agg(F.min("_p").alias("_first"), F.count(F.lit(1)).alias("_n")))
+    met = ranked.join(spans, group)
+    k = [F.greatest(F.lit(1), F.floor(F.lit(f) * F.col("_n"))).cast("long") for f in fractions]
+    inside = met.groupBy(group).agg(*[
+        (F.sum(F.when(F.col("_p") - F.col("_first") < k[i], F.col(S.LABEL)).otherwise(0)) / F.max(k[i])).alias(f"p{i}")
+        for i in range(len(fractions))
+    ])
+    cells = [
+        F.struct(F.lit(f"precision@{f}").alias("metric"), F.col(f"p{i}").cast("double").alias("value"))
+        for i, f in enumerate(fractions)
+    ]
+    return inside.select(group, F.inline(F.array(*cells)))
+
+
+def selector_statistics(frame: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``(feature, variance, f_value)`` over the training folds: the inputs of the two filter selectors.
+
+    ``variance`` is the sample variance; ``f_value`` the one-way ANOVA F of the
+    feature between the label's classes (null where the classes do not vary).
+    All features are reshaped by one ``explode`` and aggregated once.
+    """
+    from campaignlens.operators.profile import long_values
+
+    long = long_values(frame.where(F.col("fold") != 0), features, "double", extra=["label"])
+    by_class = long.groupBy("column_name", "label").agg(
+        F.count(F.lit(1)).cast("double").alias("n"), F.avg("value").alias("m"), F.var_pop("value").alias("v")
+    )
+    total = by_class.groupBy("column_name").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"),
+        (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("grand"), F.sum(F.col("n") * F.col("v")).alias("within"),
+        F.sum(F.col("n") * F.col("m") * F.col("m")).alias("squares"),
+    )
+    # One row per feature and class: small frames.
+    between = by_class.join(F.broadcast(total.select("column_name", "grand")), "column_name").groupBy("column_name").agg(
+        F.sum(F.col("n") * (F.col("m") - F.col("grand")) * (F.col("m") - F.col("grand"))).alias("between")
+    )
+    both = total.join(F.broadcast(between), "column_name")
+    f_value = F.try_divide(
+        F.try_divide(F.col("between"), F.col("k") - 1), F.try_divide(F.col("within"), F.col("n") - F.col("k"))
+    )
+    return both.select(
+        F.col("column_name").alias("feature"),
+        F.try_divide(F.col("between") + F.col("within"), F.col("n") - 1).alias("variance"),
+        f_value.alias("f_value"),
+    )
 
 
-def select_features(frame: DataFrame, features: Sequence[str], top: int = 10) -> DataFrame:
-    """Variance filter (drops constant inputs) and univariate ANOVA F-test top-k."""
-    data = assembler(features).transform(frame.where(F.col("fold") != 0))
+def select_features(
+    frame: DataFrame, features: Sequence[str], top: int = 10, num_trees: int = S.RF_NOTEBOOK_TREES
+) -> DataFrame:
+    """Two filters and an embedded selector over the training folds.
+
+    ``kept_by_variance`` drops constant inputs, ``kept_by_univariate`` keeps
+    the top-k by ANOVA F, ``kept_by_embedded`` those whose impurity importance
+    in a forest is at least the mean importance.
+    """
+    train = frame.where(F.col("fold") != 0)
+    data = assembler(features).transform(train)
     var_model = VarianceThresholdSelector(featuresCol="features", outputCol="v_sel", varianceThreshold=0.0).fit(data)
     uni = UnivariateFeatureSelector(featuresCol="features", outputCol="u_sel", labelCol="label",
                                     selectionMode="numTopFeatures")
     uni.setFeatureType("continuous").setLabelType("categorical").setSelectionThreshold(top)
     uni_model = uni.fit(data)
-    kept_var = set(var_model.selectedFeatures)
-    kept_uni = set(uni_model.selectedFeatures)
-    rows = [(f, int(i in kept_var), int(i in kept_uni)) for i, f in enumerate(features)]
+    fitted = fit(train, features, forest(num_trees=num_trees, max_depth=S.COMPARE_MAX_DEPTH))
+    weight = dict(importances(fitted, features, top=None))
+    mean = sum(weight.values()) / max(len(weight), 1)
+    kept_var, kept_uni = set(var_model.selectedFeatures), set(uni_model.selectedFeatures)
+    rows = [(f, int(i in kept_var), int(i in kept_uni), int(weight[f] >= mean)) for i, f in enumerate(features)]
     return frame.sparkSession.createDataFrame(
-        rows, "feature string, kept_by_variance int, kept_by_univariate int"
+        rows, "feature string, kept_by_variance int, kept_by_univariate int, kept_by_embedded int"
     )
 
 
-def tune(frame: DataFrame, features: Sequence[str], grid: dict[str, Sequence], parallelism: int = 4) -> DataFrame:
-    """Grid search with cross-validation over the training folds (ROC AUC)."""
+def full_grid(space: dict[str, Sequence]) -> list[dict]:
+    """Every combination of the parameter values."""
+    names = sorted(space)
+    return [dict(zip(names, values)) for values in product(*(space[n] for n in names))]
+
+
+def random_grid(space: dict[str, Sequence], n: int, seed: int = S.SPLIT_SEED) -> list[dict]:
+    """``n`` different combinations drawn at random (all of them if there are fewer)."""
+    grid = full_grid(space)
+    return random.Random(seed).sample(grid, min(n, len(grid)))
+
+
+def tune(
+    frame: DataFrame, features: Sequence[str], candidates: Sequence[dict], parallelism: int = 4
+) -> tuple[DataFrame, dict, PipelineModel]:
+    """Cross-validated search over the training folds (ROC AUC).
+
+    Returns the table ``(params, mean_roc_auc, is_best)``, the best parameters
+    and the model refitted with them on all training rows.
+    """
     train = frame.where(F.col("fold") != 0)
     idx, k = _dense_fold(train)
     data = with_class_weight(train, "label").withColumn("cv_fold", idx)
     est = forest()
-    builder = ParamGridBuilder()
-    for param, values in grid.items():
-        builder = builder.addGrid(est.getParam(param), list(values))
-    maps = builder.build()
+    maps = [{est.getParam(name): value for name, value in c.items()} for c in candidates]
     cv = CrossValidator(
         estimator=Pipeline(stages=[assembler(features), est]),
         estimatorParamMaps=maps,
@@ -204,18 +295,42 @@ def tune(frame: DataFrame, features: Sequence[str], grid: dict[str, Sequence], p
         parallelism=parallelism,
     )
     res = cv.fit(data)
+    best = max(range(len(candidates)), key=lambda i: (res.avgMetrics[i], -i))
     rows = [
-        (", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda kv: kv[0].name)), float(metric))
-        for m, metric in zip(maps, res.avgMetrics)
+        (", ".join(f"{n}={c[n]}" for n in sorted(c)), float(res.avgMetrics[i]), int(i == best))
+        for i, c in enumerate(candidates)
     ]
-    return frame.sparkSession.createDataFrame(rows, "params string, mean_roc_auc double")
+    table = frame.sparkSession.createDataFrame(rows, "params string, mean_roc_auc double, is_best int")
+    return table, dict(candidates[best]), res.bestModel
+
+
+def champion_auc(spark: SparkSession, path: str) -> float | None:
+    """ROC AUC of the champion saved under ``path``, if there is one."""
+    try:
+        row = spark.read.json(f"{path}/metrics").first()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return float(row["roc_auc"]) if row else None
+
+
+def load_champion(path: str) -> PipelineModel:
+    return PipelineModel.load(f"{path}/model")
 
 
 def promote(model: PipelineModel, auc: float | None, path: str, min_auc: float = S.PROMOTION_MIN_AUC) -> bool:
-    """Save the model as the champion when its AUC clears the bar."""
-    if auc is None or auc < min_auc:
+    """Save the model as the champion when its AUC clears the bar and beats the current champion's.
+
+    ``path`` is a durable folder of the caller's choice; it holds the model and
+    its AUC, so another session finds and compares it.
+    """
+    spark = SparkSession.active()
+    current = champion_auc(spark, path)
+    if auc is None or auc < min_auc or (current is not None and auc <= current):
         return False
-    model.write().overwrite().save(path)
+    model.write().overwrite().save(f"{path}/model")
+    spark.createDataFrame([(float(auc),)], "roc_auc double").coalesce(1).write.mode("overwrite").json(f"{path}/metrics")
     return True
 
 
@@ -223,39 +338,33 @@ def permutation_importance(model: PipelineModel, test: DataFrame, features: Sequ
                            seed: int = S.SPLIT_SEED) -> DataFrame:
     """ROC AUC drop when one input column of the test rows is permuted.
 
-    All permutations are dealt in one distributed pass: the test rows are
-    numbered by key, and the long form ``(feature, key, value)`` is numbered
-    by (feature, seeded hash of feature:key, key); row ``p`` of the copy for
-    feature ``f`` takes the value numbered ``p`` within ``f``.  The copies
-    are scored by one transform and the AUC per feature comes from one
-    grouped curve (``evaluate.roc_auc_by``).
+    The test rows are stored once, numbered by a seeded hash of their key.  A
+    feature's copy shifts its column by an offset of its own along that order
+    (a cyclic permutation over an arbitrary order), so a copy needs one join of
+    the rows with a narrow ``(position, value)`` frame; copies are made one
+    feature at a time and only their narrow scores are kept, for one grouped
+    AUC over all features.
     """
-    from campaignlens.operators.profile import long_values
-    from campaignlens.operators.rank import with_position
     from campaignlens.operators.split import seeded_hash
 
     feats = sorted(features)
-    n = test.count()
-    by_key = with_position(test, [F.col(S.KEY).asc()], name="_p")
-    long = long_values(test, feats, "double", extra=[S.KEY])
-    order = [F.col("column_name").asc(),
-             seeded_hash(F.concat(F.col("column_name"), F.lit(":"), F.col(S.KEY).cast("string")), seed).asc(),
-             F.col(S.KEY).asc()]
-    idx = F.lit(None).cast("long")
+    numbered = with_position(test, [seeded_hash(S.KEY, seed).asc(), F.col(S.KEY).asc()], name="_p")
+    numbered = numbered.withColumn("_p", F.col("_p") - 1).checkpoint(eager=True)
+    n = max(numbered.count(), 1)
+    label = F.col("label").cast("int").alias(S.LABEL)
+
+    def scored(rows: DataFrame, name: str) -> DataFrame:
+        return model.transform(rows).select(
+            F.lit(name).alias("column_name"), label, vector_to_array("probability")[1].alias("score")
+        )
+
+    every = scored(numbered, "<none>")
     for i, f in enumerate(feats):
-        idx = F.when(F.col("column_name") == f, F.lit(i)).otherwise(idx)
-    donor = with_position(long, order, name="_g").select(
-        "column_name", (F.col("_g") - idx * F.lit(n)).alias("_p"), F.col("value").alias("_perm"))
-    copies = by_key.select("*", F.explode(F.array(*[F.lit(f) for f in feats])).alias("column_name"))
-    permuted = copies.join(donor, ["column_name", "_p"]).select(
-        S.KEY, "label", "column_name",
-        *[F.when(F.col("column_name") == f, F.col("_perm")).otherwise(F.col(f"`{f}`")).alias(f) for f in feats],
-    )
-    both = permuted.unionByName(test.select(S.KEY, "label", F.lit("<none>").alias("column_name"),
-                                            *[F.col(f"`{f}`") for f in feats]))
-    scored = model.transform(both).select(
-        "column_name", F.col("label").cast("int").alias(S.LABEL), vector_to_array("probability")[1].alias("score"))
-    auc = evaluate.roc_auc_by(scored, "column_name")
+        shift = 1 + (i * n) // (len(feats) + 1)
+        donor = numbered.select(((F.col("_p") + F.lit(shift)) % F.lit(n)).alias("_p"), F.col(f"`{f}`").alias("_perm"))
+        copy = numbered.join(donor, "_p").withColumn(f, F.col("_perm")).drop("_perm")
+        every = every.unionByName(scored(copy, f))
+    auc = evaluate.roc_auc_by(every, "column_name")
     base = auc.where(F.col("column_name") == "<none>").select("roc_auc").scalar()
     return auc.where(F.col("column_name") != "<none>").select(
         F.col("column_name").alias("feature"), base.alias("base_roc_auc"), F.col("roc_auc").alias("permuted_roc_auc"),

@@ -45,6 +45,24 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     )
 
 
+def schema_summary(df: DataFrame) -> DataFrame:
+    """``(column_name, dtype, non_null, n_rows)`` for every column, one pass."""
+    agg = df.agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(~_missing(df, f.name)).alias(f"_c{i}") for i, f in enumerate(df.schema.fields)],
+    )
+    rows = [
+        F.struct(
+            F.lit(f.name).alias("column_name"),
+            F.lit(f.dataType.simpleString()).alias("dtype"),
+            F.col(f"_c{i}").alias("non_null"),
+            F.col("_n").alias("n_rows"),
+        )
+        for i, f in enumerate(df.schema.fields)
+    ]
+    return agg.select(F.inline(F.array(*rows)))
+
+
 def long_values(df: DataFrame, columns: Sequence[str], value_type: str = "string",
                 extra: Sequence[str] = ()) -> DataFrame:
     """One row per (input row, column): ``(column_name, value, *extra)``."""
@@ -178,11 +196,6 @@ def describe_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
-    """Equal-width histogram of one column (see ``histograms``)."""
-    return histograms(df, [(column, bins)])
-
-
 def histograms(df: DataFrame, specs: Sequence[tuple[str, int]]) -> DataFrame:
     """Equal-width histograms of several columns of one frame, all bins listed.
 
@@ -244,24 +257,34 @@ def stage_parity(left: DataFrame, right: DataFrame, stage: str) -> DataFrame:
     """Shape and content comparison of two versions of one stage.
 
     Row and column counts, schema equality and the rows each side has that
-    the other lacks (``exceptAll``, duplicates counted).
+    the other lacks (duplicates counted).
     """
     same_schema = int([(f.name, f.dataType) for f in left.schema] == [(f.name, f.dataType) for f in right.schema])
     common = [c for c in left.columns if c in set(right.columns)]
     sel = [F.col(f"`{c}`") for c in common]
-    only_left = left.select(*sel).exceptAll(right.select(*sel)).select(F.count(F.lit(1))).scalar()
-    only_right = right.select(*sel).exceptAll(left.select(*sel)).select(F.count(F.lit(1))).scalar()
-    n_left = left.select(F.count(F.lit(1))).scalar()
-    n_right = right.select(F.count(F.lit(1))).scalar()
-    return left.select(F.count(F.lit(1)).alias("_")).select(
+    # One pass over either side: equal rows meet in one group with both counts.
+    both = left.select(*sel, F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionByName(
+        right.select(*sel, F.lit(0).alias("_l"), F.lit(1).alias("_r"))
+    )
+    per_row = both.groupBy(*sel).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
+
+    def total(c: Column) -> Column:
+        return F.coalesce(F.sum(c), F.lit(0)).cast("long")
+
+    return per_row.agg(
+        total(F.col("_l")).alias("left_rows"),
+        total(F.col("_r")).alias("right_rows"),
+        total(F.greatest(F.col("_l") - F.col("_r"), F.lit(0))).alias("only_left"),
+        total(F.greatest(F.col("_r") - F.col("_l"), F.lit(0))).alias("only_right"),
+    ).select(
         F.lit(stage).alias("stage"),
-        n_left.alias("left_rows"),
-        n_right.alias("right_rows"),
+        "left_rows",
+        "right_rows",
         F.lit(len(left.columns)).alias("left_columns"),
         F.lit(len(right.columns)).alias("right_columns"),
         F.lit(same_schema).alias("same_schema"),
-        only_left.alias("only_left"),
-        only_right.alias("only_right"),
+        "only_left",
+        "only_right",
     )
 
 

@@ -24,12 +24,6 @@ _LOCAL_BITS = 33
 _LOCAL_MASK = (1 << _LOCAL_BITS) - 1
 
 
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def sequence_rows(
     df: DataFrame, order: Sequence[Column], num_partitions: int | None = None
 ) -> DataFrame:
@@ -37,13 +31,14 @@ def sequence_rows(
 
     ``order`` must be a total order (end it with a unique column) for the
     positions to be deterministic.  The result is checkpointed to the
-    session's checkpoint folder.
+    session's checkpoint folder.  Without ``num_partitions`` the number of
+    ranges follows the data: Spark starts from its shuffle setting and
+    adaptive execution merges small ranges.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    n = _partitions(df, num_partitions)
     mid = F.monotonically_increasing_id()
     tagged = (
-        df.repartitionByRange(n, *order)
+        (df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order))
         .sortWithinPartitions(*order)
         .withColumn("_mid", mid)
         .withColumn("_part", F.shiftright(F.col("_mid"), _LOCAL_BITS).cast("int"))

@@ -10,33 +10,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from campaignlens import schemas as S
-from campaignlens.functions import clip
-
-# Fixed values: (weight in hundredths, predicate) of the propensity rule, in
-# order: 0.2, 0.15, 0.1, 0.1, 0.2, 0.1.  Points are summed as integers and
-# divided by 100 once, so equal sums are equal doubles (ties stay ties).
-RULE_TERMS = [
-    (20, "age < 45"),
-    (15, "contract_lifetime_days >= 300 AND contract_lifetime_days <= 1460"),
-    (10, "remaining_binding_days < 60"),
-    (10, "is_magenta1_customer = 1"),
-    (20, "available_gb_value <= 20"),
-    (10, "gross_mrc < 35"),
-]
+from campaignlens.functions import clip, coerce_numeric
 
 
 def rule_score_column() -> Column:
-    """Weighted sum of predicates (a missing input counts as false), in [0, 1]."""
+    """Weighted sum of predicates (a missing input counts as false), in [0, 1].
+
+    The weights are summed as integer hundredths and divided once, so equal
+    sums are equal doubles (ties stay ties).
+    """
     total = None
-    for w, pred in RULE_TERMS:
-        term = F.when(F.coalesce(F.expr(pred), F.lit(False)), F.lit(w)).otherwise(F.lit(0))
+    for pred, weight in S.RULE_TERMS:
+        term = F.when(F.coalesce(F.expr(pred), F.lit(False)), F.lit(round(weight * 100))).otherwise(F.lit(0))
         total = term if total is None else total + term
     return clip(total.cast("double") / F.lit(100.0), 0.0, 1.0)
 
 
-def rule_score_sql() -> str:
-    parts = [f"CASE WHEN coalesce({pred}, false) THEN {w} ELSE 0 END" for w, pred in RULE_TERMS]
-    return f"least(greatest(CAST({' + '.join(parts)} AS DOUBLE) / 100.0, 0.0), 1.0)"
+def score_contracts(core: DataFrame, name: str = "score") -> DataFrame:
+    """``(key, customer, label, score)`` from the raw contracts.
+
+    A missing data volume counts as false in the rule, so no imputation (and
+    no pass for its median) is needed.
+    """
+    valued = core.withColumn("available_gb_value", coerce_numeric("available_gb"))
+    return valued.select(S.KEY, S.CUSTOMER, S.LABEL, rule_score_column().alias(name))
 
 
 def with_rule_score(processed: DataFrame, name: str = "score") -> DataFrame:

@@ -5,13 +5,14 @@ Folds: every customer is one group.  Customers are ordered by
 rank, and dealt to folds in a snake (0..k-1, k-1..0, ...).  Each stratum
 (positives, contracts) is a contiguous run of that order, so each fold gets
 an equal share of every stratum: label-balanced, and no customer spans two
-folds.  The deal needs no group to sit in one task, whatever the size of
+folds.  A contract without a customer is a group of its own, so train and test
+together hold every row.  The deal needs no group to sit in one task, whatever the size of
 the dominant stratum.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from campaignlens import schemas as S
@@ -31,18 +32,33 @@ def snake_fold(position0: Column, k: int) -> Column:
     return F.when(F.floor(position0 / k) % 2 == 0, r).otherwise(F.lit(k - 1) - r).cast("int")
 
 
+GROUP = "_group"
+
+
+def group_key(group: str = S.CUSTOMER, key: str = S.KEY) -> Column:
+    """A non-null group name: the customer, or the account where there is none."""
+    own = F.concat(F.lit("account "), F.col(key).cast("string"))
+    return F.coalesce(F.concat(F.lit("customer "), F.col(group).cast("string")), own)
+
+
 def customer_folds(
-    df: DataFrame, k: int = S.N_FOLDS, seed: int = S.SPLIT_SEED, group: str = S.CUSTOMER, label: str = S.LABEL
+    df: DataFrame, k: int = S.N_FOLDS, seed: int = S.SPLIT_SEED, group: str = S.CUSTOMER, label: str = S.LABEL,
+    key: str = S.KEY,
 ) -> DataFrame:
-    """One row per group: ``(group, n_rows, n_pos, fold)``."""
+    """One row per group: ``(_group, group, n_rows, n_pos, fold)``; ``group`` is null for a lone contract."""
     per_group = (
-        df.where(F.col(group).isNotNull())
-        .groupBy(group)
-        .agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(label), F.lit(0)).cast("long").alias("n_pos"))
+        df.select(group_key(group, key).alias(GROUP), group, label)
+        .groupBy(GROUP)
+        .agg(
+            F.first(group).alias(group),
+            F.count(F.lit(1)).alias("n_rows"),
+            F.coalesce(F.sum(label), F.lit(0)).cast("long").alias("n_pos"),
+        )
     )
-    order = [F.col("n_pos").desc(), F.col("n_rows").desc(), seeded_hash(group, seed).asc(), F.col(group).asc()]
+    name = F.coalesce(F.col(group).cast("string"), F.col(GROUP))
+    order = [F.col("n_pos").desc(), F.col("n_rows").desc(), seeded_hash(name, seed).asc(), F.col(GROUP).asc()]
     ranked = with_position(per_group, order, name="_pos")
-    return ranked.select(group, "n_rows", "n_pos", snake_fold(F.col("_pos") - 1, k).alias("fold"))
+    return ranked.select(GROUP, group, "n_rows", "n_pos", snake_fold(F.col("_pos") - 1, k).alias("fold"))
 
 
 def assign_folds(
@@ -56,15 +72,16 @@ def assign_folds(
     return attach_folds(df, customer_folds(df, k, seed, group, label), group)
 
 
-def attach_folds(df: DataFrame, folds: DataFrame, group: str = S.CUSTOMER) -> DataFrame:
-    """Join the per-group fold table back (n:1, hot groups salted).
+def attach_folds(df: DataFrame, folds: DataFrame, group: str = S.CUSTOMER, key: str = S.KEY) -> DataFrame:
+    """Join the per-group fold table of ``customer_folds`` back (n:1, hot groups salted).
 
-    When the fold table carries its per-group row count (``n_rows``, as
-    ``customer_folds`` returns it), the hot groups are read from it instead
-    of counting ``df`` again.
+    The hot groups are read from the table's row counts instead of counting
+    ``df`` again.
     """
-    hot = hot_keys_from_counts(folds, group, "n_rows") if "n_rows" in folds.columns else None
-    return hot_key_left_join(df, folds.select(group, "fold"), group, hot=hot)
+    hot = hot_keys_from_counts(folds, GROUP, "n_rows")
+    named = df.withColumn(GROUP, group_key(group, key))
+    joined = hot_key_left_join(named, folds.select(GROUP, "fold"), GROUP, hot=hot)
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], "fold")
 
 
 def train_test(df_with_fold: DataFrame, test_fold: int = 0) -> dict[str, DataFrame]:
@@ -89,8 +106,8 @@ def fold_balance(df_with_fold: DataFrame, label: str = S.LABEL, group: str = S.C
 
 
 def fold_leakage(df_with_fold: DataFrame, group: str = S.CUSTOMER) -> DataFrame:
-    """Number of groups seen in more than one fold (must be 0)."""
-    per = df_with_fold.groupBy(group).agg(F.count_distinct("fold").alias("k"))
+    """Number of customers seen in more than one fold (must be 0); contracts without one cannot leak."""
+    per = df_with_fold.where(F.col(group).isNotNull()).groupBy(group).agg(F.count_distinct("fold").alias("k"))
     return per.agg(
         F.count(F.lit(1)).alias("n_customers"),
         F.count_if(F.col("k") > 1).alias("n_customers_multi_fold"),
@@ -100,8 +117,9 @@ def fold_leakage(df_with_fold: DataFrame, group: str = S.CUSTOMER) -> DataFrame:
 def class_weights(df: DataFrame, label: str = S.LABEL) -> DataFrame:
     """Balanced weights ``n / (n_classes * n_class)`` per label value."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
-    total = df.select(F.count(F.lit(1))).scalar()
-    n_classes = counts.select(F.count(F.lit(1))).scalar()
+    # One pass over the rows: the window sees one row per label value.
+    every = Window.partitionBy()
+    total, n_classes = F.sum("n_class").over(every), F.count(F.lit(1)).over(every)
     return counts.select(label, "n_class", (total / (n_classes * F.col("n_class"))).alias("weight"))
 
 
@@ -148,8 +166,8 @@ def repeat_rows(df: DataFrame, times: str, name: str = "copy_no", chunk: int = R
     chunk_no = F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(t / F.lit(chunk)).cast("long") - 1))
     chunked = base.select("*", chunk_no.alias("_chunk"))
     spread = chunked.repartition(n, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.col("_chunk")))
-    lo = (F.col("_chunk") * F.lit(chunk) + 1).cast("int")
-    hi = F.least(t, (F.col("_chunk") + 1) * F.lit(chunk)).cast("int")
+    lo = F.col("_chunk") * F.lit(chunk) + 1
+    hi = F.least(t, (F.col("_chunk") + 1) * F.lit(chunk))
     return spread.select(*[F.col(f"`{c}`") for c in df.columns], F.explode(F.sequence(lo, hi)).alias(name))
 
 

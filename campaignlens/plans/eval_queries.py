@@ -8,7 +8,7 @@ from campaignlens import schemas as S
 from campaignlens.operators import evaluate, scoring, split
 from campaignlens.plans import flow
 from campaignlens.plans.oracle_views import with_views
-from campaignlens.plans.registry import register, round_doubles, sql_round
+from campaignlens.plans.registry import DIGITS, register, round_doubles, sql_round
 
 EVAL_CTES = [
     (
@@ -29,7 +29,13 @@ EVAL_CTES = [
     (
         "scored_all",
         "SELECT p.rating_account_id, p.customer_id, p.has_done_upselling, "
-        f"{scoring.rule_score_sql()} AS score, f.fold "
+        "least(greatest(CAST("
+        "CASE WHEN age < 45 THEN 20 ELSE 0 END"
+        " + CASE WHEN contract_lifetime_days BETWEEN 300 AND 1460 THEN 15 ELSE 0 END"
+        " + CASE WHEN remaining_binding_days < 60 THEN 10 ELSE 0 END"
+        " + CASE WHEN is_magenta1_customer = 1 THEN 10 ELSE 0 END"
+        " + CASE WHEN available_gb_value <= 20 THEN 20 ELSE 0 END"
+        " + CASE WHEN gross_mrc < 35 THEN 10 ELSE 0 END AS DOUBLE) / 100.0, 0.0), 1.0) AS score, f.fold "
         "FROM (SELECT *, CASE WHEN available_gb_missing = 0 THEN available_gb END AS available_gb_value "
         "FROM processed_core) p LEFT JOIN folds f ON p.customer_id = f.customer_id",
     ),
@@ -80,8 +86,10 @@ def _ctes(threshold: float = S.DECISION_THRESHOLD) -> list[tuple[str, str]]:
     return [(n, s.replace("{t}", f"CAST({threshold} AS DOUBLE)")) for n, s in EVAL_CTES]
 
 
-def eval_sql(body: str, doubles: list[str] | None = None, threshold: float = S.DECISION_THRESHOLD) -> str:
-    return sql_round(with_views(body, extra=_ctes(threshold)), doubles or [])
+def eval_sql(
+    body: str, doubles: list[str] | None = None, threshold: float = S.DECISION_THRESHOLD, digits: int = DIGITS
+) -> str:
+    return sql_round(with_views(body, extra=_ctes(threshold)), doubles or [], digits)
 
 
 def _pk_sql(rule: str) -> str:
@@ -104,7 +112,7 @@ PK_DOUBLES = ["k_frac", "precision_at_k", "recall_at_k", "lift_at_k"]
     sql=eval_sql("SELECT rating_account_id, customer_id, fold FROM scored_all"),
 )
 def stratified_group_folds(spark, sf_dir):
-    return flow.scored(spark, sf_dir).select(S.KEY, S.CUSTOMER, "fold")
+    return flow.contract_folds(spark, sf_dir).select(S.KEY, S.CUSTOMER, "fold")
 
 
 @register(
@@ -117,7 +125,7 @@ def stratified_group_folds(spark, sf_dir):
     ),
 )
 def fold_balance(spark, sf_dir):
-    return round_doubles(split.fold_balance(flow.scored(spark, sf_dir)))
+    return round_doubles(split.fold_balance(flow.contract_folds(spark, sf_dir)))
 
 
 @register(
@@ -128,7 +136,7 @@ def fold_balance(spark, sf_dir):
     ),
 )
 def fold_leakage_check(spark, sf_dir):
-    return split.fold_leakage(flow.scored(spark, sf_dir))
+    return split.fold_leakage(flow.contract_folds(spark, sf_dir))
 
 
 @register(
@@ -142,7 +150,7 @@ def fold_leakage_check(spark, sf_dir):
     ),
 )
 def class_weights(spark, sf_dir):
-    train = flow.scored(spark, sf_dir).where(F.col("fold") != 0)
+    train = flow.contract_folds(spark, sf_dir).where(F.col("fold") != 0)
     return round_doubles(split.class_weights(train))
 
 
@@ -157,7 +165,7 @@ def class_weights(spark, sf_dir):
     ),
 )
 def label_base_rate(spark, sf_dir):
-    s = flow.scored(spark, sf_dir)
+    s = flow.contract_folds(spark, sf_dir)
     scope = F.when(F.col("fold") == 0, "test").otherwise("train")
     both = s.select(F.lit("all").alias("scope"), S.LABEL).unionByName(s.select(scope.alias("scope"), S.LABEL))
     return round_doubles(
@@ -297,6 +305,11 @@ UNION ALL SELECT 'ConfusionMatrix@10%[' || actual || ',0]', pred_0 FROM ({_BUDGE
 UNION ALL SELECT 'ConfusionMatrix@10%[' || actual || ',1]', pred_1 FROM ({_BUDGET_MATRIX})
 UNION ALL SELECT 'ConfusionMatrix@Threshold[' || actual || ',0]', pred_0 FROM ({_THR_MATRIX})
 UNION ALL SELECT 'ConfusionMatrix@Threshold[' || actual || ',1]', pred_1 FROM ({_THR_MATRIX})
+UNION ALL SELECT 'ConfusionMatrixRowNorm@Threshold[' || actual || ',0]',
+  round_even(pred_0 / nullif(pred_0 + pred_1, 0), 4) FROM ({_THR_MATRIX})
+UNION ALL SELECT 'ConfusionMatrixRowNorm@Threshold[' || actual || ',1]',
+  round_even(pred_1 / nullif(pred_0 + pred_1, 0), 4) FROM ({_THR_MATRIX})
+UNION ALL SELECT 'k_n@' || CAST(CAST(round(k_frac * 100) AS INTEGER) AS VARCHAR) || '%', k_n FROM ({_pk_sql('round')})
 UNION ALL SELECT 'DecisionThreshold', {S.DECISION_THRESHOLD}
 """
 

@@ -61,9 +61,14 @@ def folds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every contract with its rule score and fold."""
-    pc = scoring.with_rule_score(processed_core(spark, sf_dir))
-    return split.attach_folds(pc.select(S.KEY, S.CUSTOMER, S.LABEL, "score"), folds(spark, sf_dir))
+    """Every contract with its rule score and fold (the contracts alone are read)."""
+    return split.attach_folds(scoring.score_contracts(inputs(spark, sf_dir).core), folds(spark, sf_dir))
+
+
+def contract_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every contract with its label and fold."""
+    core = inputs(spark, sf_dir).core.select(S.KEY, S.CUSTOMER, S.LABEL)
+    return split.attach_folds(core, folds(spark, sf_dir))
 
 
 def scored_test(spark: SparkSession, sf_dir: str, test_fold: int = 0) -> DataFrame:
@@ -122,7 +127,7 @@ def materialize(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
     if scorer == "rule":
         scored_test = scoring.with_rule_score(test).select(S.KEY, S.LABEL, "score")
     elif scorer == "forest":
-        frame = model.spread(model.model_frame(with_folds, S.SELECTED_FEATURES))
+        frame = model.stored_frame(model.model_frame(with_folds, S.SELECTED_FEATURES))
         fitted = model.fit(frame.where(F.col("fold") != 0), S.SELECTED_FEATURES, model.forest(num_trees=num_trees))
         scored_test = model.scores(fitted, frame.where(F.col("fold") == 0))
     else:

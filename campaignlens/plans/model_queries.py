@@ -9,31 +9,40 @@ from campaignlens.operators import evaluate, model
 from campaignlens.plans import flow
 from campaignlens.plans.oracle_views import with_views
 from campaignlens.plans.registry import register, round_doubles
-from campaignlens.sources.sinks import backfill_date_range, stage_root, write_stage, write_versioned
-
-# Fitted pipelines shared by the queries of one session (same data, same params).
-_FITS: dict[tuple, object] = {}
-
+from campaignlens.plans.eval_queries import eval_sql
+from campaignlens.sources.sinks import (
+    backfill_date_range,
+    champion_dir,
+    stage_root,
+    write_stage,
+    write_versioned,
+)
 
+# Stored frames and fitted pipelines shared by the queries of one application (same data, same params).
 _FRAMES: dict[tuple, object] = {}
+_FITS: dict[tuple, object] = {}
 
 
 def _frame(spark, sf_dir, features):
-    """The modelling frame, cached once per session (it feeds several fits)."""
-    key = (id(spark), sf_dir, tuple(features))
+    """The modelling frame, stored once per application (it feeds several fits)."""
+    key = (spark.sparkContext.applicationId, sf_dir, tuple(features))
     if key not in _FRAMES:
-        _FRAMES[key] = model.spread(flow.modelling_frame(spark, sf_dir, features))
+        _FRAMES[key] = model.stored_frame(flow.modelling_frame(spark, sf_dir, features))
     return _FRAMES[key]
 
 
 def _fit_once(spark, sf_dir, tag, features, make_estimator):
-    key = (id(spark), sf_dir, tag, tuple(features))
+    key = (spark.sparkContext.applicationId, sf_dir, tag, tuple(features))
     if key not in _FITS:
-        frame = _frame(spark, sf_dir, features)
-        _FITS[key] = model.fit(frame.where(F.col("fold") != 0), features, make_estimator())
+        train = _frame(spark, sf_dir, features).where(F.col("fold") != 0)
+        _FITS[key] = model.fit(train, features, make_estimator(train))
     return _FITS[key]
 
 
+def _forest(train):
+    return model.forest()
+
+
 def _test_scores(spark, sf_dir, tag, features, make_estimator):
     fitted = _fit_once(spark, sf_dir, tag, features, make_estimator)
     frame = _frame(spark, sf_dir, features)
@@ -41,7 +50,7 @@ def _test_scores(spark, sf_dir, tag, features, make_estimator):
 
 
 def _rf_scores(spark, sf_dir):
-    return _test_scores(spark, sf_dir, "rf", S.SELECTED_FEATURES, model.forest)
+    return _test_scores(spark, sf_dir, "rf", S.SELECTED_FEATURES, _forest)
 
 
 @register("rf_scores", note="random forest, 300 trees; rows-only")
@@ -56,7 +65,7 @@ def rf_eval_report(spark, sf_dir):
 
 @register("feature_importance", note="top 10 impurity importances; rows-only")
 def feature_importance(spark, sf_dir):
-    fitted = _fit_once(spark, sf_dir, "rf", S.SELECTED_FEATURES, model.forest)
+    fitted = _fit_once(spark, sf_dir, "rf", S.SELECTED_FEATURES, _forest)
     pairs = model.importances(fitted, S.SELECTED_FEATURES, top=10)
     return spark.createDataFrame(pairs, "feature string, importance double")
 
@@ -70,8 +79,8 @@ def oof_accuracy(spark, sf_dir):
     return stats.select(
         F.inline(
             F.array(
-                F.struct(F.lit("oob_accuracy").alias("metric"), F.lit(acc).alias("value")),
-                F.struct(F.lit("oob_error").alias("metric"), F.lit(1.0 - acc).alias("value")),
+                F.struct(F.lit("oof_accuracy").alias("metric"), F.lit(acc).alias("value")),
+                F.struct(F.lit("oof_error").alias("metric"), F.lit(1.0 - acc).alias("value")),
                 F.struct(F.lit("train_pos_rate").alias("metric"), F.col("rate").alias("value")),
                 F.struct(F.lit("n_train").alias("metric"), F.col("n").cast("double").alias("value")),
             )
@@ -81,48 +90,59 @@ def oof_accuracy(spark, sf_dir):
 
 @register("lr_scores", note="logistic regression, 1000 iterations, balanced; rows-only")
 def lr_scores(spark, sf_dir):
-    return _test_scores(spark, sf_dir, "lr", S.SELECTED_FEATURES, model.logistic)
+    return _test_scores(spark, sf_dir, "lr", S.SELECTED_FEATURES, lambda train: model.logistic(train.count()))
 
 
 @register("gbt_scores", note="boosted trees, 300 rounds, depth 4; rows-only")
 def gbt_scores(spark, sf_dir):
-    return _test_scores(spark, sf_dir, "gbt", S.SELECTED_FEATURES, model.boosted)
-
-
-def feature_sets() -> dict[str, list[str]]:
-    raw, buckets = S.CORE_RAW, S.CORE_WITH_BUCKETS
-    usage, inter = S.USAGE_FEATURES, S.INTERACTION_FEATURES
-    both = list(dict.fromkeys(raw + buckets))
-    return {
-        "core_raw": raw,
-        "core_with_buckets": buckets,
-        "core_raw+usage": raw + usage,
-        "core_raw+interactions": raw + inter,
-        "core_with_buckets+usage": buckets + usage,
-        "core_with_buckets+interactions": buckets + inter,
-        "core_raw+usage+interactions": raw + usage + inter,
-        "core_with_buckets+usage+interactions": buckets + usage + inter,
-        "raw+buckets": both,
-    }
+    return _test_scores(spark, sf_dir, "gbt", S.SELECTED_FEATURES, lambda train: model.boosted())
 
 
 @register("feature_set_comparison", note="9 forests of 100 trees; rows-only")
 def feature_set_comparison(spark, sf_dir):
-    sets = feature_sets()
+    sets = S.feature_sets()
     all_feats = list(dict.fromkeys(f for v in sets.values() for f in v))
     frame = _frame(spark, sf_dir, all_feats)
     return round_doubles(model.compare_feature_sets(frame, sets))
 
 
-@register("select_features", note="variance + univariate selectors; rows-only")
+SELECTOR_FEATURES = list(dict.fromkeys(S.CORE_RAW + S.CORE_WITH_BUCKETS + S.USAGE_FEATURES + S.INTERACTION_FEATURES))
+
+
+@register("select_features", note="variance, univariate and embedded selectors; rows-only")
 def select_features(spark, sf_dir):
-    feats = list(dict.fromkeys(S.CORE_RAW + S.CORE_WITH_BUCKETS + S.USAGE_FEATURES + S.INTERACTION_FEATURES))
-    return model.select_features(_frame(spark, sf_dir, feats), feats)
+    return model.select_features(_frame(spark, sf_dir, SELECTOR_FEATURES), SELECTOR_FEATURES)
+
+
+def _selector_sql() -> str:
+    rows = " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, has_done_upselling AS y, coalesce(CAST(\"{f}\" AS DOUBLE), 0.0) AS x FROM train"
+        for f in SELECTOR_FEATURES
+    )
+    body = (
+        "SELECT feature, var_samp(x) AS variance, "
+        "(sum(n * (m - g) * (m - g)) / (count(*) - 1)) / nullif(sum(n * v) / (sum(n) - count(*)), 0) AS f_value "
+        "FROM (SELECT *, sum(n * m) OVER (PARTITION BY feature) / sum(n) OVER (PARTITION BY feature) AS g, "
+        "FROM (SELECT feature, y, count(*) AS n, avg(x) AS m, var_pop(x) AS v FROM long GROUP BY feature, y)) "
+        "GROUP BY feature"
+    ).replace("var_samp(x)", "(sum(n * v) + sum(n * (m - g) * (m - g))) / (sum(n) - 1)")
+    train = (
+        "SELECT m.*, f.fold FROM merged_filled m LEFT JOIN folds f ON m.customer_id = f.customer_id WHERE f.fold <> 0"
+    )
+    return eval_sql(
+        f"SELECT * FROM (WITH train AS ({train}), long AS ({rows}) {body})", ["variance", "f_value"], digits=4
+    )
+
+
+@register("selector_statistics", sql=_selector_sql())
+def selector_statistics(spark, sf_dir):
+    """Variance and ANOVA F of every candidate feature over the training folds."""
+    return round_doubles(model.selector_statistics(_frame(spark, sf_dir, SELECTOR_FEATURES), SELECTOR_FEATURES), 4)
 
 
 @register("permutation_importance", note="AUC drop per permuted input on the test fold; rows-only")
 def permutation_importance(spark, sf_dir):
-    fitted = _fit_once(spark, sf_dir, "rf", S.SELECTED_FEATURES, model.forest)
+    fitted = _fit_once(spark, sf_dir, "rf", S.SELECTED_FEATURES, _forest)
     test = _frame(spark, sf_dir, S.SELECTED_FEATURES).where(F.col("fold") == 0)
     return model.permutation_importance(fitted, test, S.SELECTED_FEATURES)
 
@@ -130,20 +150,20 @@ def permutation_importance(spark, sf_dir):
 @register("tune", note="grid search, cross-validated on training folds; rows-only")
 def tune(spark, sf_dir):
     frame = _frame(spark, sf_dir, S.SELECTED_FEATURES)
-    grid = {"numTrees": [50, 100], "minInstancesPerNode": [20, 50]}
-    return model.tune(frame, S.SELECTED_FEATURES, grid)
+    grid = model.full_grid({"numTrees": [50, 100], "minInstancesPerNode": [20, 50]})
+    return model.tune(frame, S.SELECTED_FEATURES, grid)[0]
 
 
-@register("rf_promotion_gate", note="forest AUC against the 0.70 bar, champion saved if promoted; rows-only")
+@register("rf_promotion_gate", note="forest AUC against the bar and the current champion; rows-only")
 def rf_promotion_gate(spark, sf_dir):
-    s = _rf_scores(spark, sf_dir)
-    auc_row = evaluate.roc_auc(s).first()
-    auc = auc_row.roc_auc if auc_row else None
-    fitted = _fit_once(spark, sf_dir, "rf", S.SELECTED_FEATURES, model.forest)
-    promoted = model.promote(fitted, auc, f"{stage_root(spark)}/champion")
-    return evaluate.roc_auc(s).select(
-        F.lit("ROC_AUC").alias("metric"), F.col("roc_auc").alias("value"),
-        F.lit(S.PROMOTION_MIN_AUC).alias("min_value"), F.lit(int(promoted)).alias("promoted"),
+    auc = evaluate.roc_auc(_rf_scores(spark, sf_dir)).first().roc_auc
+    fitted = _fit_once(spark, sf_dir, "rf", S.SELECTED_FEATURES, _forest)
+    path = champion_dir(spark)
+    before = model.champion_auc(spark, path)
+    promoted = model.promote(fitted, auc, path)
+    return spark.createDataFrame(
+        [("ROC_AUC", auc, S.PROMOTION_MIN_AUC, before, int(promoted))],
+        "metric string, value double, min_value double, champion_value double, promoted int",
     )
 
 
@@ -194,3 +214,23 @@ def date_range_backfill(spark, sf_dir):
     write_stage(daily.where(outside), path, partition_by=["day_dt"])
     backfill_date_range(daily, path, "day_dt", lo, hi)
     return round_doubles(spark.read.parquet(path))
+
+
+@register(
+    "backfill_rows_written",
+    sql=with_views(
+        f"SELECT count(DISTINCT CAST(billed_period_month_d AS DATE)) AS rows_written, "
+        f"count(DISTINCT CAST(billed_period_month_d AS DATE)) AS rows_stored FROM usage_info "
+        f"WHERE CAST(billed_period_month_d AS DATE) >= DATE '{BACKFILL_WINDOW[0]}' "
+        f"AND CAST(billed_period_month_d AS DATE) < DATE '{BACKFILL_WINDOW[1]}'"
+    ),
+)
+def backfill_rows_written(spark, sf_dir):
+    """The rows a backfill reports as written, beside the rows found in its window afterwards."""
+    import uuid
+
+    lo, hi = BACKFILL_WINDOW
+    path = f"{stage_root(spark)}/usage_daily-{uuid.uuid4().hex}"
+    written = backfill_date_range(usage_daily(spark, sf_dir), path, "day_dt", lo, hi)
+    stored = spark.read.parquet(path).where((F.col("day_dt") >= F.lit(lo)) & (F.col("day_dt") < F.lit(hi)))
+    return stored.agg(F.lit(written).cast("long").alias("rows_written"), F.count(F.lit(1)).alias("rows_stored"))

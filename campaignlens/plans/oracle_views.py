@@ -118,13 +118,13 @@ FROM usage_agg
 
 INTERACTION_FEATURES_SQL = """
 SELECT customer_id,
-  CAST(coalesce(sum(n), 0) AS INTEGER) AS num_interactions,
-  CAST(count(DISTINCT type_subtype) AS INTEGER) AS num_unique_interactions,
-  CAST(coalesce(min(days_since_last), 0) AS INTEGER) AS recency,
-  CAST(coalesce(sum(n) FILTER (WHERE regexp_matches(type_subtype, 'prolongation', 'i')), 0) AS INTEGER) AS interact_prolongations,
-  CAST(coalesce(sum(n) FILTER (WHERE regexp_matches(type_subtype, 'tarifdetails', 'i')), 0) AS INTEGER) AS interact_tarifdetails,
-  CAST(coalesce(sum(n) FILTER (WHERE regexp_matches(type_subtype, 'tarifwechsel', 'i')), 0) AS INTEGER) AS interact_tarifwechsel,
-  CAST(coalesce(sum(n) FILTER (WHERE regexp_matches(type_subtype, 'rechnungsanfragen', 'i')), 0) AS INTEGER) AS interact_rechnungsanfragen
+  CAST(coalesce(sum(n), 0) AS BIGINT) AS num_interactions,
+  CAST(count(DISTINCT type_subtype) AS BIGINT) AS num_unique_interactions,
+  CAST(coalesce(min(days_since_last), 0) AS BIGINT) AS recency,
+  CAST(coalesce(sum(n) FILTER (WHERE regexp_matches(type_subtype, 'prolongation', 'i')), 0) AS BIGINT) AS interact_prolongations,
+  CAST(coalesce(sum(n) FILTER (WHERE regexp_matches(type_subtype, 'tarifdetails', 'i')), 0) AS BIGINT) AS interact_tarifdetails,
+  CAST(coalesce(sum(n) FILTER (WHERE regexp_matches(type_subtype, 'tarifwechsel', 'i')), 0) AS BIGINT) AS interact_tarifwechsel,
+  CAST(coalesce(sum(n) FILTER (WHERE regexp_matches(type_subtype, 'rechnungsanfragen', 'i')), 0) AS BIGINT) AS interact_rechnungsanfragen
 FROM customer_interactions WHERE customer_id IS NOT NULL GROUP BY customer_id
 """
 
@@ -137,13 +137,13 @@ LEFT JOIN interaction_features i ON p.customer_id = i.customer_id
 
 MERGED_FILLED_SQL = """
 SELECT * REPLACE (
-  CAST(coalesce(num_interactions, 0) AS INTEGER) AS num_interactions,
-  CAST(coalesce(num_unique_interactions, 0) AS INTEGER) AS num_unique_interactions,
-  CAST(coalesce(recency, 999) AS INTEGER) AS recency,
-  CAST(coalesce(interact_prolongations, 0) AS INTEGER) AS interact_prolongations,
-  CAST(coalesce(interact_tarifdetails, 0) AS INTEGER) AS interact_tarifdetails,
-  CAST(coalesce(interact_tarifwechsel, 0) AS INTEGER) AS interact_tarifwechsel,
-  CAST(coalesce(interact_rechnungsanfragen, 0) AS INTEGER) AS interact_rechnungsanfragen)
+  CAST(coalesce(num_interactions, 0) AS BIGINT) AS num_interactions,
+  CAST(coalesce(num_unique_interactions, 0) AS BIGINT) AS num_unique_interactions,
+  CAST(coalesce(recency, 999) AS BIGINT) AS recency,
+  CAST(coalesce(interact_prolongations, 0) AS BIGINT) AS interact_prolongations,
+  CAST(coalesce(interact_tarifdetails, 0) AS BIGINT) AS interact_tarifdetails,
+  CAST(coalesce(interact_tarifwechsel, 0) AS BIGINT) AS interact_tarifwechsel,
+  CAST(coalesce(interact_rechnungsanfragen, 0) AS BIGINT) AS interact_rechnungsanfragen)
 FROM merged
 """
 

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from campaignlens import schemas as S
-from campaignlens.operators import clean, features, labels, profile, split
-from campaignlens.operators.features import USAGE_OUTPUT
+from campaignlens.operators import clean, features, joins, labels, profile, split
 from campaignlens.plans import flow
 from campaignlens.plans.eval_queries import eval_sql
 from campaignlens.plans.oracle_views import ONE_HOT_SQL, PROCESSED_CORE_SQL, with_views
@@ -18,21 +17,13 @@ MERGED_COLUMNS = (
     + ["available_gb_missing", "is_premium_device"]
     + clean.BUCKET_COLUMNS
     + clean.one_hot_names()
-    + USAGE_OUTPUT[1:]
+    + S.USAGE_OUTPUT[1:]
     + S.INTERACTION_FEATURES
 )
 MERGED_DOUBLES = {
     "available_gb", "gross_mrc", "total_used_gb", "avg_used_gb", "std_used_gb", "min_used_gb",
     "max_used_gb", "roaming_ratio", "usage_trend",
 }
-PROFILE_COLUMNS = [
-    "remaining_binding_days_bucket", "mrc_bucket", "contract_term_bucket", "age_bucket",
-    "smartphone_brand", "is_magenta1_customer", "available_gb",
-]
-CROSSTAB_FEATURES = [
-    "is_magenta1_customer", "has_special_offer", "mrc_bucket", "remaining_binding_days_bucket",
-    "contract_term_bucket", "age_bucket",
-]
 DESCRIBE_NUMERIC = [
     "age", "contract_lifetime_days", "remaining_binding_days", "gross_mrc", "available_gb",
     "total_used_gb", "avg_used_gb", "std_used_gb", "usage_month_count", "roaming_ratio", "usage_trend",
@@ -40,14 +31,6 @@ DESCRIBE_NUMERIC = [
 ]
 DESCRIBE_TEXT = ["customer_id", "smartphone_brand", "remaining_binding_days_bucket", "mrc_bucket",
                  "contract_term_bucket", "age_bucket"]
-# (source view, column, bins) of the notebook's histograms.
-HISTOGRAMS = [
-    ("core", "remaining_binding_days", 30),
-    ("core", "gross_mrc", 30),
-    ("core", "age", 30),
-    ("usage", "avg_used_gb", 10),
-    ("interactions", "num_interactions", 20),
-]
 PSI_NUMERIC = ["age", "gross_mrc", "contract_lifetime_days", "remaining_binding_days"]
 PSI_CATEGORICAL = ["smartphone_brand", "mrc_bucket"]
 
@@ -82,7 +65,7 @@ def null_profile(spark, sf_dir):
 
 
 def _vc_sql(where: str = "") -> str:
-    long = _long_sql("processed_core", PROFILE_COLUMNS, where=where)
+    long = _long_sql("processed_core", S.PROFILE_COLUMNS, where=where)
     return sql_round(
         with_views(
             f"SELECT column_name, value, count(*) AS n, count(*) / sum(count(*)) OVER (PARTITION BY column_name) "
@@ -94,13 +77,13 @@ def _vc_sql(where: str = "") -> str:
 
 @register("value_counts", sql=_vc_sql())
 def value_counts(spark, sf_dir):
-    return round_doubles(profile.value_counts(flow.processed_core(spark, sf_dir), PROFILE_COLUMNS))
+    return round_doubles(profile.value_counts(flow.processed_core(spark, sf_dir), S.PROFILE_COLUMNS))
 
 
 @register("positive_distribution", sql=_vc_sql(" WHERE has_done_upselling = 1"))
 def positive_distribution(spark, sf_dir):
     pc = flow.processed_core(spark, sf_dir).where(F.col(S.LABEL) == 1)
-    return round_doubles(profile.value_counts(pc, PROFILE_COLUMNS))
+    return round_doubles(profile.value_counts(pc, S.PROFILE_COLUMNS))
 
 
 @register(
@@ -109,14 +92,14 @@ def positive_distribution(spark, sf_dir):
         with_views(
             "SELECT column_name AS feature, value, avg(CAST(has_done_upselling = 0 AS DOUBLE)) AS share_0, "
             "avg(CAST(has_done_upselling = 1 AS DOUBLE)) AS share_1 FROM ("
-            + _long_sql("processed_core", CROSSTAB_FEATURES, extra=", has_done_upselling")
+            + _long_sql("processed_core", S.CROSSTAB_FEATURES, extra=", has_done_upselling")
             + ") WHERE value IS NOT NULL AND has_done_upselling IS NOT NULL GROUP BY column_name, value"
         ),
         ["share_0", "share_1"],
     ),
 )
 def crosstab_label_rate(spark, sf_dir):
-    return round_doubles(profile.crosstab_label_rate(flow.processed_core(spark, sf_dir), CROSSTAB_FEATURES, S.LABEL))
+    return round_doubles(profile.crosstab_label_rate(flow.processed_core(spark, sf_dir), S.CROSSTAB_FEATURES, S.LABEL))
 
 
 # -- describe ----------------------------------------------------------------------------
@@ -180,7 +163,7 @@ LEFT JOIN (
 @register(
     "histogram",
     sql=sql_round(
-        with_views(" UNION ALL ".join(_hist_sql(_HIST_SOURCES[s], c, b) for s, c, b in HISTOGRAMS)),
+        with_views(" UNION ALL ".join(_hist_sql(_HIST_SOURCES[s], c, b) for s, c, b in S.HISTOGRAMS)),
         ["bin_lo", "bin_hi"],
     ),
 )
@@ -192,8 +175,8 @@ def histogram(spark, sf_dir):
     }
     # One multi-column histogram per source frame (each source read twice).
     out = None
-    for source in dict.fromkeys(s for s, _, _ in HISTOGRAMS):
-        h = profile.histograms(src[source](), [(c, b) for s, c, b in HISTOGRAMS if s == source])
+    for source in dict.fromkeys(s for s, _, _ in S.HISTOGRAMS):
+        h = profile.histograms(src[source](), [(c, b) for s, c, b in S.HISTOGRAMS if s == source])
         out = h if out is None else out.unionByName(h)
     return round_doubles(out)
 
@@ -391,7 +374,7 @@ def sample_customers(spark, sf_dir):
 @register(
     "repeat_rows",
     sql=with_views(
-        "SELECT i.customer_id, i.type_subtype, i.n, i.days_since_last, CAST(g.copy_no AS INTEGER) AS copy_no "
+        "SELECT i.customer_id, i.type_subtype, i.n, i.days_since_last, CAST(g.copy_no AS BIGINT) AS copy_no "
         "FROM customer_interactions i, LATERAL (SELECT unnest(range(1, i.n + 1)) AS copy_no) g WHERE i.n >= 1"
     ),
 )
@@ -409,3 +392,78 @@ def repeat_rows(spark, sf_dir):
 )
 def account_month_spine(spark, sf_dir):
     return split.month_spine(flow.inputs(spark, sf_dir).core, S.KEY, "2024-04-01", "2024-07-01")
+
+
+# -- domains, schema, split outputs, salted join --------------------------------------------
+
+
+@register(
+    "category_levels",
+    sql=with_views(
+        "SELECT level, row_number() OVER (ORDER BY level) AS position FROM "
+        "(SELECT DISTINCT smartphone_brand AS level FROM core_data WHERE smartphone_brand IS NOT NULL)"
+    ),
+)
+def category_levels(spark, sf_dir):
+    """The brand domain in code-point order."""
+    return clean.category_levels(flow.inputs(spark, sf_dir).core, "smartphone_brand")
+
+
+def _summary_sql() -> str:
+    parts = [
+        f"SELECT '{f.name}' AS column_name, '{f.dataType.simpleString()}' AS dtype, "
+        f"count({f.name}) AS non_null, count(*) AS n_rows FROM core_data"
+        for f in S.CORE_SCHEMA.fields
+    ]
+    return with_views(" UNION ALL ".join(parts))
+
+
+@register("schema_summary", sql=_summary_sql())
+def schema_summary(spark, sf_dir):
+    """Type and non-missing count of every contract column."""
+    return profile.schema_summary(flow.inputs(spark, sf_dir).core)
+
+
+_SPLIT_SQL = " UNION ALL ".join(
+    f"SELECT '{name}' AS output, count(*) AS n_rows, "
+    f"{'count(has_done_upselling)' if name.startswith('y') else 'NULL::BIGINT'} AS n_labels "
+    f"FROM scored_all WHERE fold {op} 0"
+    for name, op in (("X_train", "<>"), ("X_test", "="), ("y_train", "<>"), ("y_test", "="))
+)
+
+
+@register("split_outputs", sql=eval_sql(_SPLIT_SQL))
+def split_outputs(spark, sf_dir):
+    """Rows and labels in each of the four outputs of the split."""
+    out = None
+    for name, part in split.train_test(flow.contract_folds(spark, sf_dir)).items():
+        labels_in = F.count(S.LABEL) if S.LABEL in part.columns else F.lit(None).cast("long")
+        row = part.agg(F.count(F.lit(1)).alias("n_rows"), labels_in.alias("n_labels"))
+        row = row.select(F.lit(name).alias("output"), "n_rows", "n_labels")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def brand_rates(core):
+    """Contracts and positives of every brand (one row per brand)."""
+    return core.where(F.col("smartphone_brand").isNotNull()).groupBy("smartphone_brand").agg(
+        F.count(F.lit(1)).alias("brand_rows"), F.coalesce(F.sum(S.LABEL), F.lit(0)).cast("long").alias("brand_positives")
+    )
+
+
+@register(
+    "brand_rate_join",
+    sql=with_views(
+        "SELECT c.rating_account_id, c.smartphone_brand, b.brand_rows, b.brand_positives FROM core_data c LEFT JOIN ("
+        "SELECT smartphone_brand, count(*) AS brand_rows, CAST(coalesce(sum(has_done_upselling), 0) AS BIGINT) "
+        "AS brand_positives FROM core_data GROUP BY 1) b ON c.smartphone_brand = b.smartphone_brand"
+    ),
+)
+def brand_rate_join(spark, sf_dir):
+    """Every contract with its brand's counts: five keys hold all rows, so every key is salted."""
+    core = flow.inputs(spark, sf_dir).core
+    rates = brand_rates(core)
+    hot = joins.hot_keys_from_counts(rates, "smartphone_brand", "brand_rows")
+    return joins.hot_key_left_join(core.select(S.KEY, "smartphone_brand"), rates, "smartphone_brand", hot=hot).select(
+        S.KEY, "smartphone_brand", "brand_rows", "brand_positives"
+    )

@@ -8,6 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# ---------------------------------------------------------------------------
+# Fixed values (must equal the reference's definitions)
+# ---------------------------------------------------------------------------
+
 CORE_SCHEMA = T.StructType(
     [
         T.StructField("rating_account_id", T.LongType(), False),
@@ -42,14 +46,13 @@ INTERACTIONS_SCHEMA = T.StructType(
     ]
 )
 
+# Depth of the forests that compare feature sets (own bound: trees on raw columns grow with the rows).
+COMPARE_MAX_DEPTH = 15
+
 KEY = "rating_account_id"
 CUSTOMER = "customer_id"
 LABEL = "has_done_upselling"
 
-# ---------------------------------------------------------------------------
-# Fixed values (must equal the reference's definitions)
-# ---------------------------------------------------------------------------
-
 # Interval buckets: (lo, hi] per label, values outside every interval -> null.
 BINDING_EDGES = [-1000, -1, 30, 90, 180, 1000]
 BINDING_LABELS = ["Expired", "0-30", "31-90", "91-180", ">180"]
@@ -88,6 +91,10 @@ RECENCY_FILL = 999
 RF_PARAMS = {"num_trees": 300, "min_leaf": 50, "seed": 42}
 RF_NOTEBOOK_TREES = 100
 
+# Logistic regression of the training step.
+LR_C = 1.0
+LR_MAX_ITER = 1000
+
 # Manual feature selection of the training step, in order.
 SELECTED_FEATURES = [
     "remaining_binding_days_bucket_0-30",
@@ -152,5 +159,75 @@ INTERACTION_COUNT_COLUMNS = [
     "interact_rechnungsanfragen",
 ]
 
-# Rule score of the generator: (predicate, weight) pairs, then clipped to [0, 1].
+# Rule score of the generator: (predicate, weight) pairs, summed and clipped to [0, 1].
+RULE_TERMS = [
+    ("age < 45", 0.2),
+    ("contract_lifetime_days >= 300 AND contract_lifetime_days <= 1460", 0.15),
+    ("remaining_binding_days < 60", 0.1),
+    ("is_magenta1_customer = 1", 0.1),
+    ("available_gb_value <= 20", 0.2),
+    ("gross_mrc < 35", 0.1),
+]
 RULE_BASE_RATE = 0.07
+
+# Columns of the label-history view.
+CONTRACT_VIEW = [
+    KEY,
+    CUSTOMER,
+    "age",
+    "contract_lifetime_days",
+    "remaining_binding_days",
+    "has_special_offer",
+    "is_magenta1_customer",
+    LABEL,
+]
+
+# Output names of the usage aggregate, in order.
+USAGE_OUTPUT = [
+    "rating_account_id",
+    "total_used_gb",
+    "avg_used_gb",
+    "std_used_gb",
+    "min_used_gb",
+    "max_used_gb",
+    "usage_month_count",
+    "roaming_months",
+    "roaming_ratio",
+    "had_roaming",
+    "usage_increase",
+    "usage_trend",
+]
+
+# Columns of the notebook's profiles.
+PROFILE_COLUMNS = [
+    "remaining_binding_days_bucket", "mrc_bucket", "contract_term_bucket", "age_bucket",
+    "smartphone_brand", "is_magenta1_customer", "available_gb",
+]
+CROSSTAB_FEATURES = [
+    "is_magenta1_customer", "has_special_offer", "mrc_bucket", "remaining_binding_days_bucket",
+    "contract_term_bucket", "age_bucket",
+]
+# (source view, column, bins) of the notebook's histograms.
+HISTOGRAMS = [
+    ("core", "remaining_binding_days", 30),
+    ("core", "gross_mrc", 30),
+    ("core", "age", 30),
+    ("usage", "avg_used_gb", 10),
+    ("interactions", "num_interactions", 20),
+]
+
+
+def feature_sets() -> dict[str, list[str]]:
+    """The notebook's feature sets: each core view alone, with usage, with interactions, with both."""
+    both = list(dict.fromkeys(CORE_RAW + CORE_WITH_BUCKETS))
+    return {
+        "core_raw": CORE_RAW,
+        "core_with_buckets": CORE_WITH_BUCKETS,
+        "core_raw+usage": CORE_RAW + USAGE_FEATURES,
+        "core_raw+interactions": CORE_RAW + INTERACTION_FEATURES,
+        "core_with_buckets+usage": CORE_WITH_BUCKETS + USAGE_FEATURES,
+        "core_with_buckets+interactions": CORE_WITH_BUCKETS + INTERACTION_FEATURES,
+        "core_raw+usage+interactions": CORE_RAW + USAGE_FEATURES + INTERACTION_FEATURES,
+        "core_with_buckets+usage+interactions": CORE_WITH_BUCKETS + USAGE_FEATURES + INTERACTION_FEATURES,
+        "raw+buckets": both,
+    }

@@ -25,6 +25,12 @@ def stage_root(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark).rstrip("/") + "/stages"
 
 
+def champion_dir(spark: SparkSession) -> str:
+    """Durable folder of the champion model: ``campaignlens.champion.dir``, else a folder in the warehouse."""
+    configured = spark.conf.get("campaignlens.champion.dir", None)
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/campaignlens_champion").rstrip("/")
+
+
 def write_stage(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
     writer = df.write.mode(mode)
     if partition_by:

@@ -21,7 +21,8 @@ from pyspark.sql import types as T
 # Fixed values of the test views: the reference dates for the two day counts.
 LIFETIME_AS_OF = "2001-08-02"
 INTERACTION_AS_OF = "2024-01-31"
-USAGE_TIE_COLUMNS = ["tie_1", "tie_2", "tie_3"]
+# Tie columns of the usage view with their digits (part, supplier, line number).
+USAGE_TIE_COLUMNS = {"tie_1": 12, "tie_2": 10, "tie_3": 6}
 
 
 @dataclass
@@ -29,7 +30,7 @@ class Inputs:
     core: DataFrame
     usage: DataFrame
     interactions: DataFrame
-    usage_ties: list[str]
+    usage_ties: dict[str, int]
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -125,5 +126,5 @@ def derive_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         core=derive_core(spark, sf_dir),
         usage=derive_usage(spark, sf_dir),
         interactions=derive_interactions(spark, sf_dir),
-        usage_ties=list(USAGE_TIE_COLUMNS),
+        usage_ties=dict(USAGE_TIE_COLUMNS),
     )

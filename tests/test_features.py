@@ -1,6 +1,11 @@
 """Group-shape edge cases of the usage and interaction aggregates (T8-T13)."""
 
 import datetime as dt
+import random
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
 
 from campaignlens.operators import features
 
@@ -71,7 +76,55 @@ def test_null_customer_key_keeps_its_row_unmatched(spark):
     assert out[2].num_interactions is None and out[2].recency is None
 
 
-def test_usage_without_ties_plans_a_hash_aggregate(spark):
+def test_usage_plans_a_hash_aggregate_with_and_without_ties(spark):
     rows = [(1, D(2024, 4, 1), 0, 1.0), (1, D(2024, 5, 1), 1, 4.0)]
-    plan = features.usage_features(usage_frame(spark, rows))._jdf.queryExecution().executedPlan().toString()
-    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    usage = usage_frame(spark, rows).withColumn("t", F.lit(7).cast("long"))
+    for ties in ({}, {"t": 12}):
+        for df in (features.usage_features(usage, ties), features.usage_trend(usage, ties)):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_first_and_last_follow_period_then_ties(spark):
+    rnd = random.Random(4)
+    rows = [
+        (rnd.randrange(6), rnd.choice([None, D(1, 1, 1), D(2024, 4, 1), D(2024, 5, 1), D(9999, 12, 31)]),
+         rnd.choice([None, 0, 5, 10**12 - 2]), rnd.choice([None, 0, 3]), rnd.choice([None, float(rnd.randrange(99))]))
+        for _ in range(300)
+    ]
+    rows = list({(r[0], r[1], r[2], r[3]): r for r in rows}.values())  # a total order inside each account
+    df = spark.createDataFrame(rows, "rating_account_id long, billed_period_month_d date, t1 long, t2 int, used_gb double")
+    df = df.withColumn("has_used_roaming", F.lit(0))
+    got = {r.rating_account_id: (r.first_used_gb, r.last_used_gb)
+           for r in features.usage_trend(df, {"t1": 12, "t2": 3}).collect()}
+    first_none = lambda x: (x is not None, x or 0)
+    for k in got:
+        mine = sorted((r for r in rows if r[0] == k and r[4] is not None),
+                      key=lambda r: (r[1] is None, r[1] or D(1, 1, 1), first_none(r[2]), first_none(r[3])))
+        assert got[k] == (mine[0][4], mine[-1][4])
+
+
+def test_tie_that_does_not_fit_ends_the_query(spark):
+    df = usage_frame(spark, [(1, D(2024, 4, 1), 0, 1.0)]).withColumn("t", F.lit(1000))
+    with pytest.raises(Exception, match="does not fit"):
+        features.usage_trend(df, {"t": 3}).collect()
+
+
+def test_nan_volumes_are_missing_as_in_pandas(spark):
+    values = [float("nan"), 2.0, None, 5.0]
+    rows = [(1, D(2024, 1 + i, 1), 0, v) for i, v in enumerate(values)] + [(2, D(2024, 1, 1), 0, float("nan"))]
+    out = {r.rating_account_id: r for r in features.usage_features(usage_frame(spark, rows)).collect()}
+    p = pd.Series(values, dtype=float)
+    a = out[1]
+    assert (a.total_used_gb, a.avg_used_gb, a.min_used_gb, a.max_used_gb) == (p.sum(), p.mean(), p.min(), p.max())
+    assert a.std_used_gb == pytest.approx(p.std()) and a.usage_trend == 3.0 and a.usage_increase == 1
+    assert out[2].total_used_gb == 0.0 and out[2].avg_used_gb is None and out[2].usage_trend is None
+
+
+def test_interaction_sums_beyond_32_bits(spark):
+    rows = [("a", "prolongation", 2_000_000_000, 10), ("a", "prolongation", 2_000_000_000, 5)]
+    df = spark.createDataFrame(rows, "customer_id string, type_subtype string, n long, days_since_last int")
+    r = features.interaction_features(df).first()
+    assert r.num_interactions == r.interact_prolongations == 4_000_000_000
+    assert features.pattern_counts(df).first().interact_prolongations == 4_000_000_000
+    assert features.fill_interactions(features.interaction_features(df)).first().num_interactions == 4_000_000_000

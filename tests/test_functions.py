@@ -34,9 +34,11 @@ def test_notebook_age_edges_differ_at_46_and_61(spark):
 
 
 def test_numeric_text_coercion(spark):
-    df = spark.createDataFrame([(" 12 ",), ("x",), (None,), ("nan",), ("1e3",)], "s string")
+    texts = [" 12 ", "x", None, "nan", "1e3", "1d", "2F", "1e400", "-1e400", ".5", "5.", "+7", "1_0", "", "inf", "0x1A"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
     got = [r.v for r in df.select(coerce_numeric("s").alias("v")).collect()]
-    assert got == [12.0, None, None, None, 1000.0]
+    want = [12.0, None, None, None, 1000.0, None, None, None, None, 0.5, 5.0, 7.0, None, None, math.inf, None]
+    assert got == want
 
 
 def test_one_hot_drops_first_level_and_zeros_for_missing(spark):
@@ -76,6 +78,9 @@ def test_median_is_exact_and_interpolated(spark):
     gb = coerce_numeric("available_gb")
     got = df.select(clean.median_of(df, gb).alias("m")).first().m
     assert got == 15.0
-    # The distributed path (domain above the bound) gives the same value.
-    got = df.select(clean.median_of(df, gb, small_domain=2).alias("m")).first().m
-    assert got == 15.0
+
+
+def test_category_levels_in_code_point_order(spark):
+    df = spark.createDataFrame([(b,) for b in ["iPhone", None, "Xiaomi", "OnePlus", "iPhone"]], "b string")
+    got = [(r.level, r.position) for r in clean.category_levels(df, "b").orderBy("position").collect()]
+    assert got == [("OnePlus", 1), ("Xiaomi", 2), ("iPhone", 3)]

@@ -1,59 +1,51 @@
 """Salted hot-key left join equals the plain left join."""
 
-from campaignlens.operators.joins import hot_key_left_join, hot_keys, salt_counts
+from pyspark.sql import functions as F
 
+from campaignlens.operators.joins import hot_key_left_join, hot_keys, hot_keys_from_counts
+from campaignlens.plans import flow
+from campaignlens.plans.profile_queries import brand_rates
+from tests.conftest import SF_SMALL
 
-def test_hot_key_join_matches_plain_join(spark):
+
+def frames(spark):
     # "hot" holds a third of the left rows; one key has no right row; one left key is null.
     left = spark.createDataFrame(
         [("hot" if i % 3 == 0 else (None if i == 1 else f"c{i % 50}"), i) for i in range(3000)],
         "customer_id string, k long",
     )
     right = spark.createDataFrame([("hot", 7)] + [(f"c{i}", i) for i in range(49)], "customer_id string, v int")
-    assert [r.customer_id for r in hot_keys(left, "customer_id", share=0.1, min_rows=10).collect()] == ["hot"]
+    return left, right
+
+
+def test_hot_key_join_matches_plain_join(spark):
+    left, right = frames(spark)
     want = left.join(right, "customer_id", "left")
-    # 1000 hot rows: 10 salts of 100 rows, capped at 4; and at the default size, one salt.
-    for kw in ({"rows_per_salt": 100}, {"rows_per_salt": 100, "salt_buckets": 4}, {}):
-        got = hot_key_left_join(left, right, "customer_id", share=0.1, min_rows=10, **kw)
+    for partitions in (None, 1, 4, 1000):
+        got = hot_key_left_join(left, right, "customer_id", partitions=partitions)
         assert got.columns == want.columns
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    # Forced shuffle join: the hot key must be spread over several reducers.
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plain = hot_key_left_join(left, right, "customer_id", salt_buckets=8, share=0.1, min_rows=10,
-                                  rows_per_salt=100)
-        assert plain.exceptAll(want).count() == 0 and want.exceptAll(plain).count() == 0
-        assert "xxhash64" in plain._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_salts_grow_with_the_hot_key(spark):
-    from pyspark.sql import functions as F
-
-    left = spark.createDataFrame([("big" if i < 900 else "mid" if i < 1200 else f"c{i}", i) for i in range(1500)],
-                                 "customer_id string, k long")
-    right = spark.createDataFrame([("big", 1), ("mid", 2)], "customer_id string, v int")
-    hot = hot_keys(left, "customer_id", share=0.1, min_rows=10)
-    assert {r.customer_id: r._rows for r in hot.collect()} == {"big": 900, "mid": 300}
-    got = {r.customer_id: r._salts for r in salt_counts(hot, "customer_id", rows_per_salt=100).collect()}
-    assert got == {"big": 9, "mid": 3}
-    got = {r.customer_id: r._salts for r in salt_counts(hot, "customer_id", 4, 100).collect()}
-    assert got == {"big": 4, "mid": 3}
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = hot_key_left_join(left, right, "customer_id", hot=hot, rows_per_salt=100)
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-        assert "xxhash64" in plan
-        assert joined.where(F.col("v").isNotNull()).count() == 1200
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_hot_list_is_deterministic_when_counts_tie_at_the_cutoff(spark):
-    from campaignlens.operators.joins import hot_keys_from_counts
-
-    counts = spark.createDataFrame([(f"k{i}", 500) for i in range(10)] + [("big", 900)], "customer_id string, n long")
-    got = [r.customer_id for r in hot_keys_from_counts(counts.repartition(5), "customer_id", "n", share=0.0,
-                                                         min_rows=10, max_hot=3).collect()]
-    assert got == ["big", "k0", "k1"]
+
+
+def test_salts_follow_the_share_of_a_partition(spark):
+    left, _ = frames(spark)
+    # 2999 rows with a key over 8 partitions: 375 rows each; "hot" (1000 rows) fills 2.7 of them.
+    assert {r.customer_id: (r._rows, r._salts) for r in hot_keys(left, "customer_id", 8).collect()} == {"hot": (1000, 3)}
+    many = {r.customer_id: r._salts for r in hot_keys(left, "customer_id", 600).collect()}
+    assert many["hot"] == 201 and len(many) == 51 and sum(many.values()) <= 2 * 600
+    assert hot_keys(left, "customer_id", 2).count() == 0
+
+
+def test_many_hot_keys_are_all_salted(spark):
+    counts = spark.createDataFrame([(f"k{i}", 500) for i in range(2000)], "customer_id string, n long")
+    got = hot_keys_from_counts(counts, "customer_id", "n", partitions=4000)
+    assert got.count() == 2000 and {r._salts for r in got.select("_salts").distinct().collect()} == {2}
+
+
+def test_registered_query_runs_the_salted_path(spark):
+    core = flow.inputs(spark, SF_SMALL).core
+    hot = hot_keys_from_counts(brand_rates(core), "smartphone_brand", "brand_rows")
+    assert hot.count() == 5 and hot.agg(F.min("_salts")).first()[0] >= 2
+    assert "xxhash64" in str(
+        hot_key_left_join(core, brand_rates(core), "smartphone_brand", hot=hot)._jdf.queryExecution().executedPlan().toString()
+    )

@@ -27,3 +27,12 @@ def test_transitions_equal_brute_force_with_extreme_keys(spark):
                                      "has_done_upselling int")
     got = {r.customer_id: r.has_transition_0_to_1 for r in labels.customer_transitions(df).collect()}
     assert got == _brute(rows)
+
+
+def test_label_shift_keeps_contracts_without_customer(spark):
+    rows = [(1, "a", 10, 0), (2, "a", 20, 1), (3, None, 5, 0), (4, None, 6, 1), (5, "b", None, 1)]
+    df = spark.createDataFrame(
+        rows, "rating_account_id long, customer_id string, contract_lifetime_days int, has_done_upselling int"
+    )
+    got = {r.rating_account_id: (r.prev_label, r.transition_0_to_1) for r in labels.label_shift(df).collect()}
+    assert got == {1: (None, 0), 2: (0, 1), 3: (None, 0), 4: (None, 0), 5: (None, 0)}

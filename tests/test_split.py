@@ -48,3 +48,40 @@ def test_repeat_rows_spreads_a_large_row_over_tasks(spark):
     assert rows == {"hot": (2500, 1, 2500, 2500), "a": (3, 1, 3, 3)}
     tasks = out.where(F.col("k") == "hot").select(F.spark_partition_id().alias("p")).distinct().count()
     assert tasks > 1
+
+
+def with_nulls(spark):
+    rows = [(i, None if i % 5 < 2 else f"c{i % 7}", i, i % 2) for i in range(60)]
+    return spark.createDataFrame(
+        rows, "rating_account_id long, customer_id string, contract_lifetime_days int, has_done_upselling int"
+    )
+
+
+def test_contracts_without_customer_get_folds(spark):
+    core = with_nulls(spark)
+    folded = split.assign_folds(core)
+    parts = split.train_test(folded)
+    assert folded.columns == core.columns + ["fold"]
+    assert folded.where(F.col("fold").isNull()).count() == 0
+    assert parts["X_train"].count() + parts["X_test"].count() == 60
+    assert parts["y_train"].count() + parts["y_test"].count() == 60
+    assert split.fold_leakage(folded).first().n_customers_multi_fold == 0
+    # Each of the 24 lone contracts is a group of its own.
+    assert split.customer_folds(core).where(F.col("customer_id").isNull()).count() == 24
+
+
+def test_customer_named_like_an_account_stays_apart(spark):
+    core = spark.createDataFrame([(5, None, 1), (6, "account 5", 0)], "rating_account_id long, customer_id string, has_done_upselling int")
+    assert split.customer_folds(core).count() == 2
+
+
+def test_class_weights_read_the_rows_once(spark):
+    w = split.class_weights(with_nulls(spark))
+    assert {r.has_done_upselling: r.weight for r in w.collect()} == {0: 1.0, 1: 1.0}
+    plan = split.class_weights(flow.inputs(spark, SF).core)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2  # orders and customer, once each
+
+
+def test_copy_numbers_are_64_bit(spark):
+    df = spark.createDataFrame([("a", 2)], "k string, n int")
+    assert dict(split.repeat_rows(df, "n").dtypes)["copy_no"] == "bigint"
