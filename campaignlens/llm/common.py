@@ -63,9 +63,9 @@ def store(df: DataFrame) -> DataFrame:
 
 
 def hashed_counts(
-    df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int
+    df: DataFrame, hashes: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]], bits: int
 ) -> np.ndarray:
-    """How many of the 64-bit hashes that ``hashes`` makes of a table fall in each of ``2**bits`` buckets.
+    """How many of the 64-bit hashes that ``hashes`` makes of a table's batches fall in each of ``2**bits`` buckets.
 
     Every task sums its own buckets and sends them in pieces; the pieces are
     summed as they stream into the tasks that own them.  The result has a fixed
@@ -83,9 +83,11 @@ def hashed_counts(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
-        for batch in batches:
-            for h in hashes(batch):
+        for h in hashes(batches):
+            if len(h) * 8 > size:
                 total += np.bincount((h & mask).astype(np.int64), minlength=size)
+            else:
+                np.add.at(total, (h & mask).astype(np.int64), 1)
         if total.any():
             yield rows({i: total[i * piece : (i + 1) * piece] for i in range(size // piece)})
 

@@ -6,20 +6,26 @@ more share a shingle among the first ``n - ceil(num * n / den) + 1`` of each
 (the prefix).  Documents with the same size and the same prefix form one
 group; only groups are matched.
 
-1. Shingles are counted in a fixed number of hash buckets; (count, hash) is the
-   order.  It need not be exact to be right, only the same everywhere.
+1. Shingles are counted in a fixed number of hash buckets; (rarity class, hash)
+   is the order, the same everywhere.
 2. Every group sends its prefix; shingles that one group alone has are dropped
    by an aggregate that combines inside the tasks.
-3. Group pairs pass a length filter and a positional filter and are expanded
-   into the members' distinct sets, which are compared exactly.
-4. Links come in two passes.  First every group meets the smallest group of
-   each of its shingles, which joins a large set of near copies in a star of
-   links; then only groups of different components are matched, each stray with
-   all others of its shingle.  Both passes together lose no component, and a
-   family of near copies never emits all its pairs.
+3. Group pairs pass a length filter and a prefix filter: sets that match share
+   a computable number of prefix shingles.  Pairs that pass are expanded into
+   the members' distinct sets, which are compared exactly.
+4. Links come in two passes.  First every group meets one other group of each of
+   its shingles, the one in whose prefix the shingle stands first (the least
+   edited text of a family), which joins a large family of near copies in a
+   star of links; a 512-bit sketch of the prefixes bounds what a pair can share.
+   Then only groups of different components are matched, each stray with all
+   others of its shingle.  What pairs share is first added up in a fixed number
+   of hash buckets, which can only overstate it; only pairs whose bucket reaches
+   the number needed are written and counted exactly.  Both passes together
+   lose no component, and a family of near copies never emits all its pairs.
 
 A *class* is one distinct set; its members need no links among themselves.
-Sets are compared through 64-bit shingle hashes and told apart by 128-bit sums.
+Sets are compared through 64-bit shingle hashes and told apart by 128-bit sums;
+a group is named by a 64-bit hash of its size and prefix.
 
 Defined cases: a null text, and one without words, has an empty set and is
 linked with nothing; fewer than five words make one shingle; equal ids with
@@ -43,13 +49,15 @@ from campaignlens.llm.graph import components
 
 WIDTH = 5
 NUM, DEN = 80, 100
-# Buckets of the shingle counts and of the document filter: fixed sizes, whatever the input.
+# Buckets of the shingle counts, the document filter and the pair counts: fixed sizes, whatever the input.
 COUNT_BITS = 20
 FILTER_BITS = 21
-# A group's id: its size (24 bits, saturated) before 39 bits of its prefix's hash.
-_SIZE_SHIFT = 39
-_SIZE_MAX = (1 << 24) - 1
+PAIR_BITS = 22
 _SEEN = 200_000  # groups that a task remembers, to send each prefix once
+_NEVER = 1 << 60
+_SKETCH = tuple(f"k{i}" for i in range(8))  # 512 bits
+_BLOCK = 1 << 18  # pairs looked at together
+_LIST = 4096  # partners written in one row
 
 
 def _shingles(column: pa.Array, width: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -71,14 +79,16 @@ def _signatures(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return s1.view(np.int64), s2.view(np.int64)
 
 
-def _needed(n: Column, num: int, den: int) -> Column:
-    return F.floor((n * num + (den - 1)) / den)
+def _rarity(counts: np.ndarray) -> np.ndarray:
+    """Rarity class of each bucket (0 rarest), 16 per doubling of the count."""
+    return np.minimum(16 * np.log2(np.maximum(counts, 1)), 4095).astype(np.uint16)
 
 
 def _profiles(docs: DataFrame, counts: np.ndarray, width: int, num: int, den: int) -> DataFrame:
-    """One row per document: id, text key, size, set signature, group, and the group's prefix once per task."""
+    """One row per document: id, text key, size, set signature, group; once per task the group's prefix, the
+    order of its last shingle, and its sketch."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(np.minimum(counts, np.iinfo(np.uint32).max).astype(np.uint32))
+    shared = spark.sparkContext.broadcast(_rarity(counts))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
@@ -95,10 +105,13 @@ def _profiles(docs: DataFrame, counts: np.ndarray, width: int, num: int, den: in
                 first = (np.arange(len(h)) - at[owner]) < length[owner]
                 prefix = h[first]
                 ends = np.concatenate([[0], np.cumsum(length)])
+                final = prefix[np.maximum(ends[1:] - 1, 0)] if len(prefix) else np.zeros(b - a, np.uint64)
+                rank = table[(final & mask).astype(np.int64)].astype(np.int64)
+                stop = (rank << 51) | (final >> np.uint64(13)).astype(np.int64)
+                sketch = _sketch(prefix, ends)
                 mark = _sum_by_row(textops.splitmix(prefix + np.uint64(3)), ends)
-                group = (np.minimum(n, _SIZE_MAX).astype(np.int64) << _SIZE_SHIFT) | (
-                    mark >> np.uint64(64 - _SIZE_SHIFT)
-                ).astype(np.int64)
+                with np.errstate(over="ignore"):
+                    group = textops.splitmix(mark + n.astype(np.uint64)).view(np.int64)
                 send = np.zeros(b - a, bool)
                 for i, g in enumerate(group.tolist()):
                     if n[i] and g not in seen:
@@ -117,39 +130,244 @@ def _profiles(docs: DataFrame, counts: np.ndarray, width: int, num: int, den: in
                         pa.array(s2),
                         pa.array(group),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(sent)),
+                        pa.array(stop),
+                        *[pa.array(k) for k in sketch],
                     ],
-                    names=["id", "key", "n", "s1", "s2", "grp", "prefix"],
+                    names=["id", "key", "n", "s1", "s2", "grp", "prefix", "stop", *_SKETCH],
                 )
 
-    return docs.mapInArrow(task, "id long, key long, n long, s1 long, s2 long, grp long, prefix array<long>")
+    ddl = "id long, key long, n long, s1 long, s2 long, grp long, prefix array<long>, stop long"
+    return docs.mapInArrow(task, ddl + "".join(f", {k} long" for k in _SKETCH))
 
 
-def _size_of(group: str) -> Column:
-    return F.shiftright(F.col(group), _SIZE_SHIFT)
+def _sketch(tokens: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """512 bits per row of tokens, in eight columns; every token sets one."""
+    rows = len(ends) - 1
+    bits = np.zeros((rows, 64 * len(_SKETCH)), bool)
+    bit = textops.splitmix(tokens + np.uint64(19)) % np.uint64(bits.shape[1])
+    bits[np.repeat(np.arange(rows), np.diff(ends)), bit.astype(np.int64)] = True
+    packed = np.packbits(bits, axis=1).view(np.int64)
+    return [np.ascontiguousarray(packed[:, i]) for i in range(len(_SKETCH))]
 
 
-def _long_enough(a: Column, b: Column, num: int, den: int) -> Column:
-    """Length filter: the smaller set is not too small for the larger."""
-    return F.least(a, b) * den >= F.greatest(a, b) * num
+def _prefix_length(n: np.ndarray, num: int, den: int) -> np.ndarray:
+    return n - (n * num + den - 1) // den + 1
 
 
-def _near_enough(a: Column, at_a: Column, b: Column, at_b: Column, num: int, den: int) -> Column:
-    """Positional filter: enough shingles are left from the first common one on."""
-    most = F.least(a - at_a, b - at_b)
-    open_end = (a >= _SIZE_MAX) | (b >= _SIZE_MAX)
-    return open_end | (most * (num + den) >= (a + b) * num)
+def _common_needed(g: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, num: int, den: int) -> np.ndarray:
+    """How many prefix shingles a matching pair of groups must share; more than any if the sizes rule it out.
+
+    The set whose prefix ends first in the order has all its other common
+    shingles behind its own prefix.
+    """
+    a, b = g["n"][i], g["n"][j]
+    needed = -((-(a + b) * num) // (num + den))
+    rest_a, rest_b = a - _prefix_length(a, num, den), b - _prefix_length(b, num, den)
+    ends_a, ends_b = g["stop"][i], g["stop"][j]
+    rest = np.where(ends_a < ends_b, rest_a, np.where(ends_b < ends_a, rest_b, np.maximum(rest_a, rest_b)))
+    least = np.maximum(needed - rest, 1)
+    return np.where(np.minimum(a, b) * den >= np.maximum(a, b) * num, least, _NEVER)
+
+
+def _star_pairs(postings: DataFrame, num: int, den: int) -> DataFrame:
+    """``ga, gb``: each group of a shingle with the group in whose prefix the shingle stands first."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g in _whole_tokens(batches, ["token", "grp", "at", "n", "stop"]):
+            order = np.lexsort((g["grp"], g["at"], g["token"]))
+            g = {c: v[order] for c, v in g.items()}
+            t = g["token"]
+            starts = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
+            i = np.repeat(starts, np.diff(np.append(starts, len(t))))
+            j = np.arange(len(t))
+            ok = i != j
+            i, j = i[ok], j[ok]
+            ok = _common_needed(g, i, j, num, den) < _NEVER
+            pairs = np.unique(np.stack([g["grp"][i[ok]], g["grp"][j[ok]]], axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["ga", "gb"])
+
+    return _by_token(postings, ["token", "grp", "at", "n", "stop"]).mapInArrow(task, "ga long, gb long").distinct()
+
+
+def _sharing_enough(pairs: DataFrame, about: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs whose prefixes can have enough in common by their sketches."""
+    cols = ["n", "stop", *_SKETCH]
+    side = lambda x: about.select(F.col("grp").alias(f"g{x}"), *[F.col(c).alias(c + x) for c in cols])
+    met = pairs.join(side("a"), "ga").join(side("b"), "gb")
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            half = {x: {c: batch.column(c + x).to_numpy(zero_copy_only=False) for c in cols} for x in "ab"}
+            m = batch.num_rows
+            g = {c: np.concatenate([half["a"][c], half["b"][c]]) for c in cols}
+            i, j = np.arange(m), np.arange(m) + m
+            apart = np.zeros(m, np.int64)
+            for k in _SKETCH:
+                apart += textops.differing_bits(g[k][i], g[k][j])
+            # Every differing bit is a shingle of one prefix only.
+            most = (_prefix_length(g["n"][i], num, den) + _prefix_length(g["n"][j], num, den) - apart) // 2
+            yield batch.select(["ga", "gb"]).filter(pa.array(most >= _common_needed(g, i, j, num, den)))
+
+    return met.mapInArrow(task, "ga long, gb long")
+
+
+def _crossing(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``(ga, gb, needed)`` of groups of different roots that share a shingle, a bounded number at a time.
+
+    Every group outside its shingle's commonest root meets all groups after
+    it (the others of that kind stand first), so each pair of different roots
+    is seen once for every shingle it shares.
+    """
+    for g in _whole_tokens(batches, ["token", "grp", "n", "stop", "root"]):
+        order = np.lexsort((~_is_stray(g["token"], g["root"]), g["token"]))
+        g = {c: v[order] for c, v in g.items()}
+        t = g["token"]
+        starts = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
+        ends = np.append(starts[1:], len(t))
+        width = np.where(_is_stray(t, g["root"]), np.repeat(ends, ends - starts) - np.arange(len(t)) - 1, 0)
+        upto = np.concatenate([[0], np.cumsum(width)])
+        at = 0
+        while at < len(t):
+            stop = max(int(np.searchsorted(upto, upto[at] + _BLOCK, side="right")) - 1, at + 1)
+            w = width[at:stop]
+            i = np.repeat(np.arange(at, stop), w)
+            j = i + 1 + np.arange(len(i)) - np.repeat(upto[at:stop] - upto[at], w)
+            ok = (g["root"][i] != g["root"][j]) | (g["root"][i] == -1)
+            i, j = i[ok], j[ok]
+            needed = _common_needed(g, i, j, num, den)
+            ok = needed < _NEVER
+            x, y = g["grp"][i[ok]], g["grp"][j[ok]]
+            yield np.minimum(x, y), np.maximum(x, y), needed[ok]
+            at = stop
+
+
+def _pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return textops.splitmix(a.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + b.view(np.uint64))
+
+
+def _crossing_pairs(postings: DataFrame, num: int, den: int) -> DataFrame:
+    """``ga, gb``: groups of different roots that share as many prefix shingles as a match needs."""
+    met = _by_token(postings, ["token", "grp", "n", "stop", "root"])
+    held = hashed_counts(
+        met, lambda batches: (_pair_hash(x, y) for x, y, _ in _crossing(batches, num, den)), PAIR_BITS
+    )
+    shared = postings.sparkSession.sparkContext.broadcast(np.minimum(held, np.iinfo(np.uint16).max).astype(np.uint16))
+
+    def partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row per shingle and smaller group with the larger ones, at most ``_LIST`` in a row."""
+        table = shared.value
+        mask, top = np.uint64(len(table) - 1), np.iinfo(table.dtype).max
+        for x, y, needed in _crossing(batches, num, den):
+            ok = table[(_pair_hash(x, y) & mask).astype(np.int64)] >= np.minimum(needed, top)
+            x, y, needed = x[ok], y[ok], needed[ok]
+            if not len(x):
+                continue
+            order = np.argsort(x, kind="stable")
+            x, y, needed = x[order], y[order], needed[order]
+            head = np.concatenate([[True], x[1:] != x[:-1]])
+            since = np.arange(len(x)) - np.maximum.accumulate(np.where(head, np.arange(len(x)), 0))
+            head = np.flatnonzero(head | (since % _LIST == 0))
+            ends = pa.array(np.append(head, len(x)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(x[head]),
+                    pa.ListArray.from_arrays(ends, pa.array(y)),
+                    pa.ListArray.from_arrays(ends, pa.array(needed.astype(np.int32))),
+                ],
+                names=["ga", "others", "needed"],
+            )
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The pairs found often enough, from batches sorted by the smaller group."""
+        for g in _whole_groups(batches):
+            order = np.lexsort((g["gb"], g["ga"]))
+            a, b, needed = g["ga"][order], g["gb"][order], g["needed"][order]
+            head = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+            enough = np.diff(np.append(head, len(a))) >= needed[head]
+            kept = head[enough]
+            yield pa.RecordBatch.from_arrays([pa.array(a[kept]), pa.array(b[kept])], names=["ga", "gb"])
+
+    lists = met.mapInArrow(partners, "ga long, others array<long>, needed array<int>")
+    return lists.repartition("ga").sortWithinPartitions("ga").mapInArrow(counted, "ga long, gb long")
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+    """``ga, gb, needed`` arrays that hold every row of their smaller groups."""
+    held: list[dict[str, np.ndarray]] = []
+    size = 0
+    for batch in batches:
+        count = np.diff(batch.column("others").offsets.to_numpy())
+        if not count.sum():
+            continue
+        held.append({
+            "ga": np.repeat(batch.column("ga").to_numpy(zero_copy_only=False), count),
+            "gb": batch.column("others").flatten().to_numpy(zero_copy_only=False),
+            "needed": batch.column("needed").flatten().to_numpy(zero_copy_only=False),
+        })
+        size += int(count.sum())
+        last = held[-1]["ga"][-1]
+        if size < _BLOCK or held[0]["ga"][0] == last:
+            continue
+        g = {c: np.concatenate([h[c] for h in held]) for c in held[0]}
+        cut = int(np.searchsorted(g["ga"] == last, True))
+        yield {c: v[:cut] for c, v in g.items()}
+        held, size = [{c: v[cut:] for c, v in g.items()}], size - cut
+    if size:
+        yield {c: np.concatenate([h[c] for h in held]) for c in held[0]}
+
+
+def _by_token(postings: DataFrame, names: list[str]) -> DataFrame:
+    return postings.select(*names).repartition("token").sortWithinPartitions("token")
+
+
+def _whole_tokens(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[dict[str, np.ndarray]]:
+    """Arrays of whole shingles (at least some ten thousand rows) from batches sorted by shingle."""
+    held: list[dict[str, np.ndarray]] = []
+    rows = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append({c: batch.column(c).to_numpy(zero_copy_only=False) for c in names})
+        rows += batch.num_rows
+        last = held[-1]["token"][-1]
+        if rows < 20_000 or held[0]["token"][0] == last:
+            continue
+        g = {c: np.concatenate([h[c] for h in held]) for c in names}
+        cut = int(np.searchsorted(g["token"] == last, True))
+        yield {c: v[:cut] for c, v in g.items()}
+        held, rows = [{c: v[cut:] for c, v in g.items()}], rows - cut
+    if rows:
+        yield {c: np.concatenate([h[c] for h in held]) for c in names}
+
+
+def _is_stray(token: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """Rows outside their shingle's commonest root (rows sorted by shingle; a row of several roots, -1, is one)."""
+    order = np.lexsort((root, token))
+    t, r = token[order], root[order]
+    new = np.concatenate([[True], (t[1:] != t[:-1]) | (r[1:] != r[:-1])])
+    head = np.flatnonzero(new)
+    size = np.diff(np.append(head, len(t)))
+    size = np.where(r[head] == -1, 0, size)
+    best = np.lexsort((r[head], -size, t[head]))
+    top = best[np.concatenate([[True], t[head][best][1:] != t[head][best][:-1]])]
+    main = np.zeros(len(head), bool)
+    main[top] = r[head][top] != -1
+    out = np.empty(len(t), bool)
+    out[order] = ~np.repeat(main, np.diff(np.append(head, len(t))))
+    return out
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """``node, n, shingles`` (sorted hashes) for the classes ``wanted (node, rep, s1, s2)``.
+    """``id, s1, s2, shingles`` (sorted hashes) of the documents whose id may be among ``wanted (rep)``.
 
-    A fixed-size filter on the representatives' ids keeps most other texts
-    from being read into shingles and shuffled; the join after it is exact.
+    A fixed-size filter on the ids keeps most other texts from being read into
+    shingles and shuffled; the joins that follow are exact.
     """
     spark = docs.sparkSession
     held = hashed_counts(
         wanted.select(F.xxhash64("rep").alias("h")),
-        lambda batch: iter([batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)]),
+        lambda batches: (b.column(0).to_numpy(zero_copy_only=False).view(np.uint64) for b in batches),
         FILTER_BITS,
     )
     shared = spark.sparkContext.broadcast(np.packbits(held > 0))
@@ -170,25 +388,31 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 )
 
     texts = docs.select("id", F.xxhash64("id").alias("h"), "text")
-    found = texts.mapInArrow(task, "id long, s1 long, s2 long, shingles binary")
-    w = wanted.select("node", "rep", F.col("s1").alias("w1"), F.col("s2").alias("w2"))
-    return found.join(w, F.col("id").eqNullSafe(F.col("rep")) & (F.col("s1") == F.col("w1")) & (F.col("s2") == F.col("w2"))).select(
-        "node", "shingles"
-    )
+    return texts.mapInArrow(task, "id long, s1 long, s2 long, shingles binary")
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """The pairs ``(a, b)`` of classes whose sets are similar enough, compared exactly."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = store(_sets(docs, store(nodes.join(classes, "node").select("node", "rep", "s1", "s2")), width))
-    joined = pairs.join(
-        sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a"
-    ).join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
+    """The pairs ``(a, b)`` of classes whose sets are similar enough, compared exactly.
+
+    Each pair names its sets by signature and representative, so the sets go
+    from the texts straight into the two joins.
+    """
+    about = classes.select("node", "rep", "s1", "s2")
+    keyed = pairs
+    for side in ("a", "b"):
+        keyed = keyed.join(about.toDF(side, f"rep_{side}", f"s1_{side}", f"s2_{side}"), side)
+    keyed = store(keyed)
+    sets = _sets(docs, keyed.select(F.col("rep_a").alias("rep")).union(keyed.select("rep_b")).distinct(), width)
+
+    def with_set(df: DataFrame, side: str) -> DataFrame:
+        found = sets.toDF(f"_id{side}", f"s1_{side}", f"s2_{side}", f"set_{side}")
+        met = df.join(found, [f"s1_{side}", f"s2_{side}"]).where(F.col(f"_id{side}").eqNullSafe(F.col(f"rep_{side}")))
+        return met.drop(f"_id{side}", f"rep_{side}", f"s1_{side}", f"s2_{side}")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"), strict=True)):
+            for i, (x, y) in enumerate(zip(batch.column("set_a"), batch.column("set_b"), strict=True)):
                 p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = np.concatenate([p, q])
                 both.sort(kind="stable")
@@ -198,7 +422,8 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
             if kept.num_rows:
                 yield kept
 
-    return store(joined.select("a", "b", "x", "y").mapInArrow(task, "a long, b long").distinct())
+    joined = with_set(with_set(keyed, "a"), "b").select("a", "b", "set_a", "set_b")
+    return store(joined.mapInArrow(task, "a long, b long").distinct())
 
 
 def _labels(classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -223,9 +448,10 @@ def link(
         col(id_col).cast("long").alias("id"), F.xxhash64(col(text_col)).alias("key"), col(text_col).alias("text")
     )
 
-    def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for _, _, h, _ in _shingles(batch.column(0), width):
-            yield h
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for batch in batches:
+            for _, _, h, _ in _shingles(batch.column(0), width):
+                yield h
 
     counts = hashed_counts(rows.select("text"), hashes, COUNT_BITS)
     profiles = store(_profiles(rows, counts, width, num, den))
@@ -236,30 +462,20 @@ def link(
         .withColumn("node", F.monotonically_increasing_id())
     )
     posted = profiles.select("grp", F.posexplode("prefix").alias("at", "token"))
-    shared = (
-        posted.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).where("low <> high")
-    )
-    postings = store(
-        posted.join(shared.select("token", "low"), "token").groupBy("token", "low", "grp").agg(F.min("at").alias("at"))
-    )
+    shared = posted.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).where("low <> high")
+    postings = posted.join(shared.select("token"), "token").groupBy("token", "grp").agg(F.min("at").alias("at"))
+    about = profiles.where(F.size("prefix") > 0).groupBy("grp").agg(*[F.min(c).alias(c) for c in ("n", "stop", *_SKETCH)])
+    placed = store(postings.join(about.select("grp", "n", "stop"), "grp"))
 
-    # First pass: each group with the smallest group of each of its shingles.
-    size, low_size = _size_of("grp"), _size_of("low")
-    low_at = postings.where("grp = low").select("token", F.col("at").alias("low_at"))
-    stars = (
-        postings.where((F.col("grp") != F.col("low")) & _long_enough(size, low_size, num, den))
-        .join(low_at, "token")
-        .where(_near_enough(size, F.col("at"), low_size, F.col("low_at"), num, den))
-        .select("grp", "low")
-        .distinct()
-    )
+    # First pass: each group with the least edited group of each of its shingles.
+    stars = store(_sharing_enough(_star_pairs(placed, num, den), about, num, den))
     heads = classes.groupBy("grp").agg(F.min("node").alias("head"))
     members = classes.select("grp", "node")
     first = store(
-        stars.join(members, "grp")
-        .select(F.col("node").alias("a"), F.col("low").alias("grp"))
-        .join(heads, "grp")
-        .select("a", F.col("head").alias("b"))
+        stars.join(members.toDF("ga", "a"), "ga")
+        .join(heads.toDF("gb", "b"), "gb")
+        .select("a", "b")
+        .union(stars.join(heads.toDF("ga", "a"), "ga").join(members.toDF("gb", "b"), "gb").select("a", "b"))
         .union(members.join(heads, "grp").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")))
         .distinct()
     )
@@ -270,30 +486,8 @@ def link(
     groups = labelled.groupBy("grp").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
     mixed = groups.where("lo <> hi").select("grp")
     groups = groups.select("grp", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.lit(-1)).alias("root"))
-    met = store(postings.drop("low").join(groups, "grp"))
-    per_root = met.groupBy("token", "root").agg(F.count(F.lit(1)).alias("c"))
-    main = (
-        per_root.groupBy("token")
-        .agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.count(F.lit(1)).alias("roots"), F.min("root").alias("lo"))
-        .where((F.col("roots") > 1) | (F.col("lo") == -1))
-    )
-    open_ = met.join(main.select("token", "main"), "token")
-    # Any pair of different components has a group outside its shingle's main component.
-    stray = open_.where((F.col("root") != F.col("main")) | (F.col("root") == -1)).select(
-        "token", F.col("grp").alias("ga"), F.col("at").alias("pa"), F.col("root").alias("ra")
-    )
-    other = open_.select("token", F.col("grp").alias("gb"), F.col("at").alias("pb"), F.col("root").alias("rb"))
-    size_a, size_b = _size_of("ga"), _size_of("gb")
     crossing = (
-        stray.join(other, "token")
-        .where(
-            (F.col("ga") != F.col("gb"))
-            & ((F.col("ra") != F.col("rb")) | (F.col("ra") == -1))
-            & _long_enough(size_a, size_b, num, den)
-            & _near_enough(size_a, F.col("pa"), size_b, F.col("pb"), num, den)
-        )
-        .select(F.least("ga", "gb").alias("ga"), F.greatest("ga", "gb").alias("gb"))
-        .distinct()
+        _crossing_pairs(placed.join(groups, "grp"), num, den)
         .union(mixed.select(F.col("grp").alias("ga"), F.col("grp").alias("gb")))
     )
     ma = labelled.select(F.col("grp").alias("ga"), F.col("node").alias("a"), F.col("root").alias("ra"))
@@ -369,3 +563,33 @@ def keep_one(
 def _row_key(ident: Column, text_hash: Column) -> list[Column]:
     """Non-null join keys of a document: whether the id is null, the id, the text's hash."""
     return [ident.isNull(), F.coalesce(ident, F.lit(0)), text_hash]
+
+
+def oracle() -> str:
+    """DuckDB SQL for ``op8_jaccard_groups``: prefix join by exact frequency, then smallest reachable id."""
+    return r"""
+WITH RECURSIVE words AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS MATERIALIZED (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END)) AS s FROM words),
+classes AS MATERIALIZED (SELECT s, len(s) AS n, min(doc_id) AS first FROM sets WHERE len(s) > 0 GROUP BY s),
+tokens AS (SELECT first, n, unnest(s) AS token FROM classes),
+frequency AS (SELECT token, count(*) AS f FROM tokens GROUP BY token),
+ranked AS (
+  SELECT t.first, t.n, t.token, f, row_number() OVER (PARTITION BY t.first ORDER BY f, t.token) AS pos
+  FROM tokens t JOIN frequency USING (token)),
+prefix AS MATERIALIZED (SELECT * FROM ranked WHERE f > 1 AND pos <= n - (n * 80 + 99) // 100 + 1),
+pairs AS (
+  SELECT DISTINCT a.first AS x, b.first AS y FROM prefix a JOIN prefix b
+    ON a.token = b.token AND a.first < b.first AND least(a.n, b.n) * 100 >= greatest(a.n, b.n) * 80),
+links AS MATERIALIZED (
+  SELECT x, y FROM pairs JOIN classes cx ON cx.first = x JOIN classes cy ON cy.first = y
+  WHERE len(list_intersect(cx.s, cy.s)) * 180 >= (cx.n + cy.n) * 80),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT x AS node, x AS seen FROM edges UNION SELECT r.node, b.y FROM reach r JOIN edges b ON b.x = r.seen),
+least_of AS (SELECT node, min(seen) AS root FROM reach GROUP BY node)
+SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(r.root, c.first, d.doc_id) AS component_id
+FROM sets d LEFT JOIN classes c ON len(d.s) > 0 AND d.s = c.s LEFT JOIN least_of r ON r.node = c.first"""
