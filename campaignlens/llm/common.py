@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from campaignlens.session import ensure_checkpoint_dir
 
@@ -104,3 +105,18 @@ def hashed_counts(
     for r in df.mapInArrow(count, ddl).repartition("piece").mapInArrow(add, ddl).collect():
         out[r["piece"] * piece : (r["piece"] + 1) * piece] = np.frombuffer(bytes(r["counts"]), np.int64)
     return out
+
+
+def map_batches(
+    df: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType
+) -> DataFrame:
+    """``mapInArrow`` that also takes columns whose names hold dots or back quotes."""
+    names = df.columns
+    plain = df.toDF(*[f"c{i}" for i in range(len(names))])
+    fields = [T.StructField(f"r{i}", f.dataType, True) for i, f in enumerate(schema.fields)]
+
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in task(b.rename_columns(names) for b in batches):
+            yield out.rename_columns([f.name for f in fields])
+
+    return plain.mapInArrow(renamed, T.StructType(fields)).toDF(*schema.names)

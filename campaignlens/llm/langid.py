@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from campaignlens.llm.common import col, prepare
+from campaignlens.llm.common import col, map_batches, prepare
 
 UNKNOWN = "und"
 DIMENSIONS = 1024
@@ -207,4 +207,4 @@ def identify(
                 names=[*names, *added],
             )
 
-    return source.mapInArrow(task, schema)
+    return map_batches(source, task, schema)

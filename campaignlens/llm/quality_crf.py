@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from campaignlens.llm import textops
-from campaignlens.llm.common import col, prepare
+from campaignlens.llm.common import col, map_batches, prepare
 from campaignlens.llm.toxicity import fit_logistic
 
 TRAIN_ROWS = 8_000
@@ -331,4 +331,5 @@ def score(docs: DataFrame, field: Field, text_col: str = "text", threshold: floa
             columns += [pa.array(np.concatenate(v) if v else [], k) for v, k in zip(out, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], *ADDED])
 
-    return docs.select(*[col(c) for c in kept], col(text_col).alias("_text")).mapInArrow(task, chosen.withColumns(new).schema)
+    source = docs.select(*[col(c) for c in kept], col(text_col).alias("_text"))
+    return map_batches(source, task, chosen.withColumns(new).schema)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from campaignlens.llm import textops
-from campaignlens.llm.common import col, prepare
+from campaignlens.llm.common import col, map_batches, prepare
 
 # The base rules.
 MIN_WORDS = 50
@@ -187,7 +187,7 @@ def measure(docs: DataFrame, text_col: str = "text", repeat_words: int = REPEAT_
             columns += [pa.array(np.concatenate(out[c]) if out[c] else np.zeros(0, np.int64), pa.int64()) for c in _COUNTS]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], *_COUNTS])
 
-    return source.mapInArrow(task, schema)
+    return map_batches(source, task, schema)
 
 
 def judge(

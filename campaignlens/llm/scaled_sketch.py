@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from campaignlens.llm import textops
-from campaignlens.llm.common import col, parts, prepare
+from campaignlens.llm.common import col, map_batches, parts, prepare
 
 WIDTH = 5
 FRACTION = 0.25
@@ -108,7 +108,7 @@ def fingerprint(docs: DataFrame, text_col: str = "text", width: int = WIDTH, fra
             )
 
     chosen = docs.select(*[col(c) for c in kept])
-    return chosen.mapInArrow(task, chosen.withColumn("fingerprint", F.lit("")).schema)
+    return map_batches(chosen, task, chosen.withColumn("fingerprint", F.lit("")).schema)
 
 
 def edited(text: str, following: str) -> str:

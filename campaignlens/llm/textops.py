@@ -106,13 +106,13 @@ def hash_spans(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: boo
         return splitmix(h + (ends - starts).astype(_U64))
 
 
-def _pieces(raw: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
-    """Cuts of a long text at white space, each of about ``limit`` bytes."""
+def _pieces(raw: np.ndarray, limit: int, between: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Cuts of a long text between words, each of about ``limit`` bytes (a longer word stays whole)."""
     at, n = 0, len(raw)
     while at < n:
         end = min(at + limit, n)
         while end < n:
-            spaces = np.flatnonzero(_SPACE[raw[end : end + limit]])
+            spaces = np.flatnonzero(between[raw[end : end + limit]])
             if len(spaces):
                 end += int(spaces[0]) + 1
                 break
@@ -132,11 +132,19 @@ def word_spans(
     lo, hi = int(bounds[0]), int(bounds[-1])
     if len(bounds) == 2 and hi - lo > 2 * BLOCK_BYTES:
         parts = [
-            word_spans(raw, np.array([lo + a, lo + b]), lower, between) for a, b in _pieces(raw[lo:hi], BLOCK_BYTES)
+            _block_spans(raw, np.array([lo + a, lo + b]), lower, between)
+            for a, b in _pieces(raw[lo:hi], BLOCK_BYTES, between)
         ]
         h, s, e = (np.concatenate([p[i] for p in parts]) for i in range(3))
         return h, s, e, np.array([0, len(h)])
-    block = raw[lo:hi]
+    return _block_spans(raw, bounds, lower, between)
+
+
+def _block_spans(
+    raw: np.ndarray, bounds: np.ndarray, lower: bool, between: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    lo = int(bounds[0])
+    block = raw[lo : int(bounds[-1])]
     if not len(block):
         none = np.empty(0, np.int64)
         return np.empty(0, _U64), none, none, np.zeros(len(bounds), np.int64)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from campaignlens.llm import textops
-from campaignlens.llm.common import col, prepare
+from campaignlens.llm.common import col, map_batches, prepare
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 # The seed words of each class (English, German, French, Spanish).
@@ -352,4 +352,5 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", threshold: floa
             columns += [pa.array(p), pa.array((p >= threshold).astype(np.int32)), *[pa.array(f[:, i]) for i in range(f.shape[1])]]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], *added])
 
-    return docs.select(*[col(c) for c in kept], col(text_col).alias("_text")).mapInArrow(task, chosen.withColumns(new).schema)
+    source = docs.select(*[col(c) for c in kept], col(text_col).alias("_text"))
+    return map_batches(source, task, chosen.withColumns(new).schema)
