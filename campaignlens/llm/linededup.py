@@ -1,8 +1,8 @@
 """Line dedup: an exact set-similarity join over all lines of a corpus.
 
 A line's set holds the hashes of its distinct words (A-Z lower-cased).  Lines
-are ordered by document id, line number and text; a line is removed when an
-earlier one has a set of Jaccard ``num/den`` or more.
+are ordered by document id and line number; a line is removed when an earlier
+one has a set of Jaccard ``num/den`` or more.
 
 1. Words are counted in a fixed number of hash buckets; (rarity class, hash) is
    the order of every set, the same everywhere.
@@ -66,7 +66,9 @@ def _line_sets(raw: np.ndarray, bounds: np.ndarray, rarity: np.ndarray):
     words, starts, _, _ = textops.word_spans(raw, bounds, lower=True)
     cuts, line_at = textops.line_bounds(raw, bounds)
     line_of = np.searchsorted(cuts[1:], starts, side="right")
-    present, of = np.unique(line_of, return_inverse=True)
+    fresh = np.ones(len(words), bool)
+    fresh[1:] = line_of[1:] != line_of[:-1]
+    present, of = line_of[fresh], np.cumsum(fresh) - 1
     level = rarity[(words & np.uint64(len(rarity) - 1)).astype(np.int64)]
     if len(present) < (1 << 20):
         # One sort by (line, rarity, hash); hashes cut to 36 bits are told apart below.
@@ -213,7 +215,11 @@ def _earliest(g: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
 def _pairs_of_group(
     g: dict[str, np.ndarray], num: int, den: int, offers: int | None
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Passing pairs (earlier, later) of whole tokens, and the entries that had more earlier partners than ``offers``.
+    """Passing pairs of whole tokens, and the entries of pairs that were left out by ``offers``.
+
+    An entry offers itself to its earliest partners before it; which of two
+    sets is earlier is only known in this list, so both sides of a pair that is
+    left out are reported.
 
     Entries are compared in order of size, each with the following ones that
     the length filter allows, a bounded number of pairs at a time.
@@ -244,23 +250,24 @@ def _pairs_of_group(
         at = end
     i = np.concatenate(found_i) if found_i else np.zeros(0, np.int64)
     j = np.concatenate(found_j) if found_j else np.zeros(0, np.int64)
-    # Ties in (document, line) have no order here; they are always offered.
-    swap = (g["doc"][i] > g["doc"][j]) | ((g["doc"][i] == g["doc"][j]) & (g["line"][i] > g["line"][j]))
+    place = [np.stack([g[c][k] for c in ("doc", "line", "s1")]) for k in (i, j)]
+    swap = (place[0][0] > place[1][0]) | (
+        (place[0][0] == place[1][0])
+        & ((place[0][1] > place[1][1]) | ((place[0][1] == place[1][1]) & (place[0][2] > place[1][2])))
+    )
     x, y = np.where(swap, j, i), np.where(swap, i, j)
-    tie = (g["doc"][i] == g["doc"][j]) & (g["line"][i] == g["line"][j])
     more = np.zeros(0, np.int64)
     if offers is not None and len(x):
-        by = np.lexsort((g["line"][x], g["doc"][x], ~tie, y))
-        x, y, tie = x[by], y[by], tie[by]
+        by = np.lexsort((g["s1"][x], g["line"][x], g["doc"][x], y))
+        x, y = x[by], y[by]
         rank = np.arange(len(y)) - np.searchsorted(y, y, side="left")
-        kept = (rank < offers) | tie
-        more = np.unique(y[~kept])
-        x, y = x[kept], y[kept]
+        more = np.unique(np.concatenate([x[rank >= offers], y[rank >= offers]]))
+        x, y = x[rank < offers], y[rank < offers]
     return order[x], order[y], order[more]
 
 
 def _candidates(postings: DataFrame, num: int, den: int, offers: int | None) -> DataFrame:
-    """``x, dx, y, dy, token``: candidate pairs of line sets with a document of each (earlier first); a null ``x`` marks a line with more partners."""
+    """``x, dx, y, dy, token``: candidate pairs of line sets with a document of each; a null ``x`` marks a set with more partners."""
     names = (*_POSTING, "wanted") if "wanted" in postings.columns else _POSTING
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,7 +277,7 @@ def _candidates(postings: DataFrame, num: int, den: int, offers: int | None) ->
                 continue
             x, y, more = _pairs_of_group(g, num, den, offers)
             if "wanted" in g:
-                asked = g["wanted"][y].astype(bool)
+                asked = (g["wanted"][x] + g["wanted"][y]) > 0
                 x, y = x[asked], y[asked]
             s, d, t = g["s1"], g["doc"], g["token"]
             # Several words offer the same pair; once per block is enough.
@@ -295,30 +302,39 @@ def _candidates(postings: DataFrame, num: int, den: int, offers: int | None) ->
     return met.mapInArrow(task, "x long, dx long, y long, dy long, token long")
 
 
-def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``s1, words`` (sorted hashes) of the wanted line sets ``(s1, doc)``; ``doc`` is a document that has it."""
-    spark = rows.sparkSession
+def _bits_of(keys: DataFrame):
+    """A broadcast bitmap of fixed size of the 64-bit values in a table's one column."""
     held = hashed_counts(
-        wanted.select(F.xxhash64("doc").alias("h")),
-        lambda batch: iter([batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)]),
-        FILTER_BITS,
+        keys, lambda batches: (b.column(0).to_numpy(zero_copy_only=False).view(np.uint64) for b in batches), FILTER_BITS
     )
-    shared = spark.sparkContext.broadcast(np.packbits(held > 0))
+    return keys.sparkSession.sparkContext.broadcast(np.packbits(held > 0))
+
+
+def _among(shared, values: np.ndarray) -> np.ndarray:
+    """Which values may be in the bitmap."""
+    at = values.view(np.uint64) & np.uint64((1 << FILTER_BITS) - 1)
+    byte = shared.value[(at >> np.uint64(3)).astype(np.int64)]
+    return (byte >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & np.uint8(1) > 0
+
+
+def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``s1, words`` (sorted hashes) of the wanted line sets ``(s1, doc)``; ``doc`` is a document that has it."""
+    docs_held = _bits_of(wanted.select(F.xxhash64("doc").alias("h")))
+    sets_held = _bits_of(wanted.select("s1"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(shared.value).astype(bool)
         flat = np.zeros(1 << 8, np.uint64)
         for batch in batches:
-            h = batch.column("h").to_numpy(zero_copy_only=False).view(np.uint64)
-            some = batch.take(pa.array(np.flatnonzero(bits[(h & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)])))
+            some = batch.take(pa.array(np.flatnonzero(_among(docs_held, batch.column("h").to_numpy(zero_copy_only=False)))))
             raw, offsets = textops.text_buffers(some.column("text"))
             for a, b in textops.blocks(offsets):
                 w, at, row, _ = _line_sets(raw, offsets[a : b + 1], flat)
                 s1, _ = _signatures(w, at)
+                hit = pa.array(_among(sets_held, s1))
                 yield pa.RecordBatch.from_arrays(
                     [some.column("doc").take(pa.array(row + a)), pa.array(s1), textops.binary_column(w, at)],
                     names=["doc", "s1", "words"],
-                )
+                ).filter(hit)
 
     docs = rows.select("doc", F.xxhash64("doc").alias("h"), "text")
     found = docs.mapInArrow(task, "doc long, s1 long, words binary")
@@ -366,56 +382,78 @@ def removals(
         col(text_col).alias("text"),
     )
 
-    def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for _, _, h, _ in textops.word_blocks(batch.column(0), lower=True):
-            yield h
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for batch in batches:
+            for _, _, h, _ in textops.word_blocks(batch.column(0), lower=True):
+                yield h
 
     counts = hashed_counts(rows.select("text"), hashes, COUNT_BITS)
     lines = store(_profiles(rows.select(F.col("doc").alias("id"), "key", "text"), counts, num, den))
     postings = lines.where(F.size("words") > 0).select(
         F.posexplode("words").alias("at", "token"), "n", F.col("id").alias("doc"), "line", "s1", "b1", "b2"
     ).select(*_POSTING)
-    # The first line of every set, by 128 bits; near matches go by 64.
-    place = F.struct(F.col("id"), F.col("line"), F.col("key"))
-    classes = store(lines.groupBy("s1", "s2", "n").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("c")))
     offered = store(_candidates(postings, num, den, offers))
     matched = _verified(offered, rows, num, den)
-    beaten = store(_beaten(matched, classes))
+    beaten = store(_beaten(matched, lines))
 
-    open_ = offered.where("x is null").select("y", "token").distinct().join(
-        beaten.select(F.col("s1").alias("y")), "y", "left_anti"
+    # Sets that had more partners than were offered, and no earlier match yet.
+    open_ = store(
+        offered.where("x is null").select("y", "token").distinct().join(beaten.toDF("y"), "y", "left_anti")
     )
-    open_ = store(open_)
     if open_.limit(1).count():
-        again = postings.join(open_.select("token").distinct(), "token", "left_semi").join(
+        again = _postings_of(lines, open_.select("token").distinct()).join(
             open_.select(F.col("y").alias("s1")).distinct().withColumn("wanted", F.lit(1)), "s1", "left"
         )
         again = again.select(*_POSTING, F.coalesce("wanted", F.lit(0)).alias("wanted"))
         rest = _candidates(again, num, den, None).join(matched, ["x", "y"], "left_anti")
-        beaten = store(beaten.union(_beaten(_verified(rest, rows, num, den), classes)).distinct())
+        beaten = store(beaten.union(_beaten(_verified(rest, rows, num, den), lines)).distinct())
 
-    # A line goes when its set stands earlier, or is beaten by a similar earlier set.
-    known = classes.join(beaten.withColumn("beaten", F.lit(True)), "s1", "left")
-    known = known.where((F.col("c") > 1) | F.col("beaten").isNotNull()).select(
-        "s1", "s2", "n", "first", F.coalesce("beaten", F.lit(False)).alias("beaten")
+    # A line goes when its set stands earlier (by 128 bits), or is beaten by a similar earlier set.
+    place = F.struct(F.col("id"), F.col("line"), F.col("key"))
+    count = F.count(F.lit(1)).alias("c")
+    repeated = lines.groupBy("s1", "s2", "n").agg(count).where("c > 1").select("s1").distinct()
+    flags = repeated.withColumn("beaten", F.lit(0)).union(beaten.select("s1", F.lit(1))).groupBy("s1").agg(
+        F.max("beaten").alias("beaten")
     )
+    touched = store(lines.select("id", "key", "line", "n", "s1", "s2").join(flags, "s1"))
+    first = touched.where("beaten = 0").groupBy("s1", "s2", "n").agg(F.min(place).alias("first"))
+    later = touched.where("beaten = 0").join(first, ["s1", "s2", "n"]).where(F.col("first") != place)
     gone = (
-        lines.select("id", "key", "line", "n", "s1", "s2")
-        .join(known, ["s1", "s2", "n"])
-        .where(F.col("beaten") | (F.col("first") != place))
+        touched.where("beaten = 1").select("id", "key", "line").union(later.select("id", "key", "line"))
         .groupBy("id", "key")
         .agg(F.sort_array(F.collect_set("line")).alias("removed"))
     )
     return gone.select(F.when(F.col("id") < _LAST, F.col("id")).alias("id"), "key", "removed")
 
 
-def _beaten(matched: DataFrame, classes: DataFrame) -> DataFrame:
+def _beaten(matched: DataFrame, lines: DataFrame) -> DataFrame:
     """``s1`` of the sets that have a similar set with an earlier first line."""
-    first = classes.groupBy("s1").agg(F.min("first").alias("first"))
-    fx = first.select(F.col("s1").alias("x"), F.col("first").alias("fx"))
-    fy = first.select(F.col("s1").alias("y"), F.col("first").alias("fy"))
-    later = matched.join(fx, "x").join(fy, "y")
-    return later.select(F.when(F.col("fx") < F.col("fy"), F.col("y")).otherwise(F.col("x")).alias("s1")).distinct()
+    ends = matched.select(F.col("x").alias("s1")).union(matched.select("y")).distinct()
+    first = lines.join(ends, "s1").groupBy("s1").agg(F.min(F.struct("id", "line", "key")).alias("first"))
+    first = store(first)
+    met = matched.join(first.toDF("x", "fx"), "x").join(first.toDF("y", "fy"), "y")
+    return met.select(F.when(F.col("fx") < F.col("fy"), F.col("y")).otherwise(F.col("x")).alias("s1")).distinct()
+
+
+def _postings_of(lines: DataFrame, tokens: DataFrame) -> DataFrame:
+    """The postings of some words.  A fixed-size filter keeps most others from being shuffled; the join is exact."""
+    held = _bits_of(tokens)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column("words")
+            row = np.repeat(np.arange(batch.num_rows), np.diff(words.offsets.to_numpy()))
+            token = words.flatten().to_numpy(zero_copy_only=False)
+            at = np.arange(len(token)) - (words.offsets.to_numpy()[:-1] - words.offsets[0].as_py())[row]
+            hit = _among(held, token)
+            rows = pa.array(row[hit])
+            columns = {c: batch.column(c).take(rows) for c in ("n", "line", "s1", "b1", "b2")}
+            columns |= {"doc": batch.column("id").take(rows), "token": pa.array(token[hit]), "at": pa.array(at[hit].astype(np.int32))}
+            yield pa.RecordBatch.from_arrays([columns[c] for c in _POSTING], names=list(_POSTING))
+
+    ddl = "token long, n int, doc long, line int, s1 long, at int, b1 long, b2 long"
+    some = lines.where(F.size("words") > 0).select("id", "line", "n", "s1", "b1", "b2", "words").mapInArrow(task, ddl)
+    return some.join(tokens, "token", "left_semi")
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = NUM, den: int = DEN) -> DataFrame:
@@ -461,3 +499,37 @@ def _with_removed(keyed: DataFrame, gone: DataFrame) -> DataFrame:
     g = gone.select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.col("removed"))
     joined = keyed.join(g, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_key")), "left")
     return joined.withColumn("_removed", F.coalesce("removed", F.array().cast("array<int>")))
+
+
+def oracle() -> str:
+    """DuckDB SQL for ``op2_line_dedup`` (ids are unique there): prefix join on words by exact frequency."""
+    return r"""
+WITH lines AS (
+  SELECT doc_id, generate_subscripts(parts, 1) - 1 AS line, unnest(parts) AS txt
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL)),
+sets AS (
+  SELECT doc_id, line, list_sort(list_distinct(regexp_extract_all(
+    translate(txt, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'))) AS w
+  FROM lines),
+ordered AS (SELECT *, row_number() OVER (ORDER BY doc_id, line) AS place FROM sets WHERE len(w) > 0),
+classes AS (SELECT w, len(w) AS n, min(place) AS first FROM ordered GROUP BY w),
+tokens AS (SELECT first, n, unnest(w) AS token FROM classes),
+frequency AS (SELECT token, count(*) AS f FROM tokens GROUP BY token),
+ranked AS (
+  SELECT t.first, t.n, t.token, row_number() OVER (PARTITION BY t.first ORDER BY f, t.token) AS pos
+  FROM tokens t JOIN frequency USING (token)),
+prefix AS (SELECT * FROM ranked WHERE pos <= n - (n * 80 + 99) // 100 + 1),
+pairs AS (
+  SELECT DISTINCT a.first AS x, b.first AS y FROM prefix a JOIN prefix b
+    ON a.token = b.token AND a.first < b.first AND least(a.n, b.n) * 100 >= greatest(a.n, b.n) * 80),
+beaten AS (
+  SELECT DISTINCT y FROM pairs JOIN classes cx ON cx.first = x JOIN classes cy ON cy.first = y
+  WHERE len(list_intersect(cx.w, cy.w)) * 180 >= (cx.n + cy.n) * 80),
+gone AS (
+  SELECT o.doc_id, o.line FROM ordered o JOIN classes c ON o.w = c.w
+  WHERE o.place <> c.first OR c.first IN (SELECT y FROM beaten)),
+per_doc AS (
+  SELECT doc_id, count(*) AS k, string_agg(CAST(line AS VARCHAR), ',' ORDER BY line) AS removed FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CAST(CASE WHEN text IS NULL THEN 0 ELSE len(string_split(text, chr(10))) END AS INTEGER) AS n_lines,
+  CAST(coalesce(k, 0) AS INTEGER) AS n_removed, coalesce(removed, '') AS removed
+FROM documents d LEFT JOIN per_doc p ON d.doc_id = p.doc_id"""

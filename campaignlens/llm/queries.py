@@ -36,7 +36,8 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document that match an earlier line of the corpus."""
     prepare(spark)
-    return linededup.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    report = linededup.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return report.withColumn("removed", F.array_join(F.col("removed").cast("array<string>"), ","))
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,6 +114,8 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_line_dedup": linededup.oracle(),
     "op3_mix_sources": mixing.oracle(),
     "op4_url_rules": urlrules.oracle(),
+    "op8_jaccard_groups": jaccard_groups.oracle(),
 }
