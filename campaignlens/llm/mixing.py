@@ -9,8 +9,8 @@ at most.
 
 The position of a document in its source comes from counts per *cell*
 (source, size, two hash digits of the id) and a row number inside the cell, so
-no task ever holds a whole source: windows run over cells, whose number per
-source is bounded by the distinct sizes times 256, and inside one cell.
+no task ever holds a whole source: windows run over a source's distinct sizes,
+over the cells of one size, and inside one cell.
 
 Defined cases: a null text has size 0; a null source is a source of its own
 and ordered last; a source without words has target 0 and is never taken;
@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from campaignlens.llm.common import WORD, col
+from campaignlens.llm.common import WORD, col, store
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -106,17 +106,28 @@ def _planned(
     ).withColumn("_cell", F.substring(F.md5(F.col("_id")), 1, 2))
     rows = rows.withColumn("_s", _named(F.col("source")))
     cell = ["_s", "size", "_cell"]
-    counts = rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n"), F.first("source").alias("source"))
-    # Cells keep a growing source spread; their number, not the documents', bounds the window.
-    before = Window.partitionBy("_s").orderBy("size", "_cell").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = counts.groupBy("_s").agg(
-        F.sum(F.col("_n") * F.col("size")).alias("source_size"), F.first("source").alias("source")
+    # Stored, so that the texts are read once for the counts and once for the rows.
+    counts = store(rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n"), F.first("source").alias("source")))
+    by_size = counts.groupBy("_s", "size").agg(F.sum("_n").alias("_m"), F.first("source").alias("source"))
+    sizes = by_size.groupBy("_s").agg(
+        F.sum(F.col("_m") * F.col("size")).alias("source_size"), F.first("source").alias("source")
     )
     goals = targets(sizes.select("source", "source_size"), weights, share, max_repeats)
+    # Documents before a size in its source, and before a cell in its size: a source's window holds its distinct
+    # sizes only, however many documents it has.
+    smaller = Window.partitionBy("_s").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("_s", "size").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    levels = (
+        by_size.withColumn("_below", F.coalesce(F.sum("_m").over(smaller), F.lit(0)))
+        .drop("_m", "source")
+        .join(goals.withColumn("_s", _named(F.col("source"))).drop("source"), "_s")
+    )
     cells = (
-        counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        counts.withColumn("_ahead", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
         .drop("_n", "source")
-        .join(goals.withColumn("_s", _named(F.col("source"))).drop("source"), "_s")
+        .join(levels, ["_s", "size"])
+        .withColumn("_before", F.col("_below") + F.col("_ahead"))
+        .drop("_below", "_ahead")
     )
     inside = Window.partitionBy(*cell).orderBy("_id", F.xxhash64("_row"))
     # Window and join have the same keys, so the documents move once.
