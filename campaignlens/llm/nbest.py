@@ -7,8 +7,10 @@ score of every prefix.  The N best segmentations come from an A* search that
 walks backwards from the end; the forward scores are its heuristic, and since
 they are exact it expands little besides the segmentations it returns.
 
-No piece spans the start of a run of spaces, so a text's lattice is a chain of
-independent lattices, one per *unit* (spaces and the word after them).  Units
+No piece spans the start of a run of spaces or (in this vocabulary) joins a
+letter to another character, so a text's lattice is a chain of independent
+lattices, one per *unit*: spaces and the letters or the other characters after
+them.  Units
 are segmented once per task: the forward and backward passes run over many
 units at a time as arrays, and tell how much each unit's second-best
 segmentation loses.  A text's N best differ from its best only in the N - 1
@@ -35,12 +37,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from campaignlens.llm import textops
-from campaignlens.llm.common import col, prepare
+from campaignlens.llm.common import col, map_batches, prepare
 
 N_BEST = 3
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
@@ -52,9 +55,9 @@ _UNKNOWN_PENALTY = 10.0
 # Units are padded to one of these sizes; longer ones are segmented one by one.
 _SIZES = (4, 6, 8, 10, 12, 14, 16, 20, 24, 32, 64)
 # Text bytes whose new units are segmented together.
-_BLOCK = 4 << 20
-# Units that a worker remembers (about 250 bytes each).
-_CACHE = 1_000_000
+_BLOCK = 2 << 20
+# Units that a task remembers (about 250 bytes each).
+_CACHE = 200_000
 _TABLE_BITS = 18
 
 
@@ -90,18 +93,31 @@ class Vocabulary:
         used = self.score[list(self.pieces.values())]
         self.unknown = float(used[used > _UNRANKED].min()) - _UNKNOWN_PENALTY
         self.score[self.score <= _UNRANKED] = self.unknown
+        self.units = re.compile(self._unit_pattern())
+        self._build()
+
+    def _unit_pattern(self) -> str:
+        """Units: spaces and the letters after them, or spaces and the other characters after them.
+
+        A vocabulary with a piece that joins a letter and another character has
+        units that end at spaces only.  White space that no piece has stands alone.
+        """
         alphabet = {c for p in self.pieces for c in p}
         breaks = "".join(c for c in "\n\t\r" if c not in alphabet)
-        self.units = re.compile(rf" *[^ {breaks}]+|[{breaks}]| +" if breaks else r" *[^ ]+| +")
-        self._build()
+        lone = f"[{breaks}]|" if breaks else ""
+        stripped = [p.lstrip(" ") for p in self.pieces]
+        if any(a.isalpha() != b.isalpha() for p in stripped for a, b in zip(p, p[1:])):
+            return rf" *[^ {breaks}]+|{lone} +"
+        others = re.escape("".join(sorted(c for c in alphabet if not c.isalpha() and c != " ")))
+        return rf" *[^ {breaks}{others}]+| *[{others}]+|{lone} +"
 
     def _build(self) -> None:
-        """A hash table of four slots a bucket, and a smaller map that most other strings fail."""
+        """A hash table of a few slots a bucket, and a smaller map that most other strings fail."""
         names = list(self.pieces)
-        h = np.array([self.hash_of(np.array([ord(c) for c in p], np.uint64)) for p in names], np.uint64)
+        h = np.array([self.hash_of(p) for p in names], np.uint64)
         if len(np.unique(h)) != len(h):
             raise ValueError("two pieces share a hash")
-        slot = (h >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
+        slot = self._slot(h, _TABLE_BITS)
         order = np.argsort(slot, kind="stable")
         place = np.arange(len(slot)) - np.searchsorted(slot[order], slot[order], side="left")
         self.keys = np.zeros((int(place.max()) + 1, 1 << _TABLE_BITS), np.uint64)
@@ -109,20 +125,27 @@ class Vocabulary:
         self.keys[place, slot[order]] = h[order]
         self.ids[place, slot[order]] = np.array([self.pieces[names[i]] for i in order], np.int32)
         self.maybe = np.zeros(1 << (_TABLE_BITS + 2), bool)
-        self.maybe[(h >> np.uint64(62 - _TABLE_BITS)).astype(np.int64)] = True
+        self.maybe[self._slot(h, _TABLE_BITS + 2)] = True
+        self.piece_bytes = np.frombuffer(b"".join(self.raw), np.uint8)
+        self.piece_at = np.concatenate([[0], np.cumsum([len(r) for r in self.raw])])
 
     @staticmethod
-    def hash_of(codes: np.ndarray) -> np.uint64:
+    def _slot(h: np.ndarray, bits: int) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+
+    @staticmethod
+    def hash_of(piece: str) -> np.uint64:
+        codes = np.array([ord(c) for c in piece], np.uint64)
         p, _ = textops.powers(len(codes) + 1)
         with np.errstate(over="ignore"):
-            total = np.sum(textops.splitmix(codes) * p[: len(codes)], dtype=np.uint64)
-            return textops.splitmix(np.array([total + np.uint64(len(codes))], np.uint64))[0]
+            return np.sum(textops.splitmix(codes) * p[: len(codes)], dtype=np.uint64)
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions of the hashes that are pieces, and the pieces."""
-        at = np.flatnonzero(self.maybe[(h >> np.uint64(62 - _TABLE_BITS)).astype(np.int64)])
+        at = np.flatnonzero(self.maybe[self._slot(h, _TABLE_BITS + 2)])
         some = h[at]
-        slot = (some >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
+        slot = self._slot(some, _TABLE_BITS)
         found = np.full(len(at), _NONE, np.int32)
         for keys, ids in zip(self.keys, self.ids, strict=True):
             hit = keys[slot] == some
@@ -233,7 +256,7 @@ def _together(v: Vocabulary, units: list[str], size: int) -> Iterator[Segmented]
         for length in range(min(end, reach), 0, -1):
             start = end - length
             with np.errstate(over="ignore"):
-                h = textops.splitmix((run[end] - run[start]) * q[start] + np.uint64(length))
+                h = (run[end] - run[start]) * q[start]
             at, piece = v.find(h)
             if length == 1 and len(at) < m:
                 unknown = np.ones(m, bool)
@@ -301,8 +324,8 @@ def segment(v: Vocabulary, units: Sequence[str]) -> Iterator[Segmented]:
 class Encoder:
     """Units segmented so far, by number; they are forgotten when there are too many."""
 
-    def __init__(self, proto: bytes) -> None:
-        self.v = Vocabulary(proto)
+    def __init__(self, v: Vocabulary) -> None:
+        self.v = v
         self._clear()
 
     def _clear(self) -> None:
@@ -369,15 +392,15 @@ class Encoder:
         return self.others[number, n]
 
 
-_ENCODERS: dict[bytes, Encoder] = {}
+_VOCABULARIES: dict[bytes, Vocabulary] = {}
 
 
-def _encoder(proto: bytes) -> Encoder:
-    """The worker's encoder; its segmented units serve all tasks the worker runs."""
-    if proto not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[proto] = Encoder(proto)
-    return _ENCODERS[proto]
+def _vocabulary(proto: bytes) -> Vocabulary:
+    """The worker's vocabulary, built once."""
+    if proto not in _VOCABULARIES:
+        _VOCABULARIES.clear()
+        _VOCABULARIES[proto] = Vocabulary(proto)
+    return _VOCABULARIES[proto]
 
 
 def split_units(v: Vocabulary, text: str | None) -> list[str]:
@@ -416,7 +439,7 @@ def encode(
     }
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(shared.value)
+        encoder = Encoder(_vocabulary(shared.value))
         for batch in batches:
             raw, offsets = textops.text_buffers(batch.column(batch.num_columns - 1))
             for a, b in textops.blocks(offsets, _BLOCK):
@@ -439,9 +462,11 @@ def encode(
                     pa.array(others, _ALTERNATIVES),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], *ADDED])
+        del encoder
+        textops.give_back()
 
     source = docs.select(*[col(c) for c in kept], col(text_col).alias("_text"))
-    return source.mapInArrow(task, chosen.withColumns(new).schema)
+    return map_batches(source, task, chosen.withColumns(new).schema)
 
 
 def _as_edits(alternative: tuple[float, list[tuple[int, tuple[int, ...]]]], ends: np.ndarray) -> dict:
@@ -461,9 +486,35 @@ def decode(encoded: DataFrame, proto: bytes, ids_col: str = "ids", name: str = "
     at = chosen.columns.index(ids_col)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = _encoder(shared.value).v
+        v = _vocabulary(shared.value)
         for batch in batches:
-            texts = [None if x is None else decode_ids(v, x) for x in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, name])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, decode_column(v, batch.column(at))], names=[*batch.schema.names, name]
+            )
 
-    return chosen.mapInArrow(task, chosen.withColumn(name, F.lit("")).schema)
+    return map_batches(chosen, task, chosen.withColumn(name, F.lit("")).schema)
+
+
+def decode_column(v: Vocabulary, ids: pa.ListArray) -> pa.Array:
+    """The texts of a column of piece lists; bytes that are not UTF-8 are replaced."""
+    bounds = ids.offsets.to_numpy().astype(np.int64)
+    flat = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    bounds = bounds - bounds[0]
+    if ids.null_count:
+        sizes = np.array([0 if x is None else x for x in pc.list_value_length(ids).to_pylist()], np.int64)
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+    length = v.piece_at[flat + 1] - v.piece_at[flat]
+    ends = np.concatenate([[0], np.cumsum(length)])
+    take = np.arange(ends[-1]) + np.repeat(v.piece_at[flat] - ends[:-1], length)
+    raw = v.piece_bytes[take]
+    at = ends[bounds]
+    # The space that encoding puts before a text is left out of each row.
+    keep = np.ones(len(raw), bool)
+    keep[at[:-1][np.diff(at) > 0]] = False
+    at = at - np.concatenate([[0], np.cumsum(np.diff(at) > 0)])
+    wide = textops.binary_column(raw[keep], at)
+    try:
+        texts = wide.cast(pa.string())
+    except pa.ArrowInvalid:
+        texts = pa.array([x.as_py().decode("utf-8", "replace") for x in wide], pa.string())
+    return pc.if_else(ids.is_valid(), texts, pa.scalar(None, pa.string())) if ids.null_count else texts

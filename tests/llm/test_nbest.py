@@ -53,7 +53,7 @@ def test_best_second_and_n_best_equal_enumeration(vocabulary):
 
 
 def test_text_n_best_equal_products_of_units(proto):
-    encoder = nbest.Encoder(proto)
+    encoder = nbest.Encoder(nbest.Vocabulary(proto))
     text = "then thing abc the cat"
     parts = nbest.split_units(encoder.v, text)
     numbers = encoder.numbers([parts])[0]
