@@ -11,10 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from campaignlens.llm import textops
 from campaignlens.session import ensure_checkpoint_dir
 
 # Bytes of one Arrow batch handed to Python.  Bounds a worker's memory when texts are long.
-ARROW_BATCH_BYTES = 8 << 20
+ARROW_BATCH_BYTES = 4 << 20
 # The class of white space in the definition of a word.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -77,11 +78,16 @@ def hashed_counts(
     layout = pa.schema([("piece", pa.int32()), ("counts", pa.binary())])
 
     def rows(sums: dict[int, np.ndarray]) -> pa.RecordBatch:
+        """Pieces with a count, each in the narrowest type that holds it."""
+        some = {i: s.astype(np.min_scalar_type(int(s.max()))) for i, s in sums.items() if s.any()}
         return pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())],
+            [pa.array(list(some), pa.int32()), pa.array([s.tobytes() for s in some.values()], pa.binary())],
             schema=layout,
         )
 
+    def read(counts: bytes) -> np.ndarray:
+        return np.frombuffer(counts, f"u{len(counts) // piece}").astype(np.int64)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for h in hashes(batches):
@@ -91,19 +97,20 @@ def hashed_counts(
                 np.add.at(total, (h & mask).astype(np.int64), 1)
         if total.any():
             yield rows({i: total[i * piece : (i + 1) * piece] for i in range(size // piece)})
+        textops.give_back()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for i, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                sums[i] = sums.get(i, 0) + np.frombuffer(counts, np.int64)
+                sums[i] = sums.get(i, 0) + read(counts)
         if sums:
             yield rows(sums)
 
     ddl = "piece int, counts binary"
     out = np.zeros(size, np.int64)
     for r in df.mapInArrow(count, ddl).repartition("piece").mapInArrow(add, ddl).collect():
-        out[r["piece"] * piece : (r["piece"] + 1) * piece] = np.frombuffer(bytes(r["counts"]), np.int64)
+        out[r["piece"] * piece : (r["piece"] + 1) * piece] = read(bytes(r["counts"]))
     return out
 
 
@@ -118,5 +125,6 @@ def map_batches(
     def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for out in task(b.rename_columns(names) for b in batches):
             yield out.rename_columns([f.name for f in fields])
+        textops.give_back()
 
     return plain.mapInArrow(renamed, T.StructType(fields)).toDF(*schema.names)

@@ -44,7 +44,7 @@ NUM, DEN = 80, 100
 OFFERS = 8
 COUNT_BITS = 20
 FILTER_BITS = 21
-_SEEN = 500_000  # line sets that a task remembers, to post each once
+_SEEN = 200_000  # line sets that a task remembers, to post each once
 _PAIRS = 1 << 20  # pairs looked at together
 _LAST = (1 << 63) - 1  # order of a null id
 
@@ -55,7 +55,7 @@ _PROFILE = (
 
 def _rarity(counts: np.ndarray) -> np.ndarray:
     """Rarity class of each bucket (0 rarest), four per doubling of the count."""
-    return np.minimum(4 * np.log2(np.maximum(counts, 1)), 255).astype(np.uint64)
+    return np.minimum(4 * np.log2(np.maximum(counts, 1)), 255).astype(np.uint8)
 
 
 def _line_sets(raw: np.ndarray, bounds: np.ndarray, rarity: np.ndarray):
@@ -69,7 +69,7 @@ def _line_sets(raw: np.ndarray, bounds: np.ndarray, rarity: np.ndarray):
     fresh = np.ones(len(words), bool)
     fresh[1:] = line_of[1:] != line_of[:-1]
     present, of = line_of[fresh], np.cumsum(fresh) - 1
-    level = rarity[(words & np.uint64(len(rarity) - 1)).astype(np.int64)]
+    level = rarity[(words & np.uint64(len(rarity) - 1)).astype(np.int64)].astype(np.uint64)
     if len(present) < (1 << 20):
         # One sort by (line, rarity, hash); hashes cut to 36 bits are told apart below.
         key = (of.astype(np.uint64) << np.uint64(44)) | (level << np.uint64(36)) | (words >> np.uint64(28))
@@ -154,6 +154,8 @@ def _profiles(rows: DataFrame, counts: np.ndarray, num: int, den: int) -> DataFr
                     ],
                     names=["id", "key", "line", "n", "s1", "s2", "b1", "b2", "words"],
                 )
+        del seen
+        textops.give_back()
 
     return rows.mapInArrow(task, _PROFILE)
 
@@ -323,7 +325,7 @@ def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     sets_held = _bits_of(wanted.select("s1"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat = np.zeros(1 << 8, np.uint64)
+        flat = np.zeros(1 << 8, np.uint8)
         for batch in batches:
             some = batch.take(pa.array(np.flatnonzero(_among(docs_held, batch.column("h").to_numpy(zero_copy_only=False)))))
             raw, offsets = textops.text_buffers(some.column("text"))

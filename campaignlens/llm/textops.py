@@ -10,6 +10,7 @@ at white space.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +23,7 @@ _SEED = 20240607
 BLOCK_BYTES = 1 << 20
 
 _U64 = np.uint64
+_LIBC = ctypes.CDLL(None)
 
 
 def splitmix(x: np.ndarray) -> np.ndarray:
@@ -219,6 +221,14 @@ def differing_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count((a ^ b).view(_U64)).astype(np.int64)
 
 
+def give_back() -> None:
+    """Return freed memory to the system; a worker lives on and serves tasks of other operators."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(_LIBC, "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def word_blocks(column: pa.Array, lower: bool = False) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, end row, word hashes, word offsets)`` for blocks of a text column."""
     raw, offsets = text_buffers(column)
