@@ -2,10 +2,9 @@
 
 The lattice of a text has an edge for every vocabulary piece that matches at a
 position, weighted by the piece's stored score; a character that no piece
-covers has an edge to its UTF-8 bytes.  A forward Viterbi pass gives the best
-score of every prefix.  The N best segmentations come from an A* search that
-walks backwards from the end; the forward scores are its heuristic, and since
-they are exact it expands little besides the segmentations it returns.
+covers has an edge to its UTF-8 bytes.  A forward Viterbi pass that keeps the N
+best ways to every position, as links to the ways they extend, gives the N best
+segmentations in time and memory linear in the text's length.
 
 No piece spans the start of a run of spaces or (in this vocabulary) joins a
 letter to another character, so a text's lattice is a chain of independent
@@ -31,6 +30,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -161,36 +161,43 @@ class Vocabulary:
             if i is not None:
                 out.append((start, (i,), float(self.score[i])))
         if not any(start == end - 1 for start, _, _ in out):
-            out.append((end - 1, tuple(self.byte_ids[b] for b in unit[end - 1].encode()), self.unknown))
+            out.append((end - 1, self.edge(unit, end - 1, end), self.unknown))
         return out
 
-    def forward(self, unit: str) -> tuple[list[float], list[tuple[int, tuple[int, ...]]]]:
-        """Best score of every prefix and the last edge of it."""
-        best, back = [0.0], [(0, ())]
-        for end in range(1, len(unit) + 1):
-            top = None
-            for start, ids, score in self.edges_to(unit, end):
-                value = best[start] + score
-                if top is None or value > top[0]:
-                    top = (value, start, ids)
-            best.append(top[0])
-            back.append((top[1], top[2]))
-        return best, back
+    def edge(self, unit: str, start: int, end: int) -> tuple[int, ...]:
+        """The ids of the edge between two positions: a piece, or a character's bytes."""
+        i = self.pieces.get(unit[start:end])
+        return (i,) if i is not None else tuple(self.byte_ids[b] for b in unit[start:end].encode())
 
     def search(self, unit: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
-        """The ``n`` best segmentations ``(score, ids)``: A* backwards, guided by the forward scores."""
-        best, _ = self.forward(unit)
-        heap = [(-best[-1], (), len(unit), 0.0, ())]
+        """The ``n`` best segmentations ``(score, ids)``, best first.
+
+        A forward pass keeps the ``n`` best ways to every position, each with
+        a link to the way it extends, so work and memory are in proportion to
+        the unit's length however many segmentations score alike.  Equal
+        scores go to the longer last piece, then to the better way to it.
+        """
+        score, link, place = array("d", [0.0]), array("q", [0]), array("q", [0])
+        first = array("q", [0, 1])  # ways to a position: from its entry here up to the next one's
+        for end in range(1, len(unit) + 1):
+            ways = [
+                (-(score[way] + w), way)
+                for start, _, w in self.edges_to(unit, end)
+                for way in range(first[start], first[start + 1])
+            ]
+            ways.sort()
+            for value, way in ways[:n]:
+                score.append(-value)
+                link.append(way)
+                place.append(end)
+            first.append(len(score))
         found = []
-        while heap and len(found) < n:
-            _, _, at, done, ids = heapq.heappop(heap)
-            if at == 0:
-                found.append((done, ids))
-                continue
-            for start, piece, score in self.edges_to(unit, at):
-                total = done + score
-                # Equal totals: by the pieces' ids, a total order.
-                heapq.heappush(heap, (-(best[start] + total), piece + ids, start, total, piece + ids))
+        for way in range(first[-2], first[-1]):
+            total, ids = score[way], []
+            while way:
+                end, way = place[way], link[way]
+                ids += reversed(self.edge(unit, place[way], end))
+            found.append((total, tuple(reversed(ids))))
         return found
 
 
@@ -208,14 +215,8 @@ class Segmented:
 
 def best_of(v: Vocabulary, unit: str) -> tuple[float, tuple[int, ...], float]:
     """Score, pieces and loss of the second best of one unit."""
-    best, back = v.forward(unit)
-    ids: tuple[int, ...] = ()
-    at = len(unit)
-    while at:
-        at, piece = back[at]
-        ids = piece + ids
     two = v.search(unit, 2)
-    return best[-1], ids, two[0][0] - two[1][0] if len(two) > 1 else float("inf")
+    return *two[0], two[0][0] - two[1][0] if len(two) > 1 else float("inf")
 
 
 def _one_by_one(v: Vocabulary, units: list[str]) -> Segmented:

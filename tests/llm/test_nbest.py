@@ -52,6 +52,30 @@ def test_best_second_and_n_best_equal_enumeration(vocabulary):
             assert [x for x, _ in vocabulary.search(u, 6)] == pytest.approx([x for x, _ in every[:6]])
 
 
+def best_losses(v, unit, n):
+    """Losses of the ``n`` best segmentations by a forward pass over scores alone."""
+    ways = [[0.0]]
+    for end in range(1, len(unit) + 1):
+        every = [x + w for start, _, w in v.edges_to(unit, end) for x in ways[start]]
+        ways.append(sorted(every, reverse=True)[:n])
+    return [ways[-1][0] - x for x in ways[-1]]
+
+
+@pytest.mark.parametrize("length", [301, 1001, 100_000])
+@pytest.mark.parametrize("char", ["#", "-", ".", "x"])
+def test_long_runs_of_one_character(vocabulary, char, length):
+    unit = char * length
+    found = vocabulary.search(unit, 3)
+    assert [found[0][0] - s for s, _ in found] == pytest.approx(best_losses(vocabulary, unit, 3), abs=1e-6)
+    assert len({ids for _, ids in found}) == 3
+    scored = {i: float(s) for i, s in enumerate(vocabulary.score)}
+    for s, ids in found:
+        assert b"".join(vocabulary.raw[i] for i in ids).decode() == unit
+        assert s == pytest.approx(sum(scored[i] for i in ids))
+    (one,) = nbest.segment(vocabulary, [unit])
+    assert tuple(one.flat.tolist()) == found[0][1] and one.loss[0] == pytest.approx(found[0][0] - found[1][0])
+
+
 def test_text_n_best_equal_products_of_units(proto):
     encoder = nbest.Encoder(nbest.Vocabulary(proto))
     text = "then thing abc the cat"
