@@ -7,18 +7,20 @@ one has a set of Jaccard ``num/den`` or more.
 1. Words are counted in a fixed number of hash buckets; (rarity class, hash) is
    the order of every set, the same everywhere.
 2. A line posts the first ``n - ceil(num * n / den) + 1`` of its words (prefix
-   filter), once per task for equal sets, with its size, the word's position
-   and a 128-bit sketch.
-3. Postings meet by word, sorted by size.  The length filter bounds each
-   line's partners, the positional filter bounds the words that can still be
+   filter), once per task for equal sets (again where a task meets an earlier
+   place of the set), with its size, the word's position and a 128-bit sketch.
+3. Postings meet by word, the earliest of each set.  The length filter bounds
+   each line's partners, the positional filter bounds the words that can still be
    common, and the sketch bounds them again (differing bits are words that
    differ); all three only drop pairs that cannot match.
 4. Surviving pairs are verified on the whole sets.
 
 A line needs one earlier match only.  In a word's list each line first offers
-its ``offers`` earliest partners; the few lines that had more and found no
-match offer all of them in a second pass, so a family of near copies costs work
-in proportion to its size and no match is lost.
+its ``offers`` earliest partners and looks no further; the few lines that had
+more and found no match offer all of them in a second pass, so a family of
+copies that match costs work in proportion to its size and no match is lost.
+Pairs are made and cut a bounded number at a time.  Many lines of one word that
+resemble but do not match are still compared pair by pair, in the word's task.
 
 Sets are compared by 64-bit word hashes; equal sets are found by 128-bit sums.
 
@@ -46,6 +48,9 @@ COUNT_BITS = 20
 FILTER_BITS = 21
 _SEEN = 200_000  # line sets that a task remembers, to post each once
 _PAIRS = 1 << 20  # pairs looked at together
+_SHORT = 512  # entries of a token up to which all its pairs are looked at together
+_ROWS = 1024  # entries of a longer one that look for partners together
+_FIRST = 64  # entries that these meet first
 _LAST = (1 << 63) - 1  # order of a null id
 
 _PROFILE = (
@@ -114,12 +119,13 @@ def _sketch(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _profiles(rows: DataFrame, counts: np.ndarray, num: int, den: int) -> DataFrame:
-    """One row per line with a word; ``words`` is its prefix, null where its task has posted the set already."""
+    """One row per line with a word; ``words`` is its prefix, null where its task has posted the set from an earlier place."""
     shared = rows.sparkSession.sparkContext.broadcast(_rarity(counts))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen: dict[int, tuple[int, int]] = {}
         for batch in batches:
+            ids = batch.column("id").to_numpy()
             raw, offsets = textops.text_buffers(batch.column("text"))
             for a, b in textops.blocks(offsets):
                 w, at, row, line = _line_sets(raw, offsets[a : b + 1], shared.value)
@@ -129,9 +135,10 @@ def _profiles(rows: DataFrame, counts: np.ndarray, num: int, den: int) -> DataFr
                 s1, s2 = _signatures(w, at)
                 b1, b2 = _sketch(w, at)
                 send = np.zeros(len(n), bool)
-                for i, s in enumerate(s1.tolist()):
-                    if s not in seen:
-                        seen.add(s)
+                places = zip(ids[row + a].tolist(), line.tolist(), strict=True)
+                for i, (s, p) in enumerate(zip(s1.tolist(), places, strict=True)):
+                    if s not in seen or p < seen[s]:
+                        seen[s] = p
                         send[i] = True
                 if len(seen) > _SEEN:
                     seen.clear()
@@ -214,91 +221,164 @@ def _earliest(g: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     return {c: v[~alone] for c, v in g.items()}
 
 
-def _pairs_of_group(
-    g: dict[str, np.ndarray], num: int, den: int, offers: int | None
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Passing pairs of whole tokens, and the entries of pairs that were left out by ``offers``.
+_Pairs = Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]
 
-    An entry offers itself to its earliest partners before it; which of two
-    sets is earlier is only known in this list, so both sides of a pair that is
-    left out are reported.
+
+def _pairs_of_group(g: dict[str, np.ndarray], num: int, den: int, offers: int | None) -> _Pairs:
+    """Passing pairs ``(earlier entries, later entries, later entries that may have more)`` of whole tokens, some at a time.
+
+    An entry meets the entries before it: its ``offers`` earliest partners, or
+    all of them.  Entries of one place (equal or null ids) meet both ways, since
+    texts decide there.  With ``wanted``, only those entries look for partners.
+    """
+    t = g["token"]
+    starts = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]])) if len(t) else np.zeros(0, np.int64)
+    size = np.diff(np.append(starts, len(t)))
+    some = np.flatnonzero(np.repeat(size <= _SHORT, size))
+    if len(some):
+        for x, y, more in _pairs_of_short({c: v[some] for c, v in g.items()}, num, den, offers):
+            yield some[x], some[y], some[more]
+    for a, m in zip(starts[size > _SHORT].tolist(), size[size > _SHORT].tolist(), strict=True):
+        for x, y, more in _pairs_of_long({c: v[a : a + m] for c, v in g.items()}, num, den, offers):
+            yield x + a, y + a, more + a
+
+
+def _places(g: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the entries by place, and the number of each ordered entry's place."""
+    order = np.lexsort((g["s1"], g["line"], g["doc"]))
+    doc, line = g["doc"][order], g["line"][order]
+    new = np.zeros(len(order), np.int64)
+    new[1:] = (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])
+    return order, np.cumsum(new)
+
+
+def _pairs_of_short(g: dict[str, np.ndarray], num: int, den: int, offers: int | None) -> _Pairs:
+    """Tokens of few entries, many together.
 
     Entries are compared in order of size, each with the following ones that
-    the length filter allows, a bounded number of pairs at a time.
+    the length filter allows; whole tokens of a bounded number of pairs at a time.
     """
     order = np.lexsort((g["n"], g["token"]))
     g = {c: v[order] for c, v in g.items()}
     t, n = g["token"], g["n"].astype(np.int64)
-    starts = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]])) if len(t) else np.zeros(0, np.int64)
+    by_place, number = _places(g)
+    rank, place = np.empty(len(t), np.int64), np.empty(len(t), np.int64)
+    rank[by_place], place[by_place] = np.arange(len(t)), number
+    starts = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
     group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(t))))
-    scale = int(n.max()) + 2 if len(n) else 1
+    scale = int(n.max()) + 2
     reach = np.minimum(n * den // num, scale - 1)
     # Entries after i in its group that are at most den/num times as large.
     stop = np.searchsorted(group * scale + n, group * scale + reach, side="right")
     # The smaller line of a match has its first common word early enough; the rest need not look.
     looks = (n - g["at"]) * (num + den) >= 2 * n * num
     width = np.where(looks, np.maximum(stop - np.arange(len(n)) - 1, 0), 0)
-    found_i, found_j = [], []
     upto = np.concatenate([[0], np.cumsum(width)])
-    at = 0
-    while at < len(n):
-        end = max(int(np.searchsorted(upto, upto[at] + _PAIRS, side="right")) - 1, at + 1)
+    bounds = np.append(starts, len(t))
+    k = 0
+    while k < len(starts):
+        last = max(int(np.searchsorted(upto[bounds], upto[bounds[k]] + _PAIRS, side="right")) - 1, k + 1)
+        at, end = int(bounds[k]), int(bounds[last])
+        k = last
         w = width[at:end]
         i = np.repeat(np.arange(at, end), w)
         j = i + 1 + np.arange(len(i)) - np.repeat(upto[at:end] - upto[at], w)
+        if "wanted" in g:
+            asked = (g["wanted"][i] + g["wanted"][j]) > 0
+            i, j = i[asked], j[asked]
         ok = _passing(g, i, j, num, den)
-        found_i.append(i[ok])
-        found_j.append(j[ok])
-        at = end
-    i = np.concatenate(found_i) if found_i else np.zeros(0, np.int64)
-    j = np.concatenate(found_j) if found_j else np.zeros(0, np.int64)
-    place = [np.stack([g[c][k] for c in ("doc", "line", "s1")]) for k in (i, j)]
-    swap = (place[0][0] > place[1][0]) | (
-        (place[0][0] == place[1][0])
-        & ((place[0][1] > place[1][1]) | ((place[0][1] == place[1][1]) & (place[0][2] > place[1][2])))
-    )
-    x, y = np.where(swap, j, i), np.where(swap, i, j)
-    more = np.zeros(0, np.int64)
-    if offers is not None and len(x):
-        by = np.lexsort((g["s1"][x], g["line"][x], g["doc"][x], y))
-        x, y = x[by], y[by]
-        rank = np.arange(len(y)) - np.searchsorted(y, y, side="left")
-        more = np.unique(np.concatenate([x[rank >= offers], y[rank >= offers]]))
-        x, y = x[rank < offers], y[rank < offers]
-    return order[x], order[y], order[more]
+        i, j = i[ok], j[ok]
+        before, after = place[i] <= place[j], place[j] <= place[i]
+        x, y = np.concatenate([i[before], j[after]]), np.concatenate([j[before], i[after]])
+        if "wanted" in g:
+            asked = g["wanted"][y] > 0
+            x, y = x[asked], y[asked]
+        more = np.zeros(0, np.int64)
+        if offers is not None and len(x):
+            by = np.argsort(y * len(t) + rank[x])
+            x, y = x[by], y[by]
+            nth = np.arange(len(y)) - np.searchsorted(y, y, side="left")
+            more = np.unique(y[nth >= offers])
+            x, y = x[nth < offers], y[nth < offers]
+        yield order[x], order[y], order[more]
+
+
+def _pairs_of_long(g: dict[str, np.ndarray], num: int, den: int, offers: int | None) -> _Pairs:
+    """One token of many entries.
+
+    Some entries at a time meet the list from its earliest entry on, block by
+    block; an entry with ``offers`` partners looks no further, so a family of
+    near copies meets little more than its earliest members.
+    """
+    order, number = _places(g)
+    g = {c: v[order] for c, v in g.items()}
+    n = g["n"].astype(np.int64)
+    stop = np.searchsorted(number, number, side="right")
+    least, most = -(-n * num // den), n * den // num
+    asked = np.flatnonzero(g["wanted"] > 0) if "wanted" in g else np.arange(len(n))
+    none = np.zeros(0, np.int64)
+    for a in range(0, len(asked), _ROWS):
+        live = asked[a : a + _ROWS]
+        had = np.zeros(len(live), np.int64)
+        lo, width = 0, _FIRST
+        while len(live):
+            other = np.arange(lo, min(lo + width, len(n)))
+            near = (n[other] >= least[live, None]) & (n[other] <= most[live, None])
+            near &= (other < stop[live, None]) & (other != live[:, None])
+            r, x = np.nonzero(near)
+            x += lo
+            ok = _passing(g, x, live[r], num, den)
+            r, x = r[ok], x[ok]
+            lo += width
+            left, more = stop[live] > lo, none
+            if offers is not None:
+                nth = np.arange(len(r)) - np.searchsorted(r, r, side="left") + had[r]
+                had += np.bincount(r, minlength=len(live))
+                more = live[(had > offers) | ((had == offers) & left)]
+                x, r = x[nth < offers], r[nth < offers]
+                left &= had < offers
+            yield order[x], order[live[r]], order[more]
+            live, had = live[left], had[left]
+            width = max(min(2 * width, _PAIRS // max(len(live), 1)), 1)
 
 
 def _candidates(postings: DataFrame, num: int, den: int, offers: int | None) -> DataFrame:
     """``x, dx, y, dy, token``: candidate pairs of line sets with a document of each; a null ``x`` marks a set with more partners."""
     names = (*_POSTING, "wanted") if "wanted" in postings.columns else _POSTING
 
+    def rows_of(g: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
+        s, d, t = g["s1"], g["doc"], g["token"]
+        # The same pair once, whichever way it was met.
+        swap = (d[x] > d[y]) | ((d[x] == d[y]) & (s[x] > s[y]))
+        x, y = np.where(swap, y, x), np.where(swap, x, y)
+        by = np.lexsort((s[x], s[y]))
+        x, y = x[by], y[by]
+        one = np.ones(len(x), bool)
+        one[1:] = (s[x][1:] != s[x][:-1]) | (s[y][1:] != s[y][:-1])
+        x, y = x[one], y[one]
+        none = np.ones(len(more), bool)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.concat_arrays([pa.array(s[x]), pa.array(s[more], mask=none)]),
+                pa.concat_arrays([pa.array(d[x]), pa.array(d[more], mask=none)]),
+                pa.array(np.concatenate([s[y], s[more]])),
+                pa.array(np.concatenate([d[y], d[more]])),
+                pa.array(np.concatenate([t[y], t[more]])),
+            ],
+            names=["x", "dx", "y", "dy", "token"],
+        )
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in _groups(batches, names):
             g = _earliest(g)
             if not len(g["token"]):
                 continue
-            x, y, more = _pairs_of_group(g, num, den, offers)
-            if "wanted" in g:
-                asked = (g["wanted"][x] + g["wanted"][y]) > 0
-                x, y = x[asked], y[asked]
-            s, d, t = g["s1"], g["doc"], g["token"]
-            # Several words offer the same pair; once per block is enough.
-            by = np.lexsort((s[x], s[y]))
-            x, y = x[by], y[by]
-            one = np.ones(len(x), bool)
-            one[1:] = (s[x][1:] != s[x][:-1]) | (s[y][1:] != s[y][:-1])
-            x, y = x[one], y[one]
-            none = np.ones(len(more), bool)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.concat_arrays([pa.array(s[x]), pa.array(s[more], mask=none)]),
-                    pa.concat_arrays([pa.array(d[x]), pa.array(d[more], mask=none)]),
-                    pa.array(np.concatenate([s[y], s[more]])),
-                    pa.array(np.concatenate([d[y], d[more]])),
-                    pa.array(np.concatenate([t[y], t[more]])),
-                ],
-                names=["x", "dx", "y", "dy", "token"],
-            )
+            found = _pairs_of_group(g, num, den, offers)
+            if offers is not None:
+                # A bounded number of pairs per entry; several words offer the same pair, so they are cut together.
+                found = [tuple(map(np.concatenate, zip(*found, strict=True)))]
+            for x, y, more in found:
+                yield rows_of(g, x, y, more)
 
     met = postings.repartition("token").sortWithinPartitions("token")
     return met.mapInArrow(task, "x long, dx long, y long, dy long, token long")
