@@ -3,7 +3,9 @@
 A sketch keeps every distinct five-word shingle whose 48-bit hash lies below a
 fixed fraction of the hash range, so its size follows the text and sketches of
 very unequal texts estimate containment as well as likeness.  A text whose
-shingles all lie above the threshold keeps its smallest hash.  Sketches merge:
+shingles all lie above the threshold keeps its smallest hash; what part of it a
+longer text holds is unknown from the sketches, and the report tells it from
+all shingles of both texts.  Sketches merge:
 the sketch of a union is the union of the sketches, cut at the threshold again.
 A fingerprint writes the kept hashes in ascending order, 12 hex digits each.
 
@@ -81,11 +83,23 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return common / (len(a) + len(b) - common)
 
 
-def containment(a: np.ndarray, b: np.ndarray) -> float:
-    """Estimated part of the first text's shingles that the second also has."""
+def containment(a: np.ndarray, b: np.ndarray, fraction: float = FRACTION) -> float | None:
+    """Estimated part of the first text's shingles that the second also has.
+
+    None (unknown) where the first sketch is a smallest hash above the threshold
+    that the second text may have without keeping it.
+    """
     if not len(a):
         return 1.0
-    return _common(a, b) / len(a) if len(b) else 0.0
+    if not len(b):
+        return 0.0
+    common = _common(a, b)
+    return None if not common and _bare(a, fraction) and b[0] < a[0] else common / len(a)
+
+
+def _bare(sketch: np.ndarray, fraction: float) -> bool:
+    """Whether a sketch holds a text's smallest hash for want of one below the threshold."""
+    return bool(len(sketch)) and bool(sketch[0] >= np.uint64(int(fraction * (1 << _BITS))))
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -185,6 +199,7 @@ def edit_report(
             changed = [edited(a[1], b[1]) for a, b in pairs]
             marks = sketches(pa.array(changed, pa.string()), width, fraction)
             out = {c: [] for c in _REPORT.names}
+            bare = []  # containments to be told from the texts
             for (a, b), text, mark in zip(pairs, changed, marks, strict=True):
                 out["id"].append(a[0])
                 out["n_chars"].append(len(a[1]))
@@ -193,8 +208,13 @@ def edit_report(
                 out["edited_fingerprint"].append(to_text(mark))
                 out["near_edited"].append(likeness(a[2], mark))
                 out["near_next"].append(likeness(a[2], b[2]))
-                out["edited_holds"].append(containment(mark, a[2]))
-                out["next_holds"].append(containment(b[2], a[2]))
+                for name, sketch, part in (("edited_holds", mark, text), ("next_holds", b[2], b[1])):
+                    if _bare(sketch, fraction):
+                        bare.append((name, len(out[name]), part, a[1]))
+                    out[name].append(containment(sketch, a[2], fraction))
+            every = sketches(pa.array([t for *_, part, whole in bare for t in (part, whole)], pa.string()), width, 1.0)
+            for (name, at, _, _), part, whole in zip(bare, every[::2], every[1::2], strict=True):
+                out[name][at] = containment(part, whole, 1.0)
             yield pa.RecordBatch.from_pydict(out, schema=_REPORT)
 
     rows = docs.select(col(id_col).cast("long").alias("id"), _key(id_col).alias("k"), col(text_col).alias("text"))

@@ -38,6 +38,22 @@ def test_likeness_estimates():
         assert S.containment(b, a) == pytest.approx(1.0)
 
 
+def test_short_text_in_a_long_one(spark):
+    rnd = random.Random(8)
+    whole = prose(rnd, 900, 10**6).split()
+    (big,) = S.sketches(pa.array([" ".join(whole)]))
+    parts = [" ".join(whole[i : i + 5 + i % 3]) for i in range(0, 600, 10)]
+    marks = S.sketches(pa.array(parts))
+    assert {S.containment(m, big) for m in marks} == {1.0, None}
+    other = S.sketches(pa.array([prose(rnd, 5, 10**6) for _ in range(60)]))
+    assert {S.containment(m, big) for m in other} == {0.0, None}
+    assert S.containment(marks[0], np.empty(0, np.uint64)) == 0.0
+    # A short text follows the long one by descending id: the report knows.
+    for i, part in enumerate([*parts[:4], prose(rnd, 5, 10**6)]):
+        rows = S.edit_report(documents(spark, [(2, " ".join(whole)), (1, part)]), ranges=1).collect()
+        assert {r["doc_id"]: r["next_holds"] for r in rows}[2] == (1.0 if i < 4 else 0.0)
+
+
 def test_edit_report_equals_plain_python(spark):
     rnd = random.Random(3)
     rows = [(i * 3, prose(rnd, rnd.choice([0, 2, 7, 60, 300]), 10**6)) for i in range(80)]
