@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from campaignlens.llm import (
+    conversation_repair,
+    filter_audit,
     jaccard_groups,
     langid,
     linededup,
     mixing,
     nbest,
+    packing,
     quality_crf,
     repetition,
     scaled_sketch,
@@ -100,6 +103,25 @@ def op10_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scaled_sketch.edit_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every order of the five filters removes in every source."""
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return filter_audit.audit(docs, table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document in the packed sequences."""
+    prepare(spark)
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), packing.vocabulary(spark))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every damaged conversation."""
+    prepare(spark)
+    return conversation_repair.repair_report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
@@ -111,6 +133,9 @@ QUERIES: dict[str, Query] = {
     "op8_jaccard_groups": op8_jaccard_groups,
     "op9_repetition_rules": op9_repetition_rules,
     "op10_scaled_sketch": op10_scaled_sketch,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_packing": op12_packing,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLES: dict[str, str] = {
@@ -118,4 +143,6 @@ ORACLES: dict[str, str] = {
     "op3_mix_sources": mixing.oracle(),
     "op4_url_rules": urlrules.oracle(),
     "op8_jaccard_groups": jaccard_groups.oracle(),
+    "op11_filter_audit": filter_audit.oracle(),
+    "op13_conversation_repair": conversation_repair.oracle(),
 }
