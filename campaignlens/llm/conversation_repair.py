@@ -68,7 +68,8 @@ def _choices(state: int, row: Row) -> list[tuple[str, int, int]]:
 
     Inserts stand right before the row they serve: an insert before a deleted
     row can follow it at the same cost and gives an earlier audit.  Inserting
-    before a row that gets a new role costs more than deleting it.
+    before a row that gets a new role costs more than deleting the row, but for
+    a row after the system turn, which must be followed by a pair.
     """
     initial, must_go, truncated = row
     out = [("D", DELETE, state)]
@@ -83,6 +84,8 @@ def _choices(state: int, row: Row) -> list[tuple[str, int, int]]:
             out.append(("K", extra, reached))
         else:
             out.append(("IK", INSERT + extra, reached))
+    elif state == SYSTEM:
+        out.append(("IR", INSERT + REROLE + extra, ASSISTANT))
     new = ASSISTANT if state == USER else USER
     if initial != "ua"[new - USER]:
         out.append(("R", REROLE + extra, new))
@@ -594,21 +597,22 @@ walk AS (
   SELECT c, pos, state, min(struct_pack(cost := cost, audit := audit, body := body)) AS best
   FROM (
     SELECT l.c, l.pos,
-      CASE WHEN e.edit = 'D' THEN w.state WHEN e.edit = 'R' THEN CASE WHEN w.state = 2 THEN 3 ELSE 2 END
+      CASE WHEN e.edit = 'D' THEN w.state WHEN e.edit = 'IR' THEN 3 WHEN e.edit = 'R' THEN CASE WHEN w.state = 2 THEN 3 ELSE 2 END
            WHEN l.ini = 's' THEN 1 WHEN l.ini = 'u' THEN 2 ELSE 3 END AS state,
-      w.best.cost + CASE e.edit WHEN 'D' THEN 3 WHEN 'K' THEN 0 ELSE 2 END
+      w.best.cost + CASE e.edit WHEN 'D' THEN 3 WHEN 'K' THEN 0 WHEN 'IR' THEN 4 ELSE 2 END
         + CASE WHEN l.cut AND e.edit <> 'D' THEN 1 ELSE 0 END AS cost,
       w.best.audit || e.edit AS audit,
       w.best.body || CASE WHEN e.edit = 'D' THEN '' ELSE
         CASE WHEN w.best.body = '' THEN '' ELSE chr(10) END
         || CASE WHEN e.edit = 'IK' THEN CASE WHEN l.ini = 'u' THEN 'assistant:' ELSE 'user:' END || chr(10) ELSE '' END
-        || CASE WHEN e.edit = 'R' THEN CASE WHEN w.state = 2 THEN 'assistant' ELSE 'user' END ELSE l.role END
+        || CASE WHEN e.edit = 'IR' THEN 'user:' || chr(10) || 'assistant' WHEN e.edit = 'R' THEN CASE WHEN w.state = 2 THEN 'assistant' ELSE 'user' END ELSE l.role END
         || ':' || l.text END AS body
     FROM walk w JOIN lined l ON l.c = w.c AND l.pos = w.pos + 1,
-      (VALUES ('D'), ('K'), ('IK'), ('R')) e(edit)
+      (VALUES ('D'), ('K'), ('IK'), ('R'), ('IR')) e(edit)
     WHERE e.edit = 'D' OR (NOT l.blank AND NOT l.dup AND CASE e.edit
       WHEN 'K' THEN (l.ini = 's' AND w.state = 0) OR (l.ini = 'u' AND w.state <> 2) OR (l.ini = 'a' AND w.state = 2)
       WHEN 'IK' THEN (l.ini = 'u' AND w.state = 2) OR (l.ini = 'a' AND w.state <> 2)
+      WHEN 'IR' THEN w.state = 1 AND l.ini NOT IN ('u', 'a')
       ELSE l.ini <> CASE WHEN w.state = 2 THEN 'a' ELSE 'u' END END)
   ) step GROUP BY c, pos, state),
 ended AS (

@@ -12,7 +12,7 @@ Only the last window can be shorter than the others, so padding is under one
 window for the whole corpus.
 
 Defined cases: a null or empty text is one closing id; a very long text is
-tokenised in parts that end before a single space between letters (the ids are
+tokenised in parts that end before a single space between letters or digits (the ids are
 the same) and fills many windows; equal texts and repeated rows are packed like
 any other row; null ids stay null; an empty table gives no piece; other columns
 are not read, whatever their names.  The order is that of the input's
@@ -44,7 +44,7 @@ VOCABULARY = "byte_bpe_50k.json"
 PART_CHARS = 1 << 18
 # Input partitions whose totals are summed in one group.
 BLOCK = 1024
-_CUT = re.compile(r"(?<=[A-Za-z])(?= [A-Za-z])")
+_CUT = re.compile(r"(?<=[A-Za-z0-9])(?= [A-Za-z0-9])")
 
 
 def vocabulary(spark: SparkSession, path: str | None = None) -> bytes:
@@ -91,7 +91,7 @@ class Encoder:
 
 
 def _text_parts(text: str, size: int = PART_CHARS) -> Iterator[str]:
-    """Parts of a long text; a cut before a single space between letters lies between two tokens."""
+    """Parts of a long text; a cut before a single space between letters or digits lies between two tokens."""
     at = 0
     while len(text) - at > size:
         cut = _CUT.search(text, at + size)

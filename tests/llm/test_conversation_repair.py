@@ -64,8 +64,8 @@ def some_rows(rnd, n, initials="sua "):
 def test_search_equals_enumeration():
     rnd = random.Random(1)
     for n in (0, 1, 2, 3, 4):
-        for _ in range(60 if n < 4 else 25):
-            rows = some_rows(rnd, n)
+        for k in range(120 if n < 4 else 40):
+            rows = some_rows(rnd, n, "sua " if k % 2 else "s ")
             assert cr.search(rows, cr.START, cr.ENDS) == enumerated(rows), rows
 
 

@@ -94,7 +94,7 @@ def test_equals_a_replay_of_every_order(spark, corpus):
 def test_removal_step_is_the_first_failing_filter_of_the_order():
     orders, position, steps = filter_audit.removal_steps(4)
     for p, order in enumerate(orders):
-        assert [order[k] for k in position[p].argsort()] == list(order)
+        assert position[p].argsort().tolist() == list(order)
         for mask in range(16):
             failing = [k for k, f in enumerate(order) if mask >> f & 1]
             assert steps[mask, p] == (failing[0] if failing else 4)
