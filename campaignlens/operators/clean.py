@@ -1,7 +1,7 @@
 """Contract cleaning: numeric coercion, imputation, flags, buckets, one-hot.
 
 All steps are narrow projections except the median, a distributed exact
-order statistic read as a scalar subquery (one value, no join).
+order statistic (one number) that is computed only where it is used.
 """
 
 from __future__ import annotations
@@ -31,13 +31,12 @@ ONE_HOT_SOURCES = BUCKET_COLUMNS + ["smartphone_brand"]
 
 
 def median_of(df: DataFrame, c: Column, method: str = "exact") -> Column:
-    """Global median of ``c`` as a scalar-subquery column.
+    """Global median of ``c`` as a constant (``exact``) or a scalar-subquery column.
 
     ``exact`` interpolates between the two middle values: distinct values are
     counted in one pass and stored, and the distributed order statistics of
     ``profile.exact_quantiles_counted`` pick the middle, so no task holds the
-    distribution whatever its size; the returned subquery reads the stored
-    counts, not the input.  ``builtin`` is Spark's ``median`` (one value->count
+    distribution whatever its size; one number comes back.  ``builtin`` is Spark's ``median`` (one value->count
     map merged in one task: fine for a handful of distinct values).
     ``approx`` is the percentile sketch.
     """
@@ -47,7 +46,8 @@ def median_of(df: DataFrame, c: Column, method: str = "exact") -> Column:
         values = df.select(c.alias("value")).where(F.col("value").isNotNull())
         distinct = values.groupBy("value").agg(F.count(F.lit(1)).alias("c"))
         counted = distinct.select(F.lit("m").alias("column_name"), "value", "c")
-        return exact_quantiles_counted(counted, [0.5]).select("q0").scalar()
+        row = exact_quantiles_counted(counted, [0.5]).select("q0").first()
+        return F.lit(row.q0 if row else None).cast("double")
     if method == "builtin":
         agg = F.median(c)
     elif method == "approx":
@@ -94,6 +94,7 @@ def process_core(
     median_method: str = "exact",
     age_edges: Sequence[float] = S.AGE_EDGES,
     brand_levels: Sequence[str] = S.BRAND_LEVELS,
+    impute: bool = True,
 ) -> DataFrame:
     """Cleaned contracts with engineered columns.
 
@@ -104,9 +105,13 @@ def process_core(
     example on the training folds only); by default it is the median of the
     whole input, as in the reference step.  ``brand_levels`` is the brand
     domain; it becomes columns, so it is given (``category_levels`` lists one).
+    The median is a job of its own over the whole table; a caller that does not
+    read ``available_gb`` leaves it missing with ``impute=False``.
     """
     gb = coerce_numeric("available_gb")
-    if median_value is None:
+    if not impute:
+        fill = F.lit(None).cast("double")
+    elif median_value is None:
         fill = median_of(core, gb, median_method)
     elif isinstance(median_value, Column):
         fill = median_value

@@ -11,7 +11,8 @@ hash of the row, the right row of a hot key is repeated once per salt, and the
 join runs on ``(key, salt)``: one shuffle, the left side evaluated once, and no
 reducer receives much more than its share of a key.  Other keys keep salt 0.
 Every row meets exactly its own right row, so the result is the plain left
-join.
+join.  Rows without a key match nothing; they get a salt from a row hash too,
+so they spread over all reducers.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 
 HOT_ROWS = "_rows"
 HOT_SALTS = "_salts"
+# Salts of the rows without a key; more than any cluster has reducers.
+_NULL_SALTS = 1 << 20
 
 
 def shuffle_partitions(df: DataFrame) -> int:
@@ -61,9 +64,10 @@ def hot_key_left_join(left: DataFrame, right: DataFrame, key: str, hot: DataFram
         hot = hot_keys(left, key, partitions)
     hot = F.broadcast(hot.select(key, HOT_SALTS))  # at most one row per shuffle partition
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
-    # The row hash is evaluated for rows of hot keys only (other rows take salt 0).
+    # The row hash is evaluated for rows of hot keys, and of missing ones: they match nothing, so any salt will do.
+    spread = F.when(F.col(key).isNull(), F.pmod(row_hash, F.lit(_NULL_SALTS))).otherwise(F.lit(0))
     salted_left = left.join(hot, key, "left").withColumn(
-        "_salt", F.when(F.col(HOT_SALTS).isNotNull(), F.pmod(row_hash, F.col(HOT_SALTS))).otherwise(F.lit(0)).cast("int")
+        "_salt", F.when(F.col(HOT_SALTS).isNotNull(), F.pmod(row_hash, F.col(HOT_SALTS))).otherwise(spread).cast("int")
     ).drop(HOT_SALTS)
     salts = F.when(F.col(HOT_SALTS).isNotNull(), F.sequence(F.lit(0), F.col(HOT_SALTS) - 1)).otherwise(
         F.array(F.lit(0))

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from campaignlens import schemas as S
 from campaignlens.operators.joins import hot_key_left_join, hot_keys_from_counts
 from campaignlens.operators.rank import with_previous
-from campaignlens.operators.split import GROUP, group_key
 
 ORDER_COLUMNS = ["contract_lifetime_days", S.KEY]
 CONTRACT_VIEW = S.CONTRACT_VIEW
@@ -67,13 +66,14 @@ def label_shift(core: DataFrame, label: str = S.LABEL) -> DataFrame:
     """Each contract with the previous contract's label of the same customer
     and the row-level 0 -> 1 flag.  A contract without a customer stays, with
     no previous label."""
-    base = core.select(S.KEY, S.CUSTOMER, "contract_lifetime_days", label).withColumn(GROUP, group_key())
+    base = core.select(S.KEY, S.CUSTOMER, "contract_lifetime_days", label)
     order = [F.col("contract_lifetime_days").isNull(), F.col("contract_lifetime_days"), F.col(S.KEY)]
-    shifted = with_previous(base, [GROUP], order, [label], prefix="prev_")
-    flag = F.coalesce((F.col(f"prev_{label}") == 0) & (F.col(label) == 1), F.lit(False)).cast("int")
+    shifted = with_previous(base, [S.CUSTOMER], order, [label], prefix="prev_")
+    previous = F.when(F.col(S.CUSTOMER).isNotNull(), F.col(f"prev_{label}"))
+    flag = F.coalesce((previous == 0) & (F.col(label) == 1), F.lit(False)).cast("int")
     return shifted.select(
         S.KEY, S.CUSTOMER, "contract_lifetime_days", label,
-        F.col(f"prev_{label}").alias("prev_label"), flag.alias("transition_0_to_1"),
+        previous.alias("prev_label"), flag.alias("transition_0_to_1"),
     )
 
 

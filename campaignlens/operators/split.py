@@ -1,10 +1,12 @@
 """Group-disjoint stratified folds, class weights and id-level set operations.
 
-Folds: every customer is one group.  Customers are ordered by
+Folds: every customer is one group.  Customers with a large share of a fold
+are placed first, each into the emptiest fold.  The others are ordered by
 (positives desc, contracts desc, md5(seed:id), id) with the distributed
-rank, and dealt to folds in a snake (0..k-1, k-1..0, ...).  Each stratum
+rank, and dealt to folds in a snake (0..k-1, k-1..0, ...), or, after heavy
+customers, in rounds that fill the room left in each fold.  Each stratum
 (positives, contracts) is a contiguous run of that order, so each fold gets
-an equal share of every stratum: label-balanced, and no customer spans two
+its share of every stratum: label-balanced, and no customer spans two
 folds.  A contract without a customer is a group of its own, so train and test
 together hold every row.  The deal needs no group to sit in one task, whatever the size of
 the dominant stratum.
@@ -12,12 +14,15 @@ the dominant stratum.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from campaignlens import schemas as S
 from campaignlens.operators.joins import hot_key_left_join, hot_keys_from_counts
-from campaignlens.operators.rank import with_position
+from campaignlens.operators.rank import lookup, with_position
+from campaignlens.sources.sinks import stage_roundtrip
 
 
 def seeded_hash(c: str | Column, seed: int) -> Column:
@@ -41,24 +46,96 @@ def group_key(group: str = S.CUSTOMER, key: str = S.KEY) -> Column:
     return F.coalesce(F.concat(F.lit("customer "), F.col(group).cast("string")), own)
 
 
+# A group of more than this share of a fold is placed by itself, before the deal.
+HEAVY_SHARE = 0.2
+# Slots of one round of the deal.
+DEAL_SLOTS = 1000
+
+
+def place_heavy(heavy: Sequence[tuple[object, int, int]], k: int) -> tuple[dict, list[int]]:
+    """Folds of the heavy groups ``(group, n_rows, n_pos)`` and the rows they bring to each fold.
+
+    Largest first; each goes to the fold with the fewest rows so far, then the
+    fewest positives, then the smallest number.
+    """
+    rows, positives, fold_of = [0] * k, [0] * k, {}
+    for group, n, pos in heavy:
+        f = min(range(k), key=lambda i: (rows[i], positives[i], i))
+        fold_of[group] = f
+        rows[f] += n
+        positives[f] += pos
+    return fold_of, rows
+
+
+def room(loads: Sequence[int], rest: int) -> list[float]:
+    """Rows each fold still takes when ``rest`` rows level the loads as far as they can."""
+    order, level = sorted(loads), 0.0
+    for i in range(len(order)):
+        level = (sum(order[: i + 1]) + rest) / (i + 1)
+        if i + 1 == len(order) or level <= order[i + 1]:
+            break
+    return [max(0.0, level - x) for x in loads]
+
+
+def deal_slots(rooms: Sequence[float], slots: int = DEAL_SLOTS) -> list[int]:
+    """Folds of a round of the deal, in turn: as many slots per fold as its share of the room, evenly spread.
+
+    Shares are rounded to whole slots, the largest remainders first.
+    """
+    total = sum(rooms)
+    exact = [r * slots / total for r in rooms]
+    quota = [int(x) for x in exact]
+    order = sorted(range(len(rooms)), key=lambda f: (-(exact[f] - quota[f]), f))
+    for f in order[: slots - sum(quota)]:
+        quota[f] += 1
+    points = [((2 * j + 1) / (2 * q), f) for f, q in enumerate(quota) for j in range(q)]
+    return [f for _, f in sorted(points)]
+
+
 def customer_folds(
     df: DataFrame, k: int = S.N_FOLDS, seed: int = S.SPLIT_SEED, group: str = S.CUSTOMER, label: str = S.LABEL,
-    key: str = S.KEY,
+    key: str = S.KEY, heavy_share: float = HEAVY_SHARE,
 ) -> DataFrame:
-    """One row per group: ``(_group, group, n_rows, n_pos, fold)``; ``group`` is null for a lone contract."""
-    per_group = (
+    """One row per group: ``(_group, group, n_rows, n_pos, fold)``; ``group`` is null for a lone contract.
+
+    Groups with more rows than ``heavy_share`` of a fold (at most ``k /
+    heavy_share`` of them) are placed first, the largest into the emptiest
+    fold; the others are dealt in the order of their positives and rows, each
+    fold as often as its room asks for.  Without heavy groups the deal is a
+    snake.
+    """
+    per_group = stage_roundtrip(
         df.select(group_key(group, key).alias(GROUP), group, label)
-        .groupBy(GROUP)
-        .agg(
-            F.first(group).alias(group),
-            F.count(F.lit(1)).alias("n_rows"),
-            F.coalesce(F.sum(label), F.lit(0)).cast("long").alias("n_pos"),
-        )
+        .groupBy(GROUP, group)
+        .agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(label), F.lit(0)).cast("long").alias("n_pos")),
+        "groups",
     )
+    total = per_group.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
     name = F.coalesce(F.col(group).cast("string"), F.col(GROUP))
+    is_heavy = F.col("n_rows") * F.lit(float(k)) > F.lit(heavy_share * total)
+    # At most k / heavy_share rows: every one holds more than that share of a fold.
+    heavy = [
+        (r[GROUP], r.n_rows, r.n_pos)
+        for r in per_group.where(is_heavy).orderBy(F.desc("n_rows"), F.desc("n_pos"), seeded_hash(name, seed), GROUP).collect()
+    ]
     order = [F.col("n_pos").desc(), F.col("n_rows").desc(), seeded_hash(name, seed).asc(), F.col(GROUP).asc()]
-    ranked = with_position(per_group, order, name="_pos")
-    return ranked.select(GROUP, group, "n_rows", "n_pos", snake_fold(F.col("_pos") - 1, k).alias("fold"))
+    columns = [GROUP, group, "n_rows", "n_pos"]
+    if not heavy:
+        ranked = with_position(per_group, order, name="_pos")
+        return ranked.select(*columns, snake_fold(F.col("_pos") - 1, k).alias("fold"))
+    fold_of, loads = place_heavy(heavy, k)
+    rest = total - sum(loads)
+    light = per_group.where(~is_heavy)
+    placed = F.lit(None).cast("int")
+    for g, f in fold_of.items():
+        placed = F.when(F.col(GROUP) == F.lit(g), F.lit(f)).otherwise(placed)
+    first = per_group.where(is_heavy).select(*columns, placed.alias("fold"))
+    if not rest:
+        return first
+    turns = deal_slots(room(loads, rest))
+    turn = lookup(turns, "int", ((F.col("_pos") - 1) % len(turns)).cast("int"))
+    dealt = with_position(light, order, name="_pos").select(*columns, turn.alias("fold"))
+    return first.unionByName(dealt)
 
 
 def assign_folds(

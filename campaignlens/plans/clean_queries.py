@@ -100,7 +100,7 @@ _ONE_HOT_NAMES = clean.one_hot_names()
     sql=with_views("SELECT rating_account_id, " + ", ".join(f'"{c}"' for c in _ONE_HOT_NAMES) + " FROM processed_core"),
 )
 def one_hot_q(spark, sf_dir):
-    return flow.processed_core(spark, sf_dir).select(S.KEY, *[F.col(f"`{c}`") for c in _ONE_HOT_NAMES])
+    return flow.processed_core(spark, sf_dir, impute=False).select(S.KEY, *[F.col(f"`{c}`") for c in _ONE_HOT_NAMES])
 
 
 @register("processed_core", sql=with_views("SELECT * FROM processed_core"))

@@ -10,20 +10,25 @@ from campaignlens.plans import flow
 from campaignlens.plans.oracle_views import with_views
 from campaignlens.plans.registry import DIGITS, register, round_doubles, sql_round
 
+# A contract without a customer is a group of its own.
+GROUP_SQL = "coalesce('customer ' || customer_id, 'account ' || CAST(rating_account_id AS VARCHAR))"
+
+
+def _groups_sql(view: str) -> str:
+    return (
+        f"SELECT {GROUP_SQL} AS grp, customer_id, count(*) AS n_rows, "
+        f"CAST(coalesce(sum(has_done_upselling), 0) AS BIGINT) AS n_pos FROM {view} GROUP BY grp, customer_id"
+    )
+
+
+_DEAL_ORDER = "n_pos DESC, n_rows DESC, md5('42:' || coalesce(customer_id, grp)), grp"
+
 EVAL_CTES = [
-    (
-        "cust",
-        "SELECT customer_id, count(*) AS n_rows, CAST(coalesce(sum(has_done_upselling), 0) AS BIGINT) AS n_pos "
-        "FROM core_data WHERE customer_id IS NOT NULL GROUP BY customer_id",
-    ),
-    (
-        "cust_ranked",
-        "SELECT *, row_number() OVER (ORDER BY n_pos DESC, n_rows DESC, md5('42:' || customer_id), customer_id) - 1 "
-        "AS r FROM cust",
-    ),
+    ("cust", _groups_sql("core_data")),
+    ("cust_ranked", f"SELECT *, row_number() OVER (ORDER BY {_DEAL_ORDER}) - 1 AS r FROM cust"),
     (
         "folds",
-        "SELECT customer_id, n_rows, n_pos, "
+        "SELECT grp, customer_id, n_rows, n_pos, "
         "CAST(CASE WHEN (r // 5) % 2 = 0 THEN r % 5 ELSE 4 - r % 5 END AS INTEGER) AS fold FROM cust_ranked",
     ),
     (
@@ -37,7 +42,7 @@ EVAL_CTES = [
         " + CASE WHEN available_gb_value <= 20 THEN 20 ELSE 0 END"
         " + CASE WHEN gross_mrc < 35 THEN 10 ELSE 0 END AS DOUBLE) / 100.0, 0.0), 1.0) AS score, f.fold "
         "FROM (SELECT *, CASE WHEN available_gb_missing = 0 THEN available_gb END AS available_gb_value "
-        "FROM processed_core) p LEFT JOIN folds f ON p.customer_id = f.customer_id",
+        f"FROM processed_core) p LEFT JOIN folds f ON {GROUP_SQL.replace('customer_id', 'p.customer_id')} = f.grp",
     ),
     ("test", "SELECT rating_account_id, has_done_upselling, score FROM scored_all WHERE fold = 0"),
     (
@@ -139,6 +144,63 @@ def fold_leakage_check(spark, sf_dir):
     return split.fold_leakage(flow.contract_folds(spark, sf_dir))
 
 
+# Contracts with a customer of a third of the rows, one of a twentieth, and rows without a customer.
+SKEWED_CORE_SQL = (
+    "SELECT rating_account_id, CASE WHEN rating_account_id % 3 = 0 THEN 'hot' WHEN rating_account_id % 17 = 1 THEN NULL "
+    "WHEN rating_account_id % 11 = 2 THEN 'warm' ELSE customer_id END AS customer_id, has_done_upselling FROM core_data"
+)
+
+_SKEWED_FOLDS_SQL = f"""
+SELECT * FROM (
+WITH RECURSIVE core_skewed AS ({SKEWED_CORE_SQL}),
+grps AS ({_groups_sql('core_skewed')}),
+tot AS (SELECT CAST(sum(n_rows) AS BIGINT) AS n FROM grps),
+heavy AS (SELECT g.*, row_number() OVER (ORDER BY n_rows DESC, n_pos DESC, md5('42:' || coalesce(customer_id, grp)), grp) AS i
+          FROM grps g, tot WHERE n_rows * 5.0 > {split.HEAVY_SHARE} * tot.n),
+place AS (
+  SELECT CAST(0 AS BIGINT) AS i, CAST(NULL AS VARCHAR) AS grp, CAST(-1 AS BIGINT) AS fold,
+    CAST([0, 0, 0, 0, 0] AS BIGINT[]) AS loads, CAST([0, 0, 0, 0, 0] AS BIGINT[]) AS pos
+  UNION ALL
+  SELECT i, grp, f - 1, [CASE WHEN x = f THEN loads[x] + n_rows ELSE loads[x] END for x in range(1, 6)],
+    [CASE WHEN x = f THEN pos[x] + n_pos ELSE pos[x] END for x in range(1, 6)]
+  FROM (SELECT h.i, h.grp, h.n_rows, h.n_pos, p.loads, p.pos,
+          list_min([struct_pack(a := p.loads[x], b := p.pos[x], c := x) for x in range(1, 6)]).c AS f
+        FROM place p JOIN heavy h ON h.i = p.i + 1)),
+loads AS (SELECT x - 1 AS fold, l.loads[x] AS load FROM (SELECT loads FROM place ORDER BY i DESC LIMIT 1) l, range(1, 6) t(x)),
+levels AS (
+  SELECT load, lead(load) OVER w AS following, row_number() OVER w AS i,
+    (sum(load) OVER (ORDER BY load, fold ROWS UNBOUNDED PRECEDING)
+     + (SELECT n FROM tot) - (SELECT sum(load) FROM loads)) / row_number() OVER w AS level
+  FROM loads WINDOW w AS (ORDER BY load, fold)),
+level AS (SELECT level FROM levels WHERE following IS NULL OR level <= following ORDER BY i LIMIT 1),
+rooms AS (SELECT fold, greatest(0.0, (SELECT level FROM level) - load) AS room FROM loads),
+exact AS (SELECT fold, room * {split.DEAL_SLOTS} / (SELECT sum(room) FROM rooms) AS e FROM rooms),
+ranked AS (SELECT fold, CAST(floor(e) AS BIGINT) AS q, row_number() OVER (ORDER BY e - floor(e) DESC, fold) AS i FROM exact),
+quotas AS (SELECT fold, q + CASE WHEN i <= {split.DEAL_SLOTS} - (SELECT sum(q) FROM ranked) THEN 1 ELSE 0 END AS q FROM ranked),
+slots AS (SELECT fold, row_number() OVER (ORDER BY (2 * j + 1) / (2 * q), fold) - 1 AS slot
+          FROM (SELECT fold, q, unnest(range(0, CAST(q AS BIGINT))) AS j FROM quotas)),
+light AS (SELECT g.*, (row_number() OVER (ORDER BY {_DEAL_ORDER}) - 1) % {split.DEAL_SLOTS} AS slot
+          FROM grps g WHERE grp NOT IN (SELECT grp FROM heavy)),
+assigned AS (SELECT grp, fold FROM place WHERE i > 0 UNION ALL SELECT l.grp, s.fold FROM light l JOIN slots s USING (slot))
+SELECT c.rating_account_id, c.customer_id, CAST(a.fold AS INTEGER) AS fold
+FROM core_skewed c JOIN assigned a ON {GROUP_SQL.replace('customer_id', 'c.customer_id')} = a.grp)
+"""
+
+
+def skewed_core(spark, sf_dir):
+    """Contracts of the test tables with heavy customers and missing ones."""
+    core = flow.inputs(spark, sf_dir).core.select(S.KEY, S.CUSTOMER, S.LABEL)
+    k = F.col(S.KEY)
+    customer = F.when(k % 3 == 0, "hot").when(k % 17 == 1, F.lit(None)).when(k % 11 == 2, "warm").otherwise(F.col(S.CUSTOMER))
+    return core.withColumn(S.CUSTOMER, customer)
+
+
+@register("skewed_group_folds", sql=with_views(_SKEWED_FOLDS_SQL))
+def skewed_group_folds(spark, sf_dir):
+    """Folds where one customer holds a third of the contracts: heavy groups first, the rest fills the room."""
+    return split.assign_folds(skewed_core(spark, sf_dir)).select(S.KEY, S.CUSTOMER, "fold")
+
+
 @register(
     "class_weights",
     sql=eval_sql(

@@ -21,8 +21,10 @@ def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     return derive_inputs(spark, sf_dir)
 
 
-def processed_core(spark: SparkSession, sf_dir: str, age_edges: Sequence[float] = S.AGE_EDGES) -> DataFrame:
-    return clean.process_core(inputs(spark, sf_dir).core, age_edges=age_edges)
+def processed_core(
+    spark: SparkSession, sf_dir: str, age_edges: Sequence[float] = S.AGE_EDGES, impute: bool = True
+) -> DataFrame:
+    return clean.process_core(inputs(spark, sf_dir).core, age_edges=age_edges, impute=impute)
 
 
 def usage_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +53,8 @@ def merged(spark: SparkSession, sf_dir: str, fill: bool = False,
             usage = None
         if not wanted & (set(inter.columns) - {S.CUSTOMER}):
             inter = None
-    out = features.merge_features(clean.process_core(ins.core), usage, inter)
+    impute = wanted is None or "available_gb" in wanted
+    out = features.merge_features(clean.process_core(ins.core, impute=impute), usage, inter)
     return features.fill_interactions(out) if fill else out
 
 

@@ -9,7 +9,7 @@ from campaignlens.operators import evaluate, model
 from campaignlens.plans import flow
 from campaignlens.plans.oracle_views import with_views
 from campaignlens.plans.registry import register, round_doubles
-from campaignlens.plans.eval_queries import eval_sql
+from campaignlens.plans.eval_queries import GROUP_SQL, eval_sql
 from campaignlens.sources.sinks import (
     backfill_date_range,
     champion_dir,
@@ -127,7 +127,8 @@ def _selector_sql() -> str:
         "GROUP BY feature"
     ).replace("var_samp(x)", "(sum(n * v) + sum(n * (m - g) * (m - g))) / (sum(n) - 1)")
     train = (
-        "SELECT m.*, f.fold FROM merged_filled m LEFT JOIN folds f ON m.customer_id = f.customer_id WHERE f.fold <> 0"
+        f"SELECT m.*, f.fold FROM merged_filled m LEFT JOIN folds f ON {GROUP_SQL.replace('customer_id', 'm.customer_id')} = f.grp "
+        "WHERE f.fold <> 0"
     )
     return eval_sql(
         f"SELECT * FROM (WITH train AS ({train}), long AS ({rows}) {body})", ["variance", "f_value"], digits=4

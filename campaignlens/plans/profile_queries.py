@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from campaignlens import schemas as S
 from campaignlens.operators import clean, features, joins, labels, profile, split
 from campaignlens.plans import flow
-from campaignlens.plans.eval_queries import eval_sql
+from campaignlens.plans.eval_queries import GROUP_SQL, eval_sql
 from campaignlens.plans.oracle_views import ONE_HOT_SQL, PROCESSED_CORE_SQL, with_views
 from campaignlens.plans.registry import register, round_doubles, sql_round
 from campaignlens.sources.sinks import stage_roundtrip
@@ -99,7 +99,7 @@ def positive_distribution(spark, sf_dir):
     ),
 )
 def crosstab_label_rate(spark, sf_dir):
-    return round_doubles(profile.crosstab_label_rate(flow.processed_core(spark, sf_dir), S.CROSSTAB_FEATURES, S.LABEL))
+    return round_doubles(profile.crosstab_label_rate(flow.processed_core(spark, sf_dir, impute=False), S.CROSSTAB_FEATURES, S.LABEL))
 
 
 # -- describe ----------------------------------------------------------------------------
@@ -134,7 +134,7 @@ def describe_numeric(spark, sf_dir):
     ).replace("SELECT column_name, sum(c) AS count", "SELECT column_name, CAST(sum(c) AS BIGINT) AS count"),
 )
 def describe_text(spark, sf_dir):
-    return profile.describe_text(flow.processed_core(spark, sf_dir), DESCRIBE_TEXT)
+    return profile.describe_text(flow.processed_core(spark, sf_dir, impute=False), DESCRIBE_TEXT)
 
 
 # -- histograms --------------------------------------------------------------------------
@@ -285,13 +285,13 @@ _PSI_CTES_BODY = _psi_sql()
         _PSI_CTES_BODY.replace(
             "FROM pcf",
             "FROM (SELECT p.*, CASE WHEN f.fold = 0 THEN 'a' ELSE 'e' END AS side FROM processed_core p "
-            "LEFT JOIN folds f ON p.customer_id = f.customer_id)",
+            f"LEFT JOIN folds f ON {GROUP_SQL.replace('customer_id', 'p.customer_id')} = f.grp)",
         ),
         ["psi"],
     ),
 )
 def drift_psi(spark, sf_dir):
-    pcf = split.attach_folds(flow.processed_core(spark, sf_dir), flow.folds(spark, sf_dir))
+    pcf = split.attach_folds(flow.processed_core(spark, sf_dir, impute=False), flow.folds(spark, sf_dir))
     return round_doubles(
         profile.population_stability_by(pcf, F.col("fold") == 0, PSI_NUMERIC, PSI_CATEGORICAL)
     )

@@ -49,3 +49,25 @@ def test_registered_query_runs_the_salted_path(spark):
     assert "xxhash64" in str(
         hot_key_left_join(core, brand_rates(core), "smartphone_brand", hot=hot)._jdf.queryExecution().executedPlan().toString()
     )
+
+
+def test_rows_without_a_key_spread_over_the_tasks(spark):
+    from pyspark.sql import functions as F
+
+    from campaignlens.operators.joins import hot_key_left_join
+
+    left = spark.range(100_000).select(
+        F.col("id"), F.when(F.col("id") % 10 < 6, F.lit(None)).otherwise((F.col("id") % 5000).cast("string")).alias("c")
+    )
+    right = spark.range(5000).select(F.col("id").cast("string").alias("c"), F.col("id").alias("v"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = hot_key_left_join(left, right, "c")
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(sizes) == 100_000 and max(sizes) <= 2 * 100_000 / 8
+        assert joined.where("c IS NULL AND v IS NOT NULL").count() == 0
+        assert joined.where("c IS NOT NULL AND v IS NULL").count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -85,3 +85,41 @@ def test_class_weights_read_the_rows_once(spark):
 def test_copy_numbers_are_64_bit(spark):
     df = spark.createDataFrame([("a", 2)], "k string, n int")
     assert dict(split.repeat_rows(df, "n").dtypes)["copy_no"] == "bigint"
+
+
+def test_heavy_customer_leaves_the_other_folds_even(spark):
+    rows = [(i, "hot" if i < 10_000 else f"c{i % 5000}", int(i % 11 == 0)) for i in range(30_000)]
+    df = spark.createDataFrame(rows, "rating_account_id long, customer_id string, has_done_upselling int")
+    bal = {r.fold: r for r in split.fold_balance(split.assign_folds(df)).collect()}
+    assert sorted((r.n_rows for r in bal.values()), reverse=True) == [10_000, 5000, 5000, 5000, 5000]
+    rates = [r.pos_rate for r in bal.values()]
+    assert max(rates) - min(rates) < 0.01
+    assert split.fold_leakage(split.assign_folds(df)).first().n_customers_multi_fold == 0
+
+
+def test_heavy_groups_fill_the_emptiest_fold():
+    heavy = [("a", 50, 5), ("b", 40, 1), ("c", 30, 9), ("d", 20, 0)]
+    fold_of, loads = split.place_heavy(heavy, 3)
+    assert fold_of == {"a": 0, "b": 1, "c": 2, "d": 2} and loads == [50, 40, 50]
+    assert split.room([50, 40, 50], 40) == [10.0, 20.0, 10.0]
+    assert split.room([100, 0, 0], 50) == [0.0, 25.0, 25.0]
+    turns = split.deal_slots([10.0, 20.0, 10.0], 8)
+    assert sorted(turns) == [0, 0, 1, 1, 1, 1, 2, 2] and turns[:4].count(1) == 2
+
+
+def test_only_heavy_groups(spark):
+    rows = [(i, "ab"[i % 2], i % 3 == 0) for i in range(40)]
+    df = spark.createDataFrame(rows, "rating_account_id long, customer_id string, has_done_upselling boolean")
+    df = df.withColumn("has_done_upselling", F.col("has_done_upselling").cast("int"))
+    folds = {r.customer_id: r.fold for r in split.customer_folds(df).collect()}
+    assert sorted(folds.values()) == [0, 1]
+
+
+def test_fold_table_is_a_hash_aggregate(spark):
+    df = with_nulls(spark)
+    plan = (
+        df.select(split.group_key().alias("_group"), "customer_id", "has_done_upselling")
+        .groupBy("_group", "customer_id").agg(F.count(F.lit(1)), F.sum("has_done_upselling"))
+        ._jdf.queryExecution().executedPlan().toString()
+    )
+    assert "SortAggregate" not in plan
