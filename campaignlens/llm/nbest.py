@@ -2,9 +2,10 @@
 
 The lattice of a text has an edge for every vocabulary piece that matches at a
 position, weighted by the piece's stored score; a character that no piece
-covers has an edge to its UTF-8 bytes.  A forward Viterbi pass that keeps the N
-best ways to every position, as links to the ways they extend, gives the N best
-segmentations in time and memory linear in the text's length.
+covers has an edge to its UTF-8 bytes.  Forward Viterbi scores are the exact
+heuristic of a backward A-star search over that lattice; every position is
+expanded at most N times and ways are parent links, so the N best segmentations
+take time and memory linear in the text's length, however many score alike.
 
 No piece spans the start of a run of spaces or (in this vocabulary) joins a
 letter to another character, so a text's lattice is a chain of independent
@@ -17,13 +18,15 @@ units that lose least, so the search runs on those alone.
 
 As in SentencePiece, a text is preceded by one space and spaces belong to the
 pieces after them.  Decoding gives back the exact text.  Edge scores add up;
-equal scores go to the longer last piece.
+equal scores go to the longer last piece, in the search to the way whose
+front is closer to the start.
 
 Defined cases: null and empty texts have no pieces, score 0 and no
-alternatives, and decode to an empty text; a literal U+2581 is encoded as
-bytes; columns named like the added ones are left out; repeated rows are encoded
+alternatives, and decode to an empty text; very long texts are segmented whole,
+unit by unit; a literal U+2581 is encoded as bytes; columns named like the added ones are left out; repeated rows are encoded
 alike; an empty table gives an empty result.  The model file's bytes are read
-by the driver through Spark and broadcast; no executor needs the file.
+by the driver (a path with a scheme: through Spark) and broadcast; no executor
+needs the file.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ import heapq
 import re
 from array import array
 from bisect import bisect_left
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -62,9 +65,11 @@ _TABLE_BITS = 18
 
 
 def model_bytes(spark: SparkSession, path: str = MODEL_FILE) -> bytes:
-    """The model file's content (a vocabulary, a few hundred kB)."""
-    uri = path if "://" in path else f"file://{path}"
-    return bytes(spark.read.format("binaryFile").load(uri).select("content").first()[0])
+    """The model file's content (a vocabulary, a few hundred kB); a plain path is a file of the driver's machine."""
+    if "://" not in path:
+        with open(path, "rb") as f:
+            return f.read()
+    return bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
 
 
 class Vocabulary:
@@ -169,36 +174,64 @@ class Vocabulary:
         i = self.pieces.get(unit[start:end])
         return (i,) if i is not None else tuple(self.byte_ids[b] for b in unit[start:end].encode())
 
-    def search(self, unit: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
-        """The ``n`` best segmentations ``(score, ids)``, best first.
-
-        A forward pass keeps the ``n`` best ways to every position, each with
-        a link to the way it extends, so work and memory are in proportion to
-        the unit's length however many segmentations score alike.  Equal
-        scores go to the longer last piece, then to the better way to it.
-        """
-        score, link, place = array("d", [0.0]), array("q", [0]), array("q", [0])
-        first = array("q", [0, 1])  # ways to a position: from its entry here up to the next one's
+    def forward(self, unit: str) -> array:
+        """Viterbi scores: the best sum of edges from the start to every position."""
+        best = array("d", [0.0])
         for end in range(1, len(unit) + 1):
-            ways = [
-                (-(score[way] + w), way)
-                for start, _, w in self.edges_to(unit, end)
-                for way in range(first[start], first[start + 1])
-            ]
-            ways.sort()
-            for value, way in ways[:n]:
-                score.append(-value)
-                link.append(way)
-                place.append(end)
-            first.append(len(score))
-        found = []
-        for way in range(first[-2], first[-1]):
-            total, ids = score[way], []
-            while way:
-                end, way = place[way], link[way]
-                ids += reversed(self.edge(unit, place[way], end))
-            found.append((total, tuple(reversed(ids))))
-        return found
+            best.append(max(best[start] + w for start, _, w in self.edges_to(unit, end)))
+        return best
+
+    def search(self, unit: str, n: int, count: Callable[[], None] | None = None) -> list[tuple[float, tuple[int, ...]]]:
+        """The ``n`` best segmentations ``(score, ids)``, best first, by backward A-star search.
+
+        A node is a way from a position to the unit's end, a link to the way it
+        extends.  The forward score of its position is exactly what the best
+        rest brings, so nodes leave the heap in the order of the best whole
+        segmentation through them, and a node at the start is the next best
+        one.  A position is expanded at most ``n`` times: the ways that come to
+        it later are no better than ``n`` others with the same rest.  Equal
+        values go to the smaller position, so among segmentations that score
+        alike one is finished before the others are begun.  ``count`` is
+        called for every expansion.
+        """
+        best = self.forward(unit)
+        place, link, worth = array("q", [len(unit)]), array("q", [-1]), array("d", [0.0])
+        heap = [(-best[len(unit)], len(unit), 0)]
+        expanded = array("q", bytes(8 * (len(unit) + 1)))
+        edges: dict[int, list[tuple[int, tuple[int, ...], float]]] = {}
+        found: list[int] = []
+        while heap and len(found) < n:
+            _, at, way = heapq.heappop(heap)
+            if expanded[at] == n:
+                continue
+            expanded[at] += 1
+            if at == 0:
+                found.append(way)
+                continue
+            if count is not None:
+                count()
+            if at not in edges:
+                edges[at] = self.edges_to(unit, at)
+            for start, _, w in edges[at]:
+                if expanded[start] < n:
+                    place.append(start)
+                    link.append(way)
+                    worth.append(worth[way] + w)
+                    heapq.heappush(heap, (-(worth[-1] + best[start]), start, len(place) - 1))
+        out = []
+        for way in found:
+            total, ids = 0.0, []
+            while link[way] >= 0:
+                start, way = place[way], link[way]
+                piece = self.edge(unit, start, place[way])
+                # Added up from the left like the forward scores, so no segmentation seems better than the best.
+                total += float(self.score[piece[0]]) if self._is_piece(unit, start, place[way]) else self.unknown
+                ids += piece
+            out.append((total, tuple(ids)))
+        return sorted(out, key=lambda x: -x[0])
+
+    def _is_piece(self, unit: str, start: int, end: int) -> bool:
+        return unit[start:end] in self.pieces
 
 
 @dataclass

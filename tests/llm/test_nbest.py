@@ -76,6 +76,27 @@ def test_long_runs_of_one_character(vocabulary, char, length):
     assert tuple(one.flat.tolist()) == found[0][1] and one.loss[0] == pytest.approx(found[0][0] - found[1][0])
 
 
+@pytest.mark.parametrize("unit", ["#" * 500, "." * 3000, " " + "the" * 200, "漢" * 300, "xé" * 400])
+@pytest.mark.parametrize("n", [1, 3, 8])
+def test_a_position_is_expanded_at_most_n_times(vocabulary, unit, n):
+    expansions = 0
+
+    def tick():
+        nonlocal expansions
+        expansions += 1
+
+    found = vocabulary.search(unit, n, tick)
+    assert expansions <= n * len(unit)
+    assert [found[0][0] - s for s, _ in found] == pytest.approx(best_losses(vocabulary, unit, n), abs=1e-6)
+
+
+def test_forward_scores_are_the_exact_rest(vocabulary):
+    for u in units(40):
+        best = vocabulary.forward(u)
+        for end in range(1, len(u) + 1):
+            assert best[end] == pytest.approx(every_segmentation(vocabulary, u[:end])[0][0])
+
+
 def test_text_n_best_equal_products_of_units(proto):
     encoder = nbest.Encoder(nbest.Vocabulary(proto))
     text = "then thing abc the cat"
