@@ -109,6 +109,91 @@ def usage_features(usage: DataFrame, ties: Mapping[str, int] = NO_TIES) -> DataF
     )
 
 
+# The partition column of stored usage states: the first day of the period's month.
+STATE_MONTH = "month_dt"
+
+
+def usage_states(usage: DataFrame, ties: Mapping[str, int] = NO_TIES) -> DataFrame:
+    """Mergeable usage states per account and month.
+
+    A state holds the number, mean and squared deviations of the volumes, their
+    extremes, the counted periods and roaming rows, and the first and last
+    volume with their order keys.  States of different months merge to the
+    statistics of all their rows (``merge_usage_states``), so a month can be
+    replaced without reading the others' rows.  Rows without a period form a
+    state of their own.
+    """
+    month = F.to_date("billed_period_month_d")
+    v = F.col("used_gb")
+    key = F.when(v.isNotNull(), period_order_key(month, ties))
+    return (
+        _usage_rows(usage)
+        .groupBy(S.KEY, F.trunc(month, "MM").alias(STATE_MONTH))
+        .agg(
+            F.count(v).alias("n"),
+            F.avg(v).alias("mean"),
+            (F.var_pop(v) * F.count(v)).alias("m2"),
+            F.sum(v).alias("total"),
+            F.min(v).alias("low"),
+            F.max(v).alias("high"),
+            F.count(month).alias("periods"),
+            F.coalesce(F.sum("has_used_roaming"), F.lit(0)).cast("long").alias("roaming"),
+            F.min(key).alias("first_key"),
+            F.min_by(v, key).alias("first"),
+            F.max(key).alias("last_key"),
+            F.max_by(v, key).alias("last"),
+        )
+    )
+
+
+def _chan(a: Column, b: Column) -> Column:
+    """Two ``(n, mean, m2)`` states merged after Chan; the second has rows."""
+    n = a["n"] + b["n"]
+    d = b["mean"] - a["mean"]
+    return F.struct(
+        n.alias("n"),
+        (a["mean"] + d * b["n"] / n).alias("mean"),
+        (a["m2"] + b["m2"] + d * d * a["n"] * b["n"] / n).alias("m2"),
+    )
+
+
+def merge_usage_states(states: DataFrame) -> DataFrame:
+    """The columns of ``usage_features`` from states of any number of months per account.
+
+    The moments are merged one month after the other (an account has at most
+    one state a month, so its list is as long as the calendar); everything else
+    is a plain aggregate over the states.
+    """
+    moment = F.struct(F.col(STATE_MONTH).alias("month"), F.col("n").cast("double").alias("n"), "mean", "m2")
+    merged = states.groupBy(S.KEY).agg(
+        F.coalesce(F.sum("total"), F.lit(0.0)).alias("total_used_gb"),
+        F.array_sort(F.collect_list(F.when(F.col("n") > 0, moment))).alias("_moments"),
+        F.min("low").alias("min_used_gb"),
+        F.max("high").alias("max_used_gb"),
+        F.sum("periods").alias("usage_month_count"),
+        F.sum("roaming").alias("roaming_months"),
+        F.min_by("first", "first_key").alias("_first"),
+        F.max_by("last", "last_key").alias("_last"),
+    )
+    zero = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+    m = merged.withColumn("_m", F.aggregate("_moments", zero, _chan))
+    n = F.col("_m.n")
+    return m.select(
+        S.KEY,
+        "total_used_gb",
+        F.when(n > 0, F.col("_m.mean")).alias("avg_used_gb"),
+        F.when(n > 1, F.sqrt(F.greatest(F.col("_m.m2"), F.lit(0.0)) / (n - 1))).alias("std_used_gb"),
+        "min_used_gb",
+        "max_used_gb",
+        "usage_month_count",
+        "roaming_months",
+        ratio_fill_zero("roaming_months", "usage_month_count").alias("roaming_ratio"),
+        (F.col("roaming_months") > 0).cast("int").alias("had_roaming"),
+        F.coalesce(F.col("_last") > F.col("_first"), F.lit(False)).cast("int").alias("usage_increase"),
+        (F.col("_last") - F.col("_first")).alias("usage_trend"),
+    )
+
+
 def usage_trend(usage: DataFrame, ties: Mapping[str, int] = NO_TIES) -> DataFrame:
     """First and last usage per contract with the increase flag and delta."""
     month = F.to_date("billed_period_month_d")

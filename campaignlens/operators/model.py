@@ -11,7 +11,9 @@ before assembly (Spark's trees do not take NaN).  Scores keep the row key:
 
 from __future__ import annotations
 
+import math
 import random
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from itertools import product
@@ -22,7 +24,6 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.ml.feature import UnivariateFeatureSelector, VarianceThresholdSelector, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +33,7 @@ from campaignlens.operators.joins import shuffle_partitions
 from campaignlens.operators.rank import with_position
 from campaignlens.operators.split import with_class_weight
 from campaignlens.session import ensure_checkpoint_dir
+from campaignlens.sources.sinks import pointers, publish, published
 
 
 def model_frame(df: DataFrame, features: Sequence[str], label: str = S.LABEL) -> DataFrame:
@@ -67,7 +69,16 @@ def forest(num_trees: int = S.RF_PARAMS["num_trees"], min_leaf: int = S.RF_PARAM
 def fit(train: DataFrame, features: Sequence[str], estimator) -> PipelineModel:
     """Weighted fit of ``assembler -> estimator`` on the training rows."""
     weighted = with_class_weight(train, "label")
-    return Pipeline(stages=[assembler(features), estimator]).fit(weighted)
+    return plain_model(Pipeline(stages=[assembler(features), estimator]).fit(weighted))
+
+
+def plain_model(fitted: PipelineModel) -> PipelineModel:
+    """A copy without the training summary.
+
+    A forest's summary holds the session, which cannot be sent to the tasks
+    that score rows once the session has observed a metric.
+    """
+    return fitted.copy()
 
 
 def scores(model: PipelineModel, rows: DataFrame, name: str = "score") -> DataFrame:
@@ -104,6 +115,65 @@ def out_of_fold_accuracy(train: DataFrame, features: Sequence[str], estimator, p
     return float(cv.fit(data).avgMetrics[0])
 
 
+# Draws of one row beyond which the bootstrap's probability is below 1e-11.
+_MOST_DRAWS = 12
+
+
+def bootstrap_weight(key: str, bag: int | Column, seed: int = S.SPLIT_SEED) -> Column:
+    """How often a bag's bootstrap sample draws a row: Poisson with mean 1, from a hash of (seed, bag, key).
+
+    The same on every machine and in every engine that has md5, so a row's
+    unseen bags are known without a stored sample.
+    """
+    bag = F.lit(bag) if isinstance(bag, int) else bag
+    text = F.concat(F.lit(f"{seed}:"), bag.cast("string"), F.lit(":"), F.col(key).cast("string"))
+    uniform = F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
+    below, steps = 0.0, []
+    for k in range(_MOST_DRAWS):
+        below += math.exp(-1.0) / math.factorial(k)
+        steps.append((uniform >= F.lit(below)).cast("int"))
+    return sum(steps[1:], steps[0])
+
+
+def bagged_forests(
+    train: DataFrame, features: Sequence[str], bags: int, trees_per_bag: int, seed: int = S.SPLIT_SEED,
+    max_depth: int = S.COMPARE_MAX_DEPTH, min_leaf: int = S.RF_PARAMS["min_leaf"], key: str = S.KEY, parallelism: int = 4,
+) -> list[PipelineModel]:
+    """One small forest per bag; its trees share the bag's bootstrap weights and draw their own features."""
+    weighted = with_class_weight(train, "label", name="_balance")
+
+    def run(bag: int) -> PipelineModel:
+        drawn = weighted.withColumn("_draws", bootstrap_weight(key, bag, seed)).where("_draws > 0")
+        drawn = drawn.withColumn("weight", F.col("_balance") * F.col("_draws"))
+        trees = forest(num_trees=trees_per_bag, min_leaf=min_leaf, max_depth=max_depth, seed=seed + bag).setBootstrap(False)
+        return plain_model(Pipeline(stages=[assembler(features), trees]).fit(drawn))
+
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return list(pool.map(run, range(bags)))
+
+
+def out_of_bag_votes(models: Sequence[PipelineModel], train: DataFrame, seed: int = S.SPLIT_SEED, key: str = S.KEY) -> DataFrame:
+    """``(key, label, votes, score)``: the mean probability over the bags that did not draw the row.
+
+    Every bag scores its unseen rows (about 37 percent); one aggregate over the
+    bags makes the table.  Rows that every bag drew have no vote and no row.
+    """
+    parts = []
+    for bag, model in enumerate(models):
+        unseen = train.where(bootstrap_weight(key, bag, seed) == 0)
+        parts.append(model.transform(unseen).select(key, "label", vector_to_array("probability")[1].alias("_p")))
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    return every.groupBy(key, "label").agg(F.count(F.lit(1)).alias("votes"), F.avg("_p").alias("score"))
+
+
+def out_of_bag_accuracy(votes: DataFrame) -> DataFrame:
+    """``(n, accuracy)`` of the vote table; the class with the larger mean probability wins, ties go to 0."""
+    right = (F.col("score") > 0.5).cast("double") == F.col("label")
+    return votes.agg(F.count(F.lit(1)).alias("n"), F.avg(right.cast("double")).alias("accuracy"))
+
+
 def _dense_fold(train: DataFrame):
     """Training folds renumbered 0..k-1 (the fold list has k <= a handful entries)."""
     folds = sorted(r.fold for r in train.select("fold").distinct().collect())
@@ -301,36 +371,48 @@ def tune(
         for i, c in enumerate(candidates)
     ]
     table = frame.sparkSession.createDataFrame(rows, "params string, mean_roc_auc double, is_best int")
-    return table, dict(candidates[best]), res.bestModel
-
-
-def champion_auc(spark: SparkSession, path: str) -> float | None:
-    """ROC AUC of the champion saved under ``path``, if there is one."""
-    try:
-        row = spark.read.json(f"{path}/metrics").first()
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return float(row["roc_auc"]) if row else None
+    return table, dict(candidates[best]), plain_model(res.bestModel)
 
 
-def load_champion(path: str) -> PipelineModel:
-    return PipelineModel.load(f"{path}/model")
+def champion_auc(spark: SparkSession, path: str, but: str | None = None) -> float | None:
+    """ROC AUC of the champion published under ``path``, if there is one.
 
+    With ``but`` the champion before those published under that tag, so that a
+    rerun of one challenger is compared with what the first run met.
+    """
+    found = [p for p in pointers(spark, path) if but is None or p.get("tag") != but]
+    return float(found[-1]["roc_auc"]) if found else None
 
-def promote(model: PipelineModel, auc: float | None, path: str, min_auc: float = S.PROMOTION_MIN_AUC) -> bool:
-    """Save the model as the champion when its AUC clears the bar and beats the current champion's.
 
-    ``path`` is a durable folder of the caller's choice; it holds the model and
-    its AUC, so another session finds and compares it.
+def load_champion(path: str) -> PipelineModel:
+    """The champion that the latest pointer under ``path`` names."""
+    current = published(SparkSession.active(), path)
+    if current is None:
+        raise FileNotFoundError(f"no champion under {path}")
+    return PipelineModel.load(str(current["path"]))
+
+
+def promote(
+    model: PipelineModel, auc: float | None, path: str, min_auc: float = S.PROMOTION_MIN_AUC, tag: str | None = None
+) -> bool:
+    """Publish the model as the champion when its AUC clears the bar and beats the current champion's.
+
+    ``path`` is a durable folder of the caller's choice.  The model is written
+    to a folder of its own and published, with its AUC, by one pointer: a
+    promotion that stops before the pointer leaves the old champion with the
+    old AUC.  ``tag`` names the challenger (its data and settings); a rerun
+    under the same tag decides as the first run did and writes nothing again.
     """
     spark = SparkSession.active()
-    current = champion_auc(spark, path)
+    current = champion_auc(spark, path, but=tag)
     if auc is None or auc < min_auc or (current is not None and auc <= current):
         return False
-    model.write().overwrite().save(f"{path}/model")
-    spark.createDataFrame([(float(auc),)], "roc_auc double").coalesce(1).write.mode("overwrite").json(f"{path}/metrics")
+    latest = published(spark, path)
+    if tag is not None and latest is not None and latest.get("tag") == tag and latest["roc_auc"] == float(auc):
+        return True
+    version = f"{path}/versions/{uuid.uuid4().hex}"
+    model.write().save(version)
+    publish(spark, path, version, {"roc_auc": float(auc), "tag": tag})
     return True
 
 

@@ -364,3 +364,47 @@ def population_stability_by(
     return shares.groupBy(F.col("column_name").alias("feature")).agg(
         F.sum((F.col("pa") - F.col("pe")) * F.log(F.col("pa") / F.col("pe"))).alias("psi")
     )
+
+
+def distribution_distances(df: DataFrame, is_actual: Column, numeric: Sequence[str]) -> DataFrame:
+    """Kolmogorov-Smirnov and Wasserstein distance per numeric column between two samples of one frame.
+
+    ``is_actual`` tells the rows of the actual sample from the expected one
+    (null counts as expected); missing values and NaN are left out.  Distinct
+    values are counted per side in one pass, and both empirical distribution
+    functions come from one prefix sum over the merged values: the first
+    distance is their largest gap, the second the area between them.  Output:
+    ``(feature, n_expected, n_actual, ks, wasserstein)``; the distances are
+    null where a side has no value.
+    """
+    side = F.coalesce(is_actual, F.lit(False)).cast("int")
+    long = long_values(df.withColumn("_side", side), numeric, "double", extra=["_side"])
+    long = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    counts = long.groupBy("column_name", "value").agg(
+        F.sum(F.lit(1) - F.col("_side")).alias("ne"), F.sum("_side").cast("long").alias("na")
+    )
+    order = [F.col("column_name").asc(), F.col("value").asc()]
+    curve = with_prefix_sums(counts, order, ["ne", "na"], previous=["value"], within=["column_name"])
+    totals = curve.groupBy("column_name").agg(F.sum("ne").alias("te"), F.sum("na").alias("ta"))
+    before = Window.orderBy("column_name").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per profiled column: bounded by the column count, broadcast.
+    lead = F.broadcast(totals.select(
+        "column_name", "te", "ta",
+        F.coalesce(F.sum("te").over(before), F.lit(0)).alias("oe"), F.coalesce(F.sum("ta").over(before), F.lit(0)).alias("oa"),
+    ))
+
+    def gap(e: Column, a: Column) -> Column:
+        return F.abs(F.try_divide(e.cast("double"), F.col("te")) - F.try_divide(a.cast("double"), F.col("ta")))
+
+    e, a = F.col("cum_ne") - F.col("oe"), F.col("cum_na") - F.col("oa")
+    stepped = curve.join(lead, "column_name").select(
+        "column_name", "te", "ta", gap(e, a).alias("here"),
+        (gap(e - F.col("ne"), a - F.col("na")) * (F.col("value") - F.col("prev_value"))).alias("area"),
+    )
+    some = (F.col("te") > 0) & (F.col("ta") > 0)
+    return stepped.groupBy(F.col("column_name").alias("feature"), "te", "ta").agg(
+        F.max("here").alias("ks"), F.coalesce(F.sum("area"), F.lit(0.0)).alias("wasserstein")
+    ).select(
+        "feature", F.col("te").alias("n_expected"), F.col("ta").alias("n_actual"), "ks",
+        F.when(some, F.col("wasserstein")).alias("wasserstein"),
+    )

@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import SparkContext
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -244,12 +244,10 @@ def grouped(
     groups = groups or GROUPS_PER_PARTITION * shuffle_partitions(df)
     code_list, vague = _codes(df, keys)
     n_codes = len(code_list)
-    seen = Observation()
-    # Rows and codes are stored once; the totals of the whole come with the write, and the rounds read codes only.
-    coded = df.withColumns({f"_c{j}": c for j, c in enumerate(code_list)}).observe(seen, *_counts(n_codes, values))
-    rows = stage_roundtrip(coded, "order")
+    # Rows and codes are stored once; the rounds read the codes only.
+    rows = stage_roundtrip(df.withColumns({f"_c{j}": c for j, c in enumerate(code_list)}), "order")
     sort = [_sort_column(o) for o in keys]
-    first = seen.get
+    first = rows.agg(*_counts(n_codes, values)).first()
     total = first["n"]
     if not total:
         return Grouped(rows.select(*map(_named, df.columns), F.lit(0).alias("_g")), sort, [], [])
@@ -314,15 +312,52 @@ def with_prefix_sums(
     position: str = "position",
     prefix: str = "cum_",
     num_partitions: int | None = None,
+    previous: Sequence[str] = (),
+    within: Sequence[str] = (),
 ) -> DataFrame:
-    """Add the position and inclusive running sums of ``values`` (numbers without nulls) in ``order``."""
+    """Add the position and inclusive running sums of ``values`` (numbers without nulls) in ``order``.
+
+    ``previous`` names columns whose value in the row before is added as
+    ``prev_<name>``, null where that row differs in the columns ``within``.
+    """
     g = grouped(df, order, values, num_partitions)
     so_far = g.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cols = {position: (g.offset_n() + F.row_number().over(g.window())).cast("long")}
     for i, v in enumerate(values):
         kind = "bigint" if isinstance(df.schema[v].dataType, T.IntegralType) else "double"
         cols[f"{prefix}{v}"] = g.offset(i, kind) + F.sum(F.col(f"`{v}`")).over(so_far)
-    return g.rows.withColumns(cols).drop("_g")
+    out = g.rows.withColumns(cols)
+    if previous:
+        out = _with_lag(g, out, order, within, previous).withColumns(
+            {f"prev_{c}": F.col(f"_prev.v{i}") for i, c in enumerate(previous)}
+        ).drop("_prev")
+    return out.drop("_g")
+
+
+def _with_lag(g: Grouped, rows: DataFrame, order: Sequence[Column], group: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """``rows`` with ``_prev``: ``names`` of the row before as a struct ``v0, v1, ...``, null at the head of a group.
+
+    The first row of a run takes the last row of the run before, read from a
+    frame of one row per run: a bounded frame, broadcast.  Runs are never
+    empty, so the run before is the next lower number.
+    """
+    every = [*group, *names]
+    here = F.struct(*[_named(c).alias(f"v{i}") for i, c in enumerate(every)])
+    keys = parse_order(order)
+    if all(not o.descending and not o.nulls_last for o in keys):
+        key = F.struct(*[o.value.alias(f"k{i}") for i, o in enumerate(keys)])
+        last = g.rows.groupBy("_g").agg(F.max(F.struct(key.alias("k"), here.alias("h"))).alias("m")).select("_g", F.col("m.h").alias("h"))
+    else:
+        after = F.lead(F.lit(1)).over(g.window())
+        last = g.rows.select("_g", here.alias("h"), after.alias("a")).where("a IS NULL").drop("a")
+    tails = F.broadcast(last.select((F.col("_g") + 1).alias("_g"), F.col("h").alias("_tail")))
+    joined = rows.withColumn("_lag", F.lag(here).over(g.window())).join(tails, "_g", "left")
+    before = F.coalesce("_lag", "_tail")
+    same = before.isNotNull()
+    for i, c in enumerate(group):
+        same = same & before[f"v{i}"].eqNullSafe(_named(c))
+    found = F.struct(*[before[f"v{len(group) + i}"].alias(f"v{i}") for i in range(len(names))])
+    return joined.withColumn("_prev", F.when(same, found)).drop("_lag", "_tail")
 
 
 def with_previous(
@@ -336,25 +371,9 @@ def with_previous(
     """``lag(v)`` per group in ``order`` without one task per group.
 
     The runs follow ``(group..., order...)``, so a hot group spans several of
-    them.  The first row of a run takes the last row of the run before, read
-    from a frame of one row per run; a previous row of another group gives null.
+    them.  A previous row of another group gives null.
     """
-    names = [*group, *values]
-    ascending = all(not o.descending and not o.nulls_last for o in parse_order(order))
-    g = grouped(df, [F.col(f"`{c}`") for c in group] + list(order), (), num_partitions)
-    here = F.struct(*[F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(names)])
-    rows = g.rows.withColumn("_lag", F.lag(here).over(g.window()))
-    # One row per run: a bounded frame, broadcast.  Runs are never empty, so the run before is the next lower number.
-    if ascending:
-        key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(o.value for o in parse_order([*map(F.col, group), *order]))])
-        last = g.rows.groupBy("_g").agg(F.max(F.struct(key.alias("k"), here.alias("h"))).alias("m")).select("_g", F.col("m.h").alias("h"))
-    else:
-        after = F.lead(F.lit(1)).over(g.window())
-        last = g.rows.select("_g", here.alias("h"), after.alias("a")).where("a IS NULL").drop("a")
-    tails = F.broadcast(last.select((F.col("_g") + 1).alias("_g"), F.col("h").alias("_tail")))
-    joined = rows.join(tails, "_g", "left").withColumn("_prev", F.coalesce("_lag", "_tail"))
-    same = F.lit(True)
-    for i, c in enumerate(group):
-        same = same & F.col(f"_prev.v{i}").eqNullSafe(F.col(f"`{c}`"))
-    cols = {f"{prefix}{v}": F.when(F.col("_prev").isNotNull() & same, F.col(f"_prev.v{len(group) + i}")) for i, v in enumerate(values)}
-    return joined.withColumns(cols).drop("_g", "_lag", "_tail", "_prev")
+    whole = [_named(c) for c in group] + list(order)
+    g = grouped(df, whole, (), num_partitions)
+    lagged = _with_lag(g, g.rows, whole, group, values)
+    return lagged.withColumns({f"{prefix}{v}": F.col(f"_prev.v{i}") for i, v in enumerate(values)}).drop("_g", "_prev")

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from campaignlens import schemas as S
-from campaignlens.operators import evaluate, model
+from campaignlens.operators import evaluate, features, model
 from campaignlens.plans import flow
 from campaignlens.plans.oracle_views import with_views
-from campaignlens.plans.registry import register, round_doubles
+from campaignlens.plans.registry import register, round_doubles, sql_round
+from campaignlens.plans.clean_queries import USAGE_DOUBLES
 from campaignlens.plans.eval_queries import GROUP_SQL, eval_sql
 from campaignlens.sources.sinks import (
     backfill_date_range,
@@ -88,6 +91,45 @@ def oof_accuracy(spark, sf_dir):
     )
 
 
+OOB_BAGS, OOB_TREES = 12, 25
+
+
+@register("oob_accuracy", note="out-of-bag accuracy of bagged forests over the training folds; rows-only")
+def oob_accuracy(spark, sf_dir):
+    """Out-of-bag accuracy and error, as the reference's training step reports them."""
+    train = _frame(spark, sf_dir, S.SELECTED_FEATURES).where(F.col("fold") != 0)
+    models = model.bagged_forests(train, S.SELECTED_FEATURES, OOB_BAGS, OOB_TREES)
+    found = model.out_of_bag_accuracy(model.out_of_bag_votes(models, train)).first()
+    stats = train.agg(F.avg("label").alias("rate"), F.count(F.lit(1)).alias("n"))
+    pairs = [
+        ("oob_accuracy", F.lit(found.accuracy)), ("oob_error", F.lit(1.0 - found.accuracy)),
+        ("train_pos_rate", F.col("rate")), ("n_train", F.col("n").cast("double")), ("n_voted", F.lit(float(found.n))),
+    ]
+    return round_doubles(stats.select(
+        F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), v.cast("double").alias("value")) for m, v in pairs]))
+    ))
+
+
+def _bootstrap_sql() -> str:
+    below = [sum(math.exp(-1.0) / math.factorial(i) for i in range(k + 1)) for k in range(3)]
+    steps = " + ".join(f"CAST(u >= CAST('{x!r}' AS DOUBLE) AS INTEGER)" for x in below)
+    return (
+        f"SELECT CAST(bag AS INTEGER) AS bag, {steps} AS draws, count(*) AS n_rows, "
+        "CAST(sum(has_done_upselling) AS BIGINT) AS n_pos FROM ("
+        "SELECT bag, has_done_upselling, CAST(CAST('0x' || left(md5('42:' || bag || ':' || rating_account_id), 12) AS BIGINT) "
+        f"AS DOUBLE) / 281474976710656.0 AS u FROM core_data, range(0, {OOB_BAGS}) b(bag)) GROUP BY 1, 2"
+    )
+
+
+@register("bootstrap_draws", sql=with_views(_bootstrap_sql()))
+def bootstrap_draws(spark, sf_dir):
+    """Rows and positives of every bag by the number of draws (three or more together)."""
+    core = flow.inputs(spark, sf_dir).core.select(S.KEY, S.LABEL)
+    bags = core.select("*", F.explode(F.sequence(F.lit(0), F.lit(OOB_BAGS - 1))).alias("bag"))
+    draws = F.least(model.bootstrap_weight(S.KEY, F.col("bag")), F.lit(3)).alias("draws")
+    return bags.groupBy("bag", draws).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(S.LABEL).cast("long").alias("n_pos"))
+
+
 @register("lr_scores", note="logistic regression, 1000 iterations, balanced; rows-only")
 def lr_scores(spark, sf_dir):
     return _test_scores(spark, sf_dir, "lr", S.SELECTED_FEATURES, lambda train: model.logistic(train.count()))
@@ -159,9 +201,9 @@ def tune(spark, sf_dir):
 def rf_promotion_gate(spark, sf_dir):
     auc = evaluate.roc_auc(_rf_scores(spark, sf_dir)).first().roc_auc
     fitted = _fit_once(spark, sf_dir, "rf", S.SELECTED_FEATURES, _forest)
-    path = champion_dir(spark)
-    before = model.champion_auc(spark, path)
-    promoted = model.promote(fitted, auc, path)
+    path, tag = champion_dir(spark), f"rf {sf_dir}"
+    before = model.champion_auc(spark, path, but=tag)
+    promoted = model.promote(fitted, auc, path, tag=tag)
     return spark.createDataFrame(
         [("ROC_AUC", auc, S.PROMOTION_MIN_AUC, before, int(promoted))],
         "metric string, value double, min_value double, champion_value double, promoted int",
@@ -235,3 +277,23 @@ def backfill_rows_written(spark, sf_dir):
     written = backfill_date_range(usage_daily(spark, sf_dir), path, "day_dt", lo, hi)
     stored = spark.read.parquet(path).where((F.col("day_dt") >= F.lit(lo)) & (F.col("day_dt") < F.lit(hi)))
     return stored.agg(F.lit(written).cast("long").alias("rows_written"), F.count(F.lit(1)).alias("rows_stored"))
+
+
+STATE_WINDOW = ("1994-03-01", "1995-09-01")
+
+
+@register("usage_from_states", sql=sql_round(with_views("SELECT * FROM usage_features"), USAGE_DOUBLES))
+def usage_from_states(spark, sf_dir):
+    """Usage features from stored monthly states: a load with a wrong window, its backfill, and the merge."""
+    import uuid
+
+    ins = flow.inputs(spark, sf_dir)
+    lo, hi = (F.lit(d).cast("date") for d in STATE_WINDOW)
+    day = F.to_date("billed_period_month_d")
+    wrong = F.when((day >= lo) & (day < hi), F.col("used_gb") * 2 + 1).otherwise(F.col("used_gb"))
+    path = f"{stage_root(spark)}/usage_states-{uuid.uuid4().hex}"
+    first = features.usage_states(ins.usage.withColumn("used_gb", wrong), ins.usage_ties)
+    write_stage(first.hint("rebalance", features.STATE_MONTH), path, partition_by=[features.STATE_MONTH])
+    window = features.usage_states(ins.usage.where((day >= lo) & (day < hi)), ins.usage_ties)
+    backfill_date_range(window.hint("rebalance", features.STATE_MONTH), path, features.STATE_MONTH, *STATE_WINDOW)
+    return round_doubles(features.merge_usage_states(spark.read.parquet(path)))

@@ -297,6 +297,38 @@ def drift_psi(spark, sf_dir):
     )
 
 
+_DISTANCE_LONG = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v, side FROM pcf" for c in PSI_NUMERIC
+)
+_DISTANCE_SQL = f"""
+SELECT feature, CAST(max(te) AS BIGINT) AS n_expected, CAST(max(ta) AS BIGINT) AS n_actual, max(abs(e / te - a / ta)) AS ks,
+  coalesce(sum(abs(e / te - a / ta) * (following - v)), 0.0) AS wasserstein
+FROM (
+  SELECT feature, v, lead(v) OVER w AS following, CAST(sum(ne) OVER w AS DOUBLE) AS e, CAST(sum(na) OVER w AS DOUBLE) AS a,
+    sum(ne) OVER (PARTITION BY feature) AS te, sum(na) OVER (PARTITION BY feature) AS ta
+  FROM (SELECT feature, v, count(*) FILTER (WHERE side = 'e') AS ne, count(*) FILTER (WHERE side = 'a') AS na
+        FROM ({_DISTANCE_LONG}) WHERE v IS NOT NULL AND NOT isnan(v) GROUP BY feature, v)
+  WINDOW w AS (PARTITION BY feature ORDER BY v ROWS UNBOUNDED PRECEDING)
+) GROUP BY feature"""
+
+
+@register(
+    "drift_distances",
+    sql=eval_sql(
+        _DISTANCE_SQL.replace(
+            "FROM pcf",
+            "FROM (SELECT p.*, CASE WHEN f.fold = 0 THEN 'a' ELSE 'e' END AS side FROM processed_core p "
+            f"LEFT JOIN folds f ON {GROUP_SQL.replace('customer_id', 'p.customer_id')} = f.grp)",
+        ),
+        ["ks", "wasserstein"],
+    ),
+)
+def drift_distances(spark, sf_dir):
+    """Drift without bins: the test fold against the training folds."""
+    pcf = split.attach_folds(flow.processed_core(spark, sf_dir, impute=False), flow.folds(spark, sf_dir))
+    return round_doubles(profile.distribution_distances(pcf, F.col("fold") == 0, PSI_NUMERIC))
+
+
 # -- label history ---------------------------------------------------------------------------
 
 _LAG_SQL = (

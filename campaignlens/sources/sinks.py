@@ -9,9 +9,11 @@ checkpoint folder (``spark.checkpoint.dir`` on a cluster).
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,11 +56,13 @@ def qualified_name(name: str, version: int | None = None, database: str | None =
 
 
 def write_versioned(
-    df: DataFrame, name: str, version: int, latest_version: int, database: str | None = None
+    df: DataFrame, name: str, version: int, latest_version: int, database: str | None = None,
+    check: Callable[[DataFrame], bool] | None = None,
 ) -> str:
     """Save ``name_vN`` as a table; if N is the latest, point view ``name`` at it.
 
-    A table (not a view) already called ``name`` is dropped first, as the
+    ``check`` looks at the stored version before the view moves; where it says
+    no, the view stays on the old version and ``ValueError`` is raised.  A table (not a view) already called ``name`` is dropped first, as the
     latest-version view must take its place.  Returns the view or table name
     that readers should use.
     """
@@ -67,6 +71,8 @@ def write_versioned(
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     versioned = qualified_name(name, version, database)
     df.write.mode("overwrite").saveAsTable(versioned)
+    if check is not None and not check(spark.table(versioned)):
+        raise ValueError(f"{versioned} did not pass its check; readers keep the version they had")
     if version != latest_version:
         return versioned
     plain = qualified_name(name, None, database)
@@ -79,16 +85,29 @@ def write_versioned(
     return plain
 
 
+# The partition column of a stored table that names no other.
+PARTITION_COLUMN = "day_dt"
+
+
+def partition_column(spark: SparkSession, table: str, default: str = PARTITION_COLUMN) -> str:
+    """The date column that ``table`` is partitioned by: ``campaignlens.partition.<table>``, else the default."""
+    return spark.conf.get(f"campaignlens.partition.{table}", None) or default
+
+
 def backfill_date_range(
-    df: DataFrame, path: str, date_col: str, min_date: str, max_date: str
+    df: DataFrame, path: str, date_col: str | None = None, min_date: str = "", max_date: str = "", table: str = ""
 ) -> int:
-    """Rewrite only the day partitions in ``[min_date, max_date)``.
+    """Rewrite only the date partitions in ``[min_date, max_date)``.
 
     The frame is filtered to the window and written with dynamic partition
-    overwrite, so partitions outside the window stay as they are.  Returns
-    the number of rows written (observed during the write, no extra pass).
+    overwrite, so partitions outside the window stay as they are.  Without
+    ``date_col`` the column is the one set for ``table``, or the default.
+    Returns the number of rows written (observed during the write, no extra
+    pass).
     """
-    window = df.where((F.col(date_col) >= F.lit(min_date).cast("date")) & (F.col(date_col) < F.lit(max_date).cast("date")))
+    date_col = date_col or partition_column(df.sparkSession, table)
+    c = F.col(date_col)
+    window = df.where((c >= F.lit(min_date).cast("date")) & (c < F.lit(max_date).cast("date")))
     observed, obs = observe_rows(window, "backfill")
     (
         observed.write.mode("overwrite")
@@ -99,6 +118,37 @@ def backfill_date_range(
     return int(obs.get["rows_affected"])
 
 
+def publish(spark: SparkSession, root: str, path: str, values: dict[str, object]) -> int:
+    """Point readers of ``root`` at ``path``, a version that is written and checked; returns its number.
+
+    A pointer is one row in one file that Spark renames into place as the last
+    step, so readers see the old version or the new one with its own values,
+    never a mixture; a publisher that stops earlier leaves the old version.
+    """
+    current = published(spark, root)
+    number = 1 + (current["number"] if current else 0)
+    row = json.dumps({"number": number, "path": path, **values}, sort_keys=True)
+    spark.range(1).select(F.lit(row).alias("value")).coalesce(1).write.mode("append").text(f"{root}/pointers")
+    return number
+
+
+def published(spark: SparkSession, root: str) -> dict[str, object] | None:
+    """The row of the latest pointer under ``root``, if anything was published."""
+    found = pointers(spark, root)
+    return found[-1] if found else None
+
+
+def pointers(spark: SparkSession, root: str) -> list[dict[str, object]]:
+    """All pointers under ``root``, oldest first (one row per publication)."""
+    try:
+        rows = spark.read.text(f"{root}/pointers").collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return sorted((json.loads(r.value) for r in rows), key=lambda p: (p["number"], p["path"]))
+
+
 def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Attach a row counter filled in by whatever action runs the frame."""
     obs = Observation(name)
