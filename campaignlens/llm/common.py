@@ -47,6 +47,20 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def has_map(dtype: T.DataType) -> bool:
+    """Whether a type holds a map, which Spark neither hashes nor compares."""
+    if isinstance(dtype, T.StructType):
+        return any(has_map(f.dataType) for f in dtype.fields)
+    return isinstance(dtype, (T.MapType, T.VariantType)) or (isinstance(dtype, T.ArrayType) and has_map(dtype.elementType))
+
+
+def row_hash(df: DataFrame) -> Column:
+    """64-bit hash of a row; columns that hold maps count with their JSON text."""
+    plain = [col(f.name) for f in df.schema.fields if not has_map(f.dataType)]
+    maps = [F.to_json(F.struct(col(f.name).alias("m"))) for f in df.schema.fields if has_map(f.dataType)]
+    return F.xxhash64(*plain, *maps)
+
+
 def crc_bucket(id_column: Column, buckets: int) -> Column:
     """``crc32`` of the id as text, modulo ``buckets``; null ids fall in bucket 0."""
     return F.coalesce(F.crc32(id_column.cast("string").cast("binary")) % buckets, F.lit(0)).cast("int")

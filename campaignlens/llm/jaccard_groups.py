@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from campaignlens.llm import textops
-from campaignlens.llm.common import col, hashed_counts, prepare, store
+from campaignlens.llm.common import col, has_map, hashed_counts, prepare, row_hash, store
 from campaignlens.llm.graph import components
 
 WIDTH = 5
@@ -552,10 +552,11 @@ def keep_one(
     key = _row_key(col(id_col).cast("long"), F.xxhash64(col(text_col)))
     names = [k.alias(f"_k{i}") for i, k in enumerate(key)]
     on = ["_k0", "_k1", "_k2"]
-    keyed = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("_row"), *names)
+    keyed = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("_row"), row_hash(docs).alias("_tie"), *names)
     met = keyed.join(wanted.toDF(*on, "_chosen"), on)
     # Repeated rows of a chosen document: one stays.  The join has already placed them together.
-    once = met.where("_chosen").groupBy(*on).agg(F.min("_row").alias("_row")).select("_row")
+    least = F.min_by("_row", "_tie") if has_map(keyed.schema["_row"].dataType) else F.min("_row")
+    once = met.where("_chosen").groupBy(*on).agg(least.alias("_row")).select("_row")
     rest = met.where("not _chosen").select("_row")
     return once.union(rest).select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
 

@@ -17,6 +17,7 @@ Defined cases: a null text or one without letters is ``und`` with score 0;
 documents with a null language are not learned from; without any learnable
 document everything is ``und``; equal cosines go to the language first by code
 point; an empty table gives an empty result; repeated rows are judged alike;
+a very long text is judged whole, its distinct trigrams bound in blocks;
 columns named like the added ones are left out of the result.
 """
 
@@ -35,8 +36,11 @@ from campaignlens.llm.common import col, map_batches, prepare
 UNKNOWN = "und"
 DIMENSIONS = 1024
 TRAIN_ROWS = 20_000
-# Cosine below which a text resembles no learned language (the pipeline's rejection).
-MIN_COSINE = 0.1
+# Bound of the cosine for a long text; a shorter one with n distinct trigrams needs n / (n + HALF) of it, and one with
+# fewer than JUDGED trigrams is too short to be rejected.
+MIN_COSINE = 0.35
+HALF = 40
+JUDGED = 20
 # Sharpness of the confidence: a softmax over the cosines.
 SHARPNESS = 30.0
 # Trigrams of one text bound at a time.
@@ -86,7 +90,11 @@ def trigrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 
 def bundle(text: str | None, dims: int = DIMENSIONS) -> np.ndarray:
     """The vector of a text: the sum of its trigrams' bound vectors (zeros without letters)."""
-    grams, counts = trigrams(text)
+    return bundle_trigrams(*trigrams(text), dims)
+
+
+def bundle_trigrams(grams: np.ndarray, counts: np.ndarray, dims: int = DIMENSIONS) -> np.ndarray:
+    """The sum of the bound vectors of some trigrams, each as often as it occurs."""
     total = np.zeros(dims, np.float32)
     if not len(grams):
         return total
@@ -170,27 +178,32 @@ def identify(
     text_col: str = "text",
     dims: int = DIMENSIONS,
     keep_text: bool = True,
+    with_size: bool = False,
 ) -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` (confidence, 0 to 1) and ``cosine`` added.
 
+    ``with_size`` adds ``n_trigrams``, the number of distinct trigrams.
     With ``keep_text=False`` the text column is left out of the result.
     """
     spark = docs.sparkSession
     prepare(spark)
     shared = spark.sparkContext.broadcast(prototypes)  # languages x dims numbers
-    added = ("lang_pred", "score", "cosine")
+    new = {"lang_pred": F.lit(""), "score": F.lit(0.0), "cosine": F.lit(0.0)}
+    if with_size:
+        new["n_trigrams"] = F.lit(0).cast("long")
+    added = tuple(new)
     kept = [c for c in docs.columns if c.lower() not in added and (keep_text or c != text_col)]
     source = docs.select(*[col(c) for c in kept], col(text_col).alias("_text"))
-    schema = docs.select(*[col(c) for c in kept]).withColumns(
-        {"lang_pred": F.lit(""), "score": F.lit(0.0), "cosine": F.lit(0.0)}
-    ).schema
+    schema = docs.select(*[col(c) for c in kept]).withColumns(new).schema
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
-            lang, score, cosine = [], [], []
+            lang, score, cosine, size = [], [], [], []
             for text in batch.column(batch.num_columns - 1):
-                v = bundle(text.as_py(), dims)
+                grams, counts = trigrams(text.as_py())
+                v = bundle_trigrams(grams, counts, dims)
+                size.append(len(grams))
                 if not known.languages or not v.any():
                     lang.append(UNKNOWN), score.append(0.0), cosine.append(0.0)
                     continue
@@ -202,9 +215,19 @@ def identify(
                 cosine.append(float(c[best]))
             columns = [batch.column(i) for i in range(batch.num_columns - 1)]
             names = batch.schema.names[:-1]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(cosine, pa.float64())],
-                names=[*names, *added],
-            )
+            found = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(cosine, pa.float64())]
+            found += [pa.array(size, pa.int64())] if with_size else []
+            yield pa.RecordBatch.from_arrays([*columns, *found], names=[*names, *added])
 
     return map_batches(source, task, schema)
+
+
+def resembles(cosine: str = "cosine", n_trigrams: str = "n_trigrams", lang_pred: str = "lang_pred") -> Column:
+    """Whether a judged text resembles a learned language.
+
+    A text without letters does not; one too short to judge is given the
+    benefit of the doubt; the bound on the cosine grows with the text.
+    """
+    n = F.col(n_trigrams)
+    far = (n >= JUDGED) & (F.col(cosine) < F.lit(MIN_COSINE) * n / (n + HALF))
+    return (F.col(lang_pred) != UNKNOWN) & ~far

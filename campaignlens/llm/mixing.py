@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from campaignlens.llm.common import WORD, col, store
+from campaignlens.llm.common import WORD, col, row_hash, store
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -100,6 +100,7 @@ def _planned(
 ) -> DataFrame:
     rows = docs.select(
         F.struct(*[col(c) for c in carry]).alias("_row"),
+        row_hash(docs.select(*[col(c) for c in carry])).alias("_tie"),
         col(source_col).cast("string").alias("source"),
         size.alias("size"),
         F.coalesce(col(id_col).cast("string"), F.lit("")).alias("_id"),
@@ -129,7 +130,7 @@ def _planned(
         .withColumn("_before", F.col("_below") + F.col("_ahead"))
         .drop("_below", "_ahead")
     )
-    inside = Window.partitionBy(*cell).orderBy("_id", F.xxhash64("_row"))
+    inside = Window.partitionBy(*cell).orderBy("_id", "_tie")
     # Window and join have the same keys, so the documents move once.
     placed = rows.withColumn("_at", F.row_number().over(inside).cast("long")).join(cells, cell)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))

@@ -269,7 +269,8 @@ def learn(
     n = known.count()
     share = min(1.0, train_rows / n) if n else 1.0
     key = F.pmod(F.xxhash64(F.col("_id").cast("string"), F.lit("quality")), F.lit(1 << 20))
-    picked = known.where(key < int(share * (1 << 20)) if share < 1 else F.lit(True)).dropDuplicates(["_id"])
+    picked = known.where(key < int(share * (1 << 20)) if share < 1 else F.lit(True))
+    picked = picked.groupBy("_id").agg(F.max("y").alias("y"))  # of several labels the largest
     # At most about train_rows ids: a proven bound.
     sample = docs.join(F.broadcast(picked), col(id_col) == F.col("_id")).select("_id", "y", col(text_col).alias("text"))
 

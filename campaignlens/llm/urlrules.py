@@ -107,7 +107,9 @@ def judge(
     rules = compile_rules() if rules is None else list(rules)
     kept = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
     host, path = split_url(col(url_col))
-    base = pages.select(*[col(c) for c in kept], host.alias("host"), path.alias("path"))
+    # The pages' own columns go by number, so none can clash with a column made here.
+    own = [f"c{i}" for i in range(len(kept))]
+    base = pages.select(*[col(c).alias(n) for c, n in zip(kept, own)], host.alias("host"), path.alias("path"))
     # Pattern rules apply to lower-cased tokens of an address; a distinct address is judged once.
     address = base.select("host", "path").where(F.concat("host", "path") != "").distinct()
     tokens = address.select(
@@ -149,7 +151,7 @@ def judge(
     )
     m = matched.select(F.col("host").alias("_h"), F.col("path").alias("_p"), "best")
     return base.join(m, (F.col("host") == F.col("_h")) & (F.col("path") == F.col("_p")), "left").select(
-        *[col(c) for c in kept],
+        *[col(n).alias(c) for c, n in zip(kept, own)],
         "host",
         "path",
         F.col("best.rule").alias("rule"),
