@@ -24,7 +24,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.ml.feature import UnivariateFeatureSelector, VarianceThresholdSelector, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from campaignlens import schemas as S
@@ -374,6 +374,111 @@ def tune(
     return table, dict(candidates[best]), plain_model(res.bestModel)
 
 
+def hash_share(key: str, seed: int = S.SPLIT_SEED) -> Column:
+    """A number in [0, 1) from a hash of the row's key; the rows below a share are part of those below a larger one."""
+    text = F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
+
+
+def successive_halving(
+    frame: DataFrame, features: Sequence[str], candidates: Sequence[dict], seed: int = S.SPLIT_SEED, parallelism: int = 4,
+    max_depth: int = S.COMPARE_MAX_DEPTH, key: str = S.KEY,
+) -> tuple[DataFrame, dict]:
+    """Candidates raced on nested samples of the training folds; the better half goes on, at last on all rows.
+
+    A round fits every remaining candidate on all but the last training fold
+    and compares their ROC AUC on that fold in one grouped pass; equal scores
+    go to the earlier candidate.  The rounds' samples double and contain each
+    other, so the result is the same on every run.  Returns ``(round, params,
+    share, roc_auc, kept)`` and the survivor.
+    """
+    rounds = max(1, math.ceil(math.log2(max(len(candidates), 1))) + (len(candidates) == 1))
+    train = frame.where(F.col("fold") != 0)
+    held_out = train.agg(F.max("fold")).first()[0]
+    left, rows = list(range(len(candidates))), []
+    for r in range(rounds):
+        share = 2.0 ** (r + 1 - rounds)
+        sample = train.where(hash_share(key, seed) < share)
+        fitting, judging = sample.where(F.col("fold") != held_out), sample.where(F.col("fold") == held_out)
+
+        def run(i: int) -> DataFrame:
+            settings = {"max_depth": max_depth, **candidates[i]}
+            return scores(fit(fitting, features, forest(**settings)), judging).withColumn("candidate", F.lit(i))
+
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            parts = list(pool.map(run, left))
+        every = parts[0]
+        for p in parts[1:]:
+            every = every.unionByName(p)
+        auc = {a.candidate: a.roc_auc for a in evaluate.roc_auc_by(every, "candidate").collect()}
+        ranked = sorted(left, key=lambda i: (-(auc.get(i) or 0.0), i))
+        kept = ranked[: max(1, len(left) // 2)]
+        rows += [(r, _shown(candidates[i]), share, auc.get(i), int(i in kept)) for i in left]
+        left = sorted(kept)
+    table = frame.sparkSession.createDataFrame(rows, "round int, params string, share double, roc_auc double, kept int")
+    return table, dict(candidates[left[0]])
+
+
+def _shown(candidate: dict) -> str:
+    return ", ".join(f"{n}={candidate[n]}" for n in sorted(candidate))
+
+
+def pair_information(df: DataFrame, columns: Sequence[str], numeric: Sequence[str], bins: int = 10) -> DataFrame:
+    """Mutual information (nats) of every pair of columns: ``(a, b, n, information)`` with ``a`` before ``b``.
+
+    Columns in ``numeric`` are cut into equal-width bins between their extremes
+    (one aggregate); the others count by value; missing values are a value.
+    The joint counts of all pairs come from one pass that makes a row per pair
+    and combines them before the shuffle; everything after works on counts.
+    """
+    bounds = df.agg(*[f(F.col(f"`{c}`").cast("double")).alias(f"{n}{i}") for i, c in enumerate(numeric) for n, f in (("a", F.min), ("b", F.max))]).first() if numeric else None
+
+    def binned(c: str) -> Column:
+        x = F.col(f"`{c}`")
+        if c not in numeric:
+            return F.coalesce(x.cast("string"), F.lit(""))
+        low, high = bounds[f"a{numeric.index(c)}"], bounds[f"b{numeric.index(c)}"]
+        if low is None or low == high:
+            return F.when(x.isNull(), "").otherwise("0")
+        step = F.floor((x.cast("double") - F.lit(low)) * F.lit(bins / (high - low)))
+        return F.coalesce(F.least(step, F.lit(bins - 1)).cast("string"), F.lit(""))
+
+    cut = df.select(*[binned(c).alias(f"v{i}") for i, c in enumerate(columns)])
+    pairs = [
+        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"v{i}").alias("x"), F.col(f"v{j}").alias("y"))
+        for i, a in enumerate(columns) for j, b in enumerate(columns) if i < j
+    ]
+    joint = cut.select(F.inline(F.array(*pairs))).groupBy("a", "b", "x", "y").agg(F.count(F.lit(1)).alias("c"))
+
+    def total(*by: str) -> Column:
+        return F.sum("c").over(Window.partitionBy("a", "b", *by)).cast("double")
+
+    # A pair's windows see its distinct value pairs, not its rows.
+    cells = joint.select("a", "b", "c", total().alias("n"), total("x").alias("nx"), total("y").alias("ny"))
+    term = F.col("c") / F.col("n") * F.log(F.col("c") * F.col("n") / (F.col("nx") * F.col("ny")))
+    return cells.groupBy("a", "b").agg(F.max("n").cast("long").alias("n"), F.sum(term).alias("information"))
+
+
+def select_without_redundancy(pairs: DataFrame, label: str, top: int) -> list[tuple[str, float]]:
+    """Features picked one by one: the information on the label less the mean information on those picked before.
+
+    ``pairs`` is ``pair_information`` with the label among its columns: one row
+    per pair of columns.  Equal values go to the name first in order.
+    """
+    info = {frozenset((r.a, r.b)): r.information for r in pairs.collect()}
+    names = sorted({n for pair in info for n in pair} - {label})
+    picked: list[tuple[str, float]] = []
+    while names and len(picked) < top:
+        def worth(name: str) -> float:
+            redundant = sum(info[frozenset((name, p))] for p, _ in picked) / max(len(picked), 1)
+            return info[frozenset((name, label))] - redundant
+
+        best = min(names, key=lambda n: (-worth(n), n))
+        picked.append((best, worth(best)))
+        names.remove(best)
+    return picked
+
+
 def champion_auc(spark: SparkSession, path: str, but: str | None = None) -> float | None:
     """ROC AUC of the champion published under ``path``, if there is one.
 

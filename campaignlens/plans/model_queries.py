@@ -197,6 +197,56 @@ def tune(spark, sf_dir):
     return model.tune(frame, S.SELECTED_FEATURES, grid)[0]
 
 
+HALVING_SPACE = {"num_trees": [10, 20, 40], "min_leaf": [20, 50, 100], "max_depth": [4, 6, 8]}
+
+
+@register("tune_halving", note="random draws of the space raced on nested samples; rows-only")
+def tune_halving(spark, sf_dir):
+    frame = _frame(spark, sf_dir, S.SELECTED_FEATURES)
+    return model.successive_halving(frame, S.SELECTED_FEATURES, model.random_grid(HALVING_SPACE, 8))[0]
+
+
+INFORMATION_COLUMNS = ["age", "gross_mrc", "contract_lifetime_days", "smartphone_brand", "available_gb", S.LABEL]
+INFORMATION_NUMERIC = ["age", "gross_mrc", "contract_lifetime_days"]
+
+
+def _information_sql() -> str:
+    def binned(c: str) -> str:
+        if c not in INFORMATION_NUMERIC:
+            return f"coalesce(CAST({c} AS VARCHAR), '')"
+        low, high = f"(SELECT CAST(min({c}) AS DOUBLE) FROM core_data)", f"(SELECT CAST(max({c}) AS DOUBLE) FROM core_data)"
+        step = f"floor((CAST({c} AS DOUBLE) - {low}) * (CAST(10 AS DOUBLE) / ({high} - {low})))"
+        return f"coalesce(CAST(CAST(least({step}, 9) AS BIGINT) AS VARCHAR), '')"
+
+    cut = ", ".join(f"{binned(c)} AS v{i}" for i, c in enumerate(INFORMATION_COLUMNS))
+    pairs = " UNION ALL ".join(
+        f"SELECT '{a}' AS a, '{b}' AS b, v{i} AS x, v{j} AS y FROM cut"
+        for i, a in enumerate(INFORMATION_COLUMNS) for j, b in enumerate(INFORMATION_COLUMNS) if i < j
+    )
+    return with_views(
+        "SELECT a, b, CAST(max(n) AS BIGINT) AS n, round(sum(c / n * ln(c * n / (nx * ny))), 6) AS information FROM ("
+        "SELECT a, b, CAST(c AS DOUBLE) AS c, CAST(sum(c) OVER (PARTITION BY a, b) AS DOUBLE) AS n, "
+        "CAST(sum(c) OVER (PARTITION BY a, b, x) AS DOUBLE) AS nx, CAST(sum(c) OVER (PARTITION BY a, b, y) AS DOUBLE) AS ny "
+        f"FROM (SELECT a, b, x, y, count(*) AS c FROM ({pairs}) GROUP BY a, b, x, y)) GROUP BY a, b",
+        extra=[("cut", f"SELECT {cut} FROM core_data")],
+    )
+
+
+@register("pair_information", sql=_information_sql())
+def pair_information(spark, sf_dir):
+    """Mutual information of every pair of contract columns and the label."""
+    core = flow.inputs(spark, sf_dir).core
+    return round_doubles(model.pair_information(core, INFORMATION_COLUMNS, INFORMATION_NUMERIC))
+
+
+@register("select_without_redundancy", note="greedy relevance minus redundancy over the pair table; rows-only")
+def select_without_redundancy(spark, sf_dir):
+    core = flow.inputs(spark, sf_dir).core
+    pairs = model.pair_information(core, INFORMATION_COLUMNS, INFORMATION_NUMERIC)
+    picked = model.select_without_redundancy(pairs, S.LABEL, 3)
+    return spark.createDataFrame([(i + 1, f, w) for i, (f, w) in enumerate(picked)], "rank int, feature string, worth double")
+
+
 @register("rf_promotion_gate", note="forest AUC against the bar and the current champion; rows-only")
 def rf_promotion_gate(spark, sf_dir):
     auc = evaluate.roc_auc(_rf_scores(spark, sf_dir)).first().roc_auc

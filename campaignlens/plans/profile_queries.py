@@ -238,6 +238,22 @@ def stage_parity(spark, sf_dir):
     return profile.stage_parity(stored, notebook, "processed_core")
 
 
+_EQUAL_PARITY = (
+    "SELECT 'core' AS stage, (SELECT count(*) FROM core_data) AS left_rows, (SELECT count(*) FROM core_data) AS right_rows, "
+    "11 AS left_columns, 11 AS right_columns, 1 AS same_schema, 0 AS only_left, 0 AS only_right"
+)
+
+
+@register("stage_parity_digests", sql=f"{_PARITY_SQL}\nUNION ALL SELECT * FROM ({with_views(_EQUAL_PARITY)})")
+def stage_parity_digests(spark, sf_dir):
+    """Parity by bucket digests: a stage against another version of it, and a stored table against its source."""
+    stored = stage_roundtrip(flow.processed_core(spark, sf_dir), "processed_core")
+    notebook = flow.processed_core(spark, sf_dir, age_edges=S.AGE_EDGES_NOTEBOOK)
+    core = flow.inputs(spark, sf_dir).core
+    equal = profile.stage_parity_by_digest(stage_roundtrip(core, "core"), core, "core")
+    return profile.stage_parity_by_digest(stored, notebook, "processed_core").unionByName(equal)
+
+
 @register(
     "month_count_check",
     sql=with_views("SELECT rating_account_id, usage_month_count FROM usage_features WHERE usage_month_count > 4"),
