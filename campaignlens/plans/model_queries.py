@@ -7,7 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from campaignlens import schemas as S
-from campaignlens.operators import evaluate, features, model
+from campaignlens.operators import boosting, evaluate, features, model
 from campaignlens.plans import flow
 from campaignlens.plans.oracle_views import with_views
 from campaignlens.plans.registry import register, round_doubles, sql_round
@@ -140,6 +140,51 @@ def gbt_scores(spark, sf_dir):
     return _test_scores(spark, sf_dir, "gbt", S.SELECTED_FEATURES, lambda train: model.boosted())
 
 
+BOOST_ROUNDS, BOOST_STEP = 30, 0.3
+
+
+@register("second_order_scores", note="second-order boosted trees, 30 rounds; rows-only")
+def second_order_scores(spark, sf_dir):
+    frame = _frame(spark, sf_dir, S.SELECTED_FEATURES)
+    fitted = boosting.boost(frame.where(F.col("fold") != 0), S.SELECTED_FEATURES, BOOST_ROUNDS, step=BOOST_STEP)
+    return boosting.scores(fitted, frame.where(F.col("fold") == 0))
+
+
+GAIN_FEATURES = ["age", "contract_lifetime_days", "gross_mrc", "has_special_offer", "is_magenta1_customer"]
+
+
+def _gain_sql() -> str:
+    bins = 16
+    rows = " UNION ALL ".join(
+        f"SELECT {i} AS feature, has_done_upselling AS y, CAST(CASE WHEN hi > lo THEN greatest(least("
+        f"floor((v - lo) / ((hi - lo) / {bins})), {bins - 1}), 0) ELSE 0 END AS INTEGER) AS bin FROM ("
+        f"SELECT has_done_upselling, CAST({c} AS DOUBLE) AS v, (SELECT CAST(min({c}) AS DOUBLE) FROM core_data) AS lo, "
+        f"(SELECT CAST(max({c}) AS DOUBLE) FROM core_data) AS hi FROM core_data)"
+        for i, c in enumerate(GAIN_FEATURES)
+    )
+    return sql_round(
+        with_views(
+            "SELECT feature, bin, g, h, (g * g / (h + 1) + (tg - g) * (tg - g) / (th - h + 1) - tg * tg / (th + 1)) / 2 AS gain FROM ("
+            "SELECT feature, bin, sum(n * p - pos) OVER w AS g, sum(n * p * (1 - p)) OVER w AS h, "
+            "sum(n * p - pos) OVER f AS tg, sum(n * p * (1 - p)) OVER f AS th, max(bin) OVER f AS top FROM ("
+            "SELECT feature, bin, count(*) AS n, CAST(sum(y) AS DOUBLE) AS pos, "
+            "(SELECT avg(CAST(has_done_upselling AS DOUBLE)) FROM core_data) AS p "
+            f"FROM ({rows}) GROUP BY feature, bin) "
+            "WINDOW w AS (PARTITION BY feature ORDER BY bin ROWS UNBOUNDED PRECEDING), f AS (PARTITION BY feature)) WHERE bin < top"
+        ),
+        ["g", "h", "gain"],
+        4,
+    )
+
+
+@register("root_split_gains", sql=_gain_sql())
+def root_split_gains(spark, sf_dir):
+    """Gradient and hessian sums and the gain of every split of the first tree's root over all contracts."""
+    core = flow.inputs(spark, sf_dir).core.withColumn("label", F.col(S.LABEL))
+    edges = boosting.bin_edges(core, GAIN_FEATURES, 16)
+    return round_doubles(boosting.root_gains(boosting.counted_cells(core, GAIN_FEATURES, edges)), 4)
+
+
 @register("feature_set_comparison", note="9 forests of 100 trees; rows-only")
 def feature_set_comparison(spark, sf_dir):
     sets = S.feature_sets()
