@@ -21,7 +21,7 @@ out of the results; empty tables give empty results.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
@@ -125,6 +125,41 @@ def fingerprint(docs: DataFrame, text_col: str = "text", width: int = WIDTH, fra
     return map_batches(chosen, task, chosen.withColumn("fingerprint", F.lit("")).schema)
 
 
+def hash_rows(fingerprints: DataFrame, keys: Sequence[str], fraction: float = FRACTION) -> DataFrame:
+    """``(keys..., hash)``: a row for every kept hash below the threshold; a text's stand-in hash above it has none."""
+    each = F.explode(F.regexp_extract_all("fingerprint", F.lit(f".{{{_DIGITS}}}"), F.lit(0)))
+    limit = f"{int(fraction * (1 << _BITS)):0{_DIGITS}x}"
+    return fingerprints.select(*[col(k) for k in keys], each.alias("hash")).where(F.col("hash") < limit)
+
+
+def merged(fingerprints: DataFrame, by: str, fraction: float = FRACTION) -> DataFrame:
+    """``(by, hash)``: the sketch of the union of each group's texts, a row per hash.
+
+    A group may be a third of the corpus, so its sketch is never gathered in one
+    row; hashes that repeat inside a task are dropped before the shuffle.
+    Merged sketches merge again: their union, without repeats, is the sketch of
+    all their texts.
+    """
+    return hash_rows(fingerprints, [by], fraction).distinct()
+
+
+def containment_in(
+    fingerprints: DataFrame, groups: DataFrame, id_col: str = "doc_id", by: str = "source", fraction: float = FRACTION
+) -> DataFrame:
+    """``(id, by, kept, common, held)``: how much of every text the groups of ``merged`` hold.
+
+    Only pairs with a common hash have a row; ``held`` estimates the part of the
+    text's shingles that some text of the group has.  Texts without a hash
+    below the threshold have no row: nothing can be said of them.
+    """
+    mine = hash_rows(fingerprints, [id_col], fraction).distinct()
+    sizes = mine.groupBy(col(id_col)).agg(F.count(F.lit(1)).alias("kept"))
+    met = mine.join(groups, "hash").groupBy(col(id_col), col(by)).agg(F.count(F.lit(1)).alias("common"))
+    return met.join(sizes, id_col).select(
+        col(id_col), col(by), "kept", "common", (F.col("common") / F.col("kept")).alias("held")
+    )
+
+
 def edited(text: str, following: str) -> str:
     """The text with its last third replaced by the beginning of the following one."""
     cut = len(text) // 3

@@ -90,3 +90,27 @@ def test_empty_table_and_general_operator(spark):
     assert got[2] == "" and len(got[1]) % 12 == 0 and got[1]
     assert S.edit_report(docs.where("doc_id = 3")).count() == 0
     assert S.fingerprint(docs.where("doc_id = 3")).count() == 0
+
+
+def test_merged_sketches_and_containment_equal_plain_sets(spark):
+
+    rnd = random.Random(21)
+    rows = [(i, prose(rnd, rnd.randrange(1, 120), 300), "en", f"s{i % 3}") for i in range(40)]
+    rows += [(100, " ".join(r[1] for r in rows[:6]), "en", "big"), (101, None, "en", "s0"), (102, "", "en", "s1"), (103, rows[0][1], "en", None)]
+    prints = S.fingerprint(documents(spark, rows))
+    limit = int(S.FRACTION * (1 << 48))
+    own = {r["doc_id"]: {int(h) for h in S.from_text(r["fingerprint"]) if h < limit} for r in prints.collect()}
+    want: dict = {}
+    for i, _, _, source in rows:
+        want.setdefault(source, set()).update(own[i])
+    groups = S.merged(prints, "source")
+    got: dict = {}
+    for r in groups.collect():
+        got.setdefault(r["source"], set()).add(int(r["hash"], 16))
+    assert got == {s: h for s, h in want.items() if h}
+    found = {(r["doc_id"], r["source"]): (r["kept"], r["common"]) for r in S.containment_in(prints, groups).collect()}
+    plain = {(i, s): (len(h), len(h & w)) for i, h in own.items() for s, w in want.items() if h & w}
+    assert found == plain
+    assert all(found[i, "big"][0] == found[i, "big"][1] for i in range(6) if own[i])
+    both = groups.where("source = 's0'").select("hash").union(groups.where("source = 's1'").select("hash")).distinct()
+    assert both.count() == len(want["s0"] | want["s1"])
