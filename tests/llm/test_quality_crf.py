@@ -79,3 +79,24 @@ def test_edge_cases(spark):
     unlearned = quality_crf.learn(docs, spark.createDataFrame([], "doc_id long, quality int"))
     assert {r["score"] for r in quality_crf.score(docs, unlearned).collect()} == {0.5}
     assert quality_crf.score(docs.where("doc_id = 999"), field).count() == 0
+
+
+def test_long_documents_take_part_with_a_run_of_lines(spark, monkeypatch):
+    rnd = random.Random(31)
+    junk = "### $$$ click | here || 1234 5678"
+    rows = [(i, "\n".join(junk if i % 2 else prose(rnd, 9) + "." for _ in range(20_000 if i < 2 else 5))) for i in range(12)]
+    docs = documents(spark, rows)
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(12)], "doc_id long, quality int")
+    seen = {}
+
+    def fit(lines, label):
+        seen["lines"], seen["sizes"] = len(lines.x), sorted(lines.at[1:] - lines.at[:-1])
+        return quality_crf.neutral()
+
+    monkeypatch.setattr(quality_crf, "fit", fit)
+    quality_crf.learn(docs, labels)
+    assert seen["sizes"][-2:] == [quality_crf.TRAIN_LINES] * 2 and seen["lines"] <= 12 * quality_crf.TRAIN_LINES
+    monkeypatch.undo()
+    field = quality_crf.learn(docs, labels)
+    scored = {r["doc_id"]: r["score"] for r in quality_crf.score(docs, field, keep_text=False).collect()}
+    assert min(scored[i] for i in range(0, 12, 2)) > max(scored[i] for i in range(1, 12, 2))
