@@ -42,7 +42,8 @@ def merged(spark: SparkSession, sf_dir: str, fill: bool = False,
 
     With ``columns`` given, a side whose columns are not among them is not
     joined at all (Catalyst does not remove the salted customer join by
-    itself), so a model on contract features alone never reads usage rows.
+    itself), so a model on contract features alone never reads usage rows, and
+    ``available_gb`` is left out where its median is not wanted.
     """
     ins = inputs(spark, sf_dir)
     wanted = set(columns) if columns is not None else None
@@ -54,7 +55,8 @@ def merged(spark: SparkSession, sf_dir: str, fill: bool = False,
         if not wanted & (set(inter.columns) - {S.CUSTOMER}):
             inter = None
     impute = wanted is None or "available_gb" in wanted
-    out = features.merge_features(clean.process_core(ins.core, impute=impute), usage, inter)
+    core = clean.process_core(ins.core, impute=impute)
+    out = features.merge_features(core if impute else core.drop("available_gb"), usage, inter)
     return features.fill_interactions(out) if fill else out
 
 
