@@ -38,7 +38,7 @@ GROUPS_PER_PARTITION = 4
 # Rounds after which a bucket stays as large as it is (ranges shrink by the width each round).
 ROUNDS = 64
 # Bytes of a string that one code holds exactly, and codes of a string.
-_BYTES, _CHUNKS = 6, 6
+_BYTES, _CHUNKS = 6, 4
 # Length code of a string with more bytes than its codes hold.
 _LONG = _BYTES * _CHUNKS + 1
 # Codes of infinite, NaN and missing values lie outside those of all other numbers.
@@ -189,9 +189,9 @@ def _children(cells: Sequence[_Cell], cell: str) -> str:
         return repr(values[0]) + ("D" if kind == "double" else "") if len(values) == 1 else f"element_at({_array(values, kind)}, {cell} + 1)"
 
     used = sorted({c.code for c in cells if c.parts > 1})
-    code = f"_c{used[0]}"
+    code = f"_code{used[0]}"
     if len(used) > 1:
-        code = f"CASE {at([c.code for c in cells], 'int')} " + " ".join(f"WHEN {j} THEN _c{j}" for j in used) + " ELSE 0D END"
+        code = f"CASE {at([c.code for c in cells], 'int')} " + " ".join(f"WHEN {j} THEN _code{j}" for j in used) + " ELSE 0D END"
     step = f"floor(({code} - {at(low, 'double')}) * {at(scale, 'double')})"
     return f"cast({at(base[:-1], 'int')} + least(greatest({step}, 0), {at([c.parts for c in cells], 'int')} - 1) as int)"
 
@@ -199,7 +199,7 @@ def _children(cells: Sequence[_Cell], cell: str) -> str:
 def _counts(n_codes: int, values: Sequence[str]) -> list[Column]:
     """Rows, sums and code ranges as three aggregates: ``n``, ``sums``, ``low`` and ``high``."""
     def each(f: str) -> str:
-        return ", ".join(f"{f}(_c{j})" for j in range(n_codes))
+        return ", ".join(f"{f}(_code{j})" for j in range(n_codes))
 
     sums = ", ".join(f"'s{i}', sum(`{v}`)" for i, v in enumerate(values))
     return [
@@ -245,7 +245,7 @@ def grouped(
     code_list, vague = _codes(df, keys)
     n_codes = len(code_list)
     # Rows and codes are stored once; the rounds read the codes only.
-    rows = stage_roundtrip(df.withColumns({f"_c{j}": c for j, c in enumerate(code_list)}), "order")
+    rows = stage_roundtrip(df.withColumns({f"_code{j}": c for j, c in enumerate(code_list)}), "order")
     sort = [_sort_column(o) for o in keys]
     first = rows.agg(*_counts(n_codes, values)).first()
     total = first["n"]
@@ -260,8 +260,8 @@ def grouped(
             c.cut(most, CELLS // max(heavy, 1), vague)
         if all(c.parts == 1 for c in cells):
             break
-        rows = rows.selectExpr("*", f"{_children(cells, node)} AS _n{round_}")
-        node = f"_n{round_}"
+        rows = rows.selectExpr("*", f"{_children(cells, node)} AS _cell{round_}")
+        node = f"_cell{round_}"
         # Only the cells that were cut are counted again; a filter would copy the whole chain of lookups.
         parent = [i for i, c in enumerate(cells) for _ in range(c.parts)]
         again = f"element_at({_array([int(cells[p].parts > 1) for p in parent], 'int')}, {node} + 1) = 1"
