@@ -35,6 +35,14 @@ def test_equal_stages_compare_no_row(spark, monkeypatch):
     assert profile.stage_parity_by_digest(left, left.repartition(3), "t").first().only_left == 0
 
 
+@pytest.mark.parametrize("differ", [[], [0], [15], [1, 2, 9], list(range(16))])
+def test_listed_buckets_are_found_by_one_look(spark, differ):
+    rows = spark.range(16).withColumnRenamed("id", profile._BUCKET)
+    listed = rows.where(profile._is_listed(differ, 16))
+    assert sorted(r[0] for r in listed.collect()) == differ
+    assert "array_contains" not in listed._jdf.queryExecution().analyzed().toString()
+
+
 def test_copies_do_not_cancel_out(spark):
     one = spark.createDataFrame([("x",)], "s string")
     two = one.unionByName(one)
