@@ -388,7 +388,7 @@ def usage_from_states(spark, sf_dir):
     wrong = F.when((day >= lo) & (day < hi), F.col("used_gb") * 2 + 1).otherwise(F.col("used_gb"))
     path = f"{stage_root(spark)}/usage_states-{uuid.uuid4().hex}"
     first = features.usage_states(ins.usage.withColumn("used_gb", wrong), ins.usage_ties)
-    write_stage(first.hint("rebalance", features.STATE_MONTH), path, partition_by=[features.STATE_MONTH])
+    write_stage(first, path, partition_by=[features.STATE_MONTH])
     window = features.usage_states(ins.usage.where((day >= lo) & (day < hi)), ins.usage_ties)
-    backfill_date_range(window.hint("rebalance", features.STATE_MONTH), path, features.STATE_MONTH, *STATE_WINDOW)
+    backfill_date_range(window, path, features.STATE_MONTH, *STATE_WINDOW)
     return round_doubles(features.merge_usage_states(spark.read.parquet(path)))

@@ -1,5 +1,6 @@
 """Features from merged states against the one-pass features, and backfills of single months."""
 
+import os
 import random
 
 import pytest
@@ -66,3 +67,15 @@ def test_states_are_one_row_per_account_and_month(spark):
 def test_empty_states(spark):
     empty = spark.createDataFrame([], COLUMNS)
     assert features.merge_usage_states(features.usage_states(empty, TIES)).count() == 0
+
+
+def test_states_are_dealt_once_and_meet_by_account_once(spark, tmp_path):
+    states = features.usage_states(usage_rows(spark), TIES)
+    plan = states._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    sinks.write_stage(states, f"{tmp_path}/states", partition_by=[features.STATE_MONTH])
+    months = [d for d in os.listdir(f"{tmp_path}/states") if d.startswith(features.STATE_MONTH)]
+    assert months and all(len([f for f in os.listdir(f"{tmp_path}/states/{d}") if f.endswith(".parquet")]) <= features.STATE_SLICES for d in months)
+    merged = features.merge_usage_states(spark.read.parquet(f"{tmp_path}/states"))
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "partial_" in plan.split("Exchange hashpartitioning")[0]
