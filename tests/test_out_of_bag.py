@@ -68,3 +68,9 @@ def test_a_bag_is_fitted_on_the_rows_it_drew(spark, train):
     pa = a.transform(train).select(F.avg(vector_to_array("probability")[1])).first()[0]
     pb = b.transform(train).select(F.avg(vector_to_array("probability")[1])).first()[0]
     assert abs(pa - pb) < 0.1  # the balance weights differ slightly, the rows do not
+
+
+def test_a_bag_draws_the_rows_that_weigh(spark, train):
+    got = train.select("rating_account_id", *[model.bag_draws("rating_account_id", b).alias(f"b{b}") for b in range(3)])
+    for r in got.collect():
+        assert [r[f"b{b}"] for b in range(3)] == [draws(42, b, r.rating_account_id) > 0 for b in range(3)]
